@@ -6,6 +6,7 @@ aggregates over *all* rows; only the small summaries come back.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -96,30 +97,67 @@ def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A10: Pearson correlation matrix in long form (col_a, col_b, r) over all rows.
 
     Pairwise-complete like pandas: each pair uses the rows where both values
-    are present.  One global aggregate computes every pair (partial aggregation
-    in each task, one small final merge), then ``stack`` unpivots the single
-    row.  A constant column gives NULL instead of a division error.
+    are present.  Two passes, both single global aggregates (partial sums per
+    task, one small merge):
+
+    1. per column: mean and NULL count (2k numbers come back);
+    2. sums of *centred* values and products.  Centring by the exact mean is
+       the stable two-pass covariance.  Pairs of columns without NULLs share
+       one row set, so they need only sum(a'), sum(a'b'); a pair touching a
+       column with NULLs also sums its own count and masked moments.
+
+    A constant column gives NULL instead of a division error.
     """
     cols = list(cols)
-    aggs = []
-    names = {}
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            b = cols[j]
-            ca, cb = F.col(a).cast("double"), F.col(b).cast("double")
-            both_a = F.when(cb.isNotNull(), ca)
-            both_b = F.when(ca.isNotNull(), cb)
-            r = F.try_divide(F.covar_pop(ca, cb), F.sqrt(F.covar_pop(ca, both_a) * F.covar_pop(cb, both_b)))
-            name = f"r_{i}_{j}"
-            aggs.append(r.alias(name))
-            names[(i, j)] = name
-    wide = df.agg(*aggs)
+    k = len(cols)
+    # Expressions are built as SQL text and sent in one call per pass: a k x k
+    # matrix is a few hundred expressions, too many for one Py4J call each.
+    x = [f"CAST(`{c}` AS DOUBLE)" for c in cols]
+    first = df.selectExpr(
+        "count(1) AS n",
+        *[f"avg({x[i]}) AS m{i}" for i in range(k)],
+        *[f"count_if({x[i]} IS NULL) AS z{i}" for i in range(k)],
+    ).first()
+    mean = []
+    for i in range(k):
+        m = first[f"m{i}"]
+        mean.append(m if m is not None and math.isfinite(m) else 0.0)
+    nullable = [first[f"z{i}"] > 0 for i in range(k)]
+    xc = [f"({x[i]} - {mean[i]!r}D)" for i in range(k)]
+
+    aggs = ["count(1) AS n"] + [f"sum({xc[i]}) AS s{i}" for i in range(k)]
+    for i in range(k):
+        for j in range(i, k):
+            aggs.append(f"sum({xc[i]} * {xc[j]}) AS p{i}_{j}")
+            if nullable[i] or nullable[j]:
+                both = f"({x[i]} IS NOT NULL AND {x[j]} IS NOT NULL)"
+                aggs += [
+                    f"count_if({both}) AS n{i}_{j}",
+                    f"sum(CASE WHEN {both} THEN {xc[i]} END) AS a{i}_{j}",
+                    f"sum(CASE WHEN {both} THEN {xc[j]} END) AS b{i}_{j}",
+                    f"sum(CASE WHEN {both} THEN {xc[i]} * {xc[i]} END) AS aa{i}_{j}",
+                    f"sum(CASE WHEN {both} THEN {xc[j]} * {xc[j]} END) AS bb{i}_{j}",
+                ]
+    moments = df.selectExpr(*aggs)
+
+    def pair(i, j):
+        if nullable[i] or nullable[j]:
+            n, sa, sb = f"CAST(n{i}_{j} AS DOUBLE)", f"a{i}_{j}", f"b{i}_{j}"
+            saa, sbb = f"aa{i}_{j}", f"bb{i}_{j}"
+        else:
+            n, sa, sb, saa, sbb = "CAST(n AS DOUBLE)", f"s{i}", f"s{j}", f"p{i}_{i}", f"p{j}_{j}"
+        cov = f"(try_divide(p{i}_{j}, {n}) - try_divide({sa}, {n}) * try_divide({sb}, {n}))"
+        va = f"(try_divide({saa}, {n}) - try_divide({sa}, {n}) * try_divide({sa}, {n}))"
+        vb = f"(try_divide({sbb}, {n}) - try_divide({sb}, {n}) * try_divide({sb}, {n}))"
+        den = f"sqrt({va} * {vb})"
+        return f"CASE WHEN {den} > 0 THEN {cov} / {den} END AS r{i}_{j}"
+
+    wide = moments.selectExpr(*[pair(i, j) for i in range(k) for j in range(i, k)])
     entries = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
-            name = names[(min(i, j), max(i, j))]
-            entries.append(f"'{a}', '{b}', `{name}`")
-    return wide.select(F.expr(f"stack({len(entries)}, {', '.join(entries)}) as (col_a, col_b, r)"))
+            entries.append(f"'{a}', '{b}', r{min(i, j)}_{max(i, j)}")
+    return wide.selectExpr(f"stack({len(entries)}, {', '.join(entries)}) AS (col_a, col_b, r)")
 
 
 def class_histogram(

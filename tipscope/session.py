@@ -62,6 +62,7 @@ def local_session(
         .appName(app_name)
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if shuffle_partitions is not None:
