@@ -36,8 +36,9 @@ def train_and_compare(models: Mapping[str, object], train: DataFrame, test: Data
     frames = []
     for name, est in models.items():
         secs, model = time_fit(est, train, materialise=False)
-        scored = score_model(model, test, score_source).select(label_col, "prediction", "score").cache()
-        rec = M.metric_record(scored, label_col, "prediction", "score")
+        scored, _, edges = M.materialise_scores(
+            score_model(model, test, score_source).select(label_col, "prediction", "score"))
+        rec = M.metric_record(scored, label_col, "prediction", "score", edges=edges)
         row = rec.first().asDict()
         scored.unpersist()
         values = [name] + [None if row[c] is None else float(row[c]) for c in METRIC_COLUMNS] + [float(secs)]

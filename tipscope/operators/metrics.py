@@ -10,6 +10,7 @@ All functions accept ``group_cols`` so several models (long form, one
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -79,18 +80,32 @@ def threshold_metrics(pred: DataFrame, label_col: str = "label", prediction_col:
     )
 
 
+def default_buckets(df: DataFrame) -> int:
+    return max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
+def edge_expr(score_col: str, buckets: int):
+    """Aggregate expression for the bucket edges (approximate score quantiles)."""
+    probs = [i / buckets for i in range(1, max(buckets, 2))]
+    return F.percentile_approx(F.col(score_col).cast("double"), probs, 10000)
+
+
+def clean_edges(q) -> list[float]:
+    q = q if q is not None else []
+    return sorted(set(float(x) for x in q if x is not None and math.isfinite(float(x))))
+
+
 def _score_bounds(scores: DataFrame, score_col: str, buckets: int) -> list[float]:
     """Approximate quantiles of the distinct scores, used only as bucket edges."""
     if buckets <= 1:
         return []
-    probs = [i / buckets for i in range(1, buckets)]
-    row = scores.agg(F.percentile_approx(score_col, probs, 10000).alias("q")).first()
-    q = row["q"] if row is not None and row["q"] is not None else []
-    return sorted(set(float(x) for x in q))
+    row = scores.agg(edge_expr(score_col, buckets).alias("q")).first()
+    return clean_edges(row["q"] if row is not None else None)
 
 
 def auc(pred: DataFrame, label_col: str = "label", score_col: str = "score",
-        group_cols: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+        group_cols: Sequence[str] = (), buckets: int | None = None,
+        edges: Sequence[float] | None = None) -> DataFrame:
     """Exact area under the ROC curve, distributed.
 
     AUC = sum over positives of (negatives scored lower + half the negatives
@@ -100,16 +115,19 @@ def auc(pred: DataFrame, label_col: str = "label", score_col: str = "score",
     below a score are (negatives in earlier buckets) + (a running sum inside
     its own bucket).  Each window works on one bucket only, and the per-bucket
     offsets are a table of ``buckets`` rows, so no step puts all scores in
-    one task.  The edges only group the work; the result is exact.
+    one task.  The edges only group the work; the result is exact.  Pass
+    ``edges`` (e.g. from :func:`materialise_scores`) to skip the pass that
+    estimates them; row quantiles bound the distinct scores per bucket too.
     """
     g = list(group_cols)
     lab = F.col(label_col)
     src = pred.where(lab.isin(0, 1) & F.col(score_col).isNotNull() & ~F.isnan(score_col))
     per_score = src.groupBy(*g, F.col(score_col).cast("double").alias("s")).agg(
         F.count_if(lab == 1).alias("pos"), F.count_if(lab == 0).alias("neg"))
-    if buckets is None:
-        buckets = max(16, int(pred.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    edges = _score_bounds(per_score, "s", buckets)
+    if edges is None:
+        edges = _score_bounds(per_score, "s", buckets if buckets is not None else default_buckets(pred))
+    else:
+        edges = clean_edges(edges)
     if edges:
         splits = [float("-inf")] + edges + [float("inf")]
         bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="b").transform(per_score)
@@ -154,8 +172,20 @@ def auc_mllib(pred: DataFrame, label_col: str = "label", raw_col: str = "rawPred
     return ev.evaluate(pred.withColumn(label_col, F.col(label_col).cast("double")))
 
 
+def materialise_scores(scored: DataFrame, score_col: str = "score", buckets: int | None = None):
+    """Cache ``scored`` and, in the same job, estimate AUC bucket edges.
+
+    Returns (cached frame, row count, edges) so evaluation needs no extra pass.
+    """
+    scored = scored if scored.is_cached else scored.cache()
+    b = buckets if buckets is not None else default_buckets(scored)
+    row = scored.agg(F.count(F.lit(1)).alias("n"), edge_expr(score_col, b).alias("q")).first()
+    return scored, row["n"], clean_edges(row["q"])
+
+
 def metric_record(pred: DataFrame, label_col: str = "label", prediction_col: str = "prediction",
-                  score_col: str = "score", group_cols: Sequence[str] = ()) -> DataFrame:
+                  score_col: str = "score", group_cols: Sequence[str] = (),
+                  edges: Sequence[float] | None = None) -> DataFrame:
     """One row per group with auc, accuracy, f1, precision_w, recall_w, recall_pos.
 
     Cache ``pred`` first when it is expensive to recompute: the threshold
@@ -166,7 +196,7 @@ def metric_record(pred: DataFrame, label_col: str = "label", prediction_col: str
         # a constant group key keeps the two one-row results an equi-join
         pred, g = pred.withColumn("_all", F.lit(0)), ["_all"]
     thr = threshold_metrics(pred, label_col, prediction_col, g)
-    a = auc(pred, label_col, score_col, g)
+    a = auc(pred, label_col, score_col, g, edges=edges)
     out = thr.join(a, g)
     keep = [c for c in g if c != "_all"]
     return out.select(*keep, "auc", "accuracy", "f1", "precision_w", "recall_w", "recall_pos")
