@@ -56,6 +56,16 @@ def test_load_trips_repairs_drift(spark, drifted):
     assert [c for c in df.columns] == list(CANONICAL_TYPES)  # extra columns dropped
 
 
+def test_footer_pass_in_tasks_matches_driver(spark, drifted):
+    files = PQ.list_parquet_files(spark, drifted)
+    in_tasks = PQ.group_by_schema_in_tasks(spark, files)
+    on_driver = PQ.group_by_schema(spark, files)
+    assert sorted(map(sorted, in_tasks.values())) == sorted(map(sorted, on_driver.values()))
+    a = PQ.load_trips(spark, drifted, footer_pass="tasks")
+    b = PQ.load_trips(spark, drifted, footer_pass="driver")
+    assert a.count() == 200 and a.exceptAll(b).count() == 0
+
+
 def test_prefilter_does_not_change_cleaning(spark, drifted):
     spec = TripSpec()
     a = P.clean_trips(PQ.load_trips(spark, drifted, spec), spec)

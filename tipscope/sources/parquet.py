@@ -66,6 +66,53 @@ def group_by_schema(spark: SparkSession, files: Iterable[str]) -> "OrderedDict[s
     return groups
 
 
+DRIVER_FOOTER_LIMIT = 64
+
+
+def _arrow_uri(path: str) -> str:
+    return "file://" + path[len("file:"):] if path.startswith("file:/") and not path.startswith("file://") else path
+
+
+def footer_schemas(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(path, schema_key) per file, with the footers read inside tasks.
+
+    Only the path list (metadata) is shipped; each task opens its files with
+    pyarrow's file system layer (local, HDFS or object store URIs) and reads
+    the footer, so thousands of files are grouped in parallel.
+    """
+    import pandas as pd
+
+    def read(batches):
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+
+        for pdf in batches:
+            keys = []
+            for p in pdf["path"]:
+                fs, rel = pafs.FileSystem.from_uri(_arrow_uri(p))
+                if fs.get_file_info(rel).type == pafs.FileType.Directory:
+                    # a Spark-written folder: its part files share one schema
+                    parts = sorted(i.path for i in fs.get_file_info(pafs.FileSelector(rel))
+                                   if i.path.endswith(".parquet"))
+                    rel = parts[0]
+                with fs.open_input_file(rel) as fh:
+                    schema = pq.read_schema(fh)
+                keys.append(";".join(f"{f.name}:{f.type}" for f in schema))
+            yield pd.DataFrame({"path": pdf["path"], "schema_key": keys})
+
+    n = max(1, min(len(files), spark.sparkContext.defaultParallelism * 4))
+    paths = spark.createDataFrame([(f,) for f in files], "path string").repartition(n)
+    return paths.mapInPandas(read, "path string, schema_key string")
+
+
+def group_by_schema_in_tasks(spark: SparkSession, files: list[str]) -> "OrderedDict[str, list[str]]":
+    """Like :func:`group_by_schema`, with the footer pass distributed."""
+    rows = (footer_schemas(spark, files).groupBy("schema_key")
+            .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+            .orderBy(F.element_at("paths", 1)).collect())
+    return OrderedDict((r["schema_key"], list(r["paths"])) for r in rows)
+
+
 def normalise(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast every canonical column to its type and drop the rest.
 
@@ -131,16 +178,25 @@ def load_trips(
     spec: TripSpec | None = None,
     manifest: Mapping[str, list[str]] | None = None,
     prefilter: bool = False,
+    footer_pass: str = "auto",
 ) -> DataFrame:
     """Read every Parquet file under ``path`` as one canonical DataFrame (S3).
 
     ``manifest`` maps any key to a list of files known to share one schema; it
-    skips the footer pass.  ``prefilter=True`` pushes the spec's plain range
-    rules into each group's scan (use it when the result is cleaned anyway).
+    skips the footer pass.  Otherwise footers are read on the driver for up to
+    ``DRIVER_FOOTER_LIMIT`` files and inside tasks beyond (``footer_pass`` =
+    "driver" / "tasks" forces one).  ``prefilter=True`` pushes the spec's plain
+    range rules into each group's scan (use it when the result is cleaned anyway).
     """
     spec = spec or TripSpec()
-    groups = manifest if manifest is not None else group_by_schema(
-        spark, list_parquet_files(spark, path))
+    if manifest is not None:
+        groups = manifest
+    else:
+        files = list_parquet_files(spark, path)
+        if footer_pass == "auto":
+            footer_pass = "driver" if len(files) <= DRIVER_FOOTER_LIMIT else "tasks"
+        groups = (group_by_schema(spark, files) if footer_pass == "driver"
+                  else group_by_schema_in_tasks(spark, files))
     frames = []
     for files in groups.values():
         pre = None
