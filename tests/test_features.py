@@ -8,13 +8,13 @@ from tipscope.specs import TripSpec
 
 def test_indexer_frequency_then_alphabetical(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",), ("b",), ("c",), ("c",)], "v string")
-    t = {r["value"]: r["idx"] for r in FE.index_table(df, "v").collect()}
+    t = {r["value"]: r["idx"] for r in FE.index_table(df, ["v"]).collect()}
     assert t == {"c": 0, "a": 1, "b": 2}
 
 
 def test_numeric_categories_are_stringified(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (2.0,)], "v double")
-    t = {r["value"]: r["idx"] for r in FE.index_table(df, "v").collect()}
+    t = {r["value"]: r["idx"] for r in FE.index_table(df, ["v"]).collect()}
     assert t == {"2.0": 0, "1.0": 1}
 
 
@@ -37,5 +37,5 @@ def test_assembler_skips_null_numeric(spark):
 
 def test_one_hot_table_widths(spark):
     df = spark.createDataFrame([("a",), ("b",), ("b",)], "v string")
-    rows = {r["value"]: (r["vec_size"], r["hot_slot"]) for r in FE.one_hot_table(df, "v").collect()}
+    rows = {r["value"]: (r["vec_size"], r["hot_slot"]) for r in FE.one_hot_table(df, ["v"]).collect()}
     assert rows == {"b": (2, 0), "a": (2, 1)}

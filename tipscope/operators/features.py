@@ -16,14 +16,16 @@ from ..specs import TripSpec
 
 
 def indexers(spec: TripSpec | None = None) -> list[StringIndexer]:
+    """One multi-column indexer: every categorical column is counted in the same pass."""
     s = spec or TripSpec()
-    return [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep")
-            for c in s.categorical_features]
+    cols = list(s.categorical_features)
+    return [StringIndexer(inputCols=cols, outputCols=[f"{c}_idx" for c in cols], handleInvalid="keep")]
 
 
 def encoders(spec: TripSpec | None = None) -> list[OneHotEncoder]:
     s = spec or TripSpec()
-    return [OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_ohe") for c in s.categorical_features]
+    cols = list(s.categorical_features)
+    return [OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_ohe" for c in cols])]
 
 
 def assembler(spec: TripSpec | None = None, output_col: str = "features") -> VectorAssembler:
@@ -51,25 +53,39 @@ def model_columns(featurised: DataFrame, spec: TripSpec | None = None) -> DataFr
 
 # --- inspection helpers used by the oracle-checked queries ------------------
 
-def index_table(df: DataFrame, column: str) -> DataFrame:
-    """L1 as data: each distinct value (as the indexer's string), its index and count.
+def _long(df: DataFrame, columns: list[str], extra: dict[str, str]) -> DataFrame:
+    """Unpivot per-column outputs into (feature, value, <extra...>) rows with ``stack``."""
+    parts = []
+    for c in columns:
+        vals = ", ".join(f"`{src.format(c=c)}`" for src in extra.values())
+        parts.append(f"'{c}', CAST(`{c}` AS STRING), {vals}")
+    names = ", ".join(["feature", "value", *extra.keys()])
+    return df.selectExpr(f"stack({len(columns)}, {', '.join(parts)}) AS ({names})")
 
-    The indexer is fitted and then applied; the table is a distributed
-    aggregate of the transformed column, not the label list on the driver.
+
+def index_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """L1 as data: (feature, value, idx, n_rows) for every distinct value of each column.
+
+    One indexer is fitted for all columns (one counting pass) and then applied;
+    the table is a distributed aggregate of the transformed columns, not the
+    label lists on the driver.  Values appear as the indexer's strings.
     """
-    idx = StringIndexer(inputCol=column, outputCol="idx", handleInvalid="keep").fit(df)
-    out = idx.transform(df.select(column))
-    return (out.groupBy(F.col(column).cast("string").alias("value"), F.col("idx").cast("int").alias("idx"))
+    idx = StringIndexer(inputCols=columns, outputCols=[f"{c}__idx" for c in columns],
+                        handleInvalid="keep").fit(df)
+    out = _long(idx.transform(df.select(*columns)), columns, {"idx": "{c}__idx"})
+    return (out.groupBy("feature", "value", F.col("idx").cast("int").alias("idx"))
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def one_hot_table(df: DataFrame, column: str) -> DataFrame:
-    """L2 as data: value, vector size and position of the hot slot (-1 for the zero vector)."""
-    idx = StringIndexer(inputCol=column, outputCol="idx", handleInvalid="keep").fit(df)
-    ohe = OneHotEncoder(inputCol="idx", outputCol="ohe").fit(idx.transform(df.select(column)))
-    enc = ohe.transform(idx.transform(df.select(column)))
-    arr = vector_to_array("ohe")
-    return (enc.select(F.col(column).cast("string").alias("value"),
-                       F.size(arr).alias("vec_size"),
-                       (F.array_position(arr, F.lit(1.0)) - 1).cast("int").alias("hot_slot"))
-            .groupBy("value", "vec_size", "hot_slot").agg(F.count(F.lit(1)).alias("n_rows")))
+def one_hot_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """L2 as data: (feature, value, vec_size, hot_slot, n_rows); hot_slot -1 = zero vector."""
+    idx_cols = [f"{c}__idx" for c in columns]
+    ohe_cols = [f"{c}__ohe" for c in columns]
+    idx = StringIndexer(inputCols=columns, outputCols=idx_cols, handleInvalid="keep").fit(df)
+    indexed = idx.transform(df.select(*columns))
+    enc = OneHotEncoder(inputCols=idx_cols, outputCols=ohe_cols).fit(indexed).transform(indexed)
+    enc = enc.select(*columns, *[vector_to_array(o).alias(o) for o in ohe_cols])
+    enc = enc.select(*columns, *[F.size(o).alias(f"{o}_size") for o in ohe_cols],
+                     *[(F.array_position(o, F.lit(1.0)) - 1).cast("int").alias(f"{o}_hot") for o in ohe_cols])
+    out = _long(enc, columns, {"vec_size": "{c}__ohe_size", "hot_slot": "{c}__ohe_hot"})
+    return out.groupBy("feature", "value", "vec_size", "hot_slot").agg(F.count(F.lit(1)).alias("n_rows"))

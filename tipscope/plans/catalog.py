@@ -256,9 +256,7 @@ def q_random_split(spark, d):
 # --- feature recipe ----------------------------------------------------------
 
 def _index_tables(spark, d, fn):
-    clean = t1_clean(spark, d)
-    frames = [fn(clean, c).withColumn("feature", F.lit(c)) for c in T1.categorical_features]
-    return frames[0].unionByName(frames[1])
+    return fn(t1_clean(spark, d), list(T1.categorical_features))
 
 
 def q_string_index(spark, d):
