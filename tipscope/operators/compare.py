@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from . import metrics as M
 from .models import score as score_model
+from ..session import checkpoint_dir
 from .scaling import time_fit
 
 METRIC_COLUMNS = ("auc", "accuracy", "f1", "precision_w", "recall_w", "recall_pos")
@@ -29,6 +30,9 @@ def train_and_compare(models: Mapping[str, object], train: DataFrame, test: Data
     a failure later in the sweep keeps the finished results.
     """
     spark = train.sparkSession
+    # Iterative learners (GBT, forests with node caching) cut their lineage in
+    # the shared checkpoint folder, so a lost executor does not replay every round.
+    checkpoint_dir(spark)
     train = train if train.is_cached else train.cache()
     test = test if test.is_cached else test.cache()
     train.count()

@@ -372,8 +372,8 @@ FROM events""",
         "assemble": f"""
 SELECT trip_key, trip_line, label, vec_size, n_nonzero, feature_sum FROM (
   SELECT trip_key, trip_line, label,
-         14 + (SELECT count(DISTINCT pickup_dow) FROM ({T1_CLEAN}) a)
-            + (SELECT count(DISTINCT RatecodeID) FROM ({T1_CLEAN}) b) AS vec_size,
+         CAST(14 + (SELECT count(DISTINCT pickup_dow) FROM ({T1_CLEAN}) a)
+            + (SELECT count(DISTINCT RatecodeID) FROM ({T1_CLEAN}) b) AS INTEGER) AS vec_size,
          2 + {" + ".join(f"(CASE WHEN {c} <> 0 THEN 1 ELSE 0 END)" for c in NUMERIC_FEATURES)} AS n_nonzero,
          {_feature_sum_sql()} AS feature_sum
   FROM ({T1_CLEAN}) c) x""",
