@@ -51,3 +51,21 @@ def test_train_and_compare(spark, split):
     assert fastest["pareto"]
     rep = CMP.report_rows(board).first()
     assert rep["auc"] == round(rows[0]["auc"], 3)
+
+
+def test_experiment_job_both_modes(spark, tmpdir_path):
+    from tipscope.plans import jobs as J
+    from tipscope.specs import LINEITEM_TRIPS
+
+    raw = A.trips_from_lineitem(spark, SF01)
+    for split_first in (False, True):
+        out = J.experiment(raw, LINEITEM_TRIPS, train_rows=2000, key="trip_key", model_overrides=QUICK,
+                           fractions=(0.5, 1.0), metrics_path=tmpdir_path, models=["LogisticRegression", "GBT"],
+                           split_first=split_first)
+        board = out["models"].collect()
+        assert [r["model"] for r in board] == ["LogisticRegression", "GBT"]
+        summ = out["summary"].first()
+        assert summ["n_clean"] == 3956 and summ["n_train"] + summ["n_test"] > 0
+        assert out["data_scaling"].count() == 2
+    from tipscope.sources import sinks as SK
+    assert SK.read_metrics(spark, tmpdir_path, "models").count() == 4

@@ -44,3 +44,13 @@ def test_hash_sample_is_nested(spark):
     small = set(r[0] for r in SM.hash_sample(ev, "event_id", 0.1).select("event_id").collect())
     big = set(r[0] for r in SM.hash_sample(ev, "event_id", 0.3).select("event_id").collect())
     assert small <= big and len(small) < len(big)
+
+
+def test_salted_split_of_a_hash_sample_is_not_empty(spark):
+    ev = A.events(spark, SF01)
+    sample = SM.hash_sample(ev, "event_id", 0.5)
+    plain = SM.hash_split(sample, "event_id", (0.8, 0.2))
+    assert plain[1].count() == 0  # same buckets: the sample never reaches the test range
+    salted = SM.hash_split(sample, "event_id", (0.8, 0.2), salt="split")
+    n = sample.count()
+    assert salted[0].count() + salted[1].count() == n and 0.1 * n < salted[1].count() < 0.3 * n

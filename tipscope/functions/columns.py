@@ -101,11 +101,13 @@ def bin_start(c: str | Column, width: float) -> Column:
     return bin_index(c, width) * F.lit(float(width))
 
 
-def hash_bucket(key: str | Column, modulus: int) -> Column:
+def hash_bucket(key: str | Column, modulus: int, salt: str = "") -> Column:
     """Layout-independent bucket in ``[0, modulus)`` from an md5 of the key.
 
     The first 28 bits of the md5 hex digest are used, so the value is the same
-    for any partitioning and can be reproduced by other engines.
+    for any partitioning and can be reproduced by other engines.  A ``salt``
+    gives an independent bucketing of the same key (e.g. a split of a sample).
     """
-    digest = F.md5(col(key).cast("string"))
+    text = col(key).cast("string")
+    digest = F.md5(F.concat(text, F.lit(salt)) if salt else text)
     return F.pmod(F.conv(F.substring(digest, 1, 7), 16, 10).cast("long"), F.lit(int(modulus)))

@@ -43,7 +43,8 @@ def train_and_compare(models: Mapping[str, object], train: DataFrame, test: Data
         scored, _, edges = M.materialise_scores(
             score_model(model, test, score_source).select(label_col, "prediction", "score"))
         rec = M.metric_record(scored, label_col, "prediction", "score", edges=edges)
-        row = rec.first().asDict()
+        first = rec.first()  # no row when the test part is empty
+        row = first.asDict() if first is not None else {c: None for c in METRIC_COLUMNS}
         scored.unpersist()
         values = [name] + [None if row[c] is None else float(row[c]) for c in METRIC_COLUMNS] + [float(secs)]
         one = spark.createDataFrame([values], LEADERBOARD_SCHEMA)

@@ -44,21 +44,26 @@ def with_hash_bucket(df: DataFrame, key: str, modulus: int = HASH_MODULUS, out:
     return df.withColumn(out, hash_bucket(key, modulus))
 
 
-def hash_sample(df: DataFrame, key: str, fraction: float, modulus: int = HASH_MODULUS) -> DataFrame:
+def hash_sample(df: DataFrame, key: str, fraction: float, modulus: int = HASH_MODULUS,
+                salt: str = "") -> DataFrame:
     """The rows whose key bucket is below ``fraction * modulus``."""
     cut = int(round(fraction * modulus))
-    return df.where(hash_bucket(key, modulus) < F.lit(cut))
+    return df.where(hash_bucket(key, modulus, salt) < F.lit(cut))
 
 
 def hash_split(df: DataFrame, key: str, weights: Sequence[float] = (0.8, 0.2),
-               modulus: int = HASH_MODULUS) -> list[DataFrame]:
-    """Disjoint, complete split by key bucket ranges proportional to ``weights``."""
+               modulus: int = HASH_MODULUS, salt: str = "") -> list[DataFrame]:
+    """Disjoint, complete split by key bucket ranges proportional to ``weights``.
+
+    Use a ``salt`` when ``df`` is itself a hash sample of the same key, or the
+    parts would only see the sampled bucket range.
+    """
     total = float(sum(weights))
     edges, acc = [0], 0.0
     for w in weights:
         acc += w
         edges.append(int(round(acc / total * modulus)))
-    b = hash_bucket(key, modulus)
+    b = hash_bucket(key, modulus, salt)
     return [df.where((b >= F.lit(lo)) & (b < F.lit(hi))) for lo, hi in zip(edges[:-1], edges[1:])]
 
 

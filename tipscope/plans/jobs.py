@@ -44,30 +44,55 @@ def experiment(
     fractions: Sequence[float] = (0.05, 0.1, 0.25, 0.5, 1.0),
     metrics_path: str | None = None,
     models: Sequence[str] | None = None,
+    split_first: bool = False,
+    score_source: str = "probability",
 ) -> dict[str, DataFrame]:
-    """J1.  ``key`` switches sampling and splitting to layout-independent hashing."""
+    """J1.  ``key`` switches sampling and splitting to layout-independent hashing.
+
+    By default (as in the original study) class weights and the feature recipe
+    are fitted on all prepared rows before the split.  ``split_first=True``
+    splits first and fits both on the training part only, so nothing about the
+    test rows leaks into training.  ``score_source`` picks the ranking column
+    for AUC (``probability`` or ``rawPrediction``).
+    """
     s = spec or TripSpec()
     t0 = time.perf_counter()
     run_id = SK.new_run_id()
     out: dict[str, DataFrame] = {}
+    keep = [key] if key else []
 
     counts = X.retention(raw, s).first()
     n_raw, n_clean = counts["n_raw"], counts["n_clean"]
     data = P.prepare(raw, s).cache()
-    bal = B.balance_record(data, s.label_col)  # the only balance pass
-    weighted = B.add_class_weights(data, s.label_col, bal, s.weight_col)
-    recipe = FE.build_feature_pipeline(s).fit(weighted)
-    keep = [c for c in ([key] if key else [])]
-    featurised = recipe.transform(weighted).select(*keep, "features", s.label_col, s.weight_col).cache()
-    featurised.count()
-
     frac = SM.target_fraction(n_clean, train_rows)
-    if key:
-        sample = featurised if frac >= 1.0 else SM.hash_sample(featurised, key, frac)
-        train, test = SM.hash_split(sample, key, (0.8, 0.2))
+
+    def sample_and_split(df):
+        if key:
+            sample = df if frac >= 1.0 else SM.hash_sample(df, key, frac)
+            return SM.hash_split(sample, key, (0.8, 0.2), salt="split")
+        sample = df if frac >= 1.0 else SM.bernoulli_sample(df, frac, seed)
+        return SM.random_split(sample.cache(), (0.8, 0.2), seed)
+
+    def featurise(recipe, df):
+        return FE.model_columns(recipe.transform(df), s) if not keep else \
+            recipe.transform(df).select(*keep, "features", s.label_col, s.weight_col)
+
+    if split_first:
+        train_rows_df, test_rows_df = sample_and_split(data)
+        train_rows_df = train_rows_df.cache()
+        bal = B.balance_record(train_rows_df, s.label_col)  # fitted on the training part only
+        w_train = B.add_class_weights(train_rows_df, s.label_col, bal, s.weight_col)
+        w_test = B.add_class_weights(test_rows_df, s.label_col, bal, s.weight_col)
+        recipe = FE.build_feature_pipeline(s).fit(w_train)
+        train, test = featurise(recipe, w_train), featurise(recipe, w_test)
+        featurised = train.cache()
     else:
-        sample = featurised if frac >= 1.0 else SM.bernoulli_sample(featurised, frac, seed)
-        train, test = SM.random_split(sample.cache(), (0.8, 0.2), seed)
+        bal = B.balance_record(data, s.label_col)  # the only balance pass
+        weighted = B.add_class_weights(data, s.label_col, bal, s.weight_col)
+        recipe = FE.build_feature_pipeline(s).fit(weighted)
+        featurised = featurise(recipe, weighted).cache()
+        train, test = sample_and_split(featurised)
+    featurised.count()
     train, test = train.cache(), test.cache()
     n_train, n_test = train.count(), test.count()
 
@@ -76,7 +101,8 @@ def experiment(
     if models is not None:
         catalogue = {k: v for k, v in catalogue.items() if k in models}
     sink = (lambda row: SK.append_metrics(row, metrics_path, run_id, "models")) if metrics_path else None
-    board = CMP.train_and_compare(catalogue, train, test, s.label_col, on_result=sink)
+    board = CMP.train_and_compare(catalogue, train, test, s.label_col, score_source=score_source,
+                                  on_result=sink)
     out["models"] = board
     train.unpersist()
     test.unpersist()
