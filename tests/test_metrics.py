@@ -72,3 +72,22 @@ def test_grouped_metric_record(scored):
         scored.withColumn("model", F.lit("b")).withColumn("score", -F.col("score")))
     rec = {r["model"]: r for r in M.metric_record(long, group_cols=["model"]).collect()}
     assert abs(rec["a"]["auc"] + rec["b"]["auc"] - 1.0) < 1e-12
+
+
+def test_auc_continuous_scores_many_buckets(spark):
+    rnd = random.Random(11)
+    rows = [(int(rnd.random() < 0.2), rnd.gauss(0, 1)) for _ in range(5000)]
+    df = spark.createDataFrame(rows, "label int, score double")
+    df = df.withColumn("score", F.col("score") + F.col("label") * 0.7).cache()
+    assert abs(M.auc(df, buckets=50).first()["auc"] - mllib_auc(df)) < 1e-12
+    sc, n, edges = M.materialise_scores(df, buckets=50)
+    assert n == 5000 and len(edges) > 10
+    assert abs(M.auc(sc, edges=edges).first()["auc"] - mllib_auc(df)) < 1e-12
+
+
+def test_auc_with_one_hot_score_holding_a_third_of_rows(spark):
+    rnd = random.Random(5)
+    rows = [(int(rnd.random() < 0.3), 0.5) for _ in range(2000)]
+    rows += [(int(rnd.random() < 0.1 + 0.5 * x), x) for x in (rnd.random() for _ in range(4000))]
+    df = spark.createDataFrame(rows, "label int, score double").cache()
+    assert abs(M.auc(df, buckets=32).first()["auc"] - mllib_auc(df)) < 1e-12

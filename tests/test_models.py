@@ -69,3 +69,19 @@ def test_experiment_job_both_modes(spark, tmpdir_path):
         assert out["data_scaling"].count() == 2
     from tipscope.sources import sinks as SK
     assert SK.read_metrics(spark, tmpdir_path, "models").count() == 4
+
+
+def test_exploration_and_parallelism_jobs(spark, tmpdir_path):
+    from tipscope.plans import jobs as J
+    from tipscope.specs import LINEITEM_TRIPS
+    from tipscope.sources import sinks as SK
+
+    raw = A.trips_from_lineitem(spark, SF01)
+    out = J.exploration(raw, LINEITEM_TRIPS, histogram_limits=C.T1_HISTOGRAM_LIMITS, metrics_path=tmpdir_path)
+    assert out["balance"].first()["total"] == 3956
+    assert out["correlation"].count() == 13 * 13
+    assert SK.read_metrics(spark, tmpdir_path, "exploration_rate_by_hour").count() == 1  # midnight dates
+    res = J.parallelism(raw, tmpdir_path + "/samples", LINEITEM_TRIPS, rows=2000, partitions=(1, 2))
+    rows = res.orderBy("cores").collect()
+    assert [r["cores"] for r in rows] == [1, 2] and rows[0]["speedup"] == 1.0
+    assert SK.is_complete(spark, SK.sample_path(tmpdir_path + "/samples", rows=2000, seed=42))

@@ -42,6 +42,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store); "
+                           "a machine-local folder does not survive executor loss")
     local = tempfile.mkdtemp(prefix="tipscope-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
