@@ -18,6 +18,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 
 def positive_score(predictions: DataFrame, source: str = "probability", out: str = "score") -> DataFrame:
     """Score of class 1 from an MLlib vector column (``probability`` or ``rawPrediction``)."""
@@ -105,7 +107,7 @@ def _score_bounds(scores: DataFrame, score_col: str, buckets: int) -> list[float
 
 def auc(pred: DataFrame, label_col: str = "label", score_col: str = "score",
         group_cols: Sequence[str] = (), buckets: int | None = None,
-        edges: Sequence[float] | None = None) -> DataFrame:
+        edges: Sequence[float] | None = None, materialise: bool = True) -> DataFrame:
     """Exact area under the ROC curve, distributed.
 
     AUC = sum over positives of (negatives scored lower + half the negatives
@@ -124,6 +126,12 @@ def auc(pred: DataFrame, label_col: str = "label", score_col: str = "score",
     src = pred.where(lab.isin(0, 1) & F.col(score_col).isNotNull() & ~F.isnan(score_col))
     per_score = src.groupBy(*g, F.col(score_col).cast("double").alias("s")).agg(
         F.count_if(lab == 1).alias("pos"), F.count_if(lab == 0).alias("neg"))
+    if materialise:
+        # The per-score table feeds the edge estimate and both branches below;
+        # writing it once to the shared checkpoint folder replaces three
+        # aggregations of the input by one, and cuts the lineage.
+        checkpoint_dir(pred.sparkSession)
+        per_score = per_score.checkpoint(eager=True)
     if edges is None:
         edges = _score_bounds(per_score, "s", buckets if buckets is not None else default_buckets(pred))
     else:
