@@ -92,3 +92,27 @@ def test_union_by_name_keeps_duplicates(spark):
     a = spark.range(3).select(F.col("id"), F.lit(1).alias("x"))
     b = spark.range(3).select(F.lit(1).alias("x"), F.col("id"))
     assert PQ.union_by_name([a, b]).count() == 6
+
+
+def test_manifest_roundtrip_skips_footer_pass(spark, drifted, tmpdir_path):
+    groups = PQ.group_by_schema_in_tasks(spark, PQ.list_parquet_files(spark, drifted))
+    path = PQ.write_manifest(spark, groups, tmpdir_path + "/manifest")
+    manifest = PQ.read_manifest(spark, path)
+    assert sorted(map(sorted, manifest.values())) == sorted(map(sorted, groups.values()))
+    assert PQ.load_trips(spark, drifted, manifest=manifest).count() == 200
+
+
+def test_safe_normalise_turns_bad_values_into_null(spark):
+    df = spark.createDataFrame([("1",), ("x",), ("3000000000",)], "payment_type string")
+    got = [r[0] for r in PQ.normalise(df, {"payment_type": "int"}, safe=True).collect()]
+    assert got == [1, None, None]
+    with pytest.raises(Exception):
+        PQ.normalise(df, {"payment_type": "int"}).collect()
+
+
+def test_configure_sets_utc(spark):
+    from tipscope.session import configure
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    configure(spark)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"

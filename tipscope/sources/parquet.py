@@ -113,23 +113,46 @@ def group_by_schema_in_tasks(spark: SparkSession, files: list[str]) -> "OrderedD
     return OrderedDict((r["schema_key"], list(r["paths"])) for r in rows)
 
 
-def normalise(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+def normalise(df: DataFrame, types: Mapping[str, str], safe: bool = False) -> DataFrame:
     """Cast every canonical column to its type and drop the rest.
 
     Lookup is case-insensitive (Spark's resolver), so a month that spells a
     column differently still resolves.  A missing column is an analysis error.
+    ``safe=True`` uses ``try_cast``: a value that does not fit the canonical
+    type becomes NULL (and is then dropped by the range rules) instead of
+    failing the job under ANSI mode.
     """
+    if safe:
+        return df.select(*[F.col(c).try_cast(t).alias(c) for c, t in types.items()])
     return df.select(*[F.col(c).cast(t).alias(c) for c, t in types.items()])
 
 
 def read_one(spark: SparkSession, path: str | list[str], types: Mapping[str, str],
-             prefilter: Column | None = None) -> DataFrame:
+             prefilter: Column | None = None, safe: bool = False) -> DataFrame:
     """Scan one file (or one same-schema file group) and normalise it."""
     paths = [path] if isinstance(path, str) else list(path)
     raw = spark.read.parquet(*paths)
     if prefilter is not None:
         raw = raw.where(prefilter)
-    return normalise(raw, types)
+    return normalise(raw, types, safe)
+
+
+def write_manifest(spark: SparkSession, groups: Mapping[str, list[str]], path: str) -> str:
+    """Store a schema-group manifest (schema_key, path) as a Parquet table.
+
+    A later :func:`load_trips` call with ``manifest=read_manifest(...)`` skips
+    the footer pass entirely; append new months' groups as they land.
+    """
+    rows = [(k, f) for k, files in groups.items() for f in files]
+    spark.createDataFrame(rows, "schema_key string, path string").write.mode("overwrite").parquet(path)
+    return path
+
+
+def read_manifest(spark: SparkSession, path: str) -> "OrderedDict[str, list[str]]":
+    rows = (spark.read.parquet(path).groupBy("schema_key")
+            .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+            .orderBy(F.element_at("paths", 1)).collect())
+    return OrderedDict((r["schema_key"], list(r["paths"])) for r in rows)
 
 
 def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
@@ -179,6 +202,7 @@ def load_trips(
     manifest: Mapping[str, list[str]] | None = None,
     prefilter: bool = False,
     footer_pass: str = "auto",
+    safe: bool = False,
 ) -> DataFrame:
     """Read every Parquet file under ``path`` as one canonical DataFrame (S3).
 
@@ -202,5 +226,5 @@ def load_trips(
         pre = None
         if prefilter:
             pre = physical_prefilter(spark.read.parquet(files[0]).schema, spec)
-        frames.append(read_one(spark, files, spec.types, pre))
+        frames.append(read_one(spark, files, spec.types, pre, safe))
     return union_by_name(frames)
