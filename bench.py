@@ -21,11 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from tipscope.operators import balance as B  # noqa: E402
-from tipscope.operators import compare as CMP  # noqa: E402
-from tipscope.operators import explore as X  # noqa: E402
 from tipscope.operators import features as FE  # noqa: E402
-from tipscope.operators import metrics as M  # noqa: E402
 from tipscope.operators import models as MD  # noqa: E402
 from tipscope.operators import prepare as P  # noqa: E402
 from tipscope.operators import scaling as SC  # noqa: E402

@@ -101,13 +101,18 @@ def bin_start(c: str | Column, width: float) -> Column:
     return bin_index(c, width) * F.lit(float(width))
 
 
-def hash_bucket(key: str | Column, modulus: int, salt: str = "") -> Column:
-    """Layout-independent bucket in ``[0, modulus)`` from an md5 of the key.
-
-    The first 28 bits of the md5 hex digest are used, so the value is the same
-    for any partitioning and can be reproduced by other engines.  A ``salt``
-    gives an independent bucketing of the same key (e.g. a split of a sample).
+def hash_bucket(key: str | Column, modulus: int, salt: str = "", method: str = "md5") -> Column:
+    """Layout-independent bucket in ``[0, modulus)`` from a hash of the key.
+
+    ``md5`` (default) uses the first 28 bits of the hex digest, so the value is
+    the same for any partitioning and can be reproduced by other engines;
+    ``xxhash64`` is Spark's cheaper native hash for jobs that need no external
+    reproduction.  A ``salt`` gives an independent bucketing of the same key
+    (e.g. a split of a sample).
     """
     text = col(key).cast("string")
-    digest = F.md5(F.concat(text, F.lit(salt)) if salt else text)
+    salted = F.concat(text, F.lit(salt)) if salt else text
+    if method == "xxhash64":
+        return F.pmod(F.xxhash64(salted), F.lit(int(modulus)))
+    digest = F.md5(salted)
     return F.pmod(F.conv(F.substring(digest, 1, 7), 16, 10).cast("long"), F.lit(int(modulus)))

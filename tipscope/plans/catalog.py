@@ -29,7 +29,6 @@ from ..sources import adapters as A
 from ..sources import parquet as PQ
 from ..sources import sinks as SK
 from ..specs import LINEITEM_TRIPS, TripSpec
-from . import oracle as O
 
 T1 = LINEITEM_TRIPS
 # The events table seen as trips for the time features.

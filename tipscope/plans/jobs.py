@@ -30,10 +30,6 @@ from ..sources import sinks as SK
 from ..specs import TripSpec
 
 
-def prepared(raw: DataFrame, spec: TripSpec) -> DataFrame:
-    return P.prepare(raw, spec)
-
-
 def experiment(
     raw: DataFrame,
     spec: TripSpec | None = None,
