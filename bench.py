@@ -56,6 +56,7 @@ def main():
                           extra={"spark.checkpoint.dir": f"{scratch}/ckpt"})
     d = sf_dir
     times: dict[str, float] = {}
+    extra: dict[str, object] = {}
 
     def timed(name, fn):
         t0 = time.perf_counter()
@@ -95,9 +96,10 @@ def main():
         times[f"lr_fit_frac_{r['fraction']}"] = round(r["train_seconds"], 3)
     # Same fit at fixed volume for several partition counts (the strong-scaling shape).
     sweep = SC.parallelism_scaling(lambda _s: MD.make_models(weight_col=None)["LogisticRegression"],
-                                   train, (1, 2, 4, 8)).collect()
+                                   train, (1, 2, 4, 8), repeats=2).collect()
     for r in sweep:
         times[f"lr_fit_partitions_{r['cores']}"] = round(r["train_seconds"], 3)
+        extra[f"lr_iterations_partitions_{r['cores']}"] = r["iterations"]
     train.unpersist()
 
     # Whole experiment job (J1) on the cleaned trips with the compared learners.
@@ -122,6 +124,7 @@ def main():
         # throughput of the 50-iteration LR fit, comparable with the reference's
         # data-scaling points (rows / second of fit time)
         "lr_fit_rows_per_sec": round(n_train / times["lr_fit_full"], 1),
+        **extra,
     }))
     spark.stop()
 
