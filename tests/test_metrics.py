@@ -91,3 +91,10 @@ def test_auc_with_one_hot_score_holding_a_third_of_rows(spark):
     rows += [(int(rnd.random() < 0.1 + 0.5 * x), x) for x in (rnd.random() for _ in range(4000))]
     df = spark.createDataFrame(rows, "label int, score double").cache()
     assert abs(M.auc(df, buckets=32).first()["auc"] - mllib_auc(df)) < 1e-12
+
+
+def test_metric_record_has_no_cross_product(scored):
+    rec = M.metric_record(scored)
+    rec.collect()
+    plan = rec._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

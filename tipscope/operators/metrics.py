@@ -200,11 +200,12 @@ def metric_record(pred: DataFrame, label_col: str = "label", prediction_col: str
     metrics and AUC read it in two plans.
     """
     g = list(group_cols)
-    if not g:
-        # a constant group key keeps the two one-row results an equi-join
-        pred, g = pred.withColumn("_all", F.lit(0)), ["_all"]
     thr = threshold_metrics(pred, label_col, prediction_col, g)
     a = auc(pred, label_col, score_col, g, edges=edges)
-    out = thr.join(a, g)
-    keep = [c for c in g if c != "_all"]
-    return out.select(*keep, "auc", "accuracy", "f1", "precision_w", "recall_w", "recall_pos")
+    # The two results (one row per group each) are stacked and merged by a
+    # tiny aggregate: no join, so no cross product when there is no group key.
+    rest = ["accuracy", "f1", "precision_w", "recall_w", "recall_pos"]
+    none = F.lit(None).cast("double")
+    stacked = thr.select(*g, none.alias("auc"), *rest).unionByName(
+        a.select(*g, "auc", *[none.alias(c) for c in rest]))
+    return stacked.groupBy(*g).agg(*[F.max(c).alias(c) for c in ["auc", *rest]])
