@@ -25,7 +25,7 @@ def write_month(path, month, pc_type, pay_type, n=50):
         "payment_type": pa.array([1 + i % 2 for i in range(n)], pay_type),
         "fare_amount": pa.array([5.0 + i for i in range(n)], pa.float64()),
         "extra": pa.array([None] * n, pa.float64()),
-        "tip_amount": pa.array([0.1 * i for i in range(n)], pa.float64()),
+        "tip_amount": pa.array([(5.0 + i) * (0.05 if i % 3 == 0 else 0.2) for i in range(n)], pa.float64()),
         "tolls_amount": pa.array([0.0] * n, pa.float64()),
         "total_amount": pa.array([10.0] * n, pa.float64()),
         "congestion_surcharge": pa.array([2.5] * n, pa.float64()),
@@ -116,3 +116,21 @@ def test_configure_sets_utc(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     configure(spark)
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_default_taxi_spec_end_to_end(spark, drifted):
+    from tipscope.plans import jobs as J
+    from tipscope.operators import balance as B
+
+    raw = PQ.load_trips(spark, drifted, prefilter=True)
+    data = P.prepare(raw)
+    n = data.count()
+    assert 0 < n < 200
+    assert dict(data.dtypes)["tpep_pickup_datetime"] == "timestamp"
+    bal = B.balance_record(data)
+    assert bal["total"] == n
+    out = J.exploration(raw)
+    assert out["retention"].first()["n_clean"] == n
+    assert out["class_histogram"].count() > 0
+    board = J.flagship(raw).first()
+    assert board["n_clean"] == n and 0.0 <= board["auc"] <= 1.0
