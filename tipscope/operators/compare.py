@@ -21,6 +21,13 @@ from .scaling import time_fit
 METRIC_COLUMNS = ("auc", "accuracy", "f1", "precision_w", "recall_w", "recall_pos")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core work: repartition a frame with fewer partitions than the
+    default parallelism (a small training set); larger frames are left as they are."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def train_and_compare(models: Mapping[str, object], train: DataFrame, test: DataFrame,
                       label_col: str = "label", score_source: str = "probability",
                       on_result=None) -> DataFrame:
@@ -33,6 +40,7 @@ def train_and_compare(models: Mapping[str, object], train: DataFrame, test: Data
     # Iterative learners (GBT, forests with node caching) cut their lineage in
     # the shared checkpoint folder, so a lost executor does not replay every round.
     checkpoint_dir(spark)
+    train = spread(train)
     train = train if train.is_cached else train.cache()
     test = test if test.is_cached else test.cache()
     train.count()
