@@ -24,7 +24,7 @@ from ..operators import models as MD
 from ..operators import prepare as P
 from ..operators import sampling as SM
 from ..operators import scaling as SC
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, configure
 from ..sources import adapters as A
 from ..sources import parquet as PQ
 from ..sources import sinks as SK
@@ -341,7 +341,17 @@ def q_preview(spark, d):
     return SK.preview(t1_clean(spark, d), ["trip_key", "fare_amount", "tip_amount", "label", "tip_pct"])
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def _pinned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Run a query with the runtime options it relies on (UTC wall clock, AQE)."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return fn(spark, sf_dir)
+    q.__name__ = getattr(fn, "__name__", "query")
+    q.__doc__ = fn.__doc__
+    return q
+
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_normalise": q_scan_normalise,
     "scan_union_by_name": q_scan_union_by_name,
     "clean_trips": q_clean_trips,
@@ -397,3 +407,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_roundtrip": q_sink_roundtrip,
     "preview": q_preview,
 }
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _pinned(v) for k, v in _QUERIES.items()}
