@@ -40,13 +40,20 @@ def month_key(ts: str | Column) -> Column:
     return F.date_format(C.col(ts), "yyyy-MM")
 
 
+def month_start(ts: str | Column) -> Column:
+    """First day of the timestamp's month (a date; cheap to group by)."""
+    return F.trunc(C.col(ts).cast("date"), "MM")
+
+
 def rows_per_month(df: DataFrame, ts_col: str, prefix: str | None = None) -> DataFrame:
     """A4 (+F10): row count per month, ordered; optionally only months with a prefix.
 
-    The prefix filter runs on the aggregated months inside Spark, not on the
-    driver.
+    Rows are grouped by the month's first day (an integer-backed date) and only
+    the aggregated rows are formatted as ``yyyy-MM``; the prefix filter runs on
+    those months inside Spark, not on the driver.
     """
-    out = df.groupBy(month_key(ts_col).alias("month")).agg(F.count(F.lit(1)).alias("n_rows"))
+    out = (df.groupBy(month_start(ts_col).alias("m")).agg(F.count(F.lit(1)).alias("n_rows"))
+           .select(F.date_format("m", "yyyy-MM").alias("month"), "n_rows"))
     if prefix is not None:
         out = out.where(F.col("month").startswith(prefix))
     return out.orderBy("month")

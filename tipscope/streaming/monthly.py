@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import prepare as P
+from ..operators.explore import month_start
 from ..session import checkpoint_dir
 from ..sources.parquet import normalise
 from ..specs import TripSpec
@@ -40,11 +41,11 @@ def monthly_summary(trips: DataFrame, spec: TripSpec | None = None) -> DataFrame
     """
     s = spec or TripSpec()
     lab = F.col(s.label_col)
-    agg = trips.groupBy(F.date_format(s.pickup, "yyyy-MM").alias("month")).agg(
+    agg = trips.groupBy(month_start(s.pickup).alias("m")).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(lab == 1).alias("n_pos"),
         F.count_if(lab == 0).alias("n_neg"),
-    )
+    ).select(F.date_format("m", "yyyy-MM").alias("month"), "n_rows", "n_pos", "n_neg")
     return agg.withColumn("pos_rate", F.try_divide(F.col("n_pos").cast("double"), F.col("n_pos") + F.col("n_neg")))
 
 
