@@ -41,6 +41,7 @@ def train_and_compare(models: Mapping[str, object], train: DataFrame, test: Data
     # the shared checkpoint folder, so a lost executor does not replay every round.
     checkpoint_dir(spark)
     train = spread(train)
+    owned = [df for df in (train, test) if not df.is_cached]  # released at the end
     train = train if train.is_cached else train.cache()
     test = test if test.is_cached else test.cache()
     train.count()
@@ -59,6 +60,8 @@ def train_and_compare(models: Mapping[str, object], train: DataFrame, test: Data
         if on_result is not None:
             on_result(one)
         frames.append(one)
+    for df in owned:
+        df.unpersist()
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
