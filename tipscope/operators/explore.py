@@ -100,71 +100,66 @@ def correlation_columns(spec: TripSpec | None = None) -> list[str]:
     return [c for c in s.numeric_features if c not in CORRELATION_EXCLUDED] + [s.label_col]
 
 
+SHIFT_SAMPLE_ROWS = 10000
+
+
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A10: Pearson correlation matrix in long form (col_a, col_b, r) over all rows.
 
     Pairwise-complete like pandas: each pair uses the rows where both values
-    are present.  Two passes, both single global aggregates (partial sums per
-    task, one small merge):
-
-    1. per column: mean and NULL count (2k numbers come back);
-    2. sums of *centred* values and products.  Centring by the exact mean is
-       the stable two-pass covariance.  Pairs of columns without NULLs share
-       one row set, so they need only sum(a'), sum(a'b'); a pair touching a
-       column with NULLs also sums its own count and masked moments.
-
-    A constant column gives NULL instead of a division error.
+    are present.  One full pass:
+
+    * rows are grouped by their NULL pattern (a bitmask over the columns);
+      each group sums the shifted values and their pairwise products.  With
+      partial aggregation every task emits one row per pattern, so even a
+      pattern holding most rows is merged map-side;
+    * the pattern table (a handful of rows) is folded into pairwise-complete
+      moments: a pair adds up the groups where both of its bits are set.
+
+    Values are shifted by the means of the first ``SHIFT_SAMPLE_ROWS`` rows
+    (``take`` reads leading splits only); any shift near the data keeps the
+    one-pass sums numerically stable.  A constant column gives NULL.
     """
     cols = list(cols)
     k = len(cols)
-    # Expressions are built as SQL text and sent in one call per pass: a k x k
+    if k > 62:
+        raise ValueError("correlation takes at most 62 columns (NULL patterns are a 64-bit mask)")
+    # Expressions are built as SQL text and sent in one call per step: a k x k
     # matrix is a few hundred expressions, too many for one Py4J call each.
     x = [f"CAST(`{c}` AS DOUBLE)" for c in cols]
-    first = df.selectExpr(
-        "count(1) AS n",
-        *[f"avg({x[i]}) AS m{i}" for i in range(k)],
-        *[f"count_if({x[i]} IS NULL) AS z{i}" for i in range(k)],
-    ).first()
-    mean = []
-    for i in range(k):
-        m = first[f"m{i}"]
-        mean.append(m if m is not None and math.isfinite(m) else 0.0)
-    nullable = [first[f"z{i}"] > 0 for i in range(k)]
-    xc = [f"({x[i]} - {mean[i]!r}D)" for i in range(k)]
-
-    aggs = ["count(1) AS n"] + [f"sum({xc[i]}) AS s{i}" for i in range(k)]
+    # take() reads splits incrementally (one first), so this stays cheap at any
+    # size; at most SHIFT_SAMPLE_ROWS x k numbers reach the driver.
+    head = df.selectExpr(*[f"{x[i]} AS c{i}" for i in range(k)]).take(SHIFT_SAMPLE_ROWS)
+    shift = []
     for i in range(k):
-        for j in range(i, k):
-            aggs.append(f"sum({xc[i]} * {xc[j]}) AS p{i}_{j}")
-            if nullable[i] or nullable[j]:
-                both = f"({x[i]} IS NOT NULL AND {x[j]} IS NOT NULL)"
-                aggs += [
-                    f"count_if({both}) AS n{i}_{j}",
-                    f"sum(CASE WHEN {both} THEN {xc[i]} END) AS a{i}_{j}",
-                    f"sum(CASE WHEN {both} THEN {xc[j]} END) AS b{i}_{j}",
-                    f"sum(CASE WHEN {both} THEN {xc[i]} * {xc[i]} END) AS aa{i}_{j}",
-                    f"sum(CASE WHEN {both} THEN {xc[j]} * {xc[j]} END) AS bb{i}_{j}",
-                ]
-    moments = df.selectExpr(*aggs)
-
-    def pair(i, j):
-        if nullable[i] or nullable[j]:
-            n, sa, sb = f"CAST(n{i}_{j} AS DOUBLE)", f"a{i}_{j}", f"b{i}_{j}"
-            saa, sbb = f"aa{i}_{j}", f"bb{i}_{j}"
-        else:
-            n, sa, sb, saa, sbb = "CAST(n AS DOUBLE)", f"s{i}", f"s{j}", f"p{i}_{i}", f"p{j}_{j}"
-        cov = f"(try_divide(p{i}_{j}, {n}) - try_divide({sa}, {n}) * try_divide({sb}, {n}))"
-        va = f"(try_divide({saa}, {n}) - try_divide({sa}, {n}) * try_divide({sa}, {n}))"
-        vb = f"(try_divide({sbb}, {n}) - try_divide({sb}, {n}) * try_divide({sb}, {n}))"
-        den = f"sqrt({va} * {vb})"
-        return f"CASE WHEN {den} > 0 THEN {cov} / {den} END AS r{i}_{j}"
-
-    wide = moments.selectExpr(*[pair(i, j) for i in range(k) for j in range(i, k)])
-    entries = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            entries.append(f"'{a}', '{b}', r{min(i, j)}_{max(i, j)}")
-    return wide.selectExpr(f"stack({len(entries)}, {', '.join(entries)}) AS (col_a, col_b, r)")
+        vals = [r[i] for r in head if r[i] is not None and math.isfinite(r[i])]
+        shift.append(sum(vals) / len(vals) if vals else 0.0)
+    mask = " + ".join(f"CASE WHEN {x[i]} IS NULL THEN 0 ELSE {1 << i} END" for i in range(k))
+    base = df.selectExpr(f"CAST({mask} AS BIGINT) AS mask", *[f"{x[i]} AS c{i}" for i in range(k)])
+    xc = [f"coalesce(c{i} - {shift[i]!r}D, 0D)" for i in range(k)]  # a NULL adds nothing
+    sums = ["count(1) AS n"] + [f"sum({xc[i]}) AS s{i}" for i in range(k)]
+    sums += [f"sum({xc[i]} * {xc[j]}) AS p{i}_{j}" for i in range(k) for j in range(i, k)]
+    patterns = base.groupBy("mask").agg(*[F.expr(e) for e in sums])
+
+    # Unpivot the pattern table to one row per (pattern, pair) and keep the
+    # patterns where both columns are present; a pair's moments are then one
+    # small grouped sum, and the formula below is written once for all pairs.
+    entries = ", ".join(f"{i}, {j}, s{i}, s{j}, p{i}_{i}, p{j}_{j}, p{i}_{j}"
+                        for i in range(k) for j in range(i, k))
+    per_pair = patterns.selectExpr(
+        "mask", "n", f"stack({k * (k + 1) // 2}, {entries}) AS (i, j, sa, sb, saa, sbb, sab)")
+    present = per_pair.where("(mask & shiftleft(1L, i)) != 0 AND (mask & shiftleft(1L, j)) != 0")
+    m = present.groupBy("i", "j").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
+    n = F.col("n").cast("double")
+    ma, mb = F.try_divide(F.col("sa"), n), F.try_divide(F.col("sb"), n)
+    cov = F.try_divide(F.col("sab"), n) - ma * mb
+    den = F.sqrt((F.try_divide(F.col("saa"), n) - ma * ma) * (F.try_divide(F.col("sbb"), n) - mb * mb))
+    names = F.array(*[F.lit(c) for c in cols])
+    upper = m.select("i", "j", F.when(den > 0, cov / den).alias("r"))
+    full = upper.unionByName(upper.where("i != j").select(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
+    return full.select(F.element_at(names, F.col("i") + 1).alias("col_a"),
+                       F.element_at(names, F.col("j") + 1).alias("col_b"), "r")
 
 
 def class_histogram(
