@@ -57,9 +57,11 @@ def experiment(
     out: dict[str, DataFrame] = {}
     keep = [key] if key else []
 
-    counts = X.retention(raw, s).first()
-    n_raw, n_clean = counts["n_raw"], counts["n_clean"]
+    # A column-free count of the raw rows, then the prepared rows are counted by
+    # the job that fills the cache: the cleaning rules are evaluated once.
+    n_raw = raw.count()
     data = P.prepare(raw, s).cache()
+    n_clean = data.count()
     frac = SM.target_fraction(n_clean, train_rows)
 
     def sample_and_split(df):
