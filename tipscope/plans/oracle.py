@@ -246,7 +246,8 @@ BALANCE_SQL = """
 SELECT n_neg, n_pos, n_neg + n_pos AS total,
        round(coalesce(n_pos::DOUBLE / nullif(n_neg + n_pos, 0), 0), 6) AS pos_rate,
        round(CASE WHEN n_pos > 0 THEN n_neg::DOUBLE / n_pos ELSE 'inf'::DOUBLE END, 6) AS imbalance_ratio,
-       round(1.0 - coalesce(n_pos::DOUBLE / nullif(n_neg + n_pos, 0), 0), 6) AS majority_accuracy
+       round(greatest(coalesce(n_pos::DOUBLE / nullif(n_neg + n_pos, 0), 0),
+                      1.0 - coalesce(n_pos::DOUBLE / nullif(n_neg + n_pos, 0), 0)), 6) AS majority_accuracy
 FROM (SELECT count(*) FILTER (WHERE {lab} = 0) AS n_neg, count(*) FILTER (WHERE {lab} = 1) AS n_pos
       FROM ({src}) s) c
 """
@@ -300,7 +301,7 @@ FROM ({T1_DURATION}) d WHERE trip_duration_min >= 1 AND trip_duration_min <= 730
 SELECT event_id, CAST(hour(ts) AS INTEGER) AS pickup_hour, CAST(dayofweek(ts) + 1 AS INTEGER) AS pickup_dow,
        CAST(CASE WHEN dayofweek(ts) IN (0, 6) THEN 1 ELSE 0 END AS INTEGER) AS is_weekend,
        CAST(CASE WHEN hour(ts) >= 22 OR hour(ts) <= 5 THEN 1 ELSE 0 END AS INTEGER) AS is_night,
-       (['Sun', 'Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat'])[dayofweek(ts) + 1] AS day_name
+       (['Dom', 'Lun', 'Mar', 'Mie', 'Jue', 'Vie', 'Sab'])[dayofweek(ts) + 1] AS day_name
 FROM events""",
         "fill_nulls": f"""
 SELECT trip_key, trip_line, round(coalesce(RatecodeID, 1.0), 6)::DOUBLE AS RatecodeID,
@@ -336,7 +337,7 @@ SELECT CAST(hour(ts) AS INTEGER) AS h, round(avg(label), 6) AS low_rate, count(*
 FROM ({EVENTS_LABELLED}) e GROUP BY 1""",
         "rate_by_weekday": f"""
 SELECT CAST(dayofweek(ts) + 1 AS INTEGER) AS d, round(avg(label), 6) AS low_rate, count(*) AS n_rows,
-       (['Sun', 'Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat'])[dayofweek(ts) + 1] AS day_name
+       (['Dom', 'Lun', 'Mar', 'Mie', 'Jue', 'Vie', 'Sab'])[dayofweek(ts) + 1] AS day_name
 FROM ({EVENTS_LABELLED}) e GROUP BY 1, 4""",
         "label_domain": f"SELECT DISTINCT label FROM ({T1_CLEAN}) c",
         "correlation": correlation_sql(T1_CLEAN, t1_correlation_columns()),

@@ -28,7 +28,8 @@ class Bound:
 # ---------------------------------------------------------------------------
 # Fixed values of the trip task (must match the reference for equal results).
 #   canonical columns and types, cleaning bounds, fill values, label threshold,
-#   numeric feature order and categorical features.
+#   numeric feature order, categorical features, weekday labels, night hours,
+#   weekend days and the exploratory-analysis constants.
 # ---------------------------------------------------------------------------
 CANONICAL_TYPES: dict[str, str] = {
     "tpep_pickup_datetime": "timestamp",
@@ -72,7 +73,7 @@ NUMERIC_FEATURES = (
     "DOLocationID",
 )
 CATEGORICAL_FEATURES = ("pickup_dow", "RatecodeID")
-WEEKDAY_NAMES = ("Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat")  # dayofweek 1..7
+WEEKDAY_NAMES = ("Dom", "Lun", "Mar", "Mie", "Jue", "Vie", "Sab")  # labels of dayofweek 1..7 (Sunday first)
 NIGHT_FROM_HOUR = 22
 NIGHT_TO_HOUR = 5
 WEEKEND_DAYS = (1, 7)
