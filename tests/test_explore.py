@@ -66,3 +66,20 @@ def test_speedup_and_linear_reference(spark):
     lin = {r["n_rows"]: r["linear_seconds"] for r in SC.linear_reference(d).collect()}
     assert lin == {100: 3.0, 200: 6.0}
     assert not math.isnan(lin[200])
+
+
+def test_class_histogram_matches_numpy_including_constant_slice(spark):
+    import numpy as np
+
+    rows = [(float(i % 13) * 1.7, 5.0, float(i) ** 0.5, i % 4 == 0) for i in range(300)]
+    df = spark.createDataFrame(rows, "trip_distance double, trip_duration_min double, fare_amount double, l boolean")
+    df = df.withColumn("label", F.col("l").cast("int"))
+    got = {}
+    for r in X.class_histogram(df, limits=None).collect():
+        got[(r["feature"], r["label"], r["bin"])] = r["density"]
+    pdf = df.toPandas()
+    for feat in ("trip_distance", "trip_duration_min", "fare_amount"):
+        for lab in (0, 1):
+            dens, _ = np.histogram(pdf[pdf.label == lab][feat], bins=40, density=True)
+            for b, dv in enumerate(dens):
+                assert got.get((feat, lab, b), 0.0) == pytest.approx(dv), (feat, lab, b)

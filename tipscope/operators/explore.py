@@ -184,20 +184,22 @@ def class_histogram(
     stacked = ", ".join(f"'{f}', cast(`{f}` as double)" for f in features)
     long = src.select(F.col(label_col).alias("label"),
                       F.expr(f"stack({len(features)}, {stacked}) as (feature, x)"))
-    long = long.where(F.col("x").isNotNull())
+    long = long.where(F.col("x").isNotNull() & ~F.isnan("x"))
+    # A constant slice gets the range lo - 0.5 .. hi + 0.5, as numpy's histogram does.
     stats = long.groupBy("feature", "label").agg(
-        F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n"))
+        F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n")).select(
+        "feature", "label", "n",
+        F.when(F.col("hi") > F.col("lo"), F.col("lo")).otherwise(F.col("lo") - 0.5).alias("lo"),
+        F.when(F.col("hi") > F.col("lo"), F.col("hi")).otherwise(F.col("hi") + 0.5).alias("hi"))
     # len(features) * 2 rows at most: a proven bound, safe to broadcast.
     joined = long.join(F.broadcast(stats), ["feature", "label"])
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    idx = F.when(width > 0, F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1))) \
-        .otherwise(F.lit(0)).cast("int")
+    idx = F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
     counted = joined.groupBy("feature", "label", idx.alias("bin"), "lo", "hi", "n") \
         .agg(F.count(F.lit(1)).alias("n_rows"))
-    w = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     return counted.select(
         "feature", "label", "bin",
-        (F.col("lo") + F.col("bin") * w).alias("bin_lo"),
+        (F.col("lo") + F.col("bin") * width).alias("bin_lo"),
         "n_rows",
-        F.when(w > 0, F.col("n_rows") / (F.col("n") * w)).otherwise(F.lit(None).cast("double")).alias("density"),
+        (F.col("n_rows") / (F.col("n") * width)).alias("density"),
     )

@@ -40,8 +40,9 @@ def random_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int
     return df.randomSplit(list(weights), seed=seed)
 
 
-def with_hash_bucket(df: DataFrame, key: str, modulus: int = HASH_MODULUS, out: str = "hash_bucket") -> DataFrame:
-    return df.withColumn(out, hash_bucket(key, modulus))
+def with_hash_bucket(df: DataFrame, key: str, modulus: int = HASH_MODULUS, out: str = "hash_bucket",
+                     salt: str = "") -> DataFrame:
+    return df.withColumn(out, hash_bucket(key, modulus, salt))
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, modulus: int = HASH_MODULUS,
@@ -68,10 +69,11 @@ def hash_split(df: DataFrame, key: str, weights: Sequence[float] = (0.8, 0.2),
 
 
 def split_labels(df: DataFrame, key: str, weights: Sequence[float] = (0.8, 0.2),
-                 names: Sequence[str] = ("train", "test"), modulus: int = HASH_MODULUS) -> DataFrame:
+                 names: Sequence[str] = ("train", "test"), modulus: int = HASH_MODULUS,
+                 salt: str = "") -> DataFrame:
     """R4 as one column: the part name of every row (no row is dropped)."""
     total = float(sum(weights))
-    b = hash_bucket(key, modulus)
+    b = hash_bucket(key, modulus, salt)
     expr = None
     acc = 0.0
     for w, name in zip(weights, names):

@@ -227,18 +227,22 @@ WITH src AS (
   SELECT label, 'trip_distance' AS feature, CAST(trip_distance AS DOUBLE) AS x FROM src
   UNION ALL SELECT label, 'trip_duration_min', CAST(trip_duration_min AS DOUBLE) FROM src
   UNION ALL SELECT label, 'fare_amount', CAST(fare_amount AS DOUBLE) FROM src
-), stats AS (
+), raw_stats AS (
   SELECT feature, label, min(x) AS lo, max(x) AS hi, count(*) AS n FROM long
-  WHERE x IS NOT NULL GROUP BY feature, label
+  WHERE x IS NOT NULL AND NOT isnan(x) GROUP BY feature, label
+), stats AS (
+  SELECT feature, label, n,
+         CASE WHEN hi > lo THEN lo ELSE lo - 0.5 END AS lo,
+         CASE WHEN hi > lo THEN hi ELSE hi + 0.5 END AS hi
+  FROM raw_stats
 ), binned AS (
   SELECT l.feature, l.label, s.lo, s.hi, s.n,
-         CAST(CASE WHEN (s.hi - s.lo) / 40.0 > 0
-              THEN least(floor((l.x - s.lo) / ((s.hi - s.lo) / 40.0)), 39) ELSE 0 END AS INTEGER) AS bin
+         CAST(least(floor((l.x - s.lo) / ((s.hi - s.lo) / 40.0)), 39) AS INTEGER) AS bin
   FROM long l JOIN stats s ON l.feature = s.feature AND l.label = s.label
-  WHERE l.x IS NOT NULL
+  WHERE l.x IS NOT NULL AND NOT isnan(l.x)
 )
 SELECT feature, label, bin, round(lo + bin * ((hi - lo) / 40.0), 6) AS bin_lo, count(*) AS n_rows,
-       round(CASE WHEN (hi - lo) / 40.0 > 0 THEN count(*) / (n * ((hi - lo) / 40.0)) END, 6) AS density
+       round(count(*) / (n * ((hi - lo) / 40.0)), 6) AS density
 FROM binned GROUP BY feature, label, bin, lo, hi, n
 """
 
