@@ -56,6 +56,7 @@ def experiment(
     run_id = SK.new_run_id()
     out: dict[str, DataFrame] = {}
     keep = [key] if key else []
+    owned: list[DataFrame] = []  # caches made here, released at the end
 
     # A column-free count of the raw rows, then the prepared rows are counted by
     # the job that fills the cache: the cleaning rules are evaluated once.
@@ -69,7 +70,10 @@ def experiment(
             sample = df if frac >= 1.0 else SM.hash_sample(df, key, frac)
             return SM.hash_split(sample, key, (0.8, 0.2), salt="split")
         sample = df if frac >= 1.0 else SM.bernoulli_sample(df, frac, seed)
-        return SM.random_split(sample.cache(), (0.8, 0.2), seed)
+        if not sample.is_cached:  # a seeded split needs a stable input
+            sample = sample.cache()
+            owned.append(sample)
+        return SM.random_split(sample, (0.8, 0.2), seed)
 
     def featurise(recipe, df):
         return FE.model_columns(recipe.transform(df), s) if not keep else \
@@ -119,6 +123,8 @@ def experiment(
     if metrics_path:
         SK.append_metrics(out["data_scaling"], metrics_path, run_id, "data_scaling")
         SK.append_metrics(summary, metrics_path, run_id, "summary")
+    for df in owned:
+        df.unpersist()
     featurised.unpersist()
     data.unpersist()
     return out
@@ -180,8 +186,10 @@ def flagship(raw: DataFrame, spec: TripSpec | None = None, seed: int = 42) -> Da
     weighted = B.add_class_weights(data, s.label_col, bal, s.weight_col)
     feat = FE.build_feature_pipeline(s).fit(weighted).transform(weighted)
     feat = feat.select("features", s.label_col, s.weight_col)
-    train, test = SM.random_split(feat.cache(), (0.8, 0.2), seed)
+    feat = feat.cache()
+    train, test = SM.random_split(feat, (0.8, 0.2), seed)
     lr = MD.make_models(label_col=s.label_col, weight_col=s.weight_col, seed=seed)["LogisticRegression"]
     board = CMP.train_and_compare({"LogisticRegression": lr}, train, test, s.label_col)
+    feat.unpersist()  # the board holds plain numbers
     return board.withColumn("n_clean", F.lit(int(bal["total"]))).withColumn(
         "pos_rate", F.lit(float(bal["pos_rate"])))
