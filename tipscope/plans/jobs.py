@@ -26,6 +26,7 @@ from ..operators import models as MD
 from ..operators import prepare as P
 from ..operators import sampling as SM
 from ..operators import scaling as SC
+from ..session import configure
 from ..sources import sinks as SK
 from ..specs import TripSpec
 
@@ -52,6 +53,7 @@ def experiment(
     for AUC (``probability`` or ``rawPrediction``).
     """
     s = spec or TripSpec()
+    configure(raw.sparkSession)  # UTC wall clock, AQE
     t0 = time.perf_counter()
     run_id = SK.new_run_id()
     out: dict[str, DataFrame] = {}
@@ -134,6 +136,7 @@ def exploration(raw: DataFrame, spec: TripSpec | None = None, month_prefix: str
                 histogram_limits=None, metrics_path: str | None = None) -> dict[str, DataFrame]:
     """Every exploratory summary as a small DataFrame (nothing sampled)."""
     s = spec or TripSpec()
+    configure(raw.sparkSession)  # UTC wall clock, AQE
     data = P.prepare(raw, s).cache()
     out = {
         "retention": X.retention(raw, s),
@@ -159,6 +162,7 @@ def parallelism(raw: DataFrame, sample_base: str, spec: TripSpec | None = None,
                 metrics_path: str | None = None) -> DataFrame:
     """Materialise a featurised sample once (keyed by rows and seed), then time LR fits."""
     s = spec or TripSpec()
+    configure(raw.sparkSession)  # UTC wall clock, AQE
     spark = raw.sparkSession
     path = SK.sample_path(sample_base, rows=rows, seed=seed)
 
@@ -181,6 +185,7 @@ def parallelism(raw: DataFrame, sample_base: str, spec: TripSpec | None = None,
 def flagship(raw: DataFrame, spec: TripSpec | None = None, seed: int = 42) -> DataFrame:
     """Prepare -> weight -> featurise -> weighted LR fit -> one-row metric frame."""
     s = spec or TripSpec()
+    configure(raw.sparkSession)  # UTC wall clock, AQE
     data = P.prepare(raw, s)
     bal = B.balance_record(data, s.label_col)
     weighted = B.add_class_weights(data, s.label_col, bal, s.weight_col)
