@@ -134,3 +134,15 @@ def test_default_taxi_spec_end_to_end(spark, drifted):
     assert out["class_histogram"].count() > 0
     board = J.flagship(raw).first()
     assert board["n_clean"] == n and 0.0 <= board["auc"] <= 1.0
+
+
+def test_spark_written_folders_group_in_tasks(spark, tmpdir_path):
+    base = tmpdir_path + "/months"
+    df = spark.range(20).select(F.col("id").alias("fare_amount"))
+    df.write.parquet(base + "/m1")
+    df.select(F.col("fare_amount").cast("double")).write.parquet(base + "/m2")
+    files = PQ.list_parquet_files(spark, base)
+    assert len(files) == 2
+    tasks = PQ.group_by_schema_in_tasks(spark, files)
+    driver = PQ.group_by_schema(spark, files)
+    assert len(tasks) == len(driver) == 2

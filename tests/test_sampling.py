@@ -54,3 +54,14 @@ def test_salted_split_of_a_hash_sample_is_not_empty(spark):
     salted = SM.hash_split(sample, "event_id", (0.8, 0.2), salt="split")
     n = sample.count()
     assert salted[0].count() + salted[1].count() == n and 0.1 * n < salted[1].count() < 0.3 * n
+
+
+def test_xxhash_buckets_are_in_range_and_deterministic(spark):
+    from pyspark.sql import functions as F
+    from tipscope.functions.columns import hash_bucket
+
+    ev = A.events(spark, SF01)
+    a = ev.select("event_id", hash_bucket("event_id", 100, method="xxhash64").alias("b"))
+    b = ev.repartition(5).select("event_id", hash_bucket("event_id", 100, method="xxhash64").alias("b"))
+    assert a.agg(F.min("b"), F.max("b")).first() == (0, 99)
+    assert a.exceptAll(b).count() == 0
