@@ -98,3 +98,17 @@ def test_metric_record_has_no_cross_product(scored):
     rec.collect()
     plan = rec._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_evaluate_predictions_on_mllib_output(spark):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    rnd = random.Random(3)
+    rows = [(int(y), rnd.gauss(y * 1.0, 1.0)) for y in (rnd.random() < 0.3 for _ in range(600))]
+    df = spark.createDataFrame(rows, "label int, x double")
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    preds = LogisticRegression(maxIter=10).fit(df).transform(df)
+    rec = M.evaluate_predictions(preds).first()
+    ref = BinaryClassificationEvaluator(numBins=0).evaluate(preds.withColumn("label", F.col("label").cast("double")))
+    assert abs(rec["auc"] - ref) < 1e-12

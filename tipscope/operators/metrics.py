@@ -209,3 +209,15 @@ def metric_record(pred: DataFrame, label_col: str = "label", prediction_col: str
     stacked = thr.select(*g, none.alias("auc"), *rest).unionByName(
         a.select(*g, "auc", *[none.alias(c) for c in rest]))
     return stacked.groupBy(*g).agg(*[F.max(c).alias(c) for c in ["auc", *rest]])
+
+
+def evaluate_predictions(predictions: DataFrame, label_col: str = "label",
+                         score_source: str = "probability") -> DataFrame:
+    """A15 for MLlib output: one-row metric frame from ``model.transform(test)``.
+
+    Takes the class-1 entry of ``score_source`` (``probability`` by default,
+    ``rawPrediction`` for the original ranking) as the AUC score.
+    """
+    scored = positive_score(predictions, score_source).select(label_col, "prediction", "score")
+    scored, _, edges = materialise_scores(scored)
+    return metric_record(scored, label_col, "prediction", "score", edges=edges)
