@@ -156,10 +156,13 @@ def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     cov = F.try_divide(F.col("sab"), n) - ma * mb
     den = F.sqrt((F.try_divide(F.col("saa"), n) - ma * ma) * (F.try_divide(F.col("sbb"), n) - mb * mb))
     names = F.array(*[F.lit(c) for c in cols])
-    upper = m.select("i", "j", F.when(den > 0, cov / den).alias("r"))
-    full = upper.unionByName(upper.where("i != j").select(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
-    return full.select(F.element_at(names, F.col("i") + 1).alias("col_a"),
-                       F.element_at(names, F.col("j") + 1).alias("col_b"), "r")
+    # Each upper-triangle pair also yields its mirror (one branch, no union).
+    ij = F.struct(F.col("i").alias("a"), F.col("j").alias("b"))
+    ji = F.struct(F.col("j").alias("a"), F.col("i").alias("b"))
+    both_orders = F.when(F.col("i") == F.col("j"), F.array(ij)).otherwise(F.array(ij, ji))
+    full = m.select(F.explode(both_orders).alias("p"), F.when(den > 0, cov / den).alias("r"))
+    return full.select(F.element_at(names, F.col("p.a") + 1).alias("col_a"),
+                       F.element_at(names, F.col("p.b") + 1).alias("col_b"), "r")
 
 
 def class_histogram(
