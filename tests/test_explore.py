@@ -83,3 +83,22 @@ def test_class_histogram_matches_numpy_including_constant_slice(spark):
             dens, _ = np.histogram(pdf[pdf.label == lab][feat], bins=40, density=True)
             for b, dv in enumerate(dens):
                 assert got.get((feat, lab, b), 0.0) == pytest.approx(dv), (feat, lab, b)
+
+
+def test_grouped_summaries_equal_the_single_operators(spark):
+    from tipscope.operators import balance as B
+    from tipscope.plans import catalog as C
+
+    data = C.t1_clean(spark, "/root/testdata/sf0.01").cache()
+    got = X.grouped_summaries(data, C.T1, month_prefix="1999")
+    want = {
+        "balance": B.class_balance(data),
+        "rows_per_month": X.rows_per_month(data, "tpep_pickup_datetime", "1999"),
+        "ratio_histogram": X.ratio_histogram(data),
+        "rate_by_hour": X.rate_by_hour(data, "tpep_pickup_datetime"),
+        "rate_by_weekday": X.rate_by_weekday(data, "tpep_pickup_datetime"),
+    }
+    for name, df in want.items():
+        assert got[name].columns == df.columns, name
+        assert got[name].dtypes == df.dtypes, name
+        assert got[name].collect() == df.collect(), name

@@ -206,3 +206,55 @@ def class_histogram(
         "n_rows",
         (F.col("n_rows") / (F.col("n") * width)).alias("density"),
     )
+
+
+def grouped_summaries(df: DataFrame, spec: TripSpec | None = None, month_prefix: str | None = None,
+                      width: float = RATIO_BIN_WIDTH, upper: float | None = RATIO_HISTOGRAM_MAX) -> dict:
+    """A2, A4, A5, A6, A7 from ONE pass over ``df`` with grouping sets.
+
+    The class balance, month volumes, ratio histogram and hourly / weekday
+    rates are all counts and means, so one ``GROUPING SETS`` aggregate (one
+    shuffle, partial aggregation per task) computes them together; each
+    summary is then a slice of that small result, which is cached.  The
+    slices equal :func:`class_balance`, :func:`rows_per_month`,
+    :func:`ratio_histogram`, :func:`rate_by_hour` and :func:`rate_by_weekday`.
+    """
+    from .balance import balance_from_counts
+
+    s = spec or TripSpec()
+    lab = F.col(s.label_col)
+    ratio = F.col(s.ratio_col)
+    in_hist = ratio.isNotNull() if upper is None else ratio.isNotNull() & (ratio <= F.lit(upper))
+    keys = ["m", "h", "d", "bin_idx"]
+    keyed = df.select(
+        month_start(s.pickup).alias("m"),
+        F.hour(s.pickup).alias("h"),
+        F.dayofweek(s.pickup).alias("d"),
+        F.when(in_hist, C.bin_index(ratio, width)).alias("bin_idx"),
+        lab.alias("label"),
+    )
+    sets = [[], ["m"], ["h"], ["d"], ["bin_idx"]]
+
+    def gid(kept):  # grouping_id(): bit set for every key aggregated away
+        return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in kept)
+
+    table = keyed.groupingSets(sets, *keys).agg(
+        F.grouping_id().alias("gid"),
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("label") == 0).alias("n_neg"),
+        F.count_if(F.col("label") == 1).alias("n_pos"),
+        F.avg("label").alias("low_rate"),
+    ).cache()  # a few hundred rows at most
+    part = {tuple(k): table.where(F.col("gid") == gid(k)) for k in sets}
+    months = part[("m",)].select(F.date_format("m", "yyyy-MM").alias("month"), "n_rows")
+    if month_prefix is not None:
+        months = months.where(F.col("month").startswith(month_prefix))
+    return {
+        "balance": balance_from_counts(part[()].select("n_neg", "n_pos")),
+        "rows_per_month": months.orderBy("month"),
+        "ratio_histogram": part[("bin_idx",)].where(F.col("bin_idx").isNotNull())
+        .select("bin_idx", "n_rows", (F.col("bin_idx") * F.lit(float(width))).alias("bin")).orderBy("bin_idx"),
+        "rate_by_hour": part[("h",)].select("h", "low_rate", "n_rows").orderBy("h"),
+        "rate_by_weekday": part[("d",)].select("d", "low_rate", "n_rows", C.weekday_name("d").alias("day_name"))
+        .orderBy("d"),
+    }

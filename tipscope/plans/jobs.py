@@ -134,17 +134,19 @@ def experiment(
 
 def exploration(raw: DataFrame, spec: TripSpec | None = None, month_prefix: str | None = None,
                 histogram_limits=None, metrics_path: str | None = None) -> dict[str, DataFrame]:
-    """Every exploratory summary as a small DataFrame (nothing sampled)."""
+    """Every exploratory summary as a small DataFrame (nothing sampled).
+
+    Passes over the prepared rows: one grouping-sets aggregate for the five
+    count / mean summaries, one for the correlation matrix, two for the class
+    histograms (slice ranges, then bins).
+    """
     s = spec or TripSpec()
     configure(raw.sparkSession)  # UTC wall clock, AQE
     data = P.prepare(raw, s).cache()
+    # balance, months, ratio histogram and hour / weekday rates: one grouping-sets pass
     out = {
         "retention": X.retention(raw, s),
-        "balance": B.class_balance(data, s.label_col),
-        "rows_per_month": X.rows_per_month(data, s.pickup, month_prefix),
-        "ratio_histogram": X.ratio_histogram(data, s.ratio_col),
-        "rate_by_hour": X.rate_by_hour(data, s.pickup, s.label_col),
-        "rate_by_weekday": X.rate_by_weekday(data, s.pickup, s.label_col),
+        **X.grouped_summaries(data, s, month_prefix),
         "correlation": X.correlation(data, X.correlation_columns(s)),
         "class_histogram": X.class_histogram(
             data, label_col=s.label_col,
