@@ -24,8 +24,12 @@ METRIC_COLUMNS = ("auc", "accuracy", "f1", "precision_w", "recall_w", "recall_po
 def spread(df: DataFrame) -> DataFrame:
     """Give every core work: repartition a frame with fewer partitions than the
     default parallelism (a small training set); larger frames are left as they are."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (e.g. a Spark Connect session): leave the layout to Spark
+        return df
+    return df.repartition(par) if parts < par else df
 
 
 def train_and_compare(models: Mapping[str, object], train: DataFrame, test: DataFrame,
