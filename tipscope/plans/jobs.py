@@ -84,6 +84,7 @@ def experiment(
     if split_first:
         train_rows_df, test_rows_df = sample_and_split(data)
         train_rows_df = train_rows_df.cache()
+        owned.append(train_rows_df)
         bal = B.balance_record(train_rows_df, s.label_col)  # fitted on the training part only
         w_train = B.add_class_weights(train_rows_df, s.label_col, bal, s.weight_col)
         w_test = B.add_class_weights(test_rows_df, s.label_col, bal, s.weight_col)
@@ -108,8 +109,9 @@ def experiment(
     board = CMP.train_and_compare(catalogue, train, test, s.label_col, score_source=score_source,
                                   on_result=sink)
     out["models"] = board
-    train.unpersist()
-    test.unpersist()
+    for df in (train, test):
+        if df is not featurised:  # split-first mode trains on the featurised frame itself
+            df.unpersist()
 
     lr = MD.make_models(label_col=s.label_col, weight_col=None)["LogisticRegression"]
     out["data_scaling"] = SC.data_scaling(lr, featurised, fractions, key=key, seed=seed)
