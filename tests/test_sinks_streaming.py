@@ -46,3 +46,14 @@ def test_stream_summary_equals_batch(spark, tmpdir_path):
     batch = P.add_label(P.clean_trips(raw, C.T1), C.T1)
     want = {r["month"]: r["n_rows"] for r in X.rows_per_month(batch, "tpep_pickup_datetime").collect()}
     assert got == want and sum(got.values()) == 395
+
+
+def test_trips_by_month_prune_partitions(spark, tmpdir_path):
+    raw = C.t1_raw(spark, SF001)
+    path = SK.write_trips_by_month(raw, tmpdir_path + "/by_month")
+    back = SK.read_parquet(spark, path)
+    assert back.count() == raw.count()
+    one = back.where(F.col("month") == "1997-05")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "1997-05" in plan
+    assert one.count() == raw.where(F.date_format("tpep_pickup_datetime", "yyyy-MM") == "1997-05").count()

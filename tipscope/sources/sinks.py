@@ -36,6 +36,21 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
+def write_trips_by_month(df: DataFrame, path: str, ts_col: str = "tpep_pickup_datetime",
+                         mode: str = "overwrite") -> str:
+    """Write normalised trips partitioned by ``yyyy-MM`` of the pickup time.
+
+    Later reads that filter on ``month`` prune whole folders (``PartitionFilters``
+    in the scan), and a new month lands as a new folder.  Rows are only sorted
+    by month *within* each task (no shuffle): a month holding a third of the
+    rows is still written by many tasks, and since the sources are monthly
+    files each task sees few months, so it writes few files.
+    """
+    out = df.withColumn("month", F.date_format(F.col(ts_col), "yyyy-MM"))
+    out.sortWithinPartitions("month").write.mode(mode).partitionBy("month").parquet(path)
+    return path
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Read a written frame back (vector columns keep their type)."""
     return spark.read.parquet(path)
