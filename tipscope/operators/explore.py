@@ -176,35 +176,64 @@ def class_histogram(
 
     For every (feature, class) slice the range min..max is split into ``bins``
     equal bins (the last one closed), and density = count / (n * width), so
-    each slice has area 1.  The slice statistics are a table of
-    ``len(features) x 2`` rows that is broadcast back to the rows; the counts
-    are a partial hash aggregate, so no slice ever lands in one task.
+    each slice has area 1.  Two passes: one global aggregate returns the
+    ``len(features) x 2`` slice ranges (a single row), then the rows are
+    unpivoted and binned against those ranges as literals (no join) and
+    counted with partial aggregation, so no slice ever lands in one task.
     """
     src = df
     for c, hi in (limits or ()):
         src = src.where(F.col(c) < F.lit(hi))
     src = src.where(F.col(label_col).isin(0, 1))
+    lab = F.col(label_col)
+    x = {f: F.col(f).cast("double") for f in features}
+    ok = {f: x[f].isNotNull() & ~F.isnan(x[f]) for f in features}
+    # Pass 1: one global aggregate, (features x 2 classes) x (min, max, count)
+    # values; only that one row comes back.
+    aggs = []
+    for fi, f in enumerate(features):
+        for c in (0, 1):
+            keep = ok[f] & (lab == c)
+            aggs += [F.min(F.when(keep, x[f])).alias(f"lo_{fi}_{c}"),
+                     F.max(F.when(keep, x[f])).alias(f"hi_{fi}_{c}"),
+                     F.count_if(keep).alias(f"n_{fi}_{c}")]
+    stats = src.agg(*aggs).first()
+    slices = []
+    for fi, f in enumerate(features):
+        for c in (0, 1):
+            n = stats[f"n_{fi}_{c}"]
+            if not n:
+                continue
+            lo, hi = stats[f"lo_{fi}_{c}"], stats[f"hi_{fi}_{c}"]
+            if not hi > lo:  # a constant slice spans lo - 0.5 .. hi + 0.5, as numpy's histogram does
+                lo, hi = lo - 0.5, hi + 0.5
+            slices.append((f, c, float(lo), float(hi), int(n)))
+    if not slices:
+        return src.sparkSession.createDataFrame(
+            [], "feature string, label int, bin int, bin_lo double, n_rows bigint, density double")
+    # Pass 2: unpivot, bin against the literal ranges, count (partial aggregation).
     stacked = ", ".join(f"'{f}', cast(`{f}` as double)" for f in features)
-    long = src.select(F.col(label_col).alias("label"),
+    long = src.select(lab.cast("int").alias("label"),
                       F.expr(f"stack({len(features)}, {stacked}) as (feature, x)"))
     long = long.where(F.col("x").isNotNull() & ~F.isnan("x"))
-    # A constant slice gets the range lo - 0.5 .. hi + 0.5, as numpy's histogram does.
-    stats = long.groupBy("feature", "label").agg(
-        F.min("x").alias("lo"), F.max("x").alias("hi"), F.count(F.lit(1)).alias("n")).select(
-        "feature", "label", "n",
-        F.when(F.col("hi") > F.col("lo"), F.col("lo")).otherwise(F.col("lo") - 0.5).alias("lo"),
-        F.when(F.col("hi") > F.col("lo"), F.col("hi")).otherwise(F.col("hi") + 0.5).alias("hi"))
-    # len(features) * 2 rows at most: a proven bound, safe to broadcast.
-    joined = long.join(F.broadcast(stats), ["feature", "label"])
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
-    idx = F.least(F.floor((F.col("x") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
-    counted = joined.groupBy("feature", "label", idx.alias("bin"), "lo", "hi", "n") \
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+
+    def per_slice(pick):
+        expr = None
+        for f, c, lo, hi, n in slices:
+            cond = (F.col("feature") == f) & (F.col("label") == c)
+            v = F.lit(pick(lo, hi, n))
+            expr = F.when(cond, v) if expr is None else expr.when(cond, v)
+        return expr
+
+    lo_c = per_slice(lambda lo, hi, n: lo)
+    width_c = per_slice(lambda lo, hi, n: (hi - lo) / bins)
+    idx = F.least(F.floor((F.col("x") - lo_c) / width_c), F.lit(bins - 1)).cast("int")
+    counted = long.groupBy("feature", "label", idx.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.select(
         "feature", "label", "bin",
-        (F.col("lo") + F.col("bin") * width).alias("bin_lo"),
+        (lo_c + F.col("bin") * width_c).alias("bin_lo"),
         "n_rows",
-        (F.col("n_rows") / (F.col("n") * width)).alias("density"),
+        (F.col("n_rows") / (per_slice(lambda lo, hi, n: float(n)) * width_c)).alias("density"),
     )
 
 
