@@ -102,3 +102,4 @@ def test_grouped_summaries_equal_the_single_operators(spark):
         assert got[name].columns == df.columns, name
         assert got[name].dtypes == df.dtypes, name
         assert got[name].collect() == df.collect(), name
+    data.unpersist()

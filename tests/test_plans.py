@@ -6,6 +6,7 @@ from conftest import SF01
 
 
 def executed(spark, name):
+    spark.catalog.clearCache()  # plans are checked against the files, not frames other tests cached
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
     df = E.queries()[name](spark, SF01)
     df.collect()

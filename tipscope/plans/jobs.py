@@ -138,9 +138,10 @@ def exploration(raw: DataFrame, spec: TripSpec | None = None, month_prefix: str
                 histogram_limits=None, metrics_path: str | None = None) -> dict[str, DataFrame]:
     """Every exploratory summary as a small DataFrame (nothing sampled).
 
-    Passes over the prepared rows: one grouping-sets aggregate for the five
-    count / mean summaries, one for the correlation matrix, two for the class
-    histograms (slice ranges, then bins).
+    Passes over the prepared rows (cached for the job, released at the end):
+    one grouping-sets aggregate for the five count / mean summaries, one for
+    the correlation matrix, two for the class histograms (ranges, then bins).
+    The returned summaries are small cached frames.
     """
     s = spec or TripSpec()
     configure(raw.sparkSession)  # UTC wall clock, AQE
@@ -154,6 +155,11 @@ def exploration(raw: DataFrame, spec: TripSpec | None = None, month_prefix: str
             data, label_col=s.label_col,
             **({"limits": histogram_limits} if histogram_limits is not None else {})),
     }
+    # The summaries are small: keep them, release the prepared rows.
+    out = {k: v.cache() for k, v in out.items()}
+    for v in out.values():
+        v.count()
+    data.unpersist()
     if metrics_path:
         run_id = SK.new_run_id()
         for kind, df in out.items():
