@@ -6,10 +6,9 @@ aggregates over *all* rows; only the small summaries come back.
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -100,9 +99,6 @@ def correlation_columns(spec: TripSpec | None = None) -> list[str]:
     return [c for c in s.numeric_features if c not in CORRELATION_EXCLUDED] + [s.label_col]
 
 
-SHIFT_SAMPLE_ROWS = 10000
-
-
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A10: Pearson correlation matrix in long form (col_a, col_b, r) over all rows.
 
@@ -110,15 +106,16 @@ def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     are present.  One full pass:
 
     * rows are grouped by their NULL pattern (a bitmask over the columns);
-      each group sums the shifted values and their pairwise products.  With
-      partial aggregation every task emits one row per pattern, so even a
-      pattern holding most rows is merged map-side;
-    * the pattern table (a handful of rows) is folded into pairwise-complete
-      moments: a pair adds up the groups where both of its bits are set.
-
-    Values are shifted by the means of the first ``SHIFT_SAMPLE_ROWS`` rows
-    (``take`` reads leading splits only); any shift near the data keeps the
-    one-pass sums numerically stable.  A constant column gives NULL.
+      each group keeps its size, column means and co-moments (Spark's
+      ``avg`` / ``covar_pop``, which update stably).  With partial
+      aggregation every task emits one row per pattern, so even a pattern
+      holding most rows is merged map-side;
+    * the pattern table (a handful of rows) is unpivoted to one row per
+      (pattern, pair) and the groups where both columns are present are
+      merged exactly: n = sum n_g, mean = sum n_g m_g / n and
+      C = sum n_g (c_g + (ma_g - ma)(mb_g - mb)).
+
+    Every pair is reported; a pair without two distinct values gives NULL.
     """
     cols = list(cols)
     k = len(cols)
@@ -127,40 +124,44 @@ def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     # Expressions are built as SQL text and sent in one call per step: a k x k
     # matrix is a few hundred expressions, too many for one Py4J call each.
     x = [f"CAST(`{c}` AS DOUBLE)" for c in cols]
-    # take() reads splits incrementally (one first), so this stays cheap at any
-    # size; at most SHIFT_SAMPLE_ROWS x k numbers reach the driver.
-    head = df.selectExpr(*[f"{x[i]} AS c{i}" for i in range(k)]).take(SHIFT_SAMPLE_ROWS)
-    shift = []
-    for i in range(k):
-        vals = [r[i] for r in head if r[i] is not None and math.isfinite(r[i])]
-        shift.append(sum(vals) / len(vals) if vals else 0.0)
     mask = " + ".join(f"CASE WHEN {x[i]} IS NULL THEN 0 ELSE {1 << i} END" for i in range(k))
     base = df.selectExpr(f"CAST({mask} AS BIGINT) AS mask", *[f"{x[i]} AS c{i}" for i in range(k)])
-    xc = [f"coalesce(c{i} - {shift[i]!r}D, 0D)" for i in range(k)]  # a NULL adds nothing
-    sums = ["count(1) AS n"] + [f"sum({xc[i]}) AS s{i}" for i in range(k)]
-    sums += [f"sum({xc[i]} * {xc[j]}) AS p{i}_{j}" for i in range(k) for j in range(i, k)]
-    patterns = base.groupBy("mask").agg(*[F.expr(e) for e in sums])
-
-    # Unpivot the pattern table to one row per (pattern, pair) and keep the
-    # patterns where both columns are present; a pair's moments are then one
-    # small grouped sum, and the formula below is written once for all pairs.
-    entries = ", ".join(f"{i}, {j}, s{i}, s{j}, p{i}_{i}, p{j}_{j}, p{i}_{j}"
+    moments = ["count(1) AS n"] + [f"avg(c{i}) AS m{i}" for i in range(k)]
+    moments += [f"covar_pop(c{i}, c{j}) AS v{i}_{j}" for i in range(k) for j in range(i, k)]
+    patterns = base.groupBy("mask").agg(*[F.expr(e) for e in moments])
+    # A pattern with no column present contributes nothing but makes every pair appear.
+    empty = patterns.sparkSession.range(1).selectExpr(
+        "CAST(0 AS BIGINT) AS mask", "CAST(0 AS BIGINT) AS n",
+        *[f"CAST(NULL AS DOUBLE) AS m{i}" for i in range(k)],
+        *[f"CAST(NULL AS DOUBLE) AS v{i}_{j}" for i in range(k) for j in range(i, k)])
+    patterns = patterns.unionByName(empty)
+
+    entries = ", ".join(f"{i}, {j}, m{i}, m{j}, v{i}_{j}, v{i}_{i}, v{j}_{j}"
                         for i in range(k) for j in range(i, k))
     per_pair = patterns.selectExpr(
-        "mask", "n", f"stack({k * (k + 1) // 2}, {entries}) AS (i, j, sa, sb, saa, sbb, sab)")
-    present = per_pair.where("(mask & shiftleft(1L, i)) != 0 AND (mask & shiftleft(1L, j)) != 0")
-    m = present.groupBy("i", "j").agg(
-        *[F.sum(c).alias(c) for c in ("n", "sa", "sb", "saa", "sbb", "sab")])
-    n = F.col("n").cast("double")
-    ma, mb = F.try_divide(F.col("sa"), n), F.try_divide(F.col("sb"), n)
-    cov = F.try_divide(F.col("sab"), n) - ma * mb
-    den = F.sqrt((F.try_divide(F.col("saa"), n) - ma * ma) * (F.try_divide(F.col("sbb"), n) - mb * mb))
+        "mask", "n", f"stack({k * (k + 1) // 2}, {entries}) AS (i, j, ma, mb, cab, caa, cbb)")
+    present = "(mask & shiftleft(1L, i)) != 0 AND (mask & shiftleft(1L, j)) != 0"
+    per_pair = per_pair.withColumn("w", F.expr(f"CASE WHEN {present} THEN CAST(n AS DOUBLE) ELSE 0D END"))
+    pair = Window.partitionBy("i", "j")  # one partition per pair of a tiny table
+    total = F.sum("w").over(pair)
+    per_pair = per_pair.withColumn("tot", total) \
+        .withColumn("mean_a", F.try_divide(F.sum(F.col("w") * F.coalesce("ma", F.lit(0.0))).over(pair), total)) \
+        .withColumn("mean_b", F.try_divide(F.sum(F.col("w") * F.coalesce("mb", F.lit(0.0))).over(pair), total))
+    da = F.coalesce(F.col("ma") - F.col("mean_a"), F.lit(0.0))
+    db = F.coalesce(F.col("mb") - F.col("mean_b"), F.lit(0.0))
+    w = F.col("w")
+    merged = per_pair.groupBy("i", "j").agg(
+        F.sum(w * (F.coalesce("cab", F.lit(0.0)) + da * db)).alias("sab"),
+        F.sum(w * (F.coalesce("caa", F.lit(0.0)) + da * da)).alias("saa"),
+        F.sum(w * (F.coalesce("cbb", F.lit(0.0)) + db * db)).alias("sbb"),
+    )
+    den = F.sqrt(F.col("saa")) * F.sqrt(F.col("sbb"))  # no underflow of tiny variances
     names = F.array(*[F.lit(c) for c in cols])
     # Each upper-triangle pair also yields its mirror (one branch, no union).
     ij = F.struct(F.col("i").alias("a"), F.col("j").alias("b"))
     ji = F.struct(F.col("j").alias("a"), F.col("i").alias("b"))
     both_orders = F.when(F.col("i") == F.col("j"), F.array(ij)).otherwise(F.array(ij, ji))
-    full = m.select(F.explode(both_orders).alias("p"), F.when(den > 0, cov / den).alias("r"))
+    full = merged.select(F.explode(both_orders).alias("p"), F.when(den > 0, F.col("sab") / den).alias("r"))
     return full.select(F.element_at(names, F.col("p.a") + 1).alias("col_a"),
                        F.element_at(names, F.col("p.b") + 1).alias("col_b"), "r")
 
