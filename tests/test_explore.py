@@ -103,3 +103,16 @@ def test_grouped_summaries_equal_the_single_operators(spark):
         assert got[name].dtypes == df.dtypes, name
         assert got[name].collect() == df.collect(), name
     data.unpersist()
+
+
+def test_class_histogram_values_on_bin_edges_follow_numpy(spark):
+    import numpy as np
+
+    edges = np.linspace(0.0, 7.3, 41)
+    vals = [float(e) for e in edges] + [0.1 * k for k in range(74)]  # every edge plus a grid of decimals
+    rows = [(v, 1.0 + (i % 5), float(i), 0) for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "trip_distance double, trip_duration_min double, fare_amount double, label int")
+    got = {r["bin"]: r["n_rows"] for r in X.class_histogram(df, limits=None).collect()
+           if r["feature"] == "trip_distance"}
+    counts, _ = np.histogram(np.array(vals), bins=40)
+    assert [got.get(b, 0) for b in range(40)] == list(counts)

@@ -227,8 +227,18 @@ def class_histogram(
         return expr
 
     lo_c = per_slice(lambda lo, hi, n: lo)
+    hi_c = per_slice(lambda lo, hi, n: hi)
     width_c = per_slice(lambda lo, hi, n: (hi - lo) / bins)
-    idx = F.least(F.floor((F.col("x") - lo_c) / width_c), F.lit(bins - 1)).cast("int")
+
+    def edge(k):  # k-th bin edge as numpy's linspace builds it; the last edge is hi itself
+        return F.when(k >= bins, hi_c).otherwise(k.cast("double") * width_c + lo_c)
+
+    # numpy's rule: scale to a bin, then step down / up when x falls outside its edges
+    raw = F.least(F.greatest(F.floor((F.col("x") - lo_c) / (hi_c - lo_c) * F.lit(float(bins))), F.lit(0)),
+                  F.lit(bins - 1))
+    idx = (F.when(F.col("x") < edge(raw), raw - 1)
+           .when((raw != bins - 1) & (F.col("x") >= edge(raw + 1)), raw + 1)
+           .otherwise(raw)).cast("int")
     counted = long.groupBy("feature", "label", idx.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
     return counted.select(
         "feature", "label", "bin",

@@ -235,11 +235,17 @@ WITH src AS (
          CASE WHEN hi > lo THEN lo ELSE lo - 0.5 END AS lo,
          CASE WHEN hi > lo THEN hi ELSE hi + 0.5 END AS hi
   FROM raw_stats
-), binned AS (
-  SELECT l.feature, l.label, s.lo, s.hi, s.n,
-         CAST(least(floor((l.x - s.lo) / ((s.hi - s.lo) / 40.0)), 39) AS INTEGER) AS bin
+), scaled AS (
+  SELECT l.feature, l.label, l.x, s.lo, s.hi, s.n, (s.hi - s.lo) / 40.0 AS w,
+         least(greatest(floor((l.x - s.lo) / (s.hi - s.lo) * 40.0), 0), 39) AS raw
   FROM long l JOIN stats s ON l.feature = s.feature AND l.label = s.label
   WHERE l.x IS NOT NULL AND NOT isnan(l.x)
+), binned AS (
+  SELECT feature, label, lo, hi, n,
+         CAST(CASE WHEN x < raw * w + lo THEN raw - 1
+                   WHEN raw <> 39 AND x >= (CASE WHEN raw + 1 >= 40 THEN hi ELSE (raw + 1) * w + lo END)
+                   THEN raw + 1 ELSE raw END AS INTEGER) AS bin
+  FROM scaled
 )
 SELECT feature, label, bin, round(lo + bin * ((hi - lo) / 40.0), 6) AS bin_lo, count(*) AS n_rows,
        round(count(*) / (n * ((hi - lo) / 40.0)), 6) AS density
