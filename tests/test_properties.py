@@ -102,3 +102,39 @@ def test_correlation_matches_pandas_pairwise(spark, rows):
                 # the last bits, so only a defined value on our side needs a near-zero spread
                 continue
             assert g is not None and abs(g - want) < 1e-6, (a, b, g, want)
+
+
+def brute_threshold(pairs):
+    n = len(pairs)
+    if n == 0:
+        return None
+    out = {}
+    stats = {}
+    for c in (0, 1):
+        tp = sum(1 for y, p in pairs if y == c and p == c)
+        pred = sum(1 for _, p in pairs if p == c)
+        real = sum(1 for y, _ in pairs if y == c)
+        prec = tp / pred if pred else 0.0
+        rec = tp / real if real else 0.0
+        f1 = 2 * prec * rec / (prec + rec) if prec + rec else 0.0
+        stats[c] = (real / n, prec, rec, f1)
+    out["accuracy"] = sum(1 for y, p in pairs if y == p) / n
+    out["precision_w"] = sum(w * p for w, p, _, _ in stats.values())
+    out["recall_w"] = sum(w * r for w, _, r, _ in stats.values())
+    out["f1"] = sum(w * f for w, _, _, f in stats.values())
+    out["recall_pos"] = stats[1][2]
+    return out
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture],
+          phases=[Phase.explicit, Phase.reuse, Phase.generate])
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 1)), min_size=0, max_size=50))
+def test_threshold_metrics_match_brute_force(spark, pairs):
+    df = spark.createDataFrame([(y, float(p)) for y, p in pairs], "label int, prediction double")
+    got = M.threshold_metrics(df).first()
+    want = brute_threshold(pairs)
+    if want is None:
+        assert got is None or got["accuracy"] == 0.0
+        return
+    for k, v in want.items():
+        assert abs(got[k] - v) < 1e-12, (k, got[k], v)
