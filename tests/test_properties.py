@@ -138,3 +138,28 @@ def test_threshold_metrics_match_brute_force(spark, pairs):
         return
     for k, v in want.items():
         assert abs(got[k] - v) < 1e-12, (k, got[k], v)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture],
+          phases=[Phase.explicit, Phase.reuse, Phase.generate])
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(-1000, 1000)), min_size=1, max_size=80))
+def test_class_histogram_matches_numpy(spark, rows):
+    import numpy as np
+
+    from tipscope.operators import explore as X
+
+    data = [(lab, v / 100.0, 1.0, 2.0) for lab, v in rows]
+    df = spark.createDataFrame(data, "label int, trip_distance double, trip_duration_min double, fare_amount double")
+    got = {(r["label"], r["bin"]): (r["n_rows"], r["density"])
+           for r in X.class_histogram(df, limits=None).collect() if r["feature"] == "trip_distance"}
+    for lab in (0, 1):
+        xs = np.array([v for l_, v, _, _ in data if l_ == lab])
+        if len(xs) == 0:
+            assert not any(k[0] == lab for k in got)
+            continue
+        counts, _ = np.histogram(xs, bins=40)
+        dens, _ = np.histogram(xs, bins=40, density=True)
+        for b in range(40):
+            n, d = got.get((lab, b), (0, 0.0))
+            assert n == counts[b], (lab, b, n, counts[b])
+            assert abs(d - dens[b]) <= 1e-9 * max(1.0, abs(dens[b])), (lab, b, d, dens[b])
