@@ -163,3 +163,19 @@ def test_class_histogram_matches_numpy(spark, rows):
             n, d = got.get((lab, b), (0, 0.0))
             assert n == counts[b], (lab, b, n, counts[b])
             assert abs(d - dens[b]) <= 1e-9 * max(1.0, abs(dens[b])), (lab, b, d, dens[b])
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture],
+          phases=[Phase.explicit, Phase.reuse, Phase.generate])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 1),
+                          st.sampled_from([0.0, 0.2, 0.4, 0.6, 0.8, 1.0])), min_size=1, max_size=60),
+       st.integers(1, 5))
+def test_grouped_auc_matches_brute_force(spark, rows, buckets):
+    df = spark.createDataFrame(rows, "model string, label int, score double")
+    got = {r["model"]: r["auc"] for r in M.auc(df, group_cols=["model"], buckets=buckets).collect()}
+    for m in {r[0] for r in rows}:
+        want = brute_auc([(y, s) for mm, y, s in rows if mm == m])
+        if want is None:
+            assert got.get(m) is None
+        else:
+            assert abs(got[m] - want) < 1e-12, (m, got[m], want)
