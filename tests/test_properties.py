@@ -179,3 +179,18 @@ def test_grouped_auc_matches_brute_force(spark, rows, buckets):
             assert got.get(m) is None
         else:
             assert abs(got[m] - want) < 1e-12, (m, got[m], want)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture],
+          phases=[Phase.explicit, Phase.reuse, Phase.generate])
+@given(st.lists(st.integers(-10**12, 10**12), min_size=0, max_size=200, unique=True),
+       st.sampled_from([(0.8, 0.2), (0.5, 0.3, 0.2), (1.0,)]))
+def test_hash_split_is_disjoint_complete_and_stable(spark, keys, weights):
+    from tipscope.operators import sampling as SM
+
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    parts = [sorted(r[0] for r in p.collect()) for p in SM.hash_split(df, "k", weights)]
+    again = [sorted(r[0] for r in p.collect()) for p in SM.hash_split(df.repartition(3), "k", weights)]
+    flat = [k for p in parts for k in p]
+    assert sorted(flat) == sorted(keys) and len(flat) == len(set(flat))
+    assert parts == again
