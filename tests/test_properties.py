@@ -194,3 +194,18 @@ def test_hash_split_is_disjoint_complete_and_stable(spark, keys, weights):
     flat = [k for p in parts for k in p]
     assert sorted(flat) == sorted(keys) and len(flat) == len(set(flat))
     assert parts == again
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture],
+          phases=[Phase.explicit, Phase.reuse, Phase.generate])
+@given(st.lists(st.sampled_from(["a", "b", "c", "d", "B", "aa", "1.0"]), min_size=1, max_size=40))
+def test_index_order_is_frequency_then_alphabetical(spark, values):
+    from collections import Counter
+
+    from tipscope.operators import features as FE
+
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = {r["value"]: (r["idx"], r["n_rows"]) for r in FE.index_table(df, ["v"]).collect()}
+    counts = Counter(values)
+    order = sorted(counts, key=lambda v: (-counts[v], v))
+    assert got == {v: (i, counts[v]) for i, v in enumerate(order)}
