@@ -209,3 +209,20 @@ def test_index_order_is_frequency_then_alphabetical(spark, values):
     counts = Counter(values)
     order = sorted(counts, key=lambda v: (-counts[v], v))
     assert got == {v: (i, counts[v]) for i, v in enumerate(order)}
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture],
+          phases=[Phase.explicit, Phase.reuse, Phase.generate])
+@given(st.lists(trip, min_size=0, max_size=25))
+def test_retention_counts_equal_raw_and_clean_counts(spark, rows):
+    from tipscope.operators import explore as X
+
+    data = []
+    for start, dur_s, pc, dist, pay, fare, tip in rows:
+        pick = T0 + dt.timedelta(minutes=start)
+        drop = None if dur_s is None else pick + dt.timedelta(seconds=dur_s * 30)
+        data.append((pick, drop, pc, dist, None, 1, 2, pay, fare, None, tip, None, None, None, None))
+    df = spark.createDataFrame(data, SCHEMA)
+    r = X.retention(df, SPEC).first()
+    assert r["n_raw"] == len(rows)
+    assert r["n_clean"] == len(brute_clean(rows)) == P.clean_trips(df, SPEC).count()
