@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tipscope.llm import cuckoo, quality, url_filter
+from tipscope.llm import cuckoo, jaccard, mixing, packing, quality, token_counts, token_files, url_filter
 from tipscope.llm.oracle import ORACLE_SQL
 from tipscope.llm.tables import table
 from tipscope.session import configure
@@ -13,6 +13,10 @@ from tipscope.session import configure
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mix(table(configure(spark), sf_dir, "documents")).stream()
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(configure(spark), sf_dir, "pages"))
 
@@ -21,12 +25,35 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(configure(spark), sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(table(configure(spark), sf_dir, "documents"))
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(configure(spark), sf_dir, "documents")
+    return jaccard.near_duplicate_components(docs, width=4, threshold=85)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.duplicate_groups(table(configure(spark), sf_dir, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(configure(spark), sf_dir, "documents"))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_token_files(table(configure(spark), sf_dir, "documents"))
+    return token_files.read_documents(manifest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
     "op2_url_filters": op2_url_filters,
     "op3_quality_rules": op3_quality_rules,
+    "op5_packing": op5_packing,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_token_counts": op8_token_counts,
+    "op9_token_files": op9_token_files,
 }
