@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tipscope.llm import cuckoo, jaccard, mixing, packing, quality, token_counts, token_files, url_filter
+from tipscope.llm import cuckoo, jaccard, langid, mixing, packing, quality, token_counts, token_files, url_filter, warc
 from tipscope.llm.oracle import ORACLE_SQL
 from tipscope.llm.tables import table
 from tipscope.session import configure
@@ -25,6 +25,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(configure(spark), sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, _ = warc.write_archives(table(configure(spark), sf_dir, "pages"), min_revisit_bytes=0)
+    records = warc.read_archives(spark, folder, payload="check")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload_ok")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pieces(table(configure(spark), sf_dir, "documents"))
 
@@ -47,13 +53,19 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(manifest)
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_of(table(configure(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_url_filters": op2_url_filters,
     "op3_quality_rules": op3_quality_rules,
+    "op4_warc": op4_warc,
     "op5_packing": op5_packing,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
+    "op10_language_id": op10_language_id,
 }
