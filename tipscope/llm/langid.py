@@ -49,19 +49,22 @@ class Presence:
         self.letter = _letters()
 
     def codes(self, text: str) -> np.ndarray:
-        """Lower-case letters as code points; runs of anything else are one blank."""
+        """Lower-case letters as code points; runs of anything else between them are one blank."""
         c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
         low = c < 1 << 16
         keep = np.where(low, self.letter[np.where(low, c, 0)], False)
         if not low.all():
             keep[~low] = [chr(x).isalpha() for x in c[~low]]
         c = np.where(keep, c, 32)
-        return c[np.concatenate(([True], keep[1:] | keep[:-1]))].astype(np.uint64) if len(c) else c.astype(np.uint64)
+        c = c[np.concatenate(([True], keep[1:] | keep[:-1]))] if len(c) else c
+        if len(c) and c[-1] == 32:
+            c = c[:-1]
+        return (c[1:] if len(c) and c[0] == 32 else c).astype(np.uint64)
 
     def row(self, text: str | None) -> np.ndarray | None:
         """Presence of every n-gram; None if the text has no letter."""
         c = self.codes(text or "")
-        if not (c != 32).any():
+        if not len(c):
             return None
         c = np.concatenate(([32], c, [32])).astype(np.uint64)
         seen = np.zeros(1 << BITS, dtype=bool)
