@@ -5,8 +5,9 @@ import tempfile
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tipscope.session import local_session  # noqa: E402
+from local_spark import session  # noqa: E402
 
 SF001 = "/root/testdata/sf0.001"
 SF01 = "/root/testdata/sf0.01"
@@ -14,9 +15,7 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    scratch = tempfile.mkdtemp(prefix="tipscope-tests-")
-    s = local_session("tipscope-tests", cores="*", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": f"{scratch}/ckpt"})
+    s = session("tipscope-tests")
     yield s
     s.stop()
 

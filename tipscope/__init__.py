@@ -19,8 +19,8 @@ from .operators.metrics import auc, evaluate_predictions, metric_record, thresho
 from .operators.models import make_models
 from .operators.prepare import add_label, add_tip_ratio, clean_trips, prepare
 from .operators.sampling import hash_sample, hash_split, random_split, target_row_sample
-from .operators.scaling import data_scaling, parallelism_scaling, speedup, time_fit
-from .session import checkpoint_dir, configure, local_session
+from .operators.scaling import data_scaling, linear_reference, speedup, time_fit, timed_run
+from .session import checkpoint_dir, configure
 from .sources.parquet import load_trips
 from .specs import LINEITEM_TRIPS, LOW_TIP_THRESHOLD, TAXI, Bound, TripSpec
 
@@ -31,8 +31,8 @@ __all__ = [
     "add_class_weights", "add_label", "add_tip_ratio", "auc", "balance_record", "best_model",
     "build_feature_pipeline", "checkpoint_dir", "class_balance", "class_histogram", "clean_trips",
     "configure", "correlation", "cost_tradeoff", "data_scaling", "evaluate_predictions", "hash_sample",
-    "hash_split", "load_trips", "local_session", "majority_baseline", "make_models", "metric_record",
-    "parallelism_scaling", "prepare", "random_split", "rate_by_hour", "rate_by_weekday", "ratio_histogram",
+    "hash_split", "linear_reference", "load_trips", "majority_baseline", "make_models", "metric_record",
+    "prepare", "random_split", "rate_by_hour", "rate_by_weekday", "ratio_histogram",
     "report_rows", "retention", "rows_per_month", "speedup", "target_row_sample", "threshold_metrics",
-    "time_fit", "train_and_compare",
+    "time_fit", "timed_run", "train_and_compare",
 ]
