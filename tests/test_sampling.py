@@ -1,6 +1,8 @@
 """Samplers and splits: binomial size bounds, disjoint/complete hash splits, layout independence."""
 import math
 
+import pytest
+
 from tipscope.operators import sampling as SM
 from tipscope.sources import adapters as A
 
@@ -65,3 +67,11 @@ def test_xxhash_buckets_are_in_range_and_deterministic(spark):
     b = ev.repartition(5).select("event_id", hash_bucket("event_id", 100, method="xxhash64").alias("b"))
     assert a.agg(F.min("b"), F.max("b")).first() == (0, 99)
     assert a.exceptAll(b).count() == 0
+
+
+def test_tiny_fractions_keep_their_share(spark):
+    keys = spark.range(2_000_000)
+    assert 15 <= SM.hash_sample(keys, "id", 2e-5).count() <= 75  # 40 expected
+    assert 220 <= SM.hash_sample(keys, "id", 1.4e-4).count() <= 340  # 280 expected
+    with pytest.raises(ValueError):
+        SM.hash_sample(keys, "id", 1e-19)

@@ -116,3 +116,15 @@ def hash_bucket(key: str | Column, modulus: int, salt: str = "", method: str = "
         return F.pmod(F.xxhash64(salted), F.lit(int(modulus)))
     digest = F.md5(salted)
     return F.pmod(F.conv(F.substring(digest, 1, 7), 16, 10).cast("long"), F.lit(int(modulus)))
+
+
+#: Range of :func:`hash_position`: 60 bits, the longest hex prefix that fits a signed 64-bit integer.
+HASH_RANGE = 1 << 60
+
+
+def hash_position(key: str | Column, salt: str = "") -> Column:
+    """Layout-independent position of a key in ``[0, HASH_RANGE)``: the first 15
+    hex digits of its md5, so other engines get the same number."""
+    text = col(key).cast("string")
+    salted = F.concat(text, F.lit(salt)) if salt else text
+    return F.conv(F.substring(F.md5(salted), 1, 15), 16, 10).cast("long")

@@ -2,7 +2,7 @@
 
 ``bernoulli_sample`` / ``random_split`` are Spark's seeded samplers; their
 result depends on the partition layout.  ``hash_sample`` / ``hash_split`` pick
-rows by an md5 bucket of a key, so the same rows are chosen for any layout,
+rows by the md5 hash of a key, so the same rows are chosen for any layout,
 cluster size or retry, and other engines can reproduce the choice.
 """
 from __future__ import annotations
@@ -12,8 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import hash_bucket
+from ..functions.columns import HASH_RANGE, hash_bucket, hash_position
 
+#: Number of display buckets of :func:`with_hash_bucket`; samples and splits use the whole hash range.
 HASH_MODULUS = 10000
 
 
@@ -45,39 +46,44 @@ def with_hash_bucket(df: DataFrame, key: str, modulus: int = HASH_MODULUS, out:
     return df.withColumn(out, hash_bucket(key, modulus, salt))
 
 
-def hash_sample(df: DataFrame, key: str, fraction: float, modulus: int = HASH_MODULUS,
-                salt: str = "") -> DataFrame:
-    """The rows whose key bucket is below ``fraction * modulus``."""
-    cut = int(round(fraction * modulus))
-    return df.where(hash_bucket(key, modulus, salt) < F.lit(cut))
+def hash_sample(df: DataFrame, key: str, fraction: float, salt: str = "") -> DataFrame:
+    """The rows whose key hash lies in the first ``fraction`` of its 60-bit range.
 
+    Samples of one salt are nested; a positive fraction too small for the
+    range is an error, never an empty sample.
+    """
+    if not 0.0 <= fraction <= 1.0:
+        raise ValueError("fraction must lie between 0 and 1")
+    cut = int(fraction * HASH_RANGE)
+    if fraction > 0 and cut == 0:
+        raise ValueError(f"fraction {fraction} is below the resolution of the key hash")
+    return df.where(hash_position(key, salt) < F.lit(cut))
+
+
+def _edges(weights: Sequence[float]) -> list[int]:
+    total, acc, edges = float(sum(weights)), 0.0, []
+    for w in weights[:-1]:
+        acc += w
+        edges.append(int(acc / total * HASH_RANGE))
+    return [0, *edges, HASH_RANGE]
 
-def hash_split(df: DataFrame, key: str, weights: Sequence[float] = (0.8, 0.2),
-               modulus: int = HASH_MODULUS, salt: str = "") -> list[DataFrame]:
-    """Disjoint, complete split by key bucket ranges proportional to ``weights``.
+
+def hash_split(df: DataFrame, key: str, weights: Sequence[float] = (0.8, 0.2), salt: str = "") -> list[DataFrame]:
+    """Disjoint, complete split by key hash ranges proportional to ``weights``.
 
     Use a ``salt`` when ``df`` is itself a hash sample of the same key, or the
-    parts would only see the sampled bucket range.
+    parts would only see the sampled range.
     """
-    total = float(sum(weights))
-    edges, acc = [0], 0.0
-    for w in weights:
-        acc += w
-        edges.append(int(round(acc / total * modulus)))
-    b = hash_bucket(key, modulus, salt)
-    return [df.where((b >= F.lit(lo)) & (b < F.lit(hi))) for lo, hi in zip(edges[:-1], edges[1:])]
+    edges = _edges(weights)
+    position = hash_position(key, salt)
+    return [df.where((position >= F.lit(lo)) & (position < F.lit(hi))) for lo, hi in zip(edges[:-1], edges[1:])]
 
 
 def split_labels(df: DataFrame, key: str, weights: Sequence[float] = (0.8, 0.2),
-                 names: Sequence[str] = ("train", "test"), modulus: int = HASH_MODULUS,
-                 salt: str = "") -> DataFrame:
+                 names: Sequence[str] = ("train", "test"), salt: str = "") -> DataFrame:
     """R4 as one column: the part name of every row (no row is dropped)."""
-    total = float(sum(weights))
-    b = hash_bucket(key, modulus, salt)
-    expr = None
-    acc = 0.0
-    for w, name in zip(weights, names):
-        acc += w
-        hi = int(round(acc / total * modulus))
-        expr = F.when(b < F.lit(hi), F.lit(name)) if expr is None else expr.when(b < F.lit(hi), F.lit(name))
-    return df.withColumn("part", expr.otherwise(F.lit(names[-1])))
+    position = hash_position(key, salt)
+    part = F.lit(names[-1])
+    for hi, name in reversed(list(zip(_edges(weights)[1:-1], names))):
+        part = F.when(position < F.lit(hi), F.lit(name)).otherwise(part)
+    return df.withColumn("part", part)

@@ -5,9 +5,9 @@
 * ``data_scaling``: fit time for growing fractions at fixed parallelism.  The
   fractions are nested hash samples of a key, so a larger fraction always
   contains the smaller one and the sample survives repartitioning.
-* ``parallelism_scaling``: fit time at fixed volume for several partition
-  counts inside the caller's session.  On a cluster, one submission per
-  executor count appends a row to the metrics table instead.
+* ``timed_run``: the fit time of one submission with the parallelism its
+  session really has.  Submissions of different sizes append their rows to one
+  metrics table, over which ``speedup`` is computed.
 * ``speedup`` / ``linear_reference``: window expressions over a results table.
   Those tables hold one row per timed run (a handful), so their windows
   without a partition key are bounded by construction.
@@ -15,14 +15,13 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from ..functions.columns import hash_bucket
-from .sampling import HASH_MODULUS
+from .sampling import hash_sample
 
 
 def time_fit(estimator, train: DataFrame, materialise: bool = True):
@@ -38,10 +37,9 @@ def time_fit(estimator, train: DataFrame, materialise: bool = True):
 
 def iterations(model) -> int | None:
     """Optimiser iterations of a fitted model when it reports them (LR), else None."""
-    try:
-        return int(model.summary.totalIterations)
-    except Exception:
+    if not getattr(model, "hasSummary", False):
         return None
+    return getattr(model.summary, "totalIterations", None)
 
 
 DATA_SCALING_SCHEMA = StructType([
@@ -64,7 +62,7 @@ def data_scaling(estimator, train: DataFrame, fractions: Sequence[float] = (0.05
         if frac >= 1.0:
             part = train
         elif key is not None:
-            part = train.where(hash_bucket(key, HASH_MODULUS) < F.lit(int(round(frac * HASH_MODULUS))))
+            part = hash_sample(train, key, frac)
         else:
             part = train.sample(False, float(frac), seed=seed)
         owned = not part.is_cached
@@ -78,7 +76,7 @@ def data_scaling(estimator, train: DataFrame, fractions: Sequence[float] = (0.05
     return linear_reference(spark.createDataFrame(rows, DATA_SCALING_SCHEMA))
 
 
-PARALLELISM_SCHEMA = StructType([
+RUN_SCHEMA = StructType([
     StructField("cores", IntegerType()),
     StructField("n_rows", LongType()),
     StructField("train_seconds", DoubleType()),
@@ -86,25 +84,20 @@ PARALLELISM_SCHEMA = StructType([
 ])
 
 
-def parallelism_scaling(build_estimator: Callable[[SparkSession], object], train: DataFrame,
-                        partitions: Sequence[int] = (1, 2, 4, 8), repeats: int = 1) -> DataFrame:
-    """Fixed volume, varying parallelism (partition count), with speed-up columns.
+def timed_run(estimator, train: DataFrame, repeats: int = 1) -> DataFrame:
+    """One row of this submission: its cores, rows, fastest fit of ``repeats``.
 
-    With ``repeats > 1`` each level keeps its fastest fit (less timing noise).
+    ``cores`` is the parallelism the session really has (total executor cores);
+    the frame is cached as it is, never dealt into fewer partitions.
     """
     spark = train.sparkSession
-    rows = []
-    for k in partitions:
-        part = train.repartition(int(k)).cache()
-        n = part.count()
-        best = None
-        for _ in range(max(1, repeats)):
-            secs, model = time_fit(build_estimator(spark), part, materialise=False)
-            if best is None or secs < best[0]:
-                best = (secs, iterations(model))
-        rows.append((int(k), int(n), float(best[0]), best[1]))
-        part.unpersist()
-    return speedup(spark.createDataFrame(rows, PARALLELISM_SCHEMA))
+    owned = not train.is_cached
+    data = train.cache() if owned else train
+    n = data.count()
+    secs, model = min((time_fit(estimator, data, materialise=False) for _ in range(max(1, repeats))), key=lambda r: r[0])
+    if owned:
+        data.unpersist()
+    return spark.createDataFrame([(spark.sparkContext.defaultParallelism, n, float(secs), iterations(model))], RUN_SCHEMA)
 
 
 def speedup(results: DataFrame, cores_col: str = "cores", secs_col: str = "train_seconds") -> DataFrame:
@@ -113,7 +106,7 @@ def speedup(results: DataFrame, cores_col: str = "cores", secs_col: str = "train
     The baseline is the run with the fewest cores (not whichever row comes
     first), scaled to per-core ideal: ideal = cores / base_cores.
     """
-    w = Window.orderBy(cores_col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    w = Window.orderBy(cores_col, secs_col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     base_secs = F.first(secs_col).over(w)
     base_cores = F.first(cores_col).over(w)
     out = results.withColumn("speedup", F.try_divide(base_secs, F.col(secs_col))) \
@@ -123,6 +116,6 @@ def speedup(results: DataFrame, cores_col: str = "cores", secs_col: str = "train
 
 def linear_reference(results: DataFrame, n_col: str = "n_rows", secs_col: str = "train_seconds") -> DataFrame:
     """The time a linear law through the smallest run would predict."""
-    w = Window.orderBy(n_col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    w = Window.orderBy(n_col, secs_col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rate = F.try_divide(F.first(secs_col).over(w), F.first(n_col).over(w))
     return results.withColumn("linear_seconds", rate * F.col(n_col))
