@@ -1,5 +1,8 @@
 """Schema-drift ingest: int32 / int64 / double files in one folder become one canonical frame."""
 import datetime as dt
+import os
+import subprocess
+import sys
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -10,6 +13,8 @@ from tipscope.operators import prepare as P
 from tipscope.sources import parquet as PQ
 from tipscope.specs import CANONICAL_TYPES, TripSpec
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def write_month(path, month, pc_type, pay_type, n=50):
     start = [dt.datetime(2023, month, 1, 8) + dt.timedelta(minutes=7 * i) for i in range(n)]
@@ -56,14 +61,47 @@ def test_load_trips_repairs_drift(spark, drifted):
     assert [c for c in df.columns] == list(CANONICAL_TYPES)  # extra columns dropped
 
 
-def test_footer_pass_in_tasks_matches_driver(spark, drifted):
+def test_folder_listing_leaves_nothing_out(spark, drifted, tmpdir_path):
+    PQ.load_trips(spark, drifted).limit(30).coalesce(1).write.parquet(f"{drifted}/month_05.parquet")
     files = PQ.list_parquet_files(spark, drifted)
-    in_tasks = PQ.group_by_schema_in_tasks(spark, files)
-    on_driver = PQ.group_by_schema(spark, files)
-    assert sorted(map(sorted, in_tasks.values())) == sorted(map(sorted, on_driver.values()))
-    a = PQ.load_trips(spark, drifted, footer_pass="tasks")
-    b = PQ.load_trips(spark, drifted, footer_pass="driver")
-    assert a.count() == 200 and a.exceptAll(b).count() == 0
+    assert len(files) == 5 and sum("month_05.parquet/part-" in f for f in files) == 1
+    assert PQ.load_trips(spark, drifted).count() == 230
+    spark.range(3).write.parquet(f"{drifted}/other")
+    with pytest.raises(ValueError):
+        PQ.list_parquet_files(spark, drifted)
+
+
+def test_many_files_load_from_any_working_directory(spark, tmpdir_path):
+    """70 files in two layouts, in a process that runs outside the repository."""
+    for k in range(70):
+        pq.write_table(pa.table({"fare_amount": pa.array([k], pa.int32() if k % 2 else pa.float64())}), f"{tmpdir_path}/f{k:02d}.parquet")
+    code = (f"import sys; sys.path[:0] = {[ROOT, ROOT + '/tests']!r}\n"
+            "from local_spark import session; from tipscope.sources import parquet as PQ; from tipscope.specs import TripSpec\n"
+            "spark = session('elsewhere', 2)\n"
+            f"df = PQ.load_trips(spark, {tmpdir_path!r}, TripSpec(canonical_types=(('fare_amount', 'double'),)))\n"
+            "print('TOTAL', df.count(), df.agg({'fare_amount': 'sum'}).first()[0])\n")
+    done = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True, timeout=300)
+    assert "TOTAL 70 2415.0" in done.stdout, done.stderr[-2000:]
+
+
+def test_hours_are_those_of_the_file_in_any_session_zone(spark, drifted):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    df = P.add_time_features(PQ.load_trips(spark, drifted), TripSpec())
+    hours = {r[0] for r in df.select("pickup_hour").distinct().collect()}
+    assert hours == {8, 9, 10, 11, 12, 13}  # 08:00 and 50 trips seven minutes apart
+
+
+def test_prefilter_equals_no_prefilter_on_inexact_columns(spark, tmpdir_path):
+    write_month(tmpdir_path, 1, pa.int64(), pa.int64())
+    odd = pq.read_table(f"{tmpdir_path}/month_01.parquet").to_pandas()
+    odd["payment_type"] = [1.4 if i % 2 else 1.0 for i in range(len(odd))]
+    odd.to_parquet(f"{tmpdir_path}/month_02.parquet")
+    odd["payment_type"] = ["1" if i % 3 else "card" for i in range(len(odd))]
+    odd["fare_amount"] = odd["fare_amount"].astype(str)
+    odd.to_parquet(f"{tmpdir_path}/month_03.parquet")
+    spec = TripSpec()
+    plain, pushed = (P.clean_trips(PQ.load_trips(spark, tmpdir_path, spec, prefilter=p, safe=True), spec) for p in (False, True))
+    assert plain.count() == pushed.count() > 60 and plain.exceptAll(pushed).count() == 0
 
 
 def test_prefilter_does_not_change_cleaning(spark, drifted):
@@ -95,7 +133,7 @@ def test_union_by_name_keeps_duplicates(spark):
 
 
 def test_manifest_roundtrip_skips_footer_pass(spark, drifted, tmpdir_path):
-    groups = PQ.group_by_schema_in_tasks(spark, PQ.list_parquet_files(spark, drifted))
+    groups = PQ.group_by_schema(spark, PQ.list_parquet_files(spark, drifted))
     path = PQ.write_manifest(spark, groups, tmpdir_path + "/manifest")
     manifest = PQ.read_manifest(spark, path)
     assert sorted(map(sorted, manifest.values())) == sorted(map(sorted, groups.values()))
@@ -132,17 +170,16 @@ def test_default_taxi_spec_end_to_end(spark, drifted):
     out = J.exploration(raw)
     assert out["retention"].first()["n_clean"] == n
     assert out["class_histogram"].count() > 0
-    board = J.flagship(raw).first()
-    assert board["n_clean"] == n and 0.0 <= board["auc"] <= 1.0
+    out = J.experiment(raw, models=["LogisticRegression"], fractions=(1.0,))
+    assert out["summary"].first()["n_clean"] == n and out["summary"].first()["n_raw"] == raw.count()
+    assert 0.0 <= out["models"].first()["auc"] <= 1.0
 
 
-def test_spark_written_folders_group_in_tasks(spark, tmpdir_path):
+def test_plain_subfolders_are_one_dataset(spark, tmpdir_path):
     base = tmpdir_path + "/months"
-    df = spark.range(20).select(F.col("id").alias("fare_amount"))
+    df = spark.range(20).select(F.col("id").alias("fare_amount")).coalesce(1)
     df.write.parquet(base + "/m1")
     df.select(F.col("fare_amount").cast("double")).write.parquet(base + "/m2")
     files = PQ.list_parquet_files(spark, base)
     assert len(files) == 2
-    tasks = PQ.group_by_schema_in_tasks(spark, files)
-    driver = PQ.group_by_schema(spark, files)
-    assert len(tasks) == len(driver) == 2
+    assert len(PQ.group_by_schema(spark, files)) == 2

@@ -12,107 +12,88 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.columns import within
+from ..session import configure
 from ..specs import TripSpec
 
 
+def _hidden(name: str) -> bool:
+    return name.startswith(("_", "."))
+
+
 def list_parquet_files(spark: SparkSession, path: str) -> list[str]:
-    """Sorted Parquet files under ``path`` (or ``path`` itself if it is a file).
+    """Sorted Parquet files of ``path``: itself if it is a file, else the
+    ``*.parquet`` files in it and the part files of its ``*.parquet`` folders.
+    A folder that holds neither but plain sub-folders (months, partitions) is
+    one dataset: all files below count.
 
     Listing goes through the Hadoop file system of the session, so it works on
-    HDFS and object stores as well as on local disks.
+    HDFS and object stores as well as on local disks.  A folder that mixes
+    ``*.parquet`` entries with other sub-folders that hold Parquet files is
+    ambiguous and an error: nothing is left out silently.
     """
     jvm = spark.sparkContext._jvm
-    hconf = spark.sparkContext._jsc.hadoopConfiguration()
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(hconf)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(hpath):
         raise FileNotFoundError(f"no such path: {path}")
     status = fs.getFileStatus(hpath)
     if status.isFile():
         return [status.getPath().toString()]
-    files = [
-        s.getPath().toString()
-        for s in fs.listStatus(hpath)
-        if s.isFile() and s.getPath().getName().endswith(".parquet")
-    ]
-    # Spark-written directories hold part files; treat such a directory as one file set.
-    if not files:
-        files = [
-            s.getPath().toString()
-            for s in fs.listStatus(hpath)
-            if s.isDirectory() and not s.getPath().getName().startswith(("_", "."))
-        ]
-    if not files:
+
+    def below(folder) -> list[str]:
+        found, entries = [], fs.listFiles(folder, True)
+        top = len(folder.toString().rstrip("/")) + 1
+        while entries.hasNext():
+            name = entries.next().getPath().toString()
+            if name.endswith(".parquet") and not any(_hidden(part) for part in name[top:].split("/")):
+                found.append(name)
+        return found
+
+    named, plain = [], []
+    for s in fs.listStatus(hpath):
+        entry = s.getPath()
+        if _hidden(entry.getName()):
+            continue
+        if entry.getName().endswith(".parquet"):
+            named += below(entry) if s.isDirectory() else [entry.toString()]
+        elif s.isDirectory():
+            plain += below(entry)
+    if named and plain:
+        raise ValueError(f"{path} holds Parquet files both as *.parquet entries and in other sub-folders "
+                         f"(such as {plain[0]}); name one of them")
+    if not named and not plain:
         raise FileNotFoundError(f"no Parquet files under {path}")
-    return sorted(files)
+    return sorted(named or plain)
+
+
+#: Footers read at the same time; each read is one short Spark job.
+FOOTER_THREADS = 16
 
 
 def group_by_schema(spark: SparkSession, files: Iterable[str]) -> "OrderedDict[str, list[str]]":
-    """Group files by their physical schema (footer of each file, read on the driver).
+    """Group files by their physical schema, whatever their number.
 
-    For very large file counts pass a precomputed manifest to :func:`load_trips`
-    instead; this loop only reads footers, never data.
+    Every footer is read by Spark itself through the session's file systems;
+    only schemas come back.  For very many files store the result once
+    (:func:`write_manifest`) and pass it to :func:`load_trips`.
     """
+    files = list(files)
+    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+        keys = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), files))
     groups: "OrderedDict[str, list[str]]" = OrderedDict()
-    for f in files:
-        key = spark.read.parquet(f).schema.json()
+    for key, f in zip(keys, files):
         groups.setdefault(key, []).append(f)
     return groups
 
 
-DRIVER_FOOTER_LIMIT = 64
-
-
-def _arrow_uri(path: str) -> str:
-    return "file://" + path[len("file:"):] if path.startswith("file:/") and not path.startswith("file://") else path
-
-
-def footer_schemas(spark: SparkSession, files: list[str]) -> DataFrame:
-    """(path, schema_key) per file, with the footers read inside tasks.
-
-    Only the path list (metadata) is shipped; each task opens its files with
-    pyarrow's file system layer (local, HDFS or object store URIs) and reads
-    the footer, so thousands of files are grouped in parallel.
-    """
-    import pandas as pd
-
-    def read(batches):
-        import pyarrow.fs as pafs
-        import pyarrow.parquet as pq
-
-        for pdf in batches:
-            keys = []
-            for p in pdf["path"]:
-                fs, rel = pafs.FileSystem.from_uri(_arrow_uri(p))
-                if fs.get_file_info(rel).type == pafs.FileType.Directory:
-                    # a Spark-written folder: its part files share one schema
-                    parts = sorted(i.path for i in fs.get_file_info(pafs.FileSelector(rel))
-                                   if i.path.endswith(".parquet"))
-                    rel = parts[0]
-                with fs.open_input_file(rel) as fh:
-                    schema = pq.read_schema(fh)
-                keys.append(";".join(f"{f.name}:{f.type}" for f in schema))
-            yield pd.DataFrame({"path": pdf["path"], "schema_key": keys})
-
-    n = max(1, min(len(files), spark.sparkContext.defaultParallelism * 4))
-    paths = spark.createDataFrame([(f,) for f in files], "path string").repartition(n)
-    return paths.mapInPandas(read, "path string, schema_key string")
-
-
-def group_by_schema_in_tasks(spark: SparkSession, files: list[str]) -> "OrderedDict[str, list[str]]":
-    """Like :func:`group_by_schema`, with the footer pass distributed."""
-    rows = (footer_schemas(spark, files).groupBy("schema_key")
-            .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-            .orderBy(F.element_at("paths", 1)).collect())
-    return OrderedDict((r["schema_key"], list(r["paths"])) for r in rows)
-
-
 def normalise(df: DataFrame, types: Mapping[str, str], safe: bool = False) -> DataFrame:
     """Cast every canonical column to its type and drop the rest.
 
@@ -149,10 +130,11 @@ def write_manifest(spark: SparkSession, groups: Mapping[str, list[str]], path: s
 
 
 def read_manifest(spark: SparkSession, path: str) -> "OrderedDict[str, list[str]]":
-    rows = (spark.read.parquet(path).groupBy("schema_key")
-            .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-            .orderBy(F.element_at("paths", 1)).collect())
-    return OrderedDict((r["schema_key"], list(r["paths"])) for r in rows)
+    """The stored groups: (schema, path) rows streamed in order, one per file."""
+    groups: "OrderedDict[str, list[str]]" = OrderedDict()
+    for row in spark.read.parquet(path).orderBy("path").toLocalIterator():
+        groups.setdefault(row["schema_key"], []).append(row["path"])
+    return groups
 
 
 def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
@@ -163,36 +145,41 @@ def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+#: Physical types whose comparison gives the same rows before and after a cast
+#: to the canonical type: the cast widens, keeps every value and keeps order.
+_LOSSLESS = {
+    "int": {"tinyint", "smallint", "int"},
+    "bigint": {"tinyint", "smallint", "int", "bigint"},
+    "double": {"tinyint", "smallint", "int", "float", "double"},
+}
+
+
 def physical_prefilter(schema: StructType, spec: TripSpec) -> Column | None:
-    """Cleaning predicates expressed on the *physical* columns of one schema group.
+    """Cleaning predicates on the *physical* columns of one schema group.
 
-    After a narrowing or type-changing cast Catalyst can only push ``IsNotNull``
-    into the scan; comparing in the physical type lets Parquet skip row groups
-    by min/max statistics.  The same rules are applied again after the cast, so
-    the result is unchanged.
+    After a type-changing cast Catalyst can only push ``IsNotNull`` into the
+    scan; comparing in the physical type lets Parquet skip row groups by
+    statistics.  A rule is emitted only where the cast to the canonical type
+    keeps every value and its order; columns of other types (a double read as
+    int, a string) get no predicate, so the cleaned result never changes.
     """
-    names = {f.name.lower(): f.name for f in schema.fields}
-    preds = []
-
-    def rng(name, bound):
-        phys = names.get(name.lower())
-        if phys is None:
-            return
-        c = F.col(phys)
-        if bound.lo is not None:
-            preds.append(c >= bound.lo if bound.lo_inclusive else c > bound.lo)
-        if bound.hi is not None:
-            preds.append(c <= bound.hi if bound.hi_inclusive else c < bound.hi)
-
-    pay = names.get(spec.payment.lower())
+    physical = {f.name.lower(): f for f in schema.fields}
+
+    def exact(name: str) -> Column | None:
+        field = physical.get(name.lower())
+        if field is None or field.dataType.simpleString() not in _LOSSLESS.get(spec.types.get(name, ""), ()):
+            return None
+        return F.col(f"`{field.name}`")
+
+    rules = []
+    pay = exact(spec.payment)
     if pay is not None:
-        preds.append(F.col(pay) == spec.card_payment)
-    rng(spec.fare, spec.fare_bounds)
-    rng(spec.distance, spec.distance_bounds)
-    rng(spec.passengers, spec.passenger_bounds)
-    if not preds:
-        return None
-    return reduce(lambda a, b: a & b, preds)
+        rules.append(pay == spec.card_payment)
+    for name, bound in ((spec.fare, spec.fare_bounds), (spec.distance, spec.distance_bounds), (spec.passengers, spec.passenger_bounds)):
+        column = exact(name)
+        if column is not None:
+            rules.append(within(column, bound))
+    return reduce(lambda a, b: a & b, rules) if rules else None
 
 
 def load_trips(
@@ -201,30 +188,21 @@ def load_trips(
     spec: TripSpec | None = None,
     manifest: Mapping[str, list[str]] | None = None,
     prefilter: bool = False,
-    footer_pass: str = "auto",
     safe: bool = False,
 ) -> DataFrame:
     """Read every Parquet file under ``path`` as one canonical DataFrame (S3).
 
     ``manifest`` maps any key to a list of files known to share one schema; it
-    skips the footer pass.  Otherwise footers are read on the driver for up to
-    ``DRIVER_FOOTER_LIMIT`` files and inside tasks beyond (``footer_pass`` =
-    "driver" / "tasks" forces one).  ``prefilter=True`` pushes the spec's plain
-    range rules into each group's scan (use it when the result is cleaned anyway).
+    skips the footer pass.  ``prefilter=True`` pushes the spec's plain range
+    rules into each group's scan (use it when the result is cleaned anyway).
+    Wall-clock columns are cast in UTC, whatever the caller's time zone was,
+    so hours and weekdays are those written in the files.
     """
+    configure(spark)  # before any cast of a wall-clock time is planned
     spec = spec or TripSpec()
-    if manifest is not None:
-        groups = manifest
-    else:
-        files = list_parquet_files(spark, path)
-        if footer_pass == "auto":
-            footer_pass = "driver" if len(files) <= DRIVER_FOOTER_LIMIT else "tasks"
-        groups = (group_by_schema(spark, files) if footer_pass == "driver"
-                  else group_by_schema_in_tasks(spark, files))
+    groups = manifest if manifest is not None else group_by_schema(spark, list_parquet_files(spark, path))
     frames = []
     for files in groups.values():
-        pre = None
-        if prefilter:
-            pre = physical_prefilter(spark.read.parquet(files[0]).schema, spec)
+        pre = physical_prefilter(spark.read.parquet(files[0]).schema, spec) if prefilter else None
         frames.append(read_one(spark, files, spec.types, pre, safe))
     return union_by_name(frames)
