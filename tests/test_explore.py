@@ -116,3 +116,22 @@ def test_class_histogram_values_on_bin_edges_follow_numpy(spark):
            if r["feature"] == "trip_distance"}
     counts, _ = np.histogram(np.array(vals), bins=40)
     assert [got.get(b, 0) for b in range(40)] == list(counts)
+
+
+def test_correlation_of_many_columns_with_gaps_and_nan(spark):
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 70)) + rng.normal(size=(400, 1)) + 1e6
+    x[rng.random(x.shape) < 0.1] = np.nan
+    x[:, 3] = 0.1
+    pdf = pd.DataFrame(x, columns=[f"c{i}" for i in range(70)])
+    df = spark.createDataFrame(pdf).withColumn("c5", F.when(~F.isnan("c5"), F.col("c5"))).repartition(5)
+    want = pdf.corr()
+    for r in X.correlation(df, list(pdf.columns)).collect():
+        expected = want.loc[r["col_a"], r["col_b"]]
+        if "c3" in (r["col_a"], r["col_b"]):
+            assert r["r"] is None
+        else:
+            assert r["r"] == pytest.approx(expected, abs=1e-9)

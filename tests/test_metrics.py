@@ -80,9 +80,22 @@ def test_auc_continuous_scores_many_buckets(spark):
     df = spark.createDataFrame(rows, "label int, score double")
     df = df.withColumn("score", F.col("score") + F.col("label") * 0.7).cache()
     assert abs(M.auc(df, buckets=50).first()["auc"] - mllib_auc(df)) < 1e-12
-    sc, n, edges = M.materialise_scores(df, buckets=50)
-    assert n == 5000 and len(edges) > 10
-    assert abs(M.auc(sc, edges=edges).first()["auc"] - mllib_auc(df)) < 1e-12
+
+
+def test_missing_scores_leave_every_metric(spark):
+    rows = [(1, 0.9, 1.0), (0, 0.1, 0.0), (1, float("nan"), 0.0), (0, None, 1.0), (None, 0.5, 1.0), (1, 0.3, None)]
+    df = spark.createDataFrame(rows, "label int, score double, prediction double")
+    r = M.metric_record(df).first()
+    assert (r["auc"], r["accuracy"], r["n_unscored"]) == (1.0, 1.0, 3)
+    none = M.metric_record(df.limit(0)).first()
+    assert none["auc"] is None and none["n_unscored"] == 0
+
+
+def test_metric_record_reads_its_input_once(spark, tmpdir_path):
+    spark.range(1000).selectExpr("cast(id % 2 as int) label", "rand(1) score", "cast(id % 3 as double) prediction").write.parquet(tmpdir_path + "/p")
+    rec = M.metric_record(spark.read.parquet(tmpdir_path + "/p"))
+    plan = rec._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Broadcast" not in plan
 
 
 def test_auc_with_one_hot_score_holding_a_third_of_rows(spark):

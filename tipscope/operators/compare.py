@@ -21,22 +21,15 @@ from .scaling import time_fit
 METRIC_COLUMNS = ("auc", "accuracy", "f1", "precision_w", "recall_w", "recall_pos")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core work: repartition a frame with fewer partitions than the
-    default parallelism (a small training set); larger frames are left as they are."""
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # no RDD API (e.g. a Spark Connect session): leave the layout to Spark
-        return df
-    return df.repartition(par) if parts < par else df
-
-
 def train_and_compare(models: Mapping[str, object], train: DataFrame, test: DataFrame,
                       label_col: str = "label", score_source: str = "probability",
-                      on_result=None) -> DataFrame:
+                      on_result=None, partitions: int | None = None, buckets: int | None = None) -> DataFrame:
     """(model, auc, accuracy, f1, precision_w, recall_w, recall_pos, train_seconds).
 
+    ``partitions`` deals the training rows anew before they are cached (a small
+    training set in few partitions leaves cores idle); by default their layout
+    is left alone.  ``buckets`` is that of :func:`metrics.metric_record`.
+
     ``on_result(row_df)`` is called after each model (e.g. an append sink), so
     a failure later in the sweep keeps the finished results.
     """
@@ -44,7 +37,8 @@ def train_and_compare(models: Mapping[str, object], train: DataFrame, test: Data
     # Iterative learners (GBT, forests with node caching) cut their lineage in
     # the shared checkpoint folder, so a lost executor does not replay every round.
     checkpoint_dir(spark)
-    train = spread(train)
+    if partitions is not None:
+        train = train.repartition(partitions)
     owned = [df for df in (train, test) if not df.is_cached]  # released at the end
     train = train if train.is_cached else train.cache()
     test = test if test.is_cached else test.cache()
@@ -53,12 +47,9 @@ def train_and_compare(models: Mapping[str, object], train: DataFrame, test: Data
     frames = []
     for name, est in models.items():
         secs, model = time_fit(est, train, materialise=False)
-        scored, _, edges = M.materialise_scores(
-            score_model(model, test, score_source).select(label_col, "prediction", "score"))
-        rec = M.metric_record(scored, label_col, "prediction", "score", edges=edges)
-        first = rec.first()  # no row when the test part is empty
+        scored = score_model(model, test, score_source).select(label_col, "prediction", "score")
+        first = M.metric_record(scored, label_col, "prediction", "score", buckets=buckets).first()
         row = first.asDict() if first is not None else {c: None for c in METRIC_COLUMNS}
-        scored.unpersist()
         values = [name] + [None if row[c] is None else float(row[c]) for c in METRIC_COLUMNS] + [float(secs)]
         one = spark.createDataFrame([values], LEADERBOARD_SCHEMA)
         if on_result is not None:
@@ -85,15 +76,22 @@ def leaderboard(pred_long: DataFrame, label_col: str = "label", model_col: str =
 
 
 def best_model(board: DataFrame, model_col: str = "model") -> DataFrame:
-    """O3: arg-max by AUC (and by F1 / minority recall); arg-min by time when present."""
+    """O3: best by AUC, F1 and minority recall, fastest when times are present.
+
+    Of models that tie, the first by name; NULL values never win.
+    """
+    def first_by(column: str, sign: int):
+        ranked = F.when(F.col(column).isNotNull(), F.struct((F.col(column) * sign).alias("v"), F.col(model_col).alias("m")))
+        return F.min(ranked)["m"]
+
     aggs = [
-        F.max_by(model_col, "auc").alias("best_auc_model"),
+        first_by("auc", -1).alias("best_auc_model"),
         F.max("auc").alias("best_auc"),
-        F.max_by(model_col, "f1").alias("best_f1_model"),
-        F.max_by(model_col, "recall_pos").alias("best_recall_pos_model"),
+        first_by("f1", -1).alias("best_f1_model"),
+        first_by("recall_pos", -1).alias("best_recall_pos_model"),
     ]
     if "train_seconds" in board.columns:
-        aggs.append(F.min_by(model_col, "train_seconds").alias("fastest_model"))
+        aggs.append(first_by("train_seconds", 1).alias("fastest_model"))
     return board.agg(*aggs)
 
 
@@ -107,11 +105,16 @@ def report_rows(board: DataFrame) -> DataFrame:
 
 
 def cost_tradeoff(board: DataFrame, cost_col: str = "train_seconds", model_col: str = "model") -> DataFrame:
-    """(model, cost, auc, pareto) — pareto when no cheaper-or-equal model has a higher AUC.
+    """(model, cost, auc, pareto): pareto when no other model is at least as
+    good in both cost and AUC and better in one.  Models equal in both are
+    flagged alike; one without a cost or an AUC is not flagged.
 
-    The window runs over the leaderboard, one row per model (a bounded table).
+    The windows run over the leaderboard, one row per model (a bounded table).
     """
-    w = Window.orderBy(F.col(cost_col), F.col("auc").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    best_before = F.max("auc").over(w)
-    return board.select(model_col, cost_col, "auc").withColumn(
-        "pareto", F.coalesce(F.col("auc") > best_before, F.lit(True)))
+    known = F.col(cost_col).isNotNull() & F.col("auc").isNotNull()
+    comparable = F.when(known, F.col("auc"))
+    upto = Window.partitionBy(known).orderBy(F.col(cost_col).cast("double"))
+    best_upto = F.max(comparable).over(upto.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    cost_of_best = F.min(F.col(cost_col).cast("double")).over(Window.partitionBy(known, "auc"))
+    return board.select(model_col, cost_col, "auc", F.coalesce(
+        known & (F.col("auc") == best_upto) & (F.col(cost_col) == cost_of_best), F.lit(False)).alias("pareto"))

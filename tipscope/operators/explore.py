@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -21,6 +21,8 @@ from ..specs import (
     RATIO_HISTOGRAM_MAX,
     TripSpec,
 )
+from ..session import checkpoint_dir
+from ..sources.sinks import new_run_id, read_parquet, write_parquet
 from . import prepare as P
 
 
@@ -99,61 +101,81 @@ def correlation_columns(spec: TripSpec | None = None) -> list[str]:
     return [c for c in s.numeric_features if c not in CORRELATION_EXCLUDED] + [s.label_col]
 
 
+def _pair_moments(k: int):
+    """Map function: count, means and co-moments of every column pair of a task.
+
+    Each Arrow batch is reduced by matrix products with its mask of present
+    values (after centring, so no precision is lost) and merged exactly into
+    the task's running moments; a task emits one row per pair.
+    """
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        zero = np.zeros((k, k))
+        n, mean, own, both = zero, zero, zero, zero  # of i over rows where i and j are present
+        for batch in batches:
+            x = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), dtype=float) for c in batch.columns]) \
+                if batch.num_rows else np.empty((0, k))
+            here = ~np.isnan(x)
+            present = here.astype(float)
+            # centre on a value of the column, then on the mean of the differences:
+            # a constant column has differences of exactly 0
+            first = x[here.argmax(axis=0), np.arange(k)] if len(x) else np.zeros(k)
+            first = np.where(here.any(axis=0), first, 0.0)
+            z = np.where(here, x - first, 0.0)
+            shift = z.sum(axis=0) / np.maximum(present.sum(axis=0), 1)
+            z = np.where(here, z - shift, 0.0)
+            centre = first + shift
+            bn = present.T @ present
+            safe = np.maximum(bn, 1)
+            m = z.T @ present / safe  # mean of i - centre over the pair's rows
+            bown = (z * z).T @ present - bn * m * m
+            bboth = z.T @ z - bn * m * m.T
+            bmean = m + centre[:, None]
+            total = n + bn
+            share = n * bn / np.maximum(total, 1)
+            step = bmean - mean
+            own = own + bown + share * step * step
+            both = both + bboth + share * step * step.T
+            mean = mean + step * (bn / np.maximum(total, 1))
+            n = total
+        i, j = np.triu_indices(k)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(a) for a in (i, j, n[i, j], mean[i, j], mean[j, i], own[i, j], own[j, i], both[i, j])],
+            ["i", "j", "n", "ma", "mb", "caa", "cbb", "cab"])
+
+    return run
+
+
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A10: Pearson correlation matrix in long form (col_a, col_b, r) over all rows.
 
     Pairwise-complete like pandas: each pair uses the rows where both values
-    are present.  One full pass:
-
-    * rows are grouped by their NULL pattern (a bitmask over the columns);
-      each group keeps its size, column means and co-moments (Spark's
-      ``avg`` / ``covar_pop``, which update stably).  With partial
-      aggregation every task emits one row per pattern, so even a pattern
-      holding most rows is merged map-side;
-    * the pattern table (a handful of rows) is unpivoted to one row per
-      (pattern, pair) and the groups where both columns are present are
-      merged exactly: n = sum n_g, mean = sum n_g m_g / n and
-      C = sum n_g (c_g + (ma_g - ma)(mb_g - mb)).
+    are present; NULL and NaN are missing.  One pass over the rows: every task
+    reduces its batches to one row per pair, and those rows (tasks x pairs)
+    are merged exactly: n = sum n_g, mean = sum n_g m_g / n and
+    C = sum (c_g + n_g (ma_g - ma)(mb_g - mb)).
 
     Every pair is reported; a pair without two distinct values gives NULL.
     """
     cols = list(cols)
     k = len(cols)
-    if k > 62:
-        raise ValueError("correlation takes at most 62 columns (NULL patterns are a 64-bit mask)")
-    # Expressions are built as SQL text and sent in one call per step: a k x k
-    # matrix is a few hundred expressions, too many for one Py4J call each.
-    x = [f"CAST(`{c}` AS DOUBLE)" for c in cols]
-    mask = " + ".join(f"CASE WHEN {x[i]} IS NULL THEN 0 ELSE {1 << i} END" for i in range(k))
-    base = df.selectExpr(f"CAST({mask} AS BIGINT) AS mask", *[f"{x[i]} AS c{i}" for i in range(k)])
-    moments = ["count(1) AS n"] + [f"avg(c{i}) AS m{i}" for i in range(k)]
-    moments += [f"covar_pop(c{i}, c{j}) AS v{i}_{j}" for i in range(k) for j in range(i, k)]
-    patterns = base.groupBy("mask").agg(*[F.expr(e) for e in moments])
-    # A pattern with no column present contributes nothing but makes every pair appear.
-    empty = patterns.sparkSession.range(1).selectExpr(
-        "CAST(0 AS BIGINT) AS mask", "CAST(0 AS BIGINT) AS n",
-        *[f"CAST(NULL AS DOUBLE) AS m{i}" for i in range(k)],
-        *[f"CAST(NULL AS DOUBLE) AS v{i}_{j}" for i in range(k) for j in range(i, k)])
-    patterns = patterns.unionByName(empty)
-
-    entries = ", ".join(f"{i}, {j}, m{i}, m{j}, v{i}_{j}, v{i}_{i}, v{j}_{j}"
-                        for i in range(k) for j in range(i, k))
-    per_pair = patterns.selectExpr(
-        "mask", "n", f"stack({k * (k + 1) // 2}, {entries}) AS (i, j, ma, mb, cab, caa, cbb)")
-    present = "(mask & shiftleft(1L, i)) != 0 AND (mask & shiftleft(1L, j)) != 0"
-    per_pair = per_pair.withColumn("w", F.expr(f"CASE WHEN {present} THEN CAST(n AS DOUBLE) ELSE 0D END"))
-    pair = Window.partitionBy("i", "j")  # one partition per pair of a tiny table
-    total = F.sum("w").over(pair)
-    per_pair = per_pair.withColumn("tot", total) \
-        .withColumn("mean_a", F.try_divide(F.sum(F.col("w") * F.coalesce("ma", F.lit(0.0))).over(pair), total)) \
-        .withColumn("mean_b", F.try_divide(F.sum(F.col("w") * F.coalesce("mb", F.lit(0.0))).over(pair), total))
-    da = F.coalesce(F.col("ma") - F.col("mean_a"), F.lit(0.0))
-    db = F.coalesce(F.col("mb") - F.col("mean_b"), F.lit(0.0))
-    w = F.col("w")
-    merged = per_pair.groupBy("i", "j").agg(
-        F.sum(w * (F.coalesce("cab", F.lit(0.0)) + da * db)).alias("sab"),
-        F.sum(w * (F.coalesce("caa", F.lit(0.0)) + da * da)).alias("saa"),
-        F.sum(w * (F.coalesce("cbb", F.lit(0.0)) + db * db)).alias("sbb"),
+    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    per_task = numbers.mapInArrow(_pair_moments(k), "i long, j long, n double, ma double, mb double, caa double, cbb double, cab double")
+    none = df.sparkSession.createDataFrame(  # makes every pair appear, even without a task
+        [(i, j, *[0.0] * 6) for i in range(k) for j in range(i, k)], per_task.schema)
+    rows = per_task.unionByName(none)
+    total = rows.groupBy("i", "j").agg(
+        F.sum("n").alias("tot"), *[e for m in ("ma", "mb") for some in [F.when(F.col("n") > 0, F.col(m))] for e in (
+            F.sum(F.col("n") * F.col(m)).alias(f"sum_{m}"), F.min(some).alias(f"min_{m}"), F.max(some).alias(f"max_{m}"))])
+    total = total.select("i", "j", *[F.when(F.col(f"min_{m}") == F.col(f"max_{m}"), F.col(f"min_{m}")).otherwise(
+        F.try_divide(f"sum_{m}", "tot")).alias(f"mean_{m[1]}") for m in ("ma", "mb")])
+    da, db = F.col("ma") - F.col("mean_a"), F.col("mb") - F.col("mean_b")
+    merged = rows.where("n > 0").join(total, ["i", "j"], "right").groupBy("i", "j").agg(
+        F.sum(F.col("cab") + F.col("n") * da * db).alias("sab"),
+        F.sum(F.col("caa") + F.col("n") * da * da).alias("saa"),
+        F.sum(F.col("cbb") + F.col("n") * db * db).alias("sbb"),
     )
     den = F.sqrt(F.col("saa")) * F.sqrt(F.col("sbb"))  # no underflow of tiny variances
     names = F.array(*[F.lit(c) for c in cols])
@@ -162,8 +184,8 @@ def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     ji = F.struct(F.col("j").alias("a"), F.col("i").alias("b"))
     both_orders = F.when(F.col("i") == F.col("j"), F.array(ij)).otherwise(F.array(ij, ji))
     full = merged.select(F.explode(both_orders).alias("p"), F.when(den > 0, F.col("sab") / den).alias("r"))
-    return full.select(F.element_at(names, F.col("p.a") + 1).alias("col_a"),
-                       F.element_at(names, F.col("p.b") + 1).alias("col_b"), "r")
+    name = lambda c: F.element_at(names, (F.col(c) + 1).cast("int"))
+    return full.select(name("p.a").alias("col_a"), name("p.b").alias("col_b"), "r")
 
 
 def class_histogram(
@@ -255,8 +277,8 @@ def grouped_summaries(df: DataFrame, spec: TripSpec | None = None, month_prefix:
     The class balance, month volumes, ratio histogram and hourly / weekday
     rates are all counts and means, so one ``GROUPING SETS`` aggregate (one
     shuffle, partial aggregation per task) computes them together; each
-    summary is then a slice of that small result, which is cached.  The
-    slices equal :func:`class_balance`, :func:`rows_per_month`,
+    summary is then a slice of that small result, which is written once to the
+    shared checkpoint folder (nothing stays cached).  The slices equal :func:`class_balance`, :func:`rows_per_month`,
     :func:`ratio_histogram`, :func:`rate_by_hour` and :func:`rate_by_weekday`.
     """
     from .balance import balance_from_counts
@@ -284,7 +306,9 @@ def grouped_summaries(df: DataFrame, spec: TripSpec | None = None, month_prefix:
         F.count_if(F.col("label") == 0).alias("n_neg"),
         F.count_if(F.col("label") == 1).alias("n_pos"),
         F.avg("label").alias("low_rate"),
-    ).cache()  # a few hundred rows at most
+    )
+    table = read_parquet(df.sparkSession, write_parquet(  # a few hundred rows at most
+        table, f"{checkpoint_dir(df.sparkSession).rstrip('/')}/summaries-{new_run_id()}"))
     part = {tuple(k): table.where(F.col("gid") == gid(k)) for k in sets}
     months = part[("m",)].select(F.date_format("m", "yyyy-MM").alias("month"), "n_rows")
     if month_prefix is not None:

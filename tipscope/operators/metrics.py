@@ -1,25 +1,22 @@
 """Imbalance-aware evaluation.
 
 The original evaluation launched about ten jobs per model (four multiclass
-evaluator passes, two filtered counts, AUC).  Here the confusion counts come
-from one aggregate and every threshold metric is a column expression over
-them; AUC is exact and distributed (see :func:`auc`).
+evaluator passes, two filtered counts, AUC).  Here the confusion counts
+and the exact AUC come from one table of distinct (group, score, prediction)
+with its class counts: the input is aggregated once, and every metric is an
+expression over that table (see :func:`metric_record`).
 
 All functions accept ``group_cols`` so several models (long form, one
 ``model`` column) are evaluated in the same pass.
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
-
 
 def positive_score(predictions: DataFrame, source: str = "probability", out: str = "score") -> DataFrame:
     """Score of class 1 from an MLlib vector column (``probability`` or ``rawPrediction``)."""
@@ -36,33 +33,25 @@ def confusion(pred: DataFrame, label_col: str = "label", prediction_col: str = "
             .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def _cells(pred, label_col, prediction_col, group_cols):
-    lab = F.col(label_col)
-    prd = F.col(prediction_col)
-    g = list(group_cols)
-    src = pred.where(lab.isNotNull())
-    return src.groupBy(*g).agg(
-        F.count_if((lab == 1) & (prd == 1)).alias("tp"),
-        F.count_if((lab == 0) & (prd == 1)).alias("fp"),
-        F.count_if((lab == 1) & (prd != 1)).alias("fn"),
-        F.count_if((lab == 0) & (prd != 1)).alias("tn"),
-    )
-
-
 def _safe(num, den):
     return F.coalesce(F.try_divide(num.cast("double"), den), F.lit(0.0))
 
 
-def threshold_metrics(pred: DataFrame, label_col: str = "label", prediction_col: str = "prediction",
-                      group_cols: Sequence[str] = ()) -> DataFrame:
-    """Accuracy, weighted precision / recall / F1 and minority recall.
+def _cell_sums(pos, neg, prediction):
+    """Confusion counts as aggregates over class counts per prediction."""
+    hit = prediction == 1
+    return [F.sum(F.when(hit, pos).otherwise(0)).alias("tp"), F.sum(F.when(hit, neg).otherwise(0)).alias("fp"),
+            F.sum(F.when(hit, 0).otherwise(pos)).alias("fn"), F.sum(F.when(hit, 0).otherwise(neg)).alias("tn")]
+
+
+def _threshold_columns():
+    """A13, A14 as expressions over tp, fp, fn, tn.
 
     Per class c: P_c = tp_c / predicted_c, R_c = tp_c / n_c (0 when undefined),
     F1_c their harmonic mean; weighted x = sum_c (n_c / N) x_c.  This equals
     MLlib's multiclass evaluator for binary labels; weighted recall equals
     accuracy by construction.
     """
-    cells = _cells(pred, label_col, prediction_col, group_cols)
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     n1 = tp + fn
     n0 = tn + fp
@@ -72,103 +61,75 @@ def threshold_metrics(pred: DataFrame, label_col: str = "label", prediction_col:
     f1_1 = _safe(2 * p1 * r1, p1 + r1)
     f1_0 = _safe(2 * p0 * r0, p0 + r0)
     w1, w0 = _safe(n1, n), _safe(n0, n)
-    return cells.select(
-        *group_cols, "tp", "fp", "fn", "tn",
+    return [
         _safe(tp + tn, n).alias("accuracy"),
         (w0 * f1_0 + w1 * f1_1).alias("f1"),
         (w0 * p0 + w1 * p1).alias("precision_w"),
         (w0 * r0 + w1 * r1).alias("recall_w"),
         r1.alias("recall_pos"),
-    )
-
-
-def default_buckets(df: DataFrame) -> int:
-    return max(16, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    ]
 
 
-def edge_expr(score_col: str, buckets: int):
-    """Aggregate expression for the bucket edges (approximate score quantiles)."""
-    probs = [i / buckets for i in range(1, max(buckets, 2))]
-    return F.percentile_approx(F.col(score_col).cast("double"), probs, 10000)
-
-
-def clean_edges(q) -> list[float]:
-    q = q if q is not None else []
-    return sorted(set(float(x) for x in q if x is not None and math.isfinite(float(x))))
-
+def threshold_metrics(pred: DataFrame, label_col: str = "label", prediction_col: str = "prediction",
+                      group_cols: Sequence[str] = ()) -> DataFrame:
+    """A13, A14 for predictions without scores: one grouped aggregate."""
+    lab = F.col(label_col)
+    src = pred.where(lab.isNotNull())
+    cells = src.groupBy(*group_cols).agg(
+        *[F.coalesce(c, F.lit(0)).alias(n) for n, c in zip(("tp", "fp", "fn", "tn"), _cell_sums(
+            (lab == 1).cast("long"), (lab == 0).cast("long"), F.col(prediction_col)))])
+    return cells.select(*group_cols, "tp", "fp", "fn", "tn", *_threshold_columns())
 
-def _score_bounds(scores: DataFrame, score_col: str, buckets: int) -> list[float]:
-    """Approximate quantiles of the distinct scores, used only as bucket edges."""
-    if buckets <= 1:
-        return []
-    row = scores.agg(edge_expr(score_col, buckets).alias("q")).first()
-    return clean_edges(row["q"] if row is not None else None)
 
+def metric_record(pred: DataFrame, label_col: str = "label", prediction_col: str | None = "prediction",
+                  score_col: str = "score", group_cols: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+    """One row per group with auc, accuracy, f1, precision_w, recall_w,
+    recall_pos and n_unscored, all over the same rows.
 
-def auc(pred: DataFrame, label_col: str = "label", score_col: str = "score",
-        group_cols: Sequence[str] = (), buckets: int | None = None,
-        edges: Sequence[float] | None = None, materialise: bool = True) -> DataFrame:
-    """Exact area under the ROC curve, distributed.
+    Rows whose score is NULL or NaN, or whose prediction is NULL, cannot be
+    ranked or judged: they are left out of every metric and counted in
+    ``n_unscored``.  Rows without a label count nowhere.
 
     AUC = sum over positives of (negatives scored lower + half the negatives
-    tied) / (P * N).  Rows are first aggregated to one row per distinct score
-    (partial aggregation, so a hot score costs nothing).  Distinct scores are
-    then cut into ``buckets`` ranges at approximate quantiles: the negatives
-    below a score are (negatives in earlier buckets) + (a running sum inside
-    its own bucket).  Each window works on one bucket only, and the per-bucket
-    offsets are a table of ``buckets`` rows, so no step puts all scores in
-    one task.  The edges only group the work; the result is exact.  Pass
-    ``edges`` (e.g. from :func:`materialise_scores`) to skip the pass that
-    estimates them; row quantiles bound the distinct scores per bucket too.
+    tied) / (P * N).  Rows are first aggregated to one row per distinct
+    (group, score, prediction); that table is range-partitioned by score, and
+    the negatives below a score are (negatives of earlier ranges) + (a running
+    sum inside its own range).  Range bounds come from Spark's bounded sample
+    and only group the work, so the result is exact; ``buckets`` sets the number of
+    ranges (default: the session's shuffle partitions), so that a range of
+    distinct scores fits a task.
     """
     g = list(group_cols)
-    lab = F.col(label_col)
-    src = pred.where(lab.isin(0, 1) & F.col(score_col).isNotNull() & ~F.isnan(score_col))
-    per_score = src.groupBy(*g, F.col(score_col).cast("double").alias("s")).agg(
+    lab, score = F.col(label_col), F.col(score_col).cast("double")
+    judged = F.col(prediction_col).cast("double") if prediction_col is not None else F.lit(0.0)
+    ranked = F.when(~F.isnan(score) & judged.isNotNull(), score)
+    counts = pred.where(lab.isin(0, 1)).groupBy(*g, ranked.alias("s"), judged.alias("p")).agg(
         F.count_if(lab == 1).alias("pos"), F.count_if(lab == 0).alias("neg"))
-    if materialise:
-        # The per-score table feeds the edge estimate and both branches below;
-        # writing it once to the shared checkpoint folder replaces three
-        # aggregations of the input by one, and cuts the lineage.
-        checkpoint_dir(pred.sparkSession)
-        per_score = per_score.checkpoint(eager=True)
-    if edges is None:
-        edges = _score_bounds(per_score, "s", buckets if buckets is not None else default_buckets(pred))
-    else:
-        edges = clean_edges(edges)
-    if edges:
-        splits = [float("-inf")] + edges + [float("inf")]
-        bucketed = Bucketizer(splits=splits, inputCol="s", outputCol="b").transform(per_score)
-        bucketed = bucketed.withColumn("b", F.col("b").cast("int"))
-    else:
-        bucketed = per_score.withColumn("b", F.lit(0))
-    inside = Window.partitionBy(*g, "b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    bucket = Window.partitionBy(*g, "b")
-    windowed = bucketed.select(
-        *g, "b", "pos", "neg",
-        F.coalesce(F.sum("neg").over(inside), F.lit(0)).alias("neg_in"),
-        F.sum("neg").over(bucket).alias("bneg"),
-        F.sum("pos").over(bucket).alias("bpos"),
-    )
-    # One row per bucket, taken from the same windowed stage (its shuffle is reused).
-    per_bucket = windowed.groupBy(*g, "b").agg(F.max("bneg").alias("bneg"), F.max("bpos").alias("bpos"))
-    before = Window.partitionBy(*g).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*g)
-    offsets = per_bucket.select(
-        *g, "b",
-        F.coalesce(F.sum("bneg").over(before), F.lit(0)).alias("neg_before"),
-        F.sum("bpos").over(whole).alias("n_pos"),
-        F.sum("bneg").over(whole).alias("n_neg"),
-    )
-    # offsets has (number of groups) x buckets rows: bounded, safe to broadcast.
-    joined = windowed.join(F.broadcast(offsets), [*g, "b"])
-    credit = F.col("pos") * (F.col("neg_before") + F.col("neg_in") + F.col("neg") / 2.0)
-    totals = joined.groupBy(*g).agg(
-        F.sum(credit).alias("credit"), F.max("n_pos").alias("n_pos"), F.max("n_neg").alias("n_neg"))
-    return totals.select(
-        *g,
-        F.try_divide(F.col("credit"), F.col("n_pos").cast("double") * F.col("n_neg")).alias("auc"),
-    )
+    by = [*g, "s"]
+    ranges = counts.repartitionByRange(*([buckets] if buckets else []), *by).withColumn("b", F.spark_partition_id())
+    scored = F.col("s").isNotNull()
+    pos, neg = F.when(scored, F.col("pos")).otherwise(0), F.when(scored, F.col("neg")).otherwise(0)
+    inside = Window.partitionBy(*g, "b").orderBy("s")
+    upto = F.sum(neg).over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    tied = F.sum(neg).over(inside.rangeBetween(Window.currentRow, Window.currentRow))
+    per_range = ranges.withColumn("credit", pos * (upto - tied / 2.0)).groupBy(*g, "b").agg(
+        F.sum("credit").alias("credit"), F.sum(pos).alias("bpos"), F.sum(neg).alias("bneg"),
+        F.sum(F.when(scored, 0).otherwise(F.col("pos") + F.col("neg"))).alias("n_unscored"),
+        *_cell_sums(pos, neg, F.col("p")))
+    before = Window.partitionBy(*g).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    below = F.coalesce(F.sum("bneg").over(before), F.lit(0))
+    sums = ["credit", "bpos", "bneg", "n_unscored", "tp", "fp", "fn", "tn"]
+    total = per_range.withColumn("credit", F.col("credit") + F.col("bpos") * below).groupBy(*g).agg(
+        *[F.sum(c).alias(c) for c in sums])
+    auc_value = F.try_divide(F.col("credit"), F.col("bpos").cast("double") * F.col("bneg")).alias("auc")
+    n_unscored = F.coalesce("n_unscored", F.lit(0)).cast("long").alias("n_unscored")
+    return total.select(*g, auc_value, *_threshold_columns(), n_unscored)
+
+
+def auc(pred: DataFrame, label_col: str = "label", score_col: str = "score",
+        group_cols: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+    """Exact area under the ROC curve, distributed (see :func:`metric_record`)."""
+    return metric_record(pred, label_col, None, score_col, group_cols, buckets).select(*group_cols, "auc")
 
 
 def auc_mllib(pred: DataFrame, label_col: str = "label", raw_col: str = "rawPrediction") -> float:
@@ -180,44 +141,13 @@ def auc_mllib(pred: DataFrame, label_col: str = "label", raw_col: str = "rawPred
     return ev.evaluate(pred.withColumn(label_col, F.col(label_col).cast("double")))
 
 
-def materialise_scores(scored: DataFrame, score_col: str = "score", buckets: int | None = None):
-    """Cache ``scored`` and, in the same job, estimate AUC bucket edges.
-
-    Returns (cached frame, row count, edges) so evaluation needs no extra pass.
-    """
-    scored = scored if scored.is_cached else scored.cache()
-    b = buckets if buckets is not None else default_buckets(scored)
-    row = scored.agg(F.count(F.lit(1)).alias("n"), edge_expr(score_col, b).alias("q")).first()
-    return scored, row["n"], clean_edges(row["q"])
-
-
-def metric_record(pred: DataFrame, label_col: str = "label", prediction_col: str = "prediction",
-                  score_col: str = "score", group_cols: Sequence[str] = (),
-                  edges: Sequence[float] | None = None) -> DataFrame:
-    """One row per group with auc, accuracy, f1, precision_w, recall_w, recall_pos.
-
-    Cache ``pred`` first when it is expensive to recompute: the threshold
-    metrics and AUC read it in two plans.
-    """
-    g = list(group_cols)
-    thr = threshold_metrics(pred, label_col, prediction_col, g)
-    a = auc(pred, label_col, score_col, g, edges=edges)
-    # The two results (one row per group each) are stacked and merged by a
-    # tiny aggregate: no join, so no cross product when there is no group key.
-    rest = ["accuracy", "f1", "precision_w", "recall_w", "recall_pos"]
-    none = F.lit(None).cast("double")
-    stacked = thr.select(*g, none.alias("auc"), *rest).unionByName(
-        a.select(*g, "auc", *[none.alias(c) for c in rest]))
-    return stacked.groupBy(*g).agg(*[F.max(c).alias(c) for c in ["auc", *rest]])
-
-
-def evaluate_predictions(predictions: DataFrame, label_col: str = "label",
-                         score_source: str = "probability") -> DataFrame:
+def evaluate_predictions(predictions: DataFrame, label_col: str = "label", score_source: str = "probability",
+                         buckets: int | None = None) -> DataFrame:
     """A15 for MLlib output: one-row metric frame from ``model.transform(test)``.
 
     Takes the class-1 entry of ``score_source`` (``probability`` by default,
-    ``rawPrediction`` for the original ranking) as the AUC score.
+    ``rawPrediction`` for the original ranking) as the AUC score.  Lazy: the
+    predictions are read once, when the frame is.
     """
     scored = positive_score(predictions, score_source).select(label_col, "prediction", "score")
-    scored, _, edges = materialise_scores(scored)
-    return metric_record(scored, label_col, "prediction", "score", edges=edges)
+    return metric_record(scored, label_col, "prediction", "score", buckets=buckets)
