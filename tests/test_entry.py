@@ -6,7 +6,7 @@ import __spark_entry__ as E
 
 from conftest import SF001
 
-TABLES = ["lineitem", "orders", "events", "labels", "documents"]
+TABLES = ["lineitem", "orders", "events", "labels", "documents", "pages", "benchmark", "conversations", "embeddings"]
 
 
 def test_entry_returns_metrics(spark):

@@ -9,7 +9,9 @@ from tipscope.operators import sampling as SM
 from tipscope.plans import catalog as C
 from tipscope.sources import adapters as A
 
-from conftest import SF01
+from pyspark.sql import functions as F
+
+from conftest import SF001, SF01
 
 QUICK = {"RandomForest": {"numTrees": 5, "maxDepth": 4}, "GBT": {"maxIter": 5, "maxDepth": 3},
          "LogisticRegression": {"maxIter": 10}, "DecisionTree": {"maxDepth": 4}}
@@ -81,7 +83,38 @@ def test_exploration_and_parallelism_jobs(spark, tmpdir_path):
     assert out["balance"].first()["total"] == 3956
     assert out["correlation"].count() == 13 * 13
     assert SK.read_metrics(spark, tmpdir_path, "exploration_rate_by_hour").count() == 1  # midnight dates
-    res = J.parallelism(raw, tmpdir_path + "/samples", LINEITEM_TRIPS, rows=2000, partitions=(1, 2))
-    rows = res.orderBy("cores").collect()
-    assert [r["cores"] for r in rows] == [1, 2] and rows[0]["speedup"] == 1.0
-    assert SK.is_complete(spark, SK.sample_path(tmpdir_path + "/samples", rows=2000, seed=42))
+    samples, metrics = tmpdir_path + "/samples", tmpdir_path + "/scaling"
+    rows = J.parallelism(raw, samples, metrics, LINEITEM_TRIPS, rows=2000).collect()
+    assert [r["cores"] for r in rows] == [spark.sparkContext.defaultParallelism] and rows[0]["speedup"] == 1.0
+    assert J.source_key(raw, LINEITEM_TRIPS, "r") != J.source_key(A.trips_from_lineitem(spark, SF001), LINEITEM_TRIPS, "r")
+    assert J.source_key(raw, LINEITEM_TRIPS, "r") != J.source_key(raw, LINEITEM_TRIPS.with_(threshold=0.5), "r")
+    # another submission with other cores adds its level to the table
+    run = SK.read_metrics(spark, metrics, "parallelism").drop("run_id", "written_at")
+    SK.append_metrics(run.withColumn("cores", F.col("cores") * 2).withColumn("train_seconds", F.col("train_seconds") / 2), metrics, "r2", "parallelism")
+    rows = J.parallelism(raw, samples, metrics, LINEITEM_TRIPS, rows=2000).orderBy("cores").collect()
+    assert len(rows) == 2 and rows[1]["ideal"] == 2.0
+
+
+def test_tradeoff_and_best_model_ties(spark):
+    board = spark.createDataFrame(
+        [("b", 0.9, 0.5, 0.5, 1.0), ("a", 0.9, 0.5, 0.6, 1.0), ("c", 0.9, 0.7, 0.6, 2.0), ("d", None, None, None, 0.5), ("e", 0.8, 0.1, 0.1, 0.7),
+         ("f", 0.95, 0.1, 0.1, 3.0)], "model string, auc double, f1 double, recall_pos double, train_seconds double")
+    flags = {r["model"]: r["pareto"] for r in CMP.cost_tradeoff(board).collect()}
+    assert flags == {"a": True, "b": True, "c": False, "d": False, "e": True, "f": True}
+    best = CMP.best_model(board).first()
+    assert (best["best_auc_model"], best["best_f1_model"], best["best_recall_pos_model"], best["fastest_model"]) == ("f", "c", "a", "d")
+
+
+def test_jobs_leave_nothing_cached(spark):
+    from tipscope.plans import jobs as J
+    from tipscope.specs import LINEITEM_TRIPS
+
+    spark.catalog.clearCache()
+    stored = lambda: spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    before = stored()
+    raw = A.trips_from_lineitem(spark, SF001)
+    J.experiment(raw, LINEITEM_TRIPS, model_overrides=QUICK, models=["LogisticRegression"], fractions=(1.0,))
+    out = J.exploration(raw, LINEITEM_TRIPS, histogram_limits=C.T1_HISTOGRAM_LIMITS)
+    for df in out.values():
+        df.unpersist()
+    assert stored() == before

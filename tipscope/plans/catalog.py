@@ -92,6 +92,25 @@ def q_scan_union_by_name(spark, d):
     return PQ.union_by_name([PQ.normalise(a, ORDERS_TYPES), PQ.normalise(b, ORDERS_TYPES)])
 
 
+def q_load_trips_drift(spark, d):
+    """Ingest as a user does it: files of three physical layouts, one as a Spark
+    folder, read as one canonical table with pushed-down rules, then cleaned."""
+    raw = t1_raw(spark, d)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/drift-{SK.new_run_id()}"
+    month = F.month("tpep_pickup_datetime") % 3
+    wide = raw.where(month == 0).withColumn("payment_type", F.col("payment_type").cast("bigint"))
+    text = raw.where(month == 1).withColumn("payment_type", F.col("payment_type").cast("double")).withColumn(
+        "tip_amount", F.col("tip_amount").cast("string"))
+    upper = raw.where(month == 2).withColumnRenamed("airport_fee", "Airport_fee").withColumn("note", F.lit("x")).withColumn(
+        "passenger_count", F.col("passenger_count").cast("int"))
+    for name, part in (("a", wide), ("b", text), ("c", upper)):
+        part.write.parquet(f"{base}/{name}.parquet")
+    types = (*T1.types.items(), ("trip_key", "bigint"), ("trip_line", "int"))
+    loaded = PQ.load_trips(spark, base, T1.with_(canonical_types=types), prefilter=True)
+    clean = round6(P.add_tip_ratio(P.add_label(P.clean_trips(loaded, T1), T1), T1))
+    return clean.withColumns({c: F.col(c).cast("timestamp_ntz") for c in (T1.pickup, T1.dropoff)})
+
+
 # --- cleaning and derived columns ------------------------------------------
 
 def q_clean_trips(spark, d):
@@ -150,6 +169,11 @@ def q_majority_baseline(spark, d):
     return round6(B.majority_baseline(t1_clean(spark, d)))
 
 
+def q_majority_baseline_inverse(spark, d):
+    """Positives in the majority: good documents are label 1 here."""
+    return round6(B.majority_baseline(A.table(spark, d, "labels"), "quality"))
+
+
 def q_class_weights(spark, d):
     clean = t1_clean(spark, d)
     weighted = B.add_class_weights(clean, "label", B.balance_record(clean))
@@ -184,6 +208,24 @@ def q_correlation(spark, d):
     return round6(X.correlation(t1_clean(spark, d), X.correlation_columns(T1)))
 
 
+def t2_prepared(spark, d):
+    """T2 rows with the columns of prepared trips; hours, weekdays and ratios vary."""
+    ev = events_labelled(spark, d).withColumn("tip_pct", F.col("value") / 50.0)
+    return P.add_time_features(ev, T2)
+
+
+def q_correlation_time(spark, d):
+    ev = t2_prepared(spark, d).withColumn("gap", F.when(F.col("event_id") % 7 != 0, F.col("value")).otherwise(
+        F.when(F.col("event_id") % 2 == 0, F.lit(float("nan")))))
+    return round6(X.correlation(ev, ["value", "gap", "pickup_hour", "pickup_dow", "is_weekend", "is_night", "label"]))
+
+
+def _exploration(part):
+    def q(spark, d):
+        return round6(X.grouped_summaries(t2_prepared(spark, d), T2)[part])
+    return q
+
+
 def q_class_histogram(spark, d):
     return round6(X.class_histogram(t1_clean(spark, d), limits=T1_HISTOGRAM_LIMITS))
 
@@ -214,6 +256,13 @@ def q_metric_record(spark, d):
     return round6(M.metric_record(t4(spark, d)))
 
 
+def q_metric_record_missing(spark, d):
+    """Some scores are NULL, some NaN: those rows leave every metric."""
+    scored = A.lineitem_scores(spark, d, "quantity").withColumn("score", F.when(F.col("score") < 0.1, F.lit(None)).when(
+        F.col("score") > 0.9, F.lit(float("nan"))).otherwise(F.col("score")))
+    return round6(M.metric_record(scored))
+
+
 def q_leaderboard(spark, d):
     return round6(CMP.leaderboard(A.lineitem_scores_long(spark, d)))
 
@@ -247,9 +296,17 @@ def q_target_row_sample(spark, d):
 
 
 def q_random_split(spark, d):
-    li = A.table(spark, d, "lineitem")
+    """Facts of the seeded split: parts are disjoint and complete."""
+    li = A.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
     train, test = SM.random_split(li, (0.8, 0.2), seed=42)
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    keys = both.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"))
+    return keys.agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_keys"), F.max("n").alias("most_of_a_key"))
+
+
+def q_hash_sample_small(spark, d):
+    li = A.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line_key"))
+    return SM.hash_sample(li, "line_key", 0.00035)
 
 
 # --- feature recipe ----------------------------------------------------------
@@ -296,37 +353,65 @@ def t3_featurised(spark, d):
 
 
 def q_feature_pipeline(spark, d):
-    return t3_featurised(spark, d).select(
-        "doc_id", vector_to_array("features").alias("features"), "label", "class_weight")
+    """The whole recipe: fitted without one language (unseen later) and applied
+    to rows of which some have none; numeric slots, size and hot slot."""
+    docs = B.add_class_weights(A.document_quality(spark, d), "label")
+    model = FE.build_feature_pipeline(QUALITY_SPEC).fit(docs.where("lang <> 'es'"))
+    gaps = docs.withColumn("lang", F.when(F.col("doc_id") % 10 != 0, F.col("lang")))
+    arr = vector_to_array("features")
+    out = model.transform(gaps).withColumn("a", arr)
+    return round6(out.select(
+        "doc_id", "label", "class_weight", F.size("a").alias("vec_size"),
+        *[F.col("a")[i].alias(f"slot_{i}") for i in range(5)],
+        (F.array_position(F.slice("a", 6, 100), F.lit(1.0)) - 1).cast("int").alias("hot_slot")))
 
 
-def _fit_one(name):
+def _fit_facts(name):
+    """Deterministic facts of one learner's run: sizes of the disjoint parts and
+    what must hold of its metrics, whatever it learned."""
     def q(spark, d):
-        feat = t3_featurised(spark, d)
+        feat = t3_featurised(spark, d).cache()
         train, test = SM.hash_split(feat, "doc_id", (0.8, 0.2))
-        models = MD.make_models(seed=42)
-        board = CMP.train_and_compare({name: models[name]}, train, test)
-        return board
+        board = CMP.train_and_compare({name: MD.make_models(seed=42)[name]}, train, test)
+        sizes = feat.agg(F.count("*").alias("n_rows")).first()["n_rows"]
+        out = board.select(
+            "model", *[F.lit(n).cast("bigint").alias(c) for n, c in ((sizes, "n_rows"), (train.count(), "n_train"), (test.count(), "n_test"))],
+            (F.abs(F.col("recall_w") - F.col("accuracy")) < 1e-9).alias("recall_is_accuracy"),
+            F.forall(F.array(*CMP.METRIC_COLUMNS), lambda v: v.between(0.0, 1.0)).alias("in_range"))
+        feat.unpersist()
+        return out
     return q
 
 
 def q_cost_tradeoff(spark, d):
-    feat = t3_featurised(spark, d)
-    train, test = SM.hash_split(feat, "doc_id", (0.8, 0.2))
-    board = CMP.train_and_compare(MD.make_models(seed=42), train, test)
-    return CMP.cost_tradeoff(board)
+    """The trade-off of the T4 scorers, with how often each predicts 1 as its cost."""
+    scores = A.lineitem_scores_long(spark, d)
+    cost = scores.groupBy("model").agg(F.sum("prediction").cast("bigint").alias("cost"))
+    board = CMP.leaderboard(scores).join(cost, "model")
+    return round6(CMP.cost_tradeoff(board, "cost"))
 
 
 def q_data_scaling(spark, d):
     feat = t3_featurised(spark, d)
     lr = MD.make_models(weight_col=None)["LogisticRegression"]
-    return SC.data_scaling(lr, feat, key="doc_id")
+    curve = SC.data_scaling(lr, feat, (0.25, 0.5, 1.0), key="doc_id")
+    return curve.select("fraction", "n_rows", (F.col("train_seconds") > 0).alias("timed"))
 
 
-def q_parallelism_scaling(spark, d):
-    feat = t3_featurised(spark, d)
-    return SC.parallelism_scaling(
-        lambda s: MD.make_models(weight_col=None)["LogisticRegression"], feat, (1, 2, 4))
+def timings(spark, d):
+    """T5: the events table as a table of runs: per type its rows, cores, seconds."""
+    kinds = A.events(spark, d).groupBy("event_type").agg(
+        F.count("*").alias("n_rows"), F.round(F.sum("value"), 3).alias("train_seconds"))
+    return kinds.withColumn("cores", F.length("event_type").cast("int"))
+
+
+def q_linear_reference(spark, d):
+    return round6(SC.linear_reference(timings(spark, d)).select("event_type", "n_rows", "train_seconds", "linear_seconds"))
+
+
+def q_speedup(spark, d):
+    runs = timings(spark, d).groupBy("cores").agg(F.min("train_seconds").alias("train_seconds"))
+    return round6(SC.speedup(runs))
 
 
 def q_sink_roundtrip(spark, d):
@@ -337,6 +422,17 @@ def q_sink_roundtrip(spark, d):
     return round6(SK.read_parquet(spark, path))
 
 
+def q_metrics_roundtrip(spark, d):
+    """Result sinks: each model's row is appended under one run, another run's
+    rows stand beside them, and one run is read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/metrics-{SK.new_run_id()}"
+    board = CMP.leaderboard(A.lineitem_scores_long(spark, d))
+    for scorer in ("quantity", "price"):
+        SK.append_metrics(board.where(F.col("model") == scorer), path, "run-1", "models")
+    SK.append_metrics(board.where("model = 'discount'"), path, "run-2", "models")
+    return round6(SK.read_metrics(spark, path, "models", "run-1").drop("written_at"))
+
+
 def q_preview(spark, d):
     return SK.preview(t1_clean(spark, d), ["trip_key", "fare_amount", "tip_amount", "label", "tip_pct"])
 
@@ -371,6 +467,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "class_balance": q_class_balance,
     "class_balance_toxic": q_class_balance_toxic,
     "majority_baseline": q_majority_baseline,
+    "majority_baseline_inverse": q_majority_baseline_inverse,
     "class_weights": q_class_weights,
     "rows_per_month": q_rows_per_month,
     "month_prefix": q_month_prefix,
@@ -379,16 +476,24 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rate_by_weekday": q_rate_by_weekday,
     "label_domain": q_label_domain,
     "correlation": q_correlation,
+    "correlation_time": q_correlation_time,
     "class_histogram": q_class_histogram,
+    "exploration_balance": _exploration("balance"),
+    "exploration_months": _exploration("rows_per_month"),
+    "exploration_ratio": _exploration("ratio_histogram"),
+    "exploration_hour": _exploration("rate_by_hour"),
+    "exploration_weekday": _exploration("rate_by_weekday"),
     "confusion": q_confusion,
     "auc": q_auc,
     "weighted_metrics": q_weighted_metrics,
     "minority_recall": q_minority_recall,
     "metric_record": q_metric_record,
+    "metric_record_missing": q_metric_record_missing,
     "leaderboard": q_leaderboard,
     "best_model": q_best_model,
     "report_rows": q_report_rows,
     "hash_sample": q_hash_sample,
+    "hash_sample_small": q_hash_sample_small,
     "hash_split": q_hash_split,
     "bernoulli_sample": q_bernoulli_sample,
     "target_row_sample": q_target_row_sample,
@@ -397,14 +502,17 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "one_hot": q_one_hot,
     "assemble": q_assemble,
     "feature_pipeline": q_feature_pipeline,
-    "fit_lr": _fit_one("LogisticRegression"),
-    "fit_dt": _fit_one("DecisionTree"),
-    "fit_rf": _fit_one("RandomForest"),
-    "fit_gbt": _fit_one("GBT"),
+    "fit_lr": _fit_facts("LogisticRegression"),
+    "fit_dt": _fit_facts("DecisionTree"),
+    "fit_rf": _fit_facts("RandomForest"),
+    "fit_gbt": _fit_facts("GBT"),
     "cost_tradeoff": q_cost_tradeoff,
     "data_scaling": q_data_scaling,
-    "parallelism_scaling": q_parallelism_scaling,
+    "linear_reference": q_linear_reference,
+    "speedup": q_speedup,
     "sink_roundtrip": q_sink_roundtrip,
+    "metrics_roundtrip": q_metrics_roundtrip,
+    "load_trips_drift": q_load_trips_drift,
     "preview": q_preview,
 }
 

@@ -4,14 +4,15 @@
   sample -> split -> train-and-compare -> data-scaling curve.
 * :func:`exploration` (J2): retention, balance, month volumes, ratio
   histogram, hourly / weekday rates, correlation and class histograms.
-* :func:`parallelism` (J3): a featurised sample materialised once, then fit
-  times at several parallelism levels.
+* :func:`parallelism` (J3): a featurised sample materialised once, and the fit
+  time of this submission appended to the scaling table.
 
 Each returns a dict of DataFrames; with ``metrics_path`` the results are also
 appended to the metrics tables (one folder per kind).
 """
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Sequence
 
@@ -41,6 +42,7 @@ def experiment(
     fractions: Sequence[float] = (0.05, 0.1, 0.25, 0.5, 1.0),
     metrics_path: str | None = None,
     models: Sequence[str] | None = None,
+    partitions: int | None = None,
     split_first: bool = False,
     score_source: str = "probability",
 ) -> dict[str, DataFrame]:
@@ -60,8 +62,9 @@ def experiment(
     keep = [key] if key else []
     owned: list[DataFrame] = []  # caches made here, released at the end
 
-    # A column-free count of the raw rows, then the prepared rows are counted by
-    # the job that fills the cache: the cleaning rules are evaluated once.
+    # A count without columns reads only the footers of a Parquet scan.  (An
+    # Observation on the cache-filling job would do without it, but a session
+    # that has observed cannot ship the summaries of fitted models to its tasks.)
     n_raw = raw.count()
     data = P.prepare(raw, s).cache()
     n_clean = data.count()
@@ -97,9 +100,13 @@ def experiment(
         recipe = FE.build_feature_pipeline(s).fit(weighted)
         featurised = featurise(recipe, weighted).cache()
         train, test = sample_and_split(featurised)
-    featurised.count()
+    if not split_first:
+        featurised.count()
+        data.unpersist()  # the featurised rows replace the prepared ones
     train, test = train.cache(), test.cache()
     n_train, n_test = train.count(), test.count()
+    if split_first:
+        data.unpersist()
 
     catalogue = MD.make_models(label_col=s.label_col, weight_col=s.weight_col, seed=seed,
                                overrides=model_overrides)
@@ -107,7 +114,7 @@ def experiment(
         catalogue = {k: v for k, v in catalogue.items() if k in models}
     sink = (lambda row: SK.append_metrics(row, metrics_path, run_id, "models")) if metrics_path else None
     board = CMP.train_and_compare(catalogue, train, test, s.label_col, score_source=score_source,
-                                  on_result=sink)
+                                  on_result=sink, partitions=partitions)
     out["models"] = board
     for df in (train, test):
         if df is not featurised:  # split-first mode trains on the featurised frame itself
@@ -130,7 +137,6 @@ def experiment(
     for df in owned:
         df.unpersist()
     featurised.unpersist()
-    data.unpersist()
     return out
 
 
@@ -167,44 +173,43 @@ def exploration(raw: DataFrame, spec: TripSpec | None = None, month_prefix: str
     return out
 
 
-def parallelism(raw: DataFrame, sample_base: str, spec: TripSpec | None = None, rows: int = 3_000_000,
-                seed: int = 42, partitions: Sequence[int] = (1, 2, 4, 8),
-                metrics_path: str | None = None) -> DataFrame:
-    """Materialise a featurised sample once (keyed by rows and seed), then time LR fits."""
-    s = spec or TripSpec()
-    configure(raw.sparkSession)  # UTC wall clock, AQE
-    spark = raw.sparkSession
-    path = SK.sample_path(sample_base, rows=rows, seed=seed)
+def source_key(raw: DataFrame, spec: TripSpec, recipe: str) -> str:
+    """Digest of what a materialised sample depends on: files, columns, rules and recipe."""
+    parts = [*sorted(raw.inputFiles()), raw.schema.json(), repr(spec), recipe]
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()[:16]
 
-    def build():
-        data = P.prepare(raw, s)
-        weighted = B.add_class_weights(data, s.label_col, B.balance_record(data, s.label_col), s.weight_col)
-        sample = SM.target_row_sample(weighted, rows, seed)
-        feat = FE.build_feature_pipeline(s).fit(sample).transform(sample)
-        return feat.select("features", s.label_col, s.weight_col)
-
-    train = SK.materialise_once(spark, path, build)
-    result = SC.parallelism_scaling(
-        lambda _s: MD.make_models(label_col=s.label_col, weight_col=None)["LogisticRegression"],
-        train, partitions)
-    if metrics_path:
-        SK.append_metrics(result, metrics_path, SK.new_run_id(), "parallelism")
-    return result
 
+def parallelism(raw: DataFrame, sample_base: str, metrics_path: str, spec: TripSpec | None = None,
+                rows: int = 3_000_000, seed: int = 42, repeats: int = 1) -> DataFrame:
+    """One submission of the strong-scaling study.
 
-def flagship(raw: DataFrame, spec: TripSpec | None = None, seed: int = 42) -> DataFrame:
-    """Prepare -> weight -> featurise -> weighted LR fit -> one-row metric frame."""
+    A featurised sample is materialised once per source, rules, recipe, size
+    and seed; the LR fit is timed on the cores of this session and appended to
+    the metrics table.  Returns the speed-up over all rows of the table with
+    this sample, so each submission adds a level.
+    """
     s = spec or TripSpec()
     configure(raw.sparkSession)  # UTC wall clock, AQE
-    data = P.prepare(raw, s)
-    bal = B.balance_record(data, s.label_col)
-    weighted = B.add_class_weights(data, s.label_col, bal, s.weight_col)
-    feat = FE.build_feature_pipeline(s).fit(weighted).transform(weighted)
-    feat = feat.select("features", s.label_col, s.weight_col)
-    feat = feat.cache()
-    train, test = SM.random_split(feat, (0.8, 0.2), seed)
-    lr = MD.make_models(label_col=s.label_col, weight_col=s.weight_col, seed=seed)["LogisticRegression"]
-    board = CMP.train_and_compare({"LogisticRegression": lr}, train, test, s.label_col)
-    feat.unpersist()  # the board holds plain numbers
-    return board.withColumn("n_clean", F.lit(int(bal["total"]))).withColumn(
-        "pos_rate", F.lit(float(bal["pos_rate"])))
+    spark = raw.sparkSession
+    pipeline = FE.build_feature_pipeline(s)
+    recipe = [(type(x).__name__, [(p.name, x.getOrDefault(p)) for p in x.params if x.isSet(p)]) for x in pipeline.getStages()]
+    key = source_key(raw, s, repr(recipe))
+    path = SK.sample_path(sample_base, rows=rows, seed=seed, source=key)
+
+    def build():
+        data = P.prepare(raw, s).select(*s.numeric_features, *s.categorical_features, s.label_col).cache()
+        balance = B.balance_record(data, s.label_col)  # fills the cache: the only pass over the raw rows
+        sample = SM.target_row_sample(B.add_class_weights(data, s.label_col, balance, s.weight_col), rows, seed,
+                                      n_rows=data.count())
+        SK.write_parquet(FE.model_columns(pipeline.fit(sample).transform(sample), s), path)
+        data.unpersist()
+
+    if not SK.is_complete(spark, path):
+        build()
+    train = SK.read_parquet(spark, path)
+    lr = MD.make_models(label_col=s.label_col, weight_col=None)["LogisticRegression"]
+    row = SC.timed_run(lr, train, repeats).withColumn("sample", F.lit(path))
+    SK.append_metrics(row, metrics_path, SK.new_run_id(), "parallelism")
+    runs = SK.read_metrics(spark, metrics_path, "parallelism").where(F.col("sample") == path)
+    best = runs.groupBy("cores", "n_rows").agg(F.min("train_seconds").alias("train_seconds"))
+    return SC.speedup(best)

@@ -6,7 +6,13 @@ to 6 decimals on both sides where the two engines may differ in the last bits.
 """
 from __future__ import annotations
 
-from ..specs import LINEITEM_TRIPS, NUMERIC_FEATURES, CORRELATION_EXCLUDED
+# The rules' values, written out (not imported) so that a wrong value in the
+# library shows as a difference.
+NUMERIC_FEATURES = (
+    "trip_distance", "passenger_count", "trip_duration_min", "avg_speed_mph", "fare_amount", "extra", "tolls_amount",
+    "congestion_surcharge", "airport_fee", "pickup_hour", "is_weekend", "is_night", "PULocationID", "DOLocationID",
+)
+CORRELATED = tuple(c for c in NUMERIC_FEATURES if c not in ("PULocationID", "DOLocationID")) + ("label",)
 
 # Lineitem joined to orders, in the canonical trip schema (before cleaning).
 T1_RAW = """
@@ -31,10 +37,9 @@ SELECT l.l_orderkey AS trip_key,
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """
 
-_S = LINEITEM_TRIPS
 T1_DURATION = f"""
 SELECT *, (floor(epoch(tpep_dropoff_datetime)) - floor(epoch(tpep_pickup_datetime)))
-          / {_S.duration_unit_seconds!r} AS trip_duration_min
+          / 86400.0 AS trip_duration_min
 FROM ({T1_RAW}) r
 """
 
@@ -50,11 +55,11 @@ SELECT trip_key, trip_line, tpep_pickup_datetime, tpep_dropoff_datetime, passeng
        CAST(CASE WHEN dayofweek(tpep_pickup_datetime) IN (0, 6) THEN 1 ELSE 0 END AS INTEGER) AS is_weekend,
        CAST(CASE WHEN hour(tpep_pickup_datetime) >= 22 OR hour(tpep_pickup_datetime) <= 5
             THEN 1 ELSE 0 END AS INTEGER) AS is_night,
-       CAST(CASE WHEN tip_amount / fare_amount < {_S.threshold!r} THEN 1
-                 WHEN tip_amount / fare_amount >= {_S.threshold!r} THEN 0 END AS INTEGER) AS label,
+       CAST(CASE WHEN tip_amount / fare_amount < 0.015 THEN 1
+                 WHEN tip_amount / fare_amount >= 0.015 THEN 0 END AS INTEGER) AS label,
        tip_amount / fare_amount AS tip_pct
 FROM (
-  SELECT *, trip_distance / (trip_duration_min / {_S.speed_time_divisor!r}) AS avg_speed_mph
+  SELECT *, trip_distance / (trip_duration_min / 1.0) AS avg_speed_mph
   FROM ({T1_DURATION}) d
   WHERE payment_type = 1
     AND fare_amount > 0 AND fare_amount < 100000
@@ -156,9 +161,12 @@ FROM c {gb}
 def metric_record_sql(pred_sql: str, group: str | None = None, digits: int | None = 6) -> str:
     g = f"t.{group}, " if group else ""
     on = f"ON t.{group} = a.{group}" if group else "ON TRUE"
+    scored = f"SELECT * FROM ({pred_sql}) z WHERE score IS NOT NULL AND NOT isnan(score) AND prediction IS NOT NULL"
     return f"""
-SELECT {g} a.auc, t.accuracy, t.f1, t.precision_w, t.recall_w, t.recall_pos
-FROM ({threshold_metrics_sql(pred_sql, group, digits)}) t JOIN ({auc_sql(pred_sql, group, digits)}) a {on}
+SELECT {g} a.auc, t.accuracy, t.f1, t.precision_w, t.recall_w, t.recall_pos, u.n_unscored
+FROM ({threshold_metrics_sql(scored, group, digits)}) t JOIN ({auc_sql(pred_sql, group, digits)}) a {on}
+JOIN (SELECT {group + ", " if group else ""} count(*) FILTER (WHERE score IS NULL OR isnan(score) OR prediction IS NULL) AS n_unscored
+      FROM ({pred_sql}) q WHERE label IN (0, 1) {"GROUP BY " + group if group else ""}) u {on.replace("a.", "u.")}
 """
 
 
@@ -174,10 +182,6 @@ def correlation_sql(src_sql: str, cols: list[str]) -> str:
     return f"WITH src AS ({src_sql})\n" + "\nUNION ALL\n".join(parts)
 
 
-def t1_correlation_columns() -> list[str]:
-    return [c for c in NUMERIC_FEATURES if c not in CORRELATION_EXCLUDED] + ["label"]
-
-
 def _r6(cols: list[str]) -> str:
     return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
 
@@ -256,6 +260,8 @@ BALANCE_SQL = """
 SELECT n_neg, n_pos, n_neg + n_pos AS total,
        round(coalesce(n_pos::DOUBLE / nullif(n_neg + n_pos, 0), 0), 6) AS pos_rate,
        round(CASE WHEN n_pos > 0 THEN n_neg::DOUBLE / n_pos ELSE 'inf'::DOUBLE END, 6) AS imbalance_ratio,
+       round(coalesce((n_neg + n_pos)::DOUBLE / nullif(2 * n_neg, 0), 0), 6) AS weight_neg,
+       round(coalesce((n_neg + n_pos)::DOUBLE / nullif(2 * n_pos, 0), 0), 6) AS weight_pos,
        round(greatest(coalesce(n_pos::DOUBLE / nullif(n_neg + n_pos, 0), 0),
                       1.0 - coalesce(n_pos::DOUBLE / nullif(n_neg + n_pos, 0), 0)), 6) AS majority_accuracy
 FROM (SELECT count(*) FILTER (WHERE {lab} = 0) AS n_neg, count(*) FILTER (WHERE {lab} = 1) AS n_pos
@@ -273,6 +279,44 @@ w AS (SELECT c.label,
 """
 
 
+def majority_sql(label: str, src: str) -> str:
+    return f"""
+SELECT CASE WHEN n > 0 THEN round(greatest(p, n - p)::DOUBLE / n, 6) END AS majority_accuracy,
+       CASE WHEN n > 0 THEN CASE WHEN p > n - p THEN 1.0 ELSE 0.0 END::DOUBLE END AS majority_recall_pos, n AS total
+FROM (SELECT count(*) FILTER (WHERE {label} IN (0, 1)) AS n, count(*) FILTER (WHERE {label} = 1) AS p FROM ({src}) s) c"""
+
+
+# T5: events as a table of runs.
+RUNS_SQL = """
+WITH runs AS (SELECT event_type, count(*) AS n_rows, round(sum(value), 3) AS train_seconds,
+                     CAST(length(event_type) AS INTEGER) AS cores FROM events GROUP BY event_type)"""
+
+# Labelled documents with their position in the 60-bit hash range.
+QUALITY_SQL = """
+WITH q AS (SELECT d.doc_id, CAST(('0x' || substr(md5(CAST(d.doc_id AS VARCHAR)), 1, 15)) AS BIGINT) AS place
+           FROM documents d JOIN labels l USING (doc_id) WHERE d.text IS NOT NULL AND d.n_chars IS NOT NULL)"""
+
+FEATURES_SQL = r"""
+WITH t AS (
+  SELECT d.doc_id, d.lang, CAST(CASE WHEN l.quality = 0 THEN 1 WHEN l.quality IS NOT NULL THEN 0 END AS INTEGER) AS label,
+         d.n_chars::DOUBLE AS slot_0, greatest(length(d.text), 1) AS n, d.text
+  FROM documents d JOIN labels l USING (doc_id) WHERE d.text IS NOT NULL AND d.n_chars IS NOT NULL
+), w AS (
+  SELECT count(*) AS total, count(*) FILTER (WHERE label = 1) AS n1, count(*) FILTER (WHERE label = 0) AS n0 FROM t
+), langs AS (
+  SELECT lang, row_number() OVER (ORDER BY count(*) DESC, lang) - 1 AS place, count(*) OVER () AS known
+  FROM t WHERE lang <> 'es' GROUP BY lang
+)
+SELECT t.doc_id, t.label, round(CASE WHEN t.label = 1 THEN total / (2.0 * n1) ELSE total / (2.0 * n0) END, 6) AS class_weight,
+       CAST(5 + (SELECT max(known) FROM langs) AS INTEGER) AS vec_size, round(slot_0, 6) AS slot_0,
+       round(length(regexp_replace(text, '[^0-9]', '', 'g'))::DOUBLE / n, 6) AS slot_1,
+       round(length(regexp_replace(text, '[^A-Z]', '', 'g'))::DOUBLE / n, 6) AS slot_2,
+       round(length(regexp_replace(text, '[^\n]', '', 'g'))::DOUBLE / n, 6) AS slot_3,
+       round(len(string_split_regex(text, '\s+'))::DOUBLE / n, 6) AS slot_4,
+       CAST(CASE WHEN t.doc_id % 10 <> 0 THEN coalesce(langs.place, -1) ELSE -1 END AS INTEGER) AS hot_slot
+FROM t CROSS JOIN w LEFT JOIN langs ON t.lang = langs.lang"""
+
+
 def _feature_sum_sql() -> str:
     expr = "0.0::DOUBLE"
     for c in NUMERIC_FEATURES:
@@ -326,9 +370,8 @@ SELECT n_raw, n_clean, round(n_clean::DOUBLE / nullif(n_raw, 0), 6) AS retained
   SELECT (SELECT count(*) FROM ({T1_RAW}) r) AS n_raw, (SELECT count(*) FROM ({T1_CLEAN}) c) AS n_clean) x""",
         "class_balance": BALANCE_SQL.format(lab="label", src=T1_CLEAN),
         "class_balance_toxic": BALANCE_SQL.format(lab="toxic", src="SELECT * FROM labels"),
-        "majority_baseline": f"""
-SELECT round(greatest(pos_rate, 1.0 - pos_rate), 6) AS majority_accuracy, 0.0::DOUBLE AS majority_recall_pos, total
-FROM ({BALANCE_SQL.format(lab="label", src=T1_CLEAN)}) b""",
+        "majority_baseline": majority_sql("label", T1_CLEAN),
+        "majority_baseline_inverse": majority_sql("quality", "SELECT * FROM labels"),
         "class_weights": WEIGHTS_SQL + """
 SELECT label, round(max(class_weight), 6) AS class_weight, count(*) AS n_rows,
        round(sum(class_weight), 6) AS weight_sum
@@ -350,8 +393,26 @@ SELECT CAST(dayofweek(ts) + 1 AS INTEGER) AS d, round(avg(label), 6) AS low_rate
        (['Dom', 'Lun', 'Mar', 'Mie', 'Jue', 'Vie', 'Sab'])[dayofweek(ts) + 1] AS day_name
 FROM ({EVENTS_LABELLED}) e GROUP BY 1, 4""",
         "label_domain": f"SELECT DISTINCT label FROM ({T1_CLEAN}) c",
-        "correlation": correlation_sql(T1_CLEAN, t1_correlation_columns()),
+        "correlation": correlation_sql(T1_CLEAN, list(CORRELATED)),
+        "correlation_time": correlation_sql(f"""
+SELECT value, CASE WHEN event_id % 7 <> 0 THEN value END AS gap, hour(ts) AS pickup_hour, dayofweek(ts) + 1 AS pickup_dow,
+       CASE WHEN dayofweek(ts) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
+       CASE WHEN hour(ts) >= 22 OR hour(ts) <= 5 THEN 1 ELSE 0 END AS is_night, label
+FROM ({EVENTS_LABELLED}) e""", ["value", "gap", "pickup_hour", "pickup_dow", "is_weekend", "is_night", "label"]),
         "class_histogram": T1_HISTOGRAM_SQL,
+        "exploration_balance": BALANCE_SQL.format(lab="label", src=EVENTS_LABELLED),
+        "exploration_months": "SELECT strftime(ts, '%Y-%m') AS month, count(*) AS n_rows FROM events GROUP BY 1",
+        "exploration_ratio": """
+SELECT CAST(floor(value / 50.0 / 0.02) AS BIGINT) AS bin_idx, count(*) AS n_rows,
+       round(CAST(floor(value / 50.0 / 0.02) AS BIGINT) * CAST(0.02 AS DOUBLE), 6) AS bin
+FROM events WHERE value / 50.0 <= 0.6 GROUP BY 1""",
+        "exploration_hour": f"""
+SELECT CAST(hour(ts) AS INTEGER) AS h, round(avg(label), 6) AS low_rate, count(*) AS n_rows
+FROM ({EVENTS_LABELLED}) e GROUP BY 1""",
+        "exploration_weekday": f"""
+SELECT CAST(dayofweek(ts) + 1 AS INTEGER) AS d, round(avg(label), 6) AS low_rate, count(*) AS n_rows,
+       (['Dom', 'Lun', 'Mar', 'Mie', 'Jue', 'Vie', 'Sab'])[dayofweek(ts) + 1] AS day_name
+FROM ({EVENTS_LABELLED}) e GROUP BY 1, 4""",
         "confusion": f"""
 SELECT label, CAST(prediction AS INTEGER) AS prediction, count(*) AS n_rows
 FROM ({T4}) p WHERE label IS NOT NULL GROUP BY 1, 2""",
@@ -359,23 +420,36 @@ FROM ({T4}) p WHERE label IS NOT NULL GROUP BY 1, 2""",
         "weighted_metrics": threshold_metrics_sql(T4),
         "minority_recall": f"SELECT tp, fn, recall_pos FROM ({threshold_metrics_sql(T4)}) m",
         "metric_record": metric_record_sql(T4),
+        "metric_record_missing": metric_record_sql(f"""
+SELECT label, CASE WHEN score < 0.1 THEN NULL WHEN score > 0.9 THEN 'nan'::DOUBLE ELSE score END AS score, prediction
+FROM ({T4}) s"""),
         "leaderboard": leader,
         "best_model": f"""
-SELECT arg_max(model, auc) AS best_auc_model, max(auc) AS best_auc,
-       arg_max(model, f1) AS best_f1_model, arg_max(model, recall_pos) AS best_recall_pos_model
-FROM ({leader}) b""",
+WITH b AS ({leader})
+SELECT (SELECT model FROM b ORDER BY auc DESC, model LIMIT 1) AS best_auc_model, (SELECT max(auc) FROM b) AS best_auc,
+       (SELECT model FROM b ORDER BY f1 DESC, model LIMIT 1) AS best_f1_model,
+       (SELECT model FROM b ORDER BY recall_pos DESC, model LIMIT 1) AS best_recall_pos_model""",
+        "cost_tradeoff": f"""
+WITH b AS ({leader}), c AS (SELECT model, CAST(sum(prediction) AS BIGINT) AS cost FROM ({T4_LONG}) p GROUP BY model),
+r AS (SELECT b.model, c.cost, b.auc FROM b JOIN c USING (model))
+SELECT x.model, x.cost, x.auc, x.auc IS NOT NULL AND NOT EXISTS (
+  SELECT 1 FROM r y WHERE y.cost <= x.cost AND y.auc >= x.auc AND (y.cost < x.cost OR y.auc > x.auc)) AS pareto
+FROM r x""",
         "report_rows": f"""
 SELECT model, round(auc, 3) AS auc, round(accuracy, 3) AS accuracy, round(f1, 3) AS f1,
        round(precision_w, 3) AS precision_w, round(recall_w, 3) AS recall_w,
-       round(recall_pos, 3) AS recall_pos
+       round(recall_pos, 3) AS recall_pos, n_unscored
 FROM ({metric_record_sql(T4_LONG, "model", None)}) b""",
         "hash_sample": """
 SELECT event_id, CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 7)) AS BIGINT) % 10000 AS hash_bucket
 FROM events
-WHERE CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 7)) AS BIGINT) % 10000 < 2000""",
+WHERE CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 15)) AS BIGINT) < 230584300921369408""",
+        "hash_sample_small": """
+SELECT l_orderkey, l_linenumber, l_orderkey || '-' || l_linenumber AS line_key FROM lineitem
+WHERE CAST(('0x' || substr(md5(l_orderkey || '-' || l_linenumber), 1, 15)) AS BIGINT) < 403522526612396""",
         "hash_split": """
 SELECT event_id,
-       CASE WHEN CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 7)) AS BIGINT) % 10000 < 8000
+       CASE WHEN CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 15)) AS BIGINT) < 922337203685477632
             THEN 'train' ELSE 'test' END AS part
 FROM events""",
         "string_index": _index_sql("pickup_dow") + " UNION ALL " + _index_sql("RatecodeID"),
@@ -388,6 +462,29 @@ SELECT trip_key, trip_line, label, vec_size, n_nonzero, feature_sum FROM (
          2 + {" + ".join(f"(CASE WHEN {c} <> 0 THEN 1 ELSE 0 END)" for c in NUMERIC_FEATURES)} AS n_nonzero,
          {_feature_sum_sql()} AS feature_sum
   FROM ({T1_CLEAN}) c) x""",
+        "load_trips_drift": f"SELECT {_t1_select(T1_CLEAN_COLS)} FROM ({T1_CLEAN}) c",
+        "metrics_roundtrip": f"SELECT *, 'run-1' AS run_id FROM ({leader}) b WHERE model IN ('quantity', 'price')",
+        "linear_reference": RUNS_SQL + """
+SELECT event_type, n_rows, round(train_seconds, 6) AS train_seconds, round(
+  first_value(train_seconds) OVER w / first_value(n_rows) OVER w * n_rows, 6) AS linear_seconds
+FROM runs WINDOW w AS (ORDER BY n_rows, train_seconds ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
+        "speedup": RUNS_SQL + """,
+best AS (SELECT cores, min(train_seconds) AS train_seconds FROM runs GROUP BY cores),
+base AS (SELECT arg_min(train_seconds, cores) AS s, min(cores) AS c FROM best)
+SELECT cores, round(train_seconds, 6) AS train_seconds, round(s / train_seconds, 6) AS speedup,
+       round(cores::DOUBLE / c, 6) AS ideal, round((s / train_seconds) / (cores::DOUBLE / c), 6) AS efficiency
+FROM best, base""",
+        "random_split": """
+SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_keys, max(n) AS most_of_a_key
+FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber) k""",
+        "feature_pipeline": FEATURES_SQL,
+        "data_scaling": QUALITY_SQL + """
+SELECT CAST(f AS DOUBLE) AS fraction, (SELECT count(*) FROM q WHERE place < f * 1152921504606846976) AS n_rows, TRUE AS timed
+FROM (VALUES (0.25), (0.5), (1.0)) v(f)""",
+        **{f"fit_{short}": QUALITY_SQL + f"""
+SELECT '{name}' AS model, count(*) AS n_rows, count(*) FILTER (WHERE place < 922337203685477632) AS n_train,
+       count(*) FILTER (WHERE place >= 922337203685477632) AS n_test, TRUE AS recall_is_accuracy, TRUE AS in_range
+FROM q""" for short, name in (("lr", "LogisticRegression"), ("dt", "DecisionTree"), ("rf", "RandomForest"), ("gbt", "GBT"))},
         "sink_roundtrip": WEIGHTS_SQL + "SELECT trip_key, trip_line, label, round(class_weight, 6) AS class_weight FROM w",
     }
     return {k: v.strip() for k, v in sql.items()}
