@@ -89,8 +89,96 @@ FROM signed
 WINDOW best AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)
 """
 
+OP1 = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens,
+         md5(coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS identity
+  FROM documents
+), totals AS (
+  SELECT source, sum(n_tokens)::BIGINT AS tokens, count(*) AS n_docs FROM docs GROUP BY source
+), sizes AS (
+  SELECT list(tokens::DOUBLE ORDER BY tokens) FILTER (WHERE tokens > 0) AS l, max(tokens)::DOUBLE AS largest FROM totals
+), bisect(step, low, high) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT step + 1, CASE WHEN fine THEN low ELSE mid END, CASE WHEN fine THEN mid ELSE high END
+  FROM (SELECT step, low, high, (low + high) / 2 AS mid,
+               list_max(list_transform(l, lambda t: pow(t / largest, (low + high) / 2) / t))
+               / list_min(list_transform(l, lambda t: pow(t / largest, (low + high) / 2) / t)) <= 1.5 AS fine
+        FROM bisect, sizes WHERE step < 60)
+), solved AS (
+  SELECT largest, l, round(CASE WHEN list_max(list_transform(l, lambda t: 1.0::DOUBLE / t))
+    / list_min(list_transform(l, lambda t: 1.0::DOUBLE / t)) <= 1.5 THEN 0.0 ELSE high END, 9) AS x
+  FROM bisect, sizes WHERE step = 60
+), weighted AS (
+  SELECT t.*, CASE WHEN tokens = 0 THEN 1.0 ELSE round(pow(tokens / largest, x)
+    * list_max(list_transform(l, lambda s: s / pow(s / largest, x))) / tokens, 6) END AS passes
+  FROM totals t, solved
+), plan AS (
+  SELECT source, floor(passes)::INTEGER AS whole, round((passes - floor(passes)) * tokens)::BIGINT AS rest,
+         ceil(sqrt(n_docs))::BIGINT AS n_blocks
+  FROM weighted
+), dealt AS (
+  SELECT d.*, p.whole, p.rest, ('0x' || substr(md5('42:deal:' || identity), 1, 13))::BIGINT % n_blocks AS block
+  FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
+), keyed AS (
+  SELECT *, ('0x' || substr(md5('42:block:' || whole || ':' || coalesce(source, 'null') || ':' || block), 1, 13))::BIGINT AS last_block_key,
+         ('0x' || substr(md5('42:doc:' || whole || ':' || identity), 1, 13))::BIGINT AS last_doc_key
+  FROM dealt
+), spent AS (  -- tokens of the last pass up to the block, and up to the document inside its block
+  SELECT *, sum(n_tokens) OVER (PARTITION BY source ORDER BY last_block_key, block) AS upto_block,
+         sum(n_tokens) OVER (PARTITION BY source, block) AS in_block,
+         sum(n_tokens) OVER (PARTITION BY source, block ORDER BY last_doc_key) AS upto_doc
+  FROM keyed
+), ends AS (
+  SELECT source, min(last_doc_key) AS cut_doc_key, min(block) AS cut_block, min(last_block_key) AS cut_block_key
+  FROM spent WHERE rest > 0 AND upto_block >= rest AND upto_block - in_block < rest AND upto_doc >= rest - (upto_block - in_block)
+  GROUP BY source
+), taken AS (
+  SELECT s.*, unnest(range(whole + CASE WHEN rest > 0 AND (
+      (last_block_key, s.block) < (cut_block_key, cut_block) OR (s.block = cut_block AND last_doc_key <= cut_doc_key)) THEN 1 ELSE 0 END)) AS e
+  FROM spent s LEFT JOIN ends ON s.source IS NOT DISTINCT FROM ends.source
+)
+SELECT doc_id, source, n_tokens, e::INTEGER AS epoch, block,
+       ('0x' || substr(md5('42:block:' || e || ':' || coalesce(source, 'null') || ':' || block), 1, 13))::BIGINT AS block_key,
+       ('0x' || substr(md5('42:doc:' || e || ':' || identity), 1, 13))::BIGINT AS doc_key
+FROM taken
+"""
+
+OP6 = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM split WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * k >= 85 * (a.n + b.n - k)
+), ways AS (
+  SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach(x, y) AS (
+  SELECT x, y FROM ways UNION SELECT r.x, b.y FROM reach r JOIN ways b ON r.y = b.x
+), least_reached AS (
+  SELECT x, min(y) AS y FROM reach GROUP BY x
+), classes AS (
+  SELECT doc_id, string_agg(g, chr(10) ORDER BY g) AS whole FROM grams GROUP BY doc_id
+), same AS (
+  SELECT doc_id, min(doc_id) OVER (PARTITION BY whole) AS class_id, count(*) OVER (PARTITION BY whole) AS class_size FROM classes
+)
+SELECT s.doc_id, coalesce(z.n, 0) AS n_shingles, least(s.doc_id, coalesce(l.y, s.doc_id)) AS component_id,
+       coalesce(c.class_id, s.doc_id) AS class_id, coalesce(c.class_size, 1) AS class_size
+FROM split s LEFT JOIN sizes z USING (doc_id) LEFT JOIN least_reached l ON l.x = s.doc_id LEFT JOIN same c ON c.doc_id = s.doc_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_mixing": OP1,
     "op2_url_filters": OP2,
     "op3_quality_rules": OP3,
+    "op6_jaccard_join": OP6,
     "op7_exact_dedup": OP7,
 }
