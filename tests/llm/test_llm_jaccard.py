@@ -37,6 +37,21 @@ def test_large_group_of_near_copies(spark):
     compare(spark, near_copies(rng, 1, 150, 60, 5) + near_copies(rng, 1, 100, 60, 14), 4, 85)
 
 
+def test_pairs_lose_no_link(spark):
+    rng = random.Random(14)
+    texts = EDGES + near_copies(rng, 5, 8, 200, 4)
+    linked, member = (df.collect() for df in J.JaccardJoin(make_docs(spark, texts), 5, 80).pairs())
+    sets = {i: shingles(t, 5) for i, t in enumerate(texts)}
+    first = {}
+    for i, s in sets.items():
+        first.setdefault(frozenset(s) if s else i, i)
+    of = {i: first[frozenset(s) if s else i] for i, s in sets.items()}
+    assert {r.doc_id: r.class_id for r in member} == of
+    reps = sorted(set(of.values()))
+    want = {(a, b) for a in reps for b in reps if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert {(r.id_a, r.id_b) for r in linked} == want and len(want) > 20
+
+
 def test_keep_one(spark):
     rng = random.Random(2)
     base = prose(rng, 100)

@@ -214,15 +214,19 @@ class JaccardJoin:
         pairs = pairs.join(side("a", "u"), "u").join(side("b", "v"), "v").where(self._may_link("a", "b")).select("u", "v")
         return self._verified(pairs, sets)
 
-    def links(self, classes: DataFrame) -> DataFrame:
-        """Links between classes, enough of them to connect every component."""
-        ws = self.ws
+    def _candidates(self, classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The classes that may have a partner, the index, and their whole sets."""
         alive, index = self._prune(classes)
         ids = alive.select(F.col("first_id").alias("doc_id")).distinct()
         ids = maybe_broadcast(ids, alive.count(), 16)
         chosen = self.docs.join(ids, self.docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-        sets = ws.save(chosen.mapInArrow(_sets(self.width), "k long, hashes array<long>").join(alive.select("k", "long"), "k"), "sets")
+        sets = self.ws.save(chosen.mapInArrow(_sets(self.width), "k long, hashes array<long>").join(alive.select("k", "long"), "k"), "sets")
+        return alive, index, sets
 
+    def links(self, classes: DataFrame) -> DataFrame:
+        """Links between classes, enough of them to connect every component."""
+        ws = self.ws
+        alive, index, sets = self._candidates(classes)
         found = ws.save(self._star_links(index, self._centres(index), alive, sets), "star-1")
         label = ws.save(connected_components(found, ws, "label-1", rounds=2), "labels-1")
         outside = self._outside(index, label)
@@ -230,24 +234,40 @@ class JaccardJoin:
         label = ws.save(connected_components(found, ws, "label-2", rounds=2), "labels-2")
 
         # what is still outside its bucket's central component meets all of other components
-        attributes = alive.select("k", "sketch").join(label.withColumnRenamed("node", "k"), "k", "left").select(
-            "k", "sketch", F.coalesce("component", "k").alias("label"))
         outside = self._outside(index, label)
-        columns = ["hash", "kind", "n", "long", "k", "sketch", "label"]
-        some = outside.join(attributes, "k").select(*columns)
         buckets = outside.select("hash", "kind").distinct()
-        every = index.join(buckets, ["hash", "kind"], "left_semi").join(attributes, "k").select(*columns)
-        a = some.select(*[F.col(c).alias(f"a{c}") for c in columns])
-        b = every.select(*[F.col(c).alias(f"b{c}") for c in columns])
+        every = index.join(buckets, ["hash", "kind"], "left_semi")
+        labelled = alive.join(label.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("component", "k"))
+        pairs = self._meetings(outside, every, labelled)
+        closing = ws.save(self._verified(ws.save(pairs, "closing-pairs"), sets), "closing")
+        ws.drop("index", "sets")
+        return found.unionByName(closing)
+
+    def _meetings(self, some: DataFrame, every: DataFrame, classes: DataFrame) -> DataFrame:
+        """Pairs (u, v) of differently labelled classes of ``some`` and ``every`` that
+        share an index row and may link; the filters work inside the join."""
+        columns = ["hash", "kind", "n", "long", "k", "sketch", "label"]
+        attributes = classes.select("k", "sketch", "label")
+        a = some.join(attributes, "k").select(*[F.col(c).alias(f"a{c}") for c in columns])
+        b = every.join(attributes, "k").select(*[F.col(c).alias(f"b{c}") for c in columns])
         # a pair of two long prefixes meets in long rows only
         meet = ((F.col("ahash") == F.col("bhash")) & (F.col("akind") == F.col("bkind"))
                 & (F.col("alabel") != F.col("blabel"))
                 & ((F.col("akind") == LONG) | ~(F.col("along") & F.col("blong"))))
-        pairs = (a.join(b.hint("merge"), meet & self._may_link("a", "b"))
-                 .select(F.least("ak", "bk").alias("u"), F.greatest("ak", "bk").alias("v")).distinct())
-        closing = ws.save(self._verified(ws.save(pairs, "closing-pairs"), sets), "closing")
-        ws.drop("index", "sets")
-        return found.unionByName(closing)
+        return (a.join(b.hint("merge"), meet & self._may_link("a", "b"))
+                .select(F.least("ak", "bk").alias("u"), F.greatest("ak", "bk").alias("v")).distinct())
+
+    def pairs(self) -> tuple[DataFrame, DataFrame]:
+        """The join itself: every linked pair of classes, named by their smallest ids
+        (``id_a`` < ``id_b``), and the membership (``doc_id``, ``class_id``) of all rows."""
+        members, classes = self._classes()
+        alive, index, sets = self._candidates(classes)
+        found = self._verified(self._meetings(index, index, alive.withColumn("label", F.col("k"))), sets)
+        name = lambda key, out: classes.select(F.col("k").alias(key), F.col("first_id").alias(out))
+        named = found.distinct().join(name("u", "x"), "u").join(name("v", "y"), "v").select(
+            F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
+        own = members.join(classes.select("k", "k2", "first_id"), ["k", "k2"], "left")
+        return named, own.select("doc_id", F.when(F.col("n") > 0, F.col("first_id")).otherwise(F.col("doc_id")).alias("class_id"))
 
     def _outside(self, index: DataFrame, label: DataFrame) -> DataFrame:
         """Index rows whose class is not of the component of its bucket's centre."""
