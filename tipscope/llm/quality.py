@@ -48,7 +48,7 @@ class Rule:
     low: float | None = None
     high: float | None = None
 
-    def holds(self, value: dict[str, Column]) -> Column:
+    def holds(self, value: Column) -> Column:
         top, base = value[self.figure].cast("double"), value[self.base].cast("double")
         tests = [F.lit(True)]
         if self.low is not None:
@@ -67,6 +67,9 @@ RULES = (
 )
 
 
+FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words", "n_upper")
+
+
 def words_of(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
@@ -136,31 +139,27 @@ def figures(text: Column) -> Column:
     return let(F.coalesce(text, F.lit("")), of)
 
 
-def judge(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``df`` with ``base_failed``, ``kept``, ``failed_rules`` and a ``figures`` struct.
+def judgement(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """The figures of a text with ``base_failed``, ``failed_rules`` and ``kept``,
+    as one struct, so that a filter on the verdict evaluates the figures once."""
+    def of(f: Column) -> Column:
+        base_failed = (f["n_words"] < MIN_WORDS) | (f["n_repeat_words"] * 100 > f["n_words"] * MAX_REPEAT_PERCENT)
+        broken = F.filter(F.array(*[F.when(~r.holds(f), F.lit(r.name)) for r in rules]), lambda r: r.isNotNull())
+        return let(broken, lambda b: F.struct(
+            *[f[n].alias(n) for n in FIGURES], base_failed.alias("base_failed"),
+            (~base_failed & (F.size(b) == 0)).alias("kept"), F.array_join(b, ",").alias("failed_rules")))
 
-    The four result names must be free in ``df``; select columns first if not.
-    """
-    out = df.withColumn("figures", figures(F.col(text)))
-    value = {f: F.col("figures")[f] for f in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                                              "n_lines", "n_stop_words", "n_upper")}
-    out = out.withColumn("base_failed", (value["n_words"] < MIN_WORDS)
-                         | (value["n_repeat_words"] * 100 > value["n_words"] * MAX_REPEAT_PERCENT))
-    broken = F.filter(F.array(*[F.when(~r.holds(value), F.lit(r.name)) for r in rules]), lambda r: r.isNotNull())
-    out = out.withColumn("failed_rules", broken)
-    return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+    return let(figures(text), of)
 
 
 def quality_filter(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` whose text passes every rule, with its own columns."""
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    judged = judge(docs.select(row.alias("row"), F.col(f"`{text}`").alias("text")), "text", rules)
-    return judged.where("kept").select("row.*")
+    return docs.where(judgement(F.col(f"`{text}`"), rules)["kept"])
 
 
 def quality_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """One row per document: its figures, the base rule and the verdict."""
-    judged = judge(docs.select("doc_id", "text"), "text", rules)
-    return judged.select("doc_id", "figures.*", "base_failed", "kept", "failed_rules").select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
-        "n_lines", "n_stop_words", "n_upper", F.array_join("failed_rules", ",").alias("failed_rules"))
+    judged = docs.select("doc_id", judgement(F.col("text"), rules).alias("j"))
+    return judged.select("doc_id", *[F.col("j")[n].alias(n) for n in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_lines", "n_stop_words", "n_upper", "failed_rules")])
