@@ -31,7 +31,7 @@ def texts():
 @pytest.mark.parametrize("path", [BYTES, WORD])
 def test_pieces_equal_whole_texts(library, path):
     encoder = pieces.PieceEncoder(path)
-    assert encoder._ways, "the short way must agree with the library on the probes"
+    assert encoder._way, "the short way must agree with the library on the probes"
     for text in texts():
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library(path, text), repr(text)
         assert encoder.count(text) == len(library(path, text))
@@ -42,7 +42,7 @@ def test_piece_table_starts_anew(monkeypatch, library):
     encoder = pieces.PieceEncoder(BYTES)
     for text in texts():
         assert encoder.count(text) == len(library(BYTES, text))
-        assert len(encoder.table) + len(encoder._bare) < 400
+        assert len(encoder._spaced) + len(encoder._leading) < 400
 
 
 def test_counts_with_overlapping_chunks(spark, library, monkeypatch):

@@ -19,17 +19,17 @@ import os
 import re
 import sys
 import types
+from array import array
 from collections.abc import Iterable
 
-import numpy as np
-
 # ASCII white space, and all that any reading of white space could add.
 ASCII_SPACE = "\\t\\n\\x0b\\x0c\\r "
 OTHER_SPACE = "\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200b\\u2028\\u2029\\u202f\\u205f\\u2060\\u3000\\ufeff"
 PIECE = re.compile(f"(?s:.)(?:[^{ASCII_SPACE}]+|(?<=[{ASCII_SPACE}{OTHER_SPACE}])[{ASCII_SPACE}])*")
-# White space other than single blanks and line ends between words.
-_UNEVEN = re.compile(f"[\\t\\x0b\\x0c\\r{OTHER_SPACE}]|[ \\n][ \\n]|^[ \\n]|[ \\n]\\Z")
-_PLAIN = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)\Z")
+# White space other than blanks and line ends, and blanks or line ends not between words.
+_OTHER = re.compile(f"[\\t\\x0b\\x0c\\r{OTHER_SPACE}]")
+_DOUBLE = ("  ", "\n\n", " \n", "\n ")
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)\Z")
 _PROBES = (" the", "the", "\nThe", " The,", " über%%%", "\nÉtrennyé.", "Ça", " Thththtiontion", " x&&&", " A", "ñandú;", " OF!!", "Straße?!", " ÿ.")
 
 #: Bytes of memory the piece table may hold before it starts anew.
@@ -54,12 +54,12 @@ def _byte_letters() -> list[str]:
 class _Table(dict):
     """Piece to ids as little-endian unsigned 32-bit bytes; learns what is missing."""
 
-    def __init__(self, encode) -> None:
+    def __init__(self, learn) -> None:
         super().__init__()
-        self.encode, self.room = encode, TABLE_BYTES
+        self.learn, self.room = learn, TABLE_BYTES
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self[piece] = self.encode(piece)
+        ids = self[piece] = self.learn(piece)
         self.room -= _ENTRY_BYTES + len(piece) + len(ids)
         return ids
 
@@ -75,56 +75,88 @@ class PieceEncoder:
         self._model = self.tokenizer.model
         letters = _byte_letters()
         self._letters = str.maketrans({chr(b): letters[b] for b in range(256)})
-        self._matches: dict[str, bytes] = {}
-        self._ways = [w for w in ((True, False), (False, True)) if all(self._short(p, *w) == self._whole(p) for p in _PROBES)]
+        self._way: tuple[bool, bool] | None = None
+        for way in ((True, False), (False, True)):  # (blank is part of the word's match, case is lowered)
+            self._way = way
+            self._start()
+            if all(self.ids_of(p) == self._whole(p) for p in _PROBES):
+                break
+        else:
+            self._way = None
         self._start()
 
     def _start(self) -> None:
-        self.table = _Table(self._encode)  # whole pieces
-        self._bare = _Table(lambda part: self._encode(part if part[:1] == "\n" else " " + part))  # without their blank
-        self._matches = {}
+        self._spaced = _Table(self._learn_spaced)  # what follows a blank
+        self._leading = _Table(self._learn_leading)  # what follows nothing or a line end
+        self._tails: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _match(self, text: str) -> bytes:
-        ids = self._matches.get(text)
+        """Ids of one match of the splitting pattern."""
+        shown = text.encode().decode("latin-1").translate(self._letters)
+        return array("I", [t.id for t in self._model.tokenize(shown)]).tobytes()
+
+    def _tail(self, tail: str) -> bytes:
+        ids = self._tails.get(tail)
         if ids is None:
-            shown = text.encode().decode("latin-1").translate(self._letters)
-            ids = b"".join(t.id.to_bytes(4, "little") for t in self._model.tokenize(shown))
-            if len(text) < 4:
-                self._matches[text] = ids
+            ids = self._match(tail)
+            if len(tail) < 8:
+                self._tails[tail] = ids
         return ids
 
-    def _short(self, piece: str, keeps_space: bool, lower: bool) -> bytes | None:
-        found = _PLAIN.match(piece)
+    def _learn_spaced(self, part: str) -> bytes:
+        found = _PLAIN.match(part) if self._way else None
         if found is None:
-            return None
-        space, word, tail = found.groups()
-        if lower:
-            word = word.lower()
-        if keeps_space and space == " ":
-            word = space + word
-        out = self._match(word)
+            return self._whole(" " + part)
+        word, tail = found.groups()
+        if tail:  # the word itself is learnt too: it comes with other tails
+            return self._spaced[word] + self._tail(tail)
+        keeps_blank, lower = self._way
+        return self._match(" " + word if keeps_blank else word.lower() if lower else word)
+
+    def _learn_leading(self, part: str) -> bytes:
+        found = _PLAIN.match(part) if self._way else None
+        if found is None:
+            return self._whole(part)
+        word, tail = found.groups()
         if tail:
-            out += self._match(tail)
-        return self._match(space) + out if keeps_space and space == "\n" else out
-
-    def _encode(self, piece: str) -> bytes:
-        ids = self._short(piece, *self._ways[0]) if self._ways else None
-        return self._whole(piece) if ids is None else ids
+            return self._leading[word] + self._tail(tail)
+        return self._match(word.lower() if self._way[1] else word)
+
+    def ids_of(self, piece: str) -> bytes:
+        """Ids of one piece (see ``PIECE``)."""
+        rest = piece[1:]
+        if piece[0] == " " and rest and not rest[0].isspace():
+            return self._spaced[rest]
+        if piece[0] == "\n" and self._way and _PLAIN.match(rest):
+            return (self._tail("\n") if self._way[0] else b"") + self._leading[rest]
+        return self._leading[piece]
+
+    def _lines(self, text: str) -> Iterable[bytes]:
+        """Ids of a text whose words stand between single blanks and line ends."""
+        end = self._tail("\n") if self._way[0] else b""
+        spaced, leading = self._spaced.__getitem__, self._leading
+        for k, line in enumerate(text.split("\n")):
+            first, *rest = line.split(" ")
+            if k:
+                yield end if _PLAIN.match(first) else b""
+                yield leading[first] if _PLAIN.match(first) else leading["\n" + first]
+            else:
+                yield leading[first]
+            yield from map(spaced, rest)
 
     def _parts(self, text: str) -> Iterable[bytes]:
         """The ids of each piece of a text, in order."""
         if not text:
             return ()
-        if _UNEVEN.search(text):
-            return map(self.table.__getitem__, PIECE.findall(text))
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return (self.table[first], *map(self._bare.__getitem__, rest))
+        if self._way is None or text[0] in " \n" or text[-1] in " \n" or any(d in text for d in _DOUBLE) or _OTHER.search(text):
+            return map(self.ids_of, PIECE.findall(text))
+        return self._lines(text)
 
     def _make_room(self) -> None:
-        if self.table.room + self._bare.room < TABLE_BYTES:
+        if self._spaced.room + self._leading.room < TABLE_BYTES:
             self._start()
 
     def encode(self, text: str | None) -> bytes:

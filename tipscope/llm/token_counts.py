@@ -57,7 +57,7 @@ def boundaries(encoder: PieceEncoder, text: str, first: bool) -> tuple[list[int]
             at.append(offset)
             before.append(tokens)
         offset += len(piece)
-        tokens += len(encoder.table[piece]) // 4
+        tokens += len(encoder.ids_of(piece)) // 4
     return at, before, tokens
 
 
