@@ -63,3 +63,26 @@ def test_edges(spark):
     nulls = L.language_of(make_docs(spark, ["abc", "abc"], langs=["en", "en"], ids=[None, None])).collect()
     assert [(r.held_out, r.lang_pred) for r in nulls] == [(False, "und")] * 2
     assert L.language_of(make_docs(spark, [])).count() == 0
+
+
+def test_long_texts_with_embedded_data(spark):
+    texts, langs = corpus()
+    rng = random.Random(7)
+    ids, long = [], []
+    for name, length, noise in [(x, *size) for x in STEMS for size in ((100_000, 50_000), (400_000, 200_000))]:
+        words = " ".join("".join(rng.choice(STEMS[name]) for _ in range(rng.randrange(1, 4))) for _ in range(length // 8))
+        data = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(noise))
+        ids.append(next(i for i in range((ids or [1000])[-1] + 1, 10 ** 6) if fold(i)))
+        long.append((name, words + "\n" + data))
+    docs = make_docs(spark, texts + [t for _, t in long], langs=langs + [x for x, _ in long], ids=[*range(len(texts)), *ids])
+    rows = {r.doc_id: r for r in L.language_of(docs).collect()}
+    assert [rows[i].lang_pred for i in ids] == [x for x, _ in long]
+
+
+def test_stretches_cover_the_text():
+    p = L.Presence()
+    text = " ".join(f"{a}{b}" for a in STEMS["de"] for b in STEMS["es"]) * 400
+    parts = list(p.stretches(text))
+    assert len(parts) > 1 and max(n for n, _ in parts) <= L.STRETCH and sum(n for n, _ in parts) == len(p.codes(text)) + 2
+    assert np.array_equal(np.logical_or.reduce([seen for _, seen in parts]), p.row(text))
+    assert not list(p.stretches("12 !")) and len(list(p.stretches("ab"))) == 1

@@ -4,12 +4,18 @@ The kernel of two texts counts the hashed character n-grams of one to four
 letters that both hold (presence, all lengths blended), divided by the root of
 the product of their numbers.  A Nyström map over landmark texts turns it into
 short vectors, on which one ridge regression per language separates that
-language from the rest.  Scoring a batch is two matrix products: presence rows
-by landmarks, kernel rows by coefficients.
+language from the rest.  Kernel, map and regressions are linear in the presence
+bits, so they fold into one weight per bit and language, and scoring sums the
+weights of a text's bits.
+
+Presence says nothing once nearly every n-gram occurs, so a text longer than
+``STRETCH`` is scored by equal stretches, all of them, and its values are their
+mean by length: however long, and whatever data it holds, no bits fill up.
 
 Training takes a bounded sample: at most ``SAMPLE`` rows over all languages
-(but ``LEAST`` of each), evenly by language, those of smallest id hash.  Only
-their presence bits reach the driver; every text of the table is scored whole.
+(but ``LEAST`` of each), evenly by language, those of smallest id hash, and of
+a longer text one stretch by the same hash.  Only their presence bits (32 KB each) reach the driver; every text of the table is
+scored whole.  A worker holds 1 MB of weights a language.
 
 Edge cases: a NULL text or one without a letter is ``und`` with score 0; rows
 with a NULL language, or with a NULL id, teach nothing; without any teaching
@@ -18,7 +24,7 @@ language; repeated rows are scored one by one; extra columns are not read.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +35,13 @@ from pyspark.sql.window import Window
 from tipscope.llm.shingles import mix
 
 ORDERS = (1, 2, 3, 4)
-BITS = 14  # presence bits: 2 ** BITS
+BITS = 18  # presence bits: 2 ** BITS
+STRETCH = 1 << 15  # letters and blanks scored together; fills at most half of the bits
 SAMPLE, LEAST = 1200, 8
 LANDMARKS = 192
 RIDGE = 1e-2
 UNKNOWN = "und"
-_BLOCK = 128  # texts per matrix product
+_BLOCK = 1 << 10  # bytes of packed presence rows per matrix product
 _SEGMENT = 1 << 18  # characters hashed at once; bounds the work arrays, not the text
 
 
@@ -61,12 +68,8 @@ class Presence:
             c = c[:-1]
         return (c[1:] if len(c) and c[0] == 32 else c).astype(np.uint64)
 
-    def row(self, text: str | None) -> np.ndarray | None:
-        """Presence of every n-gram; None if the text has no letter."""
-        c = self.codes(text or "")
-        if not len(c):
-            return None
-        c = np.concatenate(([32], c, [32])).astype(np.uint64)
+    def _mark(self, c: np.ndarray) -> np.ndarray:
+        """Presence of the n-grams of code points."""
         seen = np.zeros(1 << BITS, dtype=bool)
         for at in range(0, len(c), _SEGMENT):
             part = c[at:at + _SEGMENT + max(ORDERS) - 1]
@@ -80,58 +83,94 @@ class Presence:
                     seen[mix(gram + np.uint64(order)) >> np.uint64(64 - BITS)] = True
         return seen
 
+    def _framed(self, text: str | None) -> np.ndarray:
+        """Code points between two blanks; nothing if the text has no letter."""
+        c = self.codes(text or "")
+        return np.concatenate(([32], c, [32])).astype(np.uint64) if len(c) else c
+
+    def row(self, text: str | None) -> np.ndarray | None:
+        """Presence of every n-gram; None if the text has no letter."""
+        c = self._framed(text)
+        return self._mark(c) if len(c) else None
+
+    def cuts(self, text: str | None) -> list[tuple[int, np.ndarray]]:
+        """Equal stretches that make up a text: length, and code points with those that its last n-grams reach."""
+        c = self._framed(text)
+        n = -(-len(c) // STRETCH)
+        ends = [k * len(c) // n for k in range(n + 1)] if n else []
+        return [(end - begin, c[begin:end + max(ORDERS) - 1]) for begin, end in zip(ends, ends[1:])]
+
+    def stretches(self, text: str | None) -> Iterator[tuple[int, np.ndarray]]:
+        """Length and presence of each stretch of a text; none if it has no letter."""
+        return ((n, self._mark(c)) for n, c in self.cuts(text))
+
+    def teaching(self, text: str | None, key: int) -> np.ndarray | None:
+        """Packed presence of the stretch of a text that a hash picks; None if it has no letter."""
+        cuts = self.cuts(text)
+        return np.packbits(self._mark(cuts[key % len(cuts)][1])) if cuts else None
+
+
+def _blocks(rows: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """The bits of packed rows as numbers, some columns at a time."""
+    for at in range(0, rows.shape[1], _BLOCK):
+        yield slice(8 * at, 8 * (at + _BLOCK)), np.unpackbits(rows[:, at:at + _BLOCK], axis=1).astype(np.float32)
+
 
 class KernelRidge:
-    """Nyström map and one-versus-rest ridge regressions over presence rows."""
+    """Nyström map and one-versus-rest ridge regressions over packed presence rows."""
 
     def __init__(self, rows: np.ndarray, languages: list[str]) -> None:
         self.languages = sorted(set(languages))
         by_language = [[i for i, x in enumerate(languages) if x == name] for name in self.languages]
         share = max(1, LANDMARKS // len(self.languages))
         chosen = [i for own in by_language for i in own[:share]]
-        self.landmarks = np.packbits(rows[chosen], axis=1)
-        self.size = rows[chosen].sum(axis=1).astype(np.float32)
-        self._prepare()
-        values, vectors = np.linalg.eigh(self.kernel(rows[chosen]).astype(float))
+        both, size = np.zeros((len(rows), len(chosen))), np.zeros(len(rows))
+        for _, block in _blocks(rows):
+            size += block.sum(axis=1)
+            used = block[chosen].any(axis=0)
+            both += block[:, used] @ block[np.ix_(chosen, used)].T
+        root = np.sqrt(np.maximum(size, 1))
+        kernel = both / root[:, None] / root[chosen]
+        values, vectors = np.linalg.eigh(kernel[chosen])
         good = values > 1e-6 * values.max()
-        mapped = self.kernel(rows).astype(float) @ (vectors[:, good] / np.sqrt(values[good]))
+        mapped = kernel @ (vectors[:, good] / np.sqrt(values[good]))
         target = np.where(np.array(languages)[:, None] == np.array(self.languages)[None, :], 1.0, -1.0)
         weight = np.array([1.0 / languages.count(x) for x in languages])  # languages count alike
         weight *= len(languages) / weight.sum() / 1.0
         mean, centre = weight @ mapped / weight.sum(), weight @ target / weight.sum()
         z, y = (mapped - mean) * np.sqrt(weight)[:, None], (target - centre) * np.sqrt(weight)[:, None]
         beta = np.linalg.solve(z.T @ z + RIDGE * len(languages) * np.eye(z.shape[1]), z.T @ y)
-        self.coefficients = ((vectors[:, good] / np.sqrt(values[good])) @ beta).astype(np.float32)
-        self.intercept = (centre - mean @ beta).astype(np.float32)
-
-    def _prepare(self) -> None:
-        self._dense = np.unpackbits(self.landmarks, axis=1).astype(np.float32).T
-
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in vars(self).items() if k != "_dense"}
-
-    def __setstate__(self, state: dict) -> None:
-        vars(self).update(state)
-        self._prepare()
-
-    def kernel(self, rows: np.ndarray) -> np.ndarray:
-        size = rows.sum(axis=1, dtype=np.int64).astype(np.float32)
-        return rows.astype(np.float32) @ self._dense / np.sqrt(np.maximum(size, 1)[:, None] * np.maximum(self.size, 1))
-
-    def predict(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Index of the best language and its share of a softmax over all."""
-        value = self.kernel(rows) @ self.coefficients + self.intercept
-        odds = np.exp(4.0 * (value - value.max(axis=1, keepdims=True)))
-        best = value.argmax(axis=1)
-        return best, odds[np.arange(len(best)), best] / odds.sum(axis=1)
+        coefficients = (vectors[:, good] / np.sqrt(values[good])) @ beta / root[chosen][:, None]
+        self.intercept = centre - mean @ beta
+        self.weights = np.empty((8 * rows.shape[1], len(self.languages)), np.float32)
+        for at, block in _blocks(rows[chosen]):
+            self.weights[at] = block.T @ coefficients
+
+    def value(self, seen: np.ndarray) -> np.ndarray:
+        """Value of each language for one presence row."""
+        bits = np.flatnonzero(seen)
+        return self.weights[bits].sum(axis=0, dtype=float) / np.sqrt(max(len(bits), 1)) + self.intercept
+
+    def predict(self, stretches: Iterable[tuple[int, np.ndarray]]) -> tuple[str, float]:
+        """The best language and its share of a softmax over all; of no stretch it is unknown."""
+        total, length = np.zeros(len(self.languages)), 0
+        for n, seen in stretches:
+            total += n * self.value(seen)
+            length += n
+        if not length:
+            return UNKNOWN, 0.0
+        value = total / length
+        odds = np.exp(4.0 * (value - value.max()))
+        best = int(value.argmax())
+        return self.languages[best], float(odds[best] / odds.sum())
 
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Map function: packed presence bits of teaching texts that have letters."""
     presence = Presence()
     for batch in batches:
-        rows = [(lang, key, presence.row(text)) for lang, key, text in zip(*(batch[c].to_pylist() for c in ("lang", "key", "text")))]
-        rows = [(lang, key, np.packbits(seen).tobytes()) for lang, key, seen in rows if seen is not None]
+        rows = [(lang, key, presence.teaching(text, key)) for lang, key, text in zip(*(batch[c].to_pylist() for c in ("lang", "key", "text")))]
+        rows = [(lang, key, seen.tobytes()) for lang, key, seen in rows if seen is not None]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.int64(), pa.binary()))],
                                          ["lang", "key", "bits"])
 
@@ -160,7 +199,7 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> KernelRidge | None:
     sizes.unpersist()
     if not marked:
         return None
-    rows = np.unpackbits(np.frombuffer(b"".join(m[2] for m in marked), np.uint8).reshape(len(marked), -1), axis=1).astype(bool)
+    rows = np.frombuffer(b"".join(m[2] for m in marked), np.uint8).reshape(len(marked), -1)
     return KernelRidge(rows, [m[0] for m in marked])
 
 
@@ -170,14 +209,9 @@ def _classify(model: KernelRidge | None):
         presence = Presence()
         for batch in batches:
             texts = batch["text"].to_pylist()
-            said, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            for at in range(0, len(texts) if model is not None else 0, _BLOCK):
-                rows = [(at + k, seen) for k, t in enumerate(texts[at:at + _BLOCK]) if (seen := presence.row(t)) is not None]
-                if rows:
-                    best, value = model.predict(np.array([r for _, r in rows]))
-                    for (i, _), b, v in zip(rows, best, value):
-                        said[i], score[i] = model.languages[b], v
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(said, pa.string()), pa.array(score)],
+            found = [model.predict(presence.stretches(t)) if model is not None else (UNKNOWN, 0.0) for t in texts]
+            said, score = [f[0] for f in found], [f[1] for f in found]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(said, pa.string()), pa.array(score, pa.float64())],
                                              ["doc_id", "held_out", "lang_pred", "score"])
 
     return run
