@@ -45,6 +45,16 @@ def test_piece_table_starts_anew(monkeypatch, library):
         assert len(encoder._spaced) + len(encoder._leading) < 400
 
 
+def test_piece_table_starts_anew_between_chunks(monkeypatch, library):
+    monkeypatch.setattr(pieces, "TABLE_BYTES", 20_000)
+    encoder, rng = pieces.PieceEncoder(BYTES), random.Random(14)
+    for _ in range(60):
+        chunk = " ".join("".join(rng.choice("abcdefghij0123") for _ in range(9)) for _ in range(50))
+        at, before, n = token_counts.boundaries(encoder, chunk, True)
+        assert n == len(library(BYTES, chunk)) and before[at.index(chunk.index(" "))] == len(library(BYTES, chunk.split()[0]))
+        assert len(encoder._spaced) + len(encoder._leading) < 400
+
+
 def test_counts_with_overlapping_chunks(spark, library, monkeypatch):
     rng = random.Random(12)
     long = [prose(rng, 3000), "".join(rng.choice("ab \n") for _ in range(9000)), "x" * 7000, " " * 5000 + "y" * 3000,

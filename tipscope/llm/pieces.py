@@ -155,17 +155,18 @@ class PieceEncoder:
             return map(self.ids_of, PIECE.findall(text))
         return self._lines(text)
 
-    def _make_room(self) -> None:
+    def make_room(self) -> None:
+        """Start the table anew if it is full; called before each text or chunk."""
         if self._spaced.room + self._leading.room < TABLE_BYTES:
             self._start()
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a text; NULL counts as empty."""
-        self._make_room()
+        self.make_room()
         return b"".join(self._parts(text or ""))
 
     def count(self, text: str | None) -> int:
-        self._make_room()
+        self.make_room()
         return sum(map(len, self._parts(text or ""))) // 4
 
 

@@ -50,6 +50,7 @@ def boundaries(encoder: PieceEncoder, text: str, first: bool) -> tuple[list[int]
     The start of a text is a boundary; the start of a later chunk is not, and
     the first piece of such a chunk proves nothing, as it may be cut.
     """
+    encoder.make_room()
     pieces = PIECE.findall(text)
     at, before, offset, tokens = [], [], 0, 0
     for k, piece in enumerate(pieces):
