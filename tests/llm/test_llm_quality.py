@@ -66,3 +66,17 @@ def test_empty_table_and_plan(spark):
     assert Q.quality_report(docs).count() == 0
     plan = Q.quality_report(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_filter_keeps_languages_without_stop_words(spark):
+    russian = " ".join(f"река течёт мимо старого города{k} где жили люди" for k in "абвгдежз")
+    polish = " ".join(f"rzeka płynie obok starego miasta{k} gdzie żyli ludzie" for k in "abcdefgh")
+    indonesian = " ".join(f"sungai mengalir melewati kota tua{k} tempat orang tinggal" for k in "abcdefgh")
+    junk = " ".join(f"q{i}z" for i in range(60))
+    clean = prose(random.Random(3), 60)
+    cases = [(russian, "ru"), (russian, None), (russian, "und"), (polish, "pl-PL"), (polish, None), (indonesian, "id"), (clean, "en"), (clean, None),
+             (junk, "en"), (junk, "de-AT"), (junk, None), (junk + " é ü ñ œ", None), (russian.replace(" ", " ### "), "ru"), ("река течёт", "ru")]
+    docs = make_docs(spark, [t for t, _ in cases], langs=[x for _, x in cases])
+    assert {r.doc_id for r in Q.quality_filter(docs).collect()} == set(range(8))
+    assert {r.doc_id for r in Q.quality_filter(docs.drop("lang")).collect()} == {0, 1, 2, 3, 4, 6, 7}
+    assert {r.doc_id for r in Q.quality_report(docs).where("kept").collect()} == {6, 7}

@@ -4,8 +4,13 @@ Every figure is a built-in expression over the whole text, so the operator is
 one narrow stage without user functions, shuffles or collected state.
 
 Edge cases: a NULL or white-space-only text has no words, so all its figures
-are 0 and it fails the base rule; extra columns of the input are never read;
-repeated rows and repeated ids are judged one by one.
+are 0 and it fails the base rule; extra columns of the input are never read,
+but for the filter's language label; repeated rows and repeated ids are judged
+one by one.
+
+The stop words are those of four languages.  The filter, which drops texts,
+applies a rule on them only to texts in one of these (see ``in_stop_language``);
+the report applies every rule to every text, as its SQL does.
 """
 from __future__ import annotations
 
@@ -33,6 +38,12 @@ STOP_WORDS = (
     "el", "los", "y", "del", "se", "las", "una", "con", "no", "su", "para", "es", "al", "lo", "como",
 )
 _STOP_FORMS = sorted({form for w in STOP_WORDS for form in (w, w.capitalize(), w.upper())})
+#: Labels of these languages, and of no language.
+STOP_LANGUAGES = ("en", "de", "fr", "es", "eng", "deu", "ger", "fra", "fre", "spa")
+NO_LANGUAGE = ("", "und", "unknown")
+# Letters that none of their alphabets has; a text with more than so many percent is in another language.
+OTHER_LETTERS = "[\\p{L}&&[^a-zA-ZªºÀÂÄÆÇÈÉÊËÍÎÏÑÓÔÖÙÚÛÜŒŸẞßàáâäæçèéêëíîïñóôöùúûüœÿÁ]]"
+OTHER_PERCENT = 1
 # Capital letters of Latin script that the shouting rule counts.
 CAPITALS = "[A-ZÀ-ÖØ-Þ]"
 
@@ -47,6 +58,7 @@ class Rule:
     base: str
     low: float | None = None
     high: float | None = None
+    stop_language: bool = False  # a filter applies it to texts in a language of the stop words only
 
     def holds(self, value: Column) -> Column:
         top, base = value[self.figure].cast("double"), value[self.base].cast("double")
@@ -62,7 +74,7 @@ RULES = (
     Rule("word_length", "word_chars", "n_words", low=2.0, high=14.0),
     Rule("symbols", "n_symbols", "n_words", high=0.5),
     Rule("shouted", "n_upper", "word_chars", high=0.5),
-    Rule("stop_words", "n_stop_words", "n_words", low=0.02),
+    Rule("stop_words", "n_stop_words", "n_words", low=0.02, stop_language=True),
     Rule("repeated_lines", "n_dup_lines", "n_lines", high=0.5),
 )
 
@@ -139,12 +151,27 @@ def figures(text: Column) -> Column:
     return let(F.coalesce(text, F.lit("")), of)
 
 
-def judgement(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+def in_stop_language(text: Column, lang: Column | None = None) -> Column:
+    """Whether a text is in a language of the stop words: by its label, or by its
+    letters where it has none."""
+    text = F.coalesce(text, F.lit(""))
+    by_letters = _count(text, OTHER_LETTERS) * 100 <= F.length(F.regexp_replace(text, SPACE, "")) * OTHER_PERCENT
+    if lang is None:
+        return by_letters
+    label = F.lower(F.regexp_extract(F.coalesce(lang.cast("string"), F.lit("")), "^\\s*([A-Za-z]*)", 1))
+    return F.when(label.isin(*NO_LANGUAGE), by_letters).otherwise(label.isin(*STOP_LANGUAGES))
+
+
+def judgement(text: Column, rules: tuple[Rule, ...] = RULES, stop_language: Column | None = None) -> Column:
     """The figures of a text with ``base_failed``, ``failed_rules`` and ``kept``,
-    as one struct, so that a filter on the verdict evaluates the figures once."""
+    as one struct, so that a filter on the verdict evaluates the figures once.
+    ``stop_language`` says which texts the rules on stop words apply to (None: all)."""
+    def breaks(rule: Rule, f: Column) -> Column:
+        return ~rule.holds(f) if stop_language is None or not rule.stop_language else ~rule.holds(f) & stop_language
+
     def of(f: Column) -> Column:
         base_failed = (f["n_words"] < MIN_WORDS) | (f["n_repeat_words"] * 100 > f["n_words"] * MAX_REPEAT_PERCENT)
-        broken = F.filter(F.array(*[F.when(~r.holds(f), F.lit(r.name)) for r in rules]), lambda r: r.isNotNull())
+        broken = F.filter(F.array(*[F.when(breaks(r, f), F.lit(r.name)) for r in rules]), lambda r: r.isNotNull())
         return let(broken, lambda b: F.struct(
             *[f[n].alias(n) for n in FIGURES], base_failed.alias("base_failed"),
             (~base_failed & (F.size(b) == 0)).alias("kept"), F.array_join(b, ",").alias("failed_rules")))
@@ -152,9 +179,13 @@ def judgement(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return let(figures(text), of)
 
 
-def quality_filter(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of ``docs`` whose text passes every rule, with its own columns."""
-    return docs.where(judgement(F.col(f"`{text}`"), rules)["kept"])
+def quality_filter(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, lang: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose text passes every rule, with its own columns.
+
+    ``lang`` is the column of language labels, if ``docs`` has it."""
+    body = F.col(f"`{text}`")
+    language = in_stop_language(body, F.col(f"`{lang}`") if lang in docs.columns else None)
+    return docs.where(judgement(body, rules, language)["kept"])
 
 
 def quality_report(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
