@@ -86,3 +86,17 @@ def test_stretches_cover_the_text():
     assert len(parts) > 1 and max(n for n, _ in parts) <= L.STRETCH and sum(n for n, _ in parts) == len(p.codes(text)) + 2
     assert np.array_equal(np.logical_or.reduce([seen for _, seen in parts]), p.row(text))
     assert not list(p.stretches("12 !")) and len(list(p.stretches("ab"))) == 1
+
+
+def test_repeated_ids_teach(spark):
+    texts, langs = corpus(60)
+    free = [i for i in range(10 ** 4, 10 ** 4 + 200) if not fold(i)]
+    rows = [(free[k], t, x) for k, (t, x) in enumerate(zip(texts, langs)) if x != "es"]
+    own = [t for t, x in zip(texts, langs) if x == "es"]
+    rows += [(free[100], own[k % len(own)] + " " + "la" * (k % 60), "es") for k in range(3000)]  # many rows, one id
+    rows += [(free[101], "xin chào các bạn", "vi")] * 3000  # one row, often
+    docs = make_docs(spark, [r[1] for r in rows], langs=[r[2] for r in rows], ids=[r[0] for r in rows])
+    for sample in (8, 64):
+        assert L.train(docs, sample).languages == ["de", "en", "es", "vi"]
+    least = L._taught(docs.select("lang", "text").where("lang = 'es'").selectExpr("*", "xxhash64(text) AS key"), 8)
+    assert len({m[1] for m in least}) == len(least) == 8

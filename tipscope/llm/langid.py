@@ -13,17 +13,19 @@ Presence says nothing once nearly every n-gram occurs, so a text longer than
 mean by length: however long, and whatever data it holds, no bits fill up.
 
 Training takes a bounded sample: at most ``SAMPLE`` rows over all languages
-(but ``LEAST`` of each), evenly by language, those of smallest id hash, and of
+(but ``LEAST`` of each), evenly by language, those of smallest hash of id and text, and of
 a longer text one stretch by the same hash.  Only their presence bits (32 KB each) reach the driver; every text of the table is
 scored whole.  A worker holds 1 MB of weights a language.
 
 Edge cases: a NULL text or one without a letter is ``und`` with score 0; rows
-with a NULL language, or with a NULL id, teach nothing; without any teaching
+with a NULL language, or with a NULL id, teach nothing; rows alike in id and
+text teach once, and those of one id with other texts each; without any teaching
 row every text is ``und``; with one language every text with letters is that
 language; repeated rows are scored one by one; extra columns are not read.
 """
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -179,12 +181,20 @@ def _fold(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 4
 
 
+def _taught(rows: DataFrame, each: int) -> list[tuple[str, int, bytes]]:
+    """Language, key and presence bits of the rows of smallest key, ``each`` of a language, equal rows once."""
+    order = Window.partitionBy("lang").orderBy("key")
+    once = rows.groupBy("lang", "key").agg(F.min("text").alias("text"))
+    chosen = once.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each).select("lang", "key", "text")
+    return sorted((r["lang"], r["key"], bytes(r["bits"])) for r in chosen.mapInArrow(_marks, "lang string, key long, bits binary").collect())
+
+
 def train(docs: DataFrame, sample: int = SAMPLE) -> KernelRidge | None:
     """Learn from the texts and non-NULL languages of the rows outside the held-out fold."""
     able = docs.select(F.col("doc_id"), F.col("text"), F.col("lang").cast("string").alias("lang")).where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & (_fold(F.col("doc_id")) != 2))
-    able = able.withColumn("key", F.xxhash64("doc_id"))
-    sizes = able.groupBy("lang").agg(F.count("*").alias("n")).cache()
+        F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}") & (_fold(F.col("doc_id")) != 2))
+    able = able.withColumn("key", F.xxhash64("doc_id", "text"))
+    sizes = able.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).cache()
     languages = sizes.count()
     if not languages:
         sizes.unpersist()
@@ -193,9 +203,11 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> KernelRidge | None:
     # first a share of each language by its hash, four times what is wanted, then the exact number
     share = F.least(F.lit(1.0), F.lit(4.0 * each) / F.col("n"))
     some = able.join(sizes, "lang").where((F.pmod("key", F.lit(1 << 30)) / F.lit(float(1 << 30))) <= share)
-    order = Window.partitionBy("lang").orderBy("key", "doc_id", "text")
-    chosen = some.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each).select("lang", "key", "text")
-    marked = sorted((r["lang"], r["key"], bytes(r["bits"])) for r in chosen.mapInArrow(_marks, "lang string, key long, bits binary").collect())
+    marked = _taught(some, each)
+    got = Counter(m[0] for m in marked)
+    short = [r["lang"] for r in sizes.where(F.col("n") > 4 * each).collect() if got[r["lang"]] < LEAST]
+    if short:  # too few rows below the share: the smallest hashes of all rows
+        marked = sorted([m for m in marked if m[0] not in short] + _taught(able.where(F.col("lang").isin(short)), each))
     sizes.unpersist()
     if not marked:
         return None
