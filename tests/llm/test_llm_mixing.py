@@ -106,3 +106,13 @@ def test_columns_and_empty(spark):
     assert M.Mix(empty).stream().count() == 0 and M.Mix(empty).mixed().count() == 0
     only = make_docs(spark, [None, "", " "], sources=["a", None, "a"])
     assert M.Mix(only).mixed().count() == 3
+
+
+def test_token_column_is_the_measure(spark):
+    rows = [(i, "日本語の文章です", "ja", 50) for i in range(8)] + [(100 + i, "a b c d e", "en", 5) for i in range(8)] + [(200, "x", "en", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n long")
+    plan = {r.source: r for r in M.Mix(docs, budget=1000.0, max_repetition=100.0, tokens="n").plan.collect()}
+    assert (plan["ja"].tokens, plan["en"].tokens) == (400, 40)
+    assert {r.source: r.tokens for r in M.Mix(docs).plan.collect()} == {"ja": 8, "en": 41}
+    mix = M.Mix(docs, max_repetition=2.0, tokens="n")
+    assert {r.n_tokens for r in mix.stream().collect()} == {50, 5, 0} and mix.mixed().columns == docs.columns

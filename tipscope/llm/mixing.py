@@ -4,6 +4,7 @@ Temperature mixing: a source with token share ``p`` gets weight ``p ** x``,
 normalised.  The exponent ``x`` in [0, 1] is found by bisection inside one
 expression over the array of source sizes: the flattest mix (smallest ``x``)
 whose largest repetition keeps a limit, or the mix that meets a target entropy.
+Tokens are words between ASCII white space, or what a column of counts says.
 A source of T tokens then has a budget of ``weight * total`` tokens, realised
 as whole passes over its documents (epochs) and one partial pass.
 
@@ -91,7 +92,8 @@ class Mix:
     """The plan of one mix: per source its weight, passes, and where the last pass ends."""
 
     def __init__(self, docs: DataFrame, budget: float | None = None, max_repetition: float | None = MAX_REPETITION,
-                 entropy: float | None = None, seed: int = 42) -> None:
+                 entropy: float | None = None, seed: int = 42, tokens: str | None = None) -> None:
+        """``tokens`` names a column of token counts (as of ``token_counts``); NULL counts 0."""
         if (max_repetition is None) == (entropy is None):
             raise ValueError("give either max_repetition or entropy")
         if budget is not None and not (budget > 0 and math.isfinite(budget)):
@@ -99,8 +101,9 @@ class Mix:
         self.docs, self.seed = docs, seed
         self.budget, self.max_repetition, self.entropy = budget, max_repetition, entropy
         self.ws = Workspace(docs.sparkSession, "mixing")
+        measure = F.size(words_of(F.coalesce(F.col("text"), F.lit("")))) if tokens is None else F.coalesce(F.col(f"`{tokens}`"), F.lit(0))
         self.rows = self.ws.save(docs.select(
-            F.col("doc_id"), F.col("source"), F.size(words_of(F.coalesce(F.col("text"), F.lit("")))).cast("long").alias("n_tokens"),
+            F.col("doc_id"), F.col("source"), measure.cast("long").alias("n_tokens"),
             _identity(F.col("doc_id"), F.col("text")).alias("identity")), "rows")
         self.plan = self._plan()
 
