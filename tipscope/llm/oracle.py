@@ -175,10 +175,46 @@ SELECT s.doc_id, coalesce(z.n, 0) AS n_shingles, least(s.doc_id, coalesce(l.y, s
 FROM split s LEFT JOIN sizes z USING (doc_id) LEFT JOIN least_reached l ON l.x = s.doc_id LEFT JOIN same c ON c.doc_id = s.doc_id
 """
 
+OP11 = """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), scored AS (
+  SELECT q.rid, q.vec_id AS query_id, c.vec_id, c.rid AS crid, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.rid <> c.rid WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, row_number() OVER best::INTEGER AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST, crid)
+QUALIFY row_number() OVER best <= 20
+"""
+
+OP12 = """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), scored AS (
+  SELECT a.rid, a.vec_id AS anchor_id, c.vec_id, c.rid AS crid, a.label = c.label AS alike, list_dot_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.rid <> c.rid WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT rid, anchor_id, crid, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id NULLS LAST, crid) <= 5
+)
+SELECT p.anchor_id, p.positive_id, row_number() OVER best::INTEGER AS rank, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.rid = p.rid AND NOT s.alike AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+WINDOW best AS (PARTITION BY p.rid, p.crid ORDER BY s.score DESC, s.vec_id NULLS LAST, s.crid)
+QUALIFY row_number() OVER best <= 3
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": OP1,
     "op2_url_filters": OP2,
     "op3_quality_rules": OP3,
     "op6_jaccard_join": OP6,
     "op7_exact_dedup": OP7,
+    "op11_maxscore": OP11,
+    "op12_hard_negatives": OP12,
 }

@@ -4,8 +4,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tipscope.llm import cuckoo, jaccard, langid, mixing, packing, quality, token_counts, token_files, url_filter, warc
+from tipscope.llm import (
+    cuckoo, hard_negatives, jaccard, langid, maxscore, mixing, packing, periodic, quality, token_counts, token_files,
+    url_filter, warc,
+)
 from tipscope.llm.oracle import ORACLE_SQL
 from tipscope.llm.tables import table
 from tipscope.session import configure
@@ -57,6 +61,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_of(table(configure(spark), sf_dir, "documents"))
 
 
+def op11_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.top_k(table(configure(spark), sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(configure(spark), sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=turned)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.periodic_runs(table(configure(spark), sf_dir, "documents"), planted=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_url_filters": op2_url_filters,
@@ -68,4 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_token_files": op9_token_files,
     "op10_language_id": op10_language_id,
+    "op11_maxscore": op11_maxscore,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_periodic_runs": op13_periodic_runs,
 }
