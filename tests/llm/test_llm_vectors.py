@@ -64,23 +64,25 @@ def test_top_k_with_fewer_candidates(spark):
     assert M.top_k(frame(spark, []), F.col("vec_id") % 20 == 0, 20).collect() == []
 
 
-def test_the_threshold_leaves_lists_out():
-    """With a threshold, lists of small bounds are not traversed and the hits are the same."""
+@pytest.mark.parametrize("filled,size", [(0.9, 30), (0.3, 30), (0.03, 30), (0.3, 1 << 24)])
+def test_the_threshold_leaves_lists_out(filled, size):
+    """With thresholds, lists of small bounds are not traversed and the hits are the same:
+    dense lists, sparse ones, and products beyond what doubles hold."""
     import pyarrow as pa
 
     rng = np.random.default_rng(3)
-    vectors = rng.integers(-30, 30, (500, 16)) * (rng.random((500, 16)) < 0.3)
+    vectors = rng.integers(-size, size, (500, 16)) * (rng.random((500, 16)) < filled)
     table = pa.table({"rid": pa.array(range(500)), "vec_id": pa.array(range(500)), "v": pa.array(vectors.tolist(), pa.list_(pa.int64()))})
     shard = M._Shard(M._postings((pa.scalar(0),), table))
-    for i in range(0, 500, 25):
-        scores = vectors @ vectors[i]
-        scores[i] = -10 ** 9
-        want = np.lexsort((np.arange(500), -scores))[:7]
-        kth = int(scores[want[-1]])
-        for threshold in (M.NONE_YET, 0, kth - 50, kth):
-            docs, score = shard.search(i, vectors[i], 7, threshold)
+    rids = list(range(0, 500, 25))
+    scores = vectors[rids] @ vectors.T
+    scores[np.arange(len(rids)), rids] = -1 << 60
+    want = [np.lexsort((np.arange(500), -row))[:7] for row in scores]
+    kth = np.array([row[w[-1]] for row, w in zip(scores, want)])
+    for thresholds in (np.full(len(rids), M.NONE_YET), np.minimum(kth, 0), kth - 50, kth):
+        for i, (docs, score) in enumerate(shard.search(rids, vectors[rids], 7, thresholds)):
             by = np.lexsort((docs, -score))[:7]
-            assert docs[by].tolist() == want.tolist() and score[by].tolist() == scores[want].tolist()
+            assert docs[by].tolist() == want[i].tolist() and score[by].tolist() == scores[i][want[i]].tolist()
 
 
 def test_a_component_too_large_is_an_error(spark):

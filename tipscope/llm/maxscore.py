@@ -10,9 +10,11 @@ the list of its own sign adds to scores, at most ``|q| * largest weight``; the
 list of the other sign only takes away, so its bound is 0.  Ordered by bound,
 the longest run of lists whose bounds sum to less than the query's k-th best
 score so far is non-essential: a row found in those lists alone cannot enter.
-The essential lists are traversed and summed; of the rest, largest bounds
-first, only rows that are still competitive are probed, and rows leave as soon
-as sum and remaining bounds fall below the k-th score.  The first k-th score
+The essential lists are traversed and summed; of the rest, largest
+products first, only rows that are still competitive are probed, and rows leave
+when sum and remaining bounds fall below the k-th score.  Lists that hold many
+rows of their shard are summed as dense rows, for many queries in one matrix
+product (every query's non-essential lists having factor 0 in it).  The first k-th score
 comes from one shard, searched before the others; each shard returns at most k
 rows a query, which are merged by rank.
 
@@ -30,6 +32,8 @@ products do not fit 64 bits.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -37,12 +41,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tipscope.llm.tables import Workspace
-from tipscope.llm.vectors import integer_vectors, nullable_ids, one_chunk
+from tipscope.llm.vectors import integer_vectors, matrix, nullable_ids, one_chunk
 
 SHARD_ROWS = 4096
 QUERY_BLOCK = 16_384
 #: The k-th score of a query that has fewer than k rows yet.
 NONE_YET = -(1 << 62)
+#: A list that holds at least one in DENSE rows of its shard is kept as a dense row.
+DENSE = 16
+#: Non-essential lists probed between two looks at what is still competitive.
+PROBED = 8
+#: Numbers in the work arrays of a batch of queries.
+CELLS = 1 << 20
 
 _POSTING = "shard int, term int, docs array<long>, weights array<long>"
 _FOUND = "query_rid long, query_id long, rid long, vec_id long, score long"
@@ -72,53 +82,88 @@ def _postings(key: tuple, table: pa.Table) -> pa.Table:
 
 
 class _Shard:
-    """The posting lists of one shard, in memory."""
+    """The posting lists of one shard, in memory: those that hold many of its rows
+    as dense rows of a matrix, the others as they are."""
 
     def __init__(self, table: pa.Table) -> None:
         docs, weights = one_chunk(table, "docs"), one_chunk(table, "weights")
-        self.lists: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
-        for i, term in enumerate(one_chunk(table, "term").to_pylist()):
-            if term < 0:
-                self.rid = docs[i].values.to_numpy(zero_copy_only=False)
-                self.vec_id, self.no_id = nullable_ids(weights[i].values)
-                continue
-            w = weights[i].values.to_numpy(zero_copy_only=False)
-            self.lists[term] = (docs[i].values.to_numpy(zero_copy_only=False), w, int(w.max()))
+        terms = one_chunk(table, "term").to_numpy(zero_copy_only=False)
+        head = int(np.flatnonzero(terms == -1)[0])
+        self.rid = docs[head].values.to_numpy(zero_copy_only=False)
+        self.vec_id, self.no_id = nullable_ids(weights[head].values)
         self.place = {int(r): i for i, r in enumerate(self.rid)}
-
-    def search(self, rid: int, vector: np.ndarray, k: int, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ordinals and scores of the best k rows that reach the threshold."""
-        terms = []  # bound, loss, ordinals, weights, factor
-        for dim in np.flatnonzero(vector):
-            q = int(vector[dim])
-            for term in (2 * int(dim), 2 * int(dim) + 1):
-                if term in self.lists:
-                    docs, w, top = self.lists[term]
-                    helps = (term & 1) == (q < 0)
-                    terms.append((abs(q) * top if helps else 0, 0 if helps else abs(q) * top, docs, w, abs(q) if helps else -abs(q)))
-        terms.sort(key=lambda t: (t[0], t[1]))
-        skipped, rest = 0, 0
-        while skipped < len(terms) and rest + terms[skipped][0] < threshold:
-            rest += terms[skipped][0]
-            skipped += 1
-
-        score = np.zeros(len(self.rid), np.int64)
-        for _, _, docs, w, factor in terms[skipped:]:  # essential
-            score[docs] += factor * w
-        alive = score + rest >= threshold
-        if rid in self.place:
-            alive[self.place[rid]] = False
-        found = np.flatnonzero(alive)
-        score = score[found]
-        for bound, _, docs, w, factor in reversed(terms[:skipped]):  # non-essential
+        rows = len(self.rid)
+        held = [i for i in np.argsort(terms, kind="stable").tolist() if i != head]
+        self.dim, self.sign = terms[held] >> 1, np.where(terms[held] & 1, -1, 1)
+        self.top = np.zeros(len(held), np.int64)
+        self.lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        dense: list[np.ndarray] = []
+        self.line = np.full(len(held), -1)  # row of the matrix, for dense lists
+        for t, i in enumerate(held):
+            at, w = (c[i].values.to_numpy(zero_copy_only=False) for c in (docs, weights))
+            self.top[t] = w.max()
+            if len(at) * DENSE >= rows:
+                self.line[t] = len(dense)
+                dense.append(np.zeros(rows))
+                dense[-1][at] = w
+            else:
+                self.lists[t] = (at, w)
+        self.matrix = np.stack(dense) if dense else np.zeros((0, rows))
+        self.dense_terms = np.flatnonzero(self.line >= 0)
+
+    def _probed(self, terms: np.ndarray, factors: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """What some lists add to the scores of some rows."""
+        dense = self.line[terms] >= 0
+        out = factors[dense] @ self.matrix[np.ix_(self.line[terms[dense]], found)].astype(np.int64)
+        for t, factor in zip(terms[~dense].tolist(), factors[~dense].tolist()):
+            docs, w = self.lists[t]
+            at = np.minimum(np.searchsorted(docs, found), len(docs) - 1)
+            out += np.where(docs[at] == found, factor * w[at], 0)
+        return out
+
+    def search(self, rids: list[int], vectors: np.ndarray, k: int, thresholds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ordinals and scores of the best k rows of each query that reach its threshold."""
+        width = int(self.dim.max(initial=-1)) + 1
+        if vectors.shape[1] < width:
+            vectors = np.pad(vectors, ((0, 0), (0, width - vectors.shape[1])))
+        factor = vectors[:, self.dim] * self.sign
+        bound = np.maximum(factor, 0) * self.top
+        order = np.argsort(bound, axis=1, kind="stable")
+        sums = np.cumsum(np.take_along_axis(bound, order, 1), axis=1)
+        skipped = np.zeros(bound.shape, bool)  # the non-essential lists
+        np.put_along_axis(skipped, order, sums < thresholds[:, None], 1)
+        rest = np.where(skipped, bound, 0).sum(axis=1)
+
+        essential = np.where(skipped, 0, factor)
+        if (np.abs(essential) * self.top).sum(axis=1).max(initial=0) < 1 << 53:  # doubles are exact
+            score = (essential[:, self.dense_terms].astype(np.float64) @ self.matrix).astype(np.int64)
+        else:
+            score = essential[:, self.dense_terms] @ self.matrix.astype(np.int64)
+        for t, (docs, w) in self.lists.items():
+            asking = np.flatnonzero(essential[:, t])
+            score[np.ix_(asking, docs)] += essential[asking, t][:, None] * w
+        alive = score + rest[:, None] >= thresholds[:, None]
+        for i, rid in enumerate(rids):
+            if rid in self.place:
+                alive[i, self.place[rid]] = False
+            found = np.flatnonzero(alive[i])
+            yield self._best(found, score[i, found], *self._others(skipped[i], factor[i]), bound[i], int(rest[i]), k, int(thresholds[i]))
+
+    def _others(self, skipped: np.ndarray, factor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Non-essential lists that the query asks for, those of the largest products first."""
+        terms = np.flatnonzero(skipped & (factor != 0))
+        terms = terms[np.argsort(-np.abs(factor[terms]) * self.top[terms], kind="stable")]
+        return terms, factor[terms]
+
+    def _best(self, found, score, terms, factors, bound, rest, k, threshold) -> tuple[np.ndarray, np.ndarray]:
+        for at in range(0, len(terms), PROBED):
             if not len(found):
                 break
-            at = np.minimum(np.searchsorted(docs, found), len(docs) - 1)
-            score += np.where(docs[at] == found, factor * w[at], 0)
-            rest -= bound
-            keep = score + rest >= threshold
-            if not keep.all():
-                found, score = found[keep], score[keep]
+            some = terms[at:at + PROBED]
+            score = score + self._probed(some, factors[at:at + PROBED], found)
+            rest -= int(bound[some].sum())
+            keep = score + rest >= threshold  # still competitive
+            found, score = found[keep], score[keep]
         if len(found) > k:  # the k-th score and everything that ties with it
             keep = score >= np.partition(score, len(score) - k)[len(score) - k]
             found, score = found[keep], score[keep]
@@ -129,23 +174,24 @@ class _Shard:
 
 def _search(k: int):
     """Cell of a block of queries and a shard: the best k rows of each query."""
+    names = ["query_rid", "query_id", "rid", "vec_id", "score"]
+
     def run(queries: pa.Table, index: pa.Table) -> pa.Table:
-        out = []
-        if queries.num_rows and index.num_rows:
-            shard = _Shard(index)
-            vectors = one_chunk(queries, "v")
-            ids, thresholds = one_chunk(queries, "vec_id"), one_chunk(queries, "threshold").to_pylist()
-            for i, rid in enumerate(one_chunk(queries, "rid").to_pylist()):
-                docs, score = shard.search(rid, vectors[i].values.to_numpy(zero_copy_only=False), k, thresholds[i])
-                n = len(docs)
-                out.append((np.full(n, rid), np.full(n, ids[i].as_py()), shard.rid[docs],
-                            np.where(shard.no_id[docs], -1, docs), score))
-            own = shard.vec_id
-            columns = [np.concatenate(c) if c else np.empty(0, np.int64) for c in zip(*out)]
-            named = pa.array(own[np.maximum(columns[3], 0)], mask=columns[3] < 0)
-            return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()),
-                             named.cast(pa.int64()), pa.array(columns[4], pa.int64())], names=["query_rid", "query_id", "rid", "vec_id", "score"])
-        return pa.table({c: pa.array([], pa.int64()) for c in ("query_rid", "query_id", "rid", "vec_id", "score")})
+        if not queries.num_rows or not index.num_rows:
+            return pa.table({c: pa.array([], pa.int64()) for c in names})
+        shard = _Shard(index)
+        rids, ids = one_chunk(queries, "rid").to_pylist(), one_chunk(queries, "vec_id").to_numpy()
+        thresholds = one_chunk(queries, "threshold").to_numpy()
+        batch, docs, scores = max(1, min(256, CELLS // max(1, len(shard.dim), len(shard.rid)))), [], []
+        for at in range(0, len(rids), batch):
+            vectors = matrix(one_chunk(queries, "v").slice(at, batch))
+            for found, score in shard.search(rids[at:at + batch], vectors, k, thresholds[at:at + batch]):
+                docs.append(found)
+                scores.append(score)
+        sizes, docs = [len(d) for d in docs], np.concatenate(docs)
+        return pa.table([
+            pa.array(np.repeat(rids, sizes), pa.int64()), pa.array(np.repeat(ids, sizes), pa.int64()), pa.array(shard.rid[docs], pa.int64()),
+            pa.array(shard.vec_id[docs], pa.int64(), mask=shard.no_id[docs]), pa.array(np.concatenate(scores), pa.int64())], names=names)
 
     return run
 
