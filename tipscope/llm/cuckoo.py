@@ -10,7 +10,9 @@ deletion when their last row goes.
 
 Edge cases: a NULL text counts as empty; NULL ids rank after all others; of
 rows alike in digest, length and id exactly one is kept; empty input gives an
-empty result; extra columns are carried by ``drop_duplicates`` only.
+empty result; extra columns are carried by ``drop_duplicates`` only; ids are
+exact over all 64 bits, beside NULL too; text that is not valid UTF-8 is
+signed as the bytes it has.
 """
 from __future__ import annotations
 
@@ -18,15 +20,16 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tipscope.llm.tables import Workspace, maybe_broadcast
 
 SPACE = b" \t\n\x0b\x0c\r"
+#: Bytes of UTF-8 that begin no code point.
+CONTINUED = bytes(range(0x80, 0xC0))
 #: Live digests that a shard is planned for; more shards come with more rows.
 KEYS_PER_SHARD = 50_000
 MIN_SHARDS = 48
@@ -34,12 +37,8 @@ MIN_SHARDS = 48
 COMBINE_ROWS = 100_000
 
 _ROW = "rid long, doc_id long, digest binary, n_points long"
-_PARTIAL = "shard int, digest binary, n long, best_points long, best_id long, best_rid long, n_best long"
-_STATE = f"{_PARTIAL}, buckets long, slots binary"
-
-
-def normalised(text: str | None) -> bytes:
-    return (text or "").encode("utf-8", "surrogatepass").translate(None, SPACE)
+_PARTIAL = "digest binary, n long, best_points long, best_id long, best_rid long"
+_STATE = f"shard int, {_PARTIAL}, buckets long, slots binary"
 
 
 class CuckooFilter:
@@ -99,7 +98,7 @@ class Shard:
 
     def __init__(self, buckets: int = 64, slots: bytes | None = None) -> None:
         self.filter = CuckooFilter(buckets, slots)
-        self.keys: dict[int, list[list]] = {}  # home bucket -> [digest, n, points, id, rid, n_best]
+        self.keys: dict[int, list[list]] = {}  # home bucket -> [digest, n, points, id, rid]
 
     def _find(self, digest: bytes) -> list | None:
         for key in self.keys.get(self.filter.home(digest), ()):
@@ -144,12 +143,15 @@ def _rank(key: list) -> tuple:
 
 
 def merge(held: list, key: list) -> None:
-    same = key[2] == held[2] and key[3] == held[3]
-    n, n_best = held[1] + key[1], held[5] + key[5] if same else 0
+    n = held[1] + key[1]
     if _rank(key) < _rank(held):
         held[2:] = key[2:]
     held[1] = n
-    held[5] = n_best or held[5]
+
+
+def _raw(column: pa.Array) -> list[bytes | None]:
+    """The bytes of a text column, valid UTF-8 or not."""
+    return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
 def _sign(columns: list[str], text: str):
@@ -157,118 +159,120 @@ def _sign(columns: list[str], text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        rid = TaskContext.get().partitionId() << 40
+        rid = TaskContext.get().partitionId() << 33
         for batch in batches:
-            texts = batch[text].to_pylist()
-            digests = [hashlib.sha256(normalised(t)).digest() for t in texts]
+            texts = _raw(batch[text])
+            digests = [hashlib.sha256((t or b"").translate(None, SPACE)).digest() for t in texts]
+            points = [len((t or b"").translate(None, CONTINUED)) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch[c] for c in columns] + [
-                    pa.array(np.arange(rid, rid + len(texts)), pa.int64()), pa.array(digests, pa.binary()),
-                    pa.array([len(t or "") for t in texts], pa.int64())],
+                    pa.array(np.arange(rid, rid + len(texts)), pa.int64()), pa.array(digests, pa.binary()), pa.array(points, pa.int64())],
                 [*columns, "rid", "digest", "n_points"])
             rid += len(texts)
 
     return run
 
 
-def _combine(shards: int):
-    """Map function: one row per digest and at most COMBINE_ROWS input rows."""
-    def flush(held: dict[bytes, list]) -> pa.RecordBatch:
-        keys = list(held.values())
-        shard = [int.from_bytes(k[0][10:14], "little") % shards for k in keys]
-        return pa.RecordBatch.from_pandas(
-            pd.DataFrame(keys, columns=["digest", "n", "best_points", "best_id", "best_rid", "n_best"]).assign(shard=shard),
-            schema=pa.schema([("shard", pa.int32()), ("digest", pa.binary()), ("n", pa.int64()), ("best_points", pa.int64()),
-                              ("best_id", pa.int64()), ("best_rid", pa.int64()), ("n_best", pa.int64())]), preserve_index=False)
+def shard_of(digest: Column, shards: int) -> Column:
+    return (F.conv(F.substring(F.hex(digest), 21, 8), 16, 10).cast("long") % shards).cast("int")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, list] = {}
-        seen = 0
-        for batch in batches:
-            for digest, points, doc_id, rid in zip(*(batch[c].to_pylist() for c in ("digest", "n_points", "doc_id", "rid"))):
-                key = [digest, 1, points, doc_id, rid, 1]
-                if (old := held.get(digest)) is None:
-                    held[digest] = key
-                else:
-                    merge(old, key)
-            seen += batch.num_rows
-            if seen >= COMBINE_ROWS:
-                yield flush(held)
-                held, seen = {}, 0
-        if held:
-            yield flush(held)
 
-    return run
+_FIELDS = {"digest": pa.binary(), "n": pa.int64(), "best_points": pa.int64(), "best_id": pa.int64(), "best_rid": pa.int64()}
 
 
-_FIELDS = ["digest", "n", "best_points", "best_id", "best_rid", "n_best"]
+def _columns(keys: list[list]) -> list[pa.Array]:
+    return [pa.array([key[i] for key in keys], kind) for i, kind in enumerate(_FIELDS.values())]
 
 
-def _records(rows: pd.DataFrame) -> list[list]:
-    """Keys as lists, with ids as int or None whatever pandas made of them."""
-    out = rows[_FIELDS].astype(object).values.tolist()
-    for key in out:
-        key[3] = None if pd.isna(key[3]) else int(key[3])
-    return out
-
-
-def _update_shard(state: pd.DataFrame, new: pd.DataFrame, gone: pd.DataFrame) -> pd.DataFrame:
-    head = state[state["slots"].notna()]
-    shard = Shard(int(head["buckets"].iloc[0]), head["slots"].iloc[0]) if len(head) else Shard()
-    for key in _records(state[state["slots"].isna()]):
-        shard.load(key)
-    for digest in gone["digest"]:
-        shard.delete(digest)
-    for key in _records(new):
-        shard.insert(key)
-    keys = [key for row in shard.keys.values() for key in row]
-    out = pd.DataFrame(keys, columns=_FIELDS, dtype=object)
-    out["buckets"], out["slots"] = None, None
-    out.loc[len(out)] = [None] * len(_FIELDS) + [shard.filter.buckets, shard.filter.packed()]
-    number = next(int(x["shard"].iloc[0]) for x in (state, new, gone) if len(x))
-    out.insert(0, "shard", number)
-    return out
+def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Map function: one row per digest and at most COMBINE_ROWS input rows."""
+    held: dict[bytes, list] = {}
+    seen = 0
+    for batch in batches:
+        for digest, points, doc_id, rid in zip(*(batch[c].to_pylist() for c in ("digest", "n_points", "doc_id", "rid"))):
+            key = [digest, 1, points, doc_id, rid]
+            if (old := held.get(digest)) is None:
+                held[digest] = key
+            else:
+                merge(old, key)
+        seen += batch.num_rows
+        if seen >= COMBINE_ROWS:
+            yield pa.RecordBatch.from_arrays(_columns(list(held.values())), list(_FIELDS))
+            held, seen = {}, 0
+    if held:
+        yield pa.RecordBatch.from_arrays(_columns(list(held.values())), list(_FIELDS))
+
+
+def _keys(table: pa.Table) -> list[list]:
+    """Rows as lists; whole numbers stay whole, beside NULL too."""
+    return [list(row) for row in zip(*(table.column(c).to_pylist() for c in _FIELDS))]
+
+
+def _update_shard(key: tuple, state: pa.Table, changes: pa.Table) -> pa.Table:
+    """The new state of a shard: digests that go, then those that come."""
+    stored, filters = _keys(state), [s for s in zip(state.column("buckets").to_pylist(), state.column("slots").to_pylist()) if s[1]]
+    shard = Shard(*filters[0]) if filters else Shard()
+    for row in stored:
+        if row[0] is not None:
+            shard.load(row) if filters else shard.insert(row)  # without a filter (a new shard count) it is made from the keys
+    gone = changes.column("gone").to_pylist()
+    rows = _keys(changes)
+    for row, out in zip(rows, gone):
+        if out:
+            shard.delete(row[0])
+    for row, out in zip(rows, gone):
+        if not out:
+            shard.insert(row)
+    live = [row for bucket in shard.keys.values() for row in bucket]
+    n = len(live)
+    return pa.table([pa.array([key[0].as_py()] * (n + 1), pa.int32()), *_columns([*live, [None] * len(_FIELDS)]),
+                     pa.array([None] * n + [shard.filter.buckets], pa.int64()), pa.array([None] * n + [shard.filter.packed()], pa.binary())],
+                    names=["shard", *_FIELDS, "buckets", "slots"])
 
 
 class DigestIndex:
     """Index of live rows.  ``insert`` and ``delete`` write a new version of its
     two tables in the shared folder: ``rows`` (a narrow row per live document)
-    and ``state`` (per shard: its stored keys and its packed filter)."""
+    and ``state`` (per shard: its stored keys and its packed filter).  The
+    number of shards follows the number of live rows; when it changes, filters
+    are made anew from the stored keys."""
 
-    def __init__(self, spark: SparkSession, workspace: Workspace | None = None, shards: int | None = None) -> None:
+    def __init__(self, spark: SparkSession, workspace: Workspace | None = None, keys_per_shard: int = KEYS_PER_SHARD,
+                 min_shards: int = MIN_SHARDS) -> None:
         self.spark, self.ws = spark, workspace or Workspace(spark, "digest-index")
-        self.shards, self.version = shards, 0
+        self.keys_per_shard, self.shards = keys_per_shard, min_shards
+        self.version, self.next_rid = 0, 0
         self.rows = spark.createDataFrame([], _ROW)
         self.state = spark.createDataFrame([], _STATE)
 
-    def _write(self, rows: DataFrame, new: DataFrame, gone: DataFrame | None) -> None:
-        if gone is None:
-            if self.version == 0:
-                empty = [T.StructType.fromDDL(_STATE).names, ["digest", "shard"]]
-                update = lambda key, n: _update_shard(*(pd.DataFrame(columns=c) for c in empty[:1]), n, pd.DataFrame(columns=empty[1]))
-                state = new.groupBy("shard").applyInPandas(update, _STATE)
-            else:
-                update = lambda key, s, n: _update_shard(s, n, pd.DataFrame(columns=["digest", "shard"]))
-                state = self.state.groupBy("shard").cogroup(new.groupBy("shard")).applyInPandas(update, _STATE)
-        else:
-            tagged = new.withColumn("gone", F.lit(False)).unionByName(
-                gone.withColumn("gone", F.lit(True)), allowMissingColumns=True)
-            update = lambda key, s, n: _update_shard(s, n[~n["gone"].astype(bool)], n[n["gone"].astype(bool)])
-            state = self.state.groupBy("shard").cogroup(tagged.groupBy("shard")).applyInPandas(update, _STATE)
+    def _write(self, rows: DataFrame, new: DataFrame, gone: DataFrame | None = None) -> None:
+        """A new version: ``rows`` live now, digests ``gone`` taken out, then partial keys ``new`` put in."""
+        wanted = -(-rows.count() // self.keys_per_shard)
+        if wanted > 2 * self.shards:
+            self.shards = wanted
+            keys = self.state.where("digest IS NOT NULL")
+            self.state = keys.withColumn("shard", shard_of(F.col("digest"), wanted))
+        changes = new.withColumn("gone", F.lit(False))
+        if gone is not None:
+            changes = changes.unionByName(gone.withColumn("gone", F.lit(True)), allowMissingColumns=True)
+        changes = changes.withColumn("shard", shard_of(F.col("digest"), self.shards))
+        state = self.state.groupBy("shard").cogroup(changes.groupBy("shard")).applyInArrow(
+            lambda key, held, some: _update_shard(key, held, some), _STATE)
         self.version += 1
-        self.state = self.ws.save(state, f"state-{self.version}")
-        self.rows = rows
+        self.state, self.rows = self.ws.save(state, f"state-{self.version}"), rows
 
     def insert(self, docs: DataFrame, text: str = "text") -> DigestIndex:
         """Add the rows of ``docs`` (``doc_id`` and the text column)."""
         signed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-            _sign(["doc_id"], "text"), "doc_id long, rid long, digest binary, n_points long").select("rid", "doc_id", "digest", "n_points")
-        signed = signed.withColumn("rid", F.col("rid") + F.lit(self.version << 56))
-        signed = self.ws.save(signed, f"rows-{self.version + 1}")
-        if self.shards is None:
-            self.shards = max(MIN_SHARDS, -(-signed.count() // KEYS_PER_SHARD))
-        new = signed.mapInArrow(_combine(self.shards), _PARTIAL)
-        self._write(signed if self.version == 0 else self.rows.unionByName(signed), new, None)
+            _sign(["doc_id"], "text"), "doc_id long, rid long, digest binary, n_points long")
+        return self.insert_signed(signed)
+
+    def insert_signed(self, signed: DataFrame) -> DigestIndex:
+        """Add rows that have ``doc_id``, row number ``rid``, ``digest`` and ``n_points``."""
+        rows = signed.select((F.col("rid") + F.lit(self.next_rid)).alias("rid"), "doc_id", "digest", "n_points")
+        rows = self.ws.save(rows, f"rows-{self.version + 1}")
+        self.next_rid = max(self.next_rid, (rows.agg(F.max("rid")).first()[0] or 0) + 1)
+        self._write(self.rows.unionByName(rows) if self.version else rows, rows.mapInArrow(_combine, _PARTIAL))
         return self
 
     def delete(self, doc_ids: DataFrame) -> DigestIndex:
@@ -276,11 +280,9 @@ class DigestIndex:
         ids = doc_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
         left = self.ws.save(self.rows.join(ids, "doc_id", "left_anti").select(*self.rows.columns), f"rows-{self.version + 1}")
         touched = self.rows.join(ids, "doc_id", "left_semi").select("digest").distinct()
-        shard = F.udf(lambda d: int.from_bytes(d[10:14], "little") % shards, "int")
-        shards = self.shards
-        gone = self.ws.save(touched.select("digest", shard("digest").alias("shard")), f"gone-{self.version + 1}")
+        gone = self.ws.save(touched, f"gone-{self.version + 1}")
         # touched digests are deleted; those with rows left come back with their new best row
-        again = left.join(gone.select("digest"), "digest", "left_semi").mapInArrow(_combine(shards), _PARTIAL)
+        again = left.join(gone, "digest", "left_semi").select(*left.columns).mapInArrow(_combine, _PARTIAL)
         self._write(left, again, gone)
         return self
 
@@ -298,36 +300,31 @@ class DigestIndex:
     def members(self) -> DataFrame:
         """One row per live row: the row that stays for its text, and the group's size.
 
-        The join on the digest is an ordinary shuffle join, so a digest with
-        very many rows is split by adaptive execution."""
+        A plain shuffle join of two written tables with nothing grouped behind
+        it, so adaptive execution splits a digest with very many rows."""
         both = self.rows.join(self.keys(), "digest")
-        return both.select("doc_id", F.col("best_id").alias("keep_id"), F.col("n").alias("group_size"),
-                           (F.col("rid") == F.col("best_rid")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"),
-                           "digest", "n_points", "best_points", "n_best")
+        return both.select("rid", "doc_id", F.col("best_id").alias("keep_id"), F.col("n").alias("group_size"),
+                           (F.col("rid") == F.col("best_rid")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def duplicate_groups(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 of every row."""
-    return DigestIndex(docs.sparkSession).insert(docs).members().select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    return DigestIndex(docs.sparkSession).insert(docs).members().drop("rid")
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns."""
+    """The rows of ``docs`` that stay, with their own columns.
+
+    The rows are written once with their row number and digest; what goes is
+    decided by row number, of which no two rows share one."""
     spark = docs.sparkSession
     ws = Workspace(spark, "exact-dedup")
-    members = DigestIndex(spark, ws).insert(docs).members()
-    best = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("best_points"))
-    gone = ws.save(members.where(~best).select("digest", "doc_id", "n_points").distinct(), "gone")
     names = [f"c{i}" for i in range(len(docs.columns))]
     fields = [T.StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields)]
     schema = T.StructType([*fields, T.StructField("rid", T.LongType()), T.StructField("digest", T.BinaryType()),
                            T.StructField("n_points", T.LongType())])
     text, doc_id = (names[docs.columns.index(c)] for c in ("text", "doc_id"))
-    rows = docs.toDF(*names).mapInArrow(_sign(names, text), schema)
-    gone_n = gone.count()
-    side = maybe_broadcast(gone.select(F.col("digest").alias("d"), F.col("doc_id").alias("i"), F.col("n_points").alias("p")), gone_n, 64)
-    left = rows.join(side, (rows["digest"] == side["d"]) & rows[doc_id].cast("long").eqNullSafe(side["i"])
-                     & (rows["n_points"] == side["p"]), "left_anti")
-    if not members.where(best & (F.col("n_best") > 1)).isEmpty():  # rows alike in id, length and text
-        left = left.dropDuplicates(["digest", doc_id])
-    return left.select(*names).toDF(*docs.columns)
+    signed = ws.save(docs.toDF(*names).mapInArrow(_sign(names, text), schema), "signed")
+    index = DigestIndex(spark, ws).insert_signed(signed.select(F.col(doc_id).cast("long").alias("doc_id"), "rid", "digest", "n_points"))
+    gone = ws.save(index.members().where(~F.col("kept")).select("rid"), "gone")
+    return signed.join(maybe_broadcast(gone, gone.count(), 16), "rid", "left_anti").select(*names).toDF(*docs.columns)
