@@ -183,3 +183,42 @@ def test_plain_subfolders_are_one_dataset(spark, tmpdir_path):
     files = PQ.list_parquet_files(spark, base)
     assert len(files) == 2
     assert len(PQ.group_by_schema(spark, files)) == 2
+
+
+def test_thousands_of_files_load_with_three_jobs(spark, tmpdir_path):
+    """5,000 tiny files in two layouts: one census job and a listing job per layout."""
+    for name, kind in (("a", pa.int32()), ("b", pa.float64())):
+        pq.write_table(pa.table({"fare_amount": pa.array([1], kind)}), f"{tmpdir_path}/{name}.source")
+    for k in range(5000):
+        os.link(f"{tmpdir_path}/{'ab'[k % 2]}.source", f"{tmpdir_path}/f{k:04d}.parquet")
+    sc = spark.sparkContext
+    sc.setJobGroup("census", "census")
+    try:
+        df = PQ.load_trips(spark, tmpdir_path, TripSpec(canonical_types=(("fare_amount", "double"),)))
+        assert len(sc.statusTracker().getJobIdsForGroup("census")) <= 3
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert df.count() == 5000 and df.agg(F.sum("fare_amount")).first()[0] == 5000.0
+
+
+def test_census_gives_the_schemas_that_spark_infers(spark, tmpdir_path):
+    """Types of the footers, of Spark's own files and of files that Spark itself must judge."""
+    now = dt.datetime(2024, 1, 1)
+    tables = {
+        "flat": pa.table({"a": pa.array([1], pa.int8()), "b": pa.array([1], pa.int16()), "c": pa.array([1], pa.int64()), "d": pa.array([1.0], pa.float32()),
+                          "e": pa.array([True]), "f": pa.array(["x"]), "g": pa.array([b"x"]), "h": pa.array([now.date()]),
+                          "i": pa.array([now], pa.timestamp("us")), "j": pa.array([now], pa.timestamp("ms", "UTC"))}),
+        "decimals": pa.table({"a": pa.array([1], pa.decimal128(9, 2)), "b": pa.array([1], pa.decimal128(30, 4))}),
+        "unsigned": pa.table({"a": pa.array([1], pa.uint8()), "b": pa.array([1], pa.uint32()), "c": pa.array([1], pa.uint64())}),
+        "nested": pa.table({"a": pa.array([[1, 2]]), "b": pa.array([{"x": 1}])}),
+        "categories": pa.table({"a": pa.array(["x"]).dictionary_encode(), "b": pa.array([1], pa.time64("us"))}).drop(["b"]),
+    }
+    for name, t in tables.items():
+        pq.write_table(t, f"{tmpdir_path}/{name}.parquet")
+    spark.sql("SELECT 1 AS a, array(1) AS b, cast('x' AS char(3)) AS c").coalesce(1).write.parquet(f"{tmpdir_path}/spark.parquet")
+    files = PQ.list_parquet_files(spark, tmpdir_path)
+    for key, group in PQ.group_by_schema(spark, files).items():
+        for f in group:
+            want = spark.read.parquet(f)
+            assert PQ.group_schema(spark, key, group).simpleString() == want.schema.simpleString(), f
+            assert spark.read.schema(PQ.group_schema(spark, key, group)).parquet(f).collect() == want.collect()

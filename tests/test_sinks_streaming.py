@@ -57,3 +57,40 @@ def test_trips_by_month_prune_partitions(spark, tmpdir_path):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan and "1997-05" in plan
     assert one.count() == raw.where(F.date_format("tpep_pickup_datetime", "yyyy-MM") == "1997-05").count()
+
+
+def test_repeated_append_leaves_one_copy(spark, tmpdir_path):
+    """A call repeated for the same run and entry (a retried step) replaces its rows; others stay."""
+    for _ in range(2):
+        SK.append_metrics(spark.range(2), tmpdir_path, "12e5", "models", entry="a")
+    SK.append_metrics(spark.range(4), tmpdir_path, "12e5", "models", entry="b")
+    SK.append_metrics(spark.range(1), tmpdir_path, "007", "models", entry="a")
+    assert SK.read_metrics(spark, tmpdir_path, "models").count() == 7
+    one = SK.read_metrics(spark, tmpdir_path, "models", "12e5")
+    assert one.count() == 6 and {r.run_id for r in one.collect()} == {"12e5"} and one.columns == ["id", "run_id", "written_at"]
+
+
+def test_two_builders_leave_one_complete_table(spark, tmpdir_path):
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    path, both = tmpdir_path + "/once", Barrier(2)
+
+    def build(tag):
+        def rows():
+            both.wait(60)  # neither commits before both have begun
+            return spark.range(1000).withColumn("tag", F.lit(tag))
+        return rows
+
+    with ThreadPoolExecutor(2) as pool:
+        frames = list(pool.map(lambda t: SK.materialise_once(spark, path, build(t)), ("x", "y")))
+    assert [df.count() for df in frames] == [1000, 1000]
+    assert spark.read.parquet(path).select("tag").distinct().count() == 1
+    assert os.listdir(tmpdir_path) == ["once"]  # what the second one built is gone
+
+
+def test_an_interrupted_table_is_built_anew(spark, tmpdir_path):
+    path = tmpdir_path + "/half"
+    spark.range(3).write.parquet(path)
+    os.remove(path + "/_SUCCESS")
+    assert SK.materialise_once(spark, path, lambda: spark.range(10)).count() == 10

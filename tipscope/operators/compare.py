@@ -8,7 +8,9 @@ report rows and the cost/quality frontier are expressions over it.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -23,15 +25,21 @@ METRIC_COLUMNS = ("auc", "accuracy", "f1", "precision_w", "recall_w", "recall_po
 
 def train_and_compare(models: Mapping[str, object], train: DataFrame, test: DataFrame,
                       label_col: str = "label", score_source: str = "probability",
-                      on_result=None, partitions: int | None = None, buckets: int | None = None) -> DataFrame:
+                      on_result=None, partitions: int | None = None, buckets: int | None = None,
+                      concurrent: int = 1) -> DataFrame:
     """(model, auc, accuracy, f1, precision_w, recall_w, recall_pos, train_seconds).
 
     ``partitions`` deals the training rows anew before they are cached (a small
     training set in few partitions leaves cores idle); by default their layout
     is left alone.  ``buckets`` is that of :func:`metrics.metric_record`.
 
-    ``on_result(row_df)`` is called after each model (e.g. an append sink), so
-    a failure later in the sweep keeps the finished results.
+    ``on_result(row_df)`` is called after each model (e.g. a sink), so a
+    failure later in the sweep keeps the finished results.
+
+    ``concurrent`` models are fitted and scored at the same time, each in its
+    own scheduler pool over the one cached split: the many short jobs of small
+    fits then fill each other's gaps.  Their ``train_seconds`` include waiting
+    for shared cores, so leave it at 1 where times are compared.
     """
     spark = train.sparkSession
     # Iterative learners (GBT, forests with node caching) cut their lineage in
@@ -44,8 +52,10 @@ def train_and_compare(models: Mapping[str, object], train: DataFrame, test: Data
     test = test if test.is_cached else test.cache()
     train.count()
     test.count()
-    frames = []
-    for name, est in models.items():
+
+    def judged(name: str, est) -> DataFrame:
+        if concurrent > 1:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{name}")
         secs, model = time_fit(est, train, materialise=False)
         scored = score_model(model, test, score_source).select(label_col, "prediction", "score")
         first = M.metric_record(scored, label_col, "prediction", "score", buckets=buckets).first()
@@ -54,7 +64,13 @@ def train_and_compare(models: Mapping[str, object], train: DataFrame, test: Data
         one = spark.createDataFrame([values], LEADERBOARD_SCHEMA)
         if on_result is not None:
             on_result(one)
-        frames.append(one)
+        return one
+
+    if concurrent > 1:
+        with ThreadPoolExecutor(concurrent) as pool:  # each worker keeps the caller's local properties
+            frames = list(pool.map(inheritable_thread_target(judged), models.keys(), models.values()))
+    else:
+        frames = [judged(name, est) for name, est in models.items()]
     for df in owned:
         df.unpersist()
     out = frames[0]

@@ -2,7 +2,9 @@
 
 Everything that the original analysis pulled to the driver (correlation on a
 2 % sample, class histograms on a 1 % sample) runs here as distributed
-aggregates over *all* rows; only the small summaries come back.
+aggregates over *all* rows; only the small summaries come back.  Counts and
+moments are mergeable: kept per source, a new month is added without reading
+the earlier ones (:func:`append_summary_state`, :func:`summaries_from_state`).
 """
 from __future__ import annotations
 
@@ -22,8 +24,9 @@ from ..specs import (
     TripSpec,
 )
 from ..session import checkpoint_dir
-from ..sources.sinks import new_run_id, read_parquet, write_parquet
+from ..sources.sinks import append_metrics, new_run_id, read_metrics, read_parquet, write_parquet
 from . import prepare as P
+from .moments import correlation, correlation_of, merge_moments, pair_moments
 
 
 def retention(raw: DataFrame, spec: TripSpec | None = None) -> DataFrame:
@@ -101,93 +104,6 @@ def correlation_columns(spec: TripSpec | None = None) -> list[str]:
     return [c for c in s.numeric_features if c not in CORRELATION_EXCLUDED] + [s.label_col]
 
 
-def _pair_moments(k: int):
-    """Map function: count, means and co-moments of every column pair of a task.
-
-    Each Arrow batch is reduced by matrix products with its mask of present
-    values (after centring, so no precision is lost) and merged exactly into
-    the task's running moments; a task emits one row per pair.
-    """
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        zero = np.zeros((k, k))
-        n, mean, own, both = zero, zero, zero, zero  # of i over rows where i and j are present
-        for batch in batches:
-            x = np.column_stack([np.asarray(c.to_numpy(zero_copy_only=False), dtype=float) for c in batch.columns]) \
-                if batch.num_rows else np.empty((0, k))
-            here = ~np.isnan(x)
-            present = here.astype(float)
-            # centre on a value of the column, then on the mean of the differences:
-            # a constant column has differences of exactly 0
-            first = x[here.argmax(axis=0), np.arange(k)] if len(x) else np.zeros(k)
-            first = np.where(here.any(axis=0), first, 0.0)
-            z = np.where(here, x - first, 0.0)
-            shift = z.sum(axis=0) / np.maximum(present.sum(axis=0), 1)
-            z = np.where(here, z - shift, 0.0)
-            centre = first + shift
-            bn = present.T @ present
-            safe = np.maximum(bn, 1)
-            m = z.T @ present / safe  # mean of i - centre over the pair's rows
-            bown = (z * z).T @ present - bn * m * m
-            bboth = z.T @ z - bn * m * m.T
-            bmean = m + centre[:, None]
-            total = n + bn
-            share = n * bn / np.maximum(total, 1)
-            step = bmean - mean
-            own = own + bown + share * step * step
-            both = both + bboth + share * step * step.T
-            mean = mean + step * (bn / np.maximum(total, 1))
-            n = total
-        i, j = np.triu_indices(k)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(a) for a in (i, j, n[i, j], mean[i, j], mean[j, i], own[i, j], own[j, i], both[i, j])],
-            ["i", "j", "n", "ma", "mb", "caa", "cbb", "cab"])
-
-    return run
-
-
-def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """A10: Pearson correlation matrix in long form (col_a, col_b, r) over all rows.
-
-    Pairwise-complete like pandas: each pair uses the rows where both values
-    are present; NULL and NaN are missing.  One pass over the rows: every task
-    reduces its batches to one row per pair, and those rows (tasks x pairs)
-    are merged exactly: n = sum n_g, mean = sum n_g m_g / n and
-    C = sum (c_g + n_g (ma_g - ma)(mb_g - mb)).
-
-    Every pair is reported; a pair without two distinct values gives NULL.
-    """
-    cols = list(cols)
-    k = len(cols)
-    numbers = df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    per_task = numbers.mapInArrow(_pair_moments(k), "i long, j long, n double, ma double, mb double, caa double, cbb double, cab double")
-    none = df.sparkSession.createDataFrame(  # makes every pair appear, even without a task
-        [(i, j, *[0.0] * 6) for i in range(k) for j in range(i, k)], per_task.schema)
-    rows = per_task.unionByName(none)
-    total = rows.groupBy("i", "j").agg(
-        F.sum("n").alias("tot"), *[e for m in ("ma", "mb") for some in [F.when(F.col("n") > 0, F.col(m))] for e in (
-            F.sum(F.col("n") * F.col(m)).alias(f"sum_{m}"), F.min(some).alias(f"min_{m}"), F.max(some).alias(f"max_{m}"))])
-    total = total.select("i", "j", *[F.when(F.col(f"min_{m}") == F.col(f"max_{m}"), F.col(f"min_{m}")).otherwise(
-        F.try_divide(f"sum_{m}", "tot")).alias(f"mean_{m[1]}") for m in ("ma", "mb")])
-    da, db = F.col("ma") - F.col("mean_a"), F.col("mb") - F.col("mean_b")
-    merged = rows.where("n > 0").join(total, ["i", "j"], "right").groupBy("i", "j").agg(
-        F.sum(F.col("cab") + F.col("n") * da * db).alias("sab"),
-        F.sum(F.col("caa") + F.col("n") * da * da).alias("saa"),
-        F.sum(F.col("cbb") + F.col("n") * db * db).alias("sbb"),
-    )
-    den = F.sqrt(F.col("saa")) * F.sqrt(F.col("sbb"))  # no underflow of tiny variances
-    names = F.array(*[F.lit(c) for c in cols])
-    # Each upper-triangle pair also yields its mirror (one branch, no union).
-    ij = F.struct(F.col("i").alias("a"), F.col("j").alias("b"))
-    ji = F.struct(F.col("j").alias("a"), F.col("i").alias("b"))
-    both_orders = F.when(F.col("i") == F.col("j"), F.array(ij)).otherwise(F.array(ij, ji))
-    full = merged.select(F.explode(both_orders).alias("p"), F.when(den > 0, F.col("sab") / den).alias("r"))
-    name = lambda c: F.element_at(names, (F.col(c) + 1).cast("int"))
-    return full.select(name("p.a").alias("col_a"), name("p.b").alias("col_b"), "r")
-
-
 def class_histogram(
     df: DataFrame,
     features: Sequence[str] = CLASS_HISTOGRAM_FEATURES,
@@ -199,10 +115,10 @@ def class_histogram(
 
     For every (feature, class) slice the range min..max is split into ``bins``
     equal bins (the last one closed), and density = count / (n * width), so
-    each slice has area 1.  Two passes: one global aggregate returns the
-    ``len(features) x 2`` slice ranges (a single row), then the rows are
-    unpivoted and binned against those ranges as literals (no join) and
-    counted with partial aggregation, so no slice ever lands in one task.
+    each slice has area 1.  One lazy plan: the slice ranges are a scalar
+    subquery (one global aggregate, a row of ``len(features) x 2`` structs); the
+    rows are unpivoted, binned against that row (no join) and counted with
+    partial aggregation, so no slice ever lands in one task.
     """
     src = df
     for c, hi in (limits or ()):
@@ -211,62 +127,39 @@ def class_histogram(
     lab = F.col(label_col)
     x = {f: F.col(f).cast("double") for f in features}
     ok = {f: x[f].isNotNull() & ~F.isnan(x[f]) for f in features}
-    # Pass 1: one global aggregate, (features x 2 classes) x (min, max, count)
-    # values; only that one row comes back.
-    aggs = []
-    for fi, f in enumerate(features):
-        for c in (0, 1):
-            keep = ok[f] & (lab == c)
-            aggs += [F.min(F.when(keep, x[f])).alias(f"lo_{fi}_{c}"),
-                     F.max(F.when(keep, x[f])).alias(f"hi_{fi}_{c}"),
-                     F.count_if(keep).alias(f"n_{fi}_{c}")]
-    stats = src.agg(*aggs).first()
-    slices = []
-    for fi, f in enumerate(features):
-        for c in (0, 1):
-            n = stats[f"n_{fi}_{c}"]
-            if not n:
-                continue
-            lo, hi = stats[f"lo_{fi}_{c}"], stats[f"hi_{fi}_{c}"]
-            if not hi > lo:  # a constant slice spans lo - 0.5 .. hi + 0.5, as numpy's histogram does
-                lo, hi = lo - 0.5, hi + 0.5
-            slices.append((f, c, float(lo), float(hi), int(n)))
-    if not slices:
-        return src.sparkSession.createDataFrame(
-            [], "feature string, label int, bin int, bin_lo double, n_rows bigint, density double")
-    # Pass 2: unpivot, bin against the literal ranges, count (partial aggregation).
-    stacked = ", ".join(f"'{f}', cast(`{f}` as double)" for f in features)
-    long = src.select(lab.cast("int").alias("label"),
-                      F.expr(f"stack({len(features)}, {stacked}) as (feature, x)"))
+    ranges = [F.struct(F.min(F.when(keep, x[f])).alias("lo"), F.max(F.when(keep, x[f])).alias("hi"), F.count_if(keep).alias("n"))
+              for f in features for keep in [ok[f] & (lab == c) for c in (0, 1)]]
+    per_slice = src.agg(F.array(*ranges)).scalar()
+
+    stacked = ", ".join(f"{i}, cast(`{f}` as double)" for i, f in enumerate(features))
+    long = src.select(lab.cast("int").alias("label"), F.expr(f"stack({len(features)}, {stacked}) as (f, x)"))
     long = long.where(F.col("x").isNotNull() & ~F.isnan("x"))
 
-    def per_slice(pick):
-        expr = None
-        for f, c, lo, hi, n in slices:
-            cond = (F.col("feature") == f) & (F.col("label") == c)
-            v = F.lit(pick(lo, hi, n))
-            expr = F.when(cond, v) if expr is None else expr.when(cond, v)
-        return expr
+    def with_range(rows: DataFrame) -> DataFrame:
+        """The slice's range beside its rows; a constant slice spans lo - 0.5 .. hi + 0.5, as numpy's histogram does."""
+        one = F.element_at(per_slice, 2 * F.col("f") + F.col("label") + 1)
+        wide = rows.withColumn("s", one).withColumn("spread", F.when(F.col("s.hi") > F.col("s.lo"), 0.0).otherwise(0.5))
+        return wide.withColumns({"lo": F.col("s.lo") - F.col("spread"), "hi": F.col("s.hi") + F.col("spread"), "n": F.col("s.n")})
 
-    lo_c = per_slice(lambda lo, hi, n: lo)
-    hi_c = per_slice(lambda lo, hi, n: hi)
-    width_c = per_slice(lambda lo, hi, n: (hi - lo) / bins)
+    lo, hi = F.col("lo"), F.col("hi")
+    width = (hi - lo) / F.lit(float(bins))
 
     def edge(k):  # k-th bin edge as numpy's linspace builds it; the last edge is hi itself
-        return F.when(k >= bins, hi_c).otherwise(k.cast("double") * width_c + lo_c)
+        return F.when(k >= bins, hi).otherwise(k.cast("double") * width + lo)
 
     # numpy's rule: scale to a bin, then step down / up when x falls outside its edges
-    raw = F.least(F.greatest(F.floor((F.col("x") - lo_c) / (hi_c - lo_c) * F.lit(float(bins))), F.lit(0)),
-                  F.lit(bins - 1))
-    idx = (F.when(F.col("x") < edge(raw), raw - 1)
-           .when((raw != bins - 1) & (F.col("x") >= edge(raw + 1)), raw + 1)
-           .otherwise(raw)).cast("int")
-    counted = long.groupBy("feature", "label", idx.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counted.select(
-        "feature", "label", "bin",
-        (lo_c + F.col("bin") * width_c).alias("bin_lo"),
+    raw = F.least(F.greatest(F.floor((F.col("x") - lo) / (hi - lo) * F.lit(float(bins))), F.lit(0)), F.lit(bins - 1))
+    placed = with_range(long).withColumn("raw", raw)
+    idx = (F.when(F.col("x") < edge(F.col("raw")), F.col("raw") - 1)
+           .when((F.col("raw") != bins - 1) & (F.col("x") >= edge(F.col("raw") + 1)), F.col("raw") + 1)
+           .otherwise(F.col("raw"))).cast("int")
+    counted = placed.groupBy("f", "label", idx.alias("bin")).agg(F.count(F.lit(1)).alias("n_rows"))
+    names = F.array(*[F.lit(f) for f in features])
+    return with_range(counted).select(
+        F.element_at(names, F.col("f") + 1).alias("feature"), "label", "bin",
+        (lo + F.col("bin") * width).alias("bin_lo"),
         "n_rows",
-        (F.col("n_rows") / (per_slice(lambda lo, hi, n: float(n)) * width_c)).alias("density"),
+        (F.col("n_rows") / (F.col("n") * width)).alias("density"),
     )
 
 
@@ -281,35 +174,52 @@ def grouped_summaries(df: DataFrame, spec: TripSpec | None = None, month_prefix:
     shared checkpoint folder (nothing stays cached).  The slices equal :func:`class_balance`, :func:`rows_per_month`,
     :func:`ratio_histogram`, :func:`rate_by_hour` and :func:`rate_by_weekday`.
     """
-    from .balance import balance_from_counts
+    s = spec or TripSpec()
+    table = read_parquet(df.sparkSession, write_parquet(  # a few hundred rows at most
+        summary_counts(df, s, width, upper), f"{checkpoint_dir(df.sparkSession).rstrip('/')}/summaries-{new_run_id()}"))
+    return summaries_of(table, month_prefix, width)
+
+
+_KEYS = ["m", "h", "d", "bin_idx"]
+_SETS = [[], ["m"], ["h"], ["d"], ["bin_idx"]]
+_COUNTS = ["n_rows", "n_neg", "n_pos", "n_label", "label_sum"]
+
+
+def _gid(kept: Sequence[str]) -> int:
+    """grouping_id(): bit set for every key aggregated away."""
+    return sum(1 << (len(_KEYS) - 1 - i) for i, k in enumerate(_KEYS) if k not in kept)
 
+
+def summary_counts(df: DataFrame, spec: TripSpec | None = None, width: float = RATIO_BIN_WIDTH,
+                   upper: float | None = RATIO_HISTOGRAM_MAX) -> DataFrame:
+    """The counts behind the summaries, a row per month, hour, weekday, ratio bin and
+    overall (``gid`` says which).  Counts of disjoint rows add up."""
     s = spec or TripSpec()
-    lab = F.col(s.label_col)
     ratio = F.col(s.ratio_col)
     in_hist = ratio.isNotNull() if upper is None else ratio.isNotNull() & (ratio <= F.lit(upper))
-    keys = ["m", "h", "d", "bin_idx"]
     keyed = df.select(
         month_start(s.pickup).alias("m"),
         F.hour(s.pickup).alias("h"),
         F.dayofweek(s.pickup).alias("d"),
         F.when(in_hist, C.bin_index(ratio, width)).alias("bin_idx"),
-        lab.alias("label"),
+        F.col(s.label_col).alias("label"),
     )
-    sets = [[], ["m"], ["h"], ["d"], ["bin_idx"]]
-
-    def gid(kept):  # grouping_id(): bit set for every key aggregated away
-        return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in kept)
-
-    table = keyed.groupingSets(sets, *keys).agg(
-        F.grouping_id().alias("gid"),
+    return keyed.groupingSets(_SETS, *_KEYS).agg(
+        F.grouping_id().cast("long").alias("gid"),
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("label") == 0).alias("n_neg"),
         F.count_if(F.col("label") == 1).alias("n_pos"),
-        F.avg("label").alias("low_rate"),
+        F.count("label").alias("n_label"),
+        F.sum("label").cast("double").alias("label_sum"),
     )
-    table = read_parquet(df.sparkSession, write_parquet(  # a few hundred rows at most
-        table, f"{checkpoint_dir(df.sparkSession).rstrip('/')}/summaries-{new_run_id()}"))
-    part = {tuple(k): table.where(F.col("gid") == gid(k)) for k in sets}
+
+
+def summaries_of(counts: DataFrame, month_prefix: str | None = None, width: float = RATIO_BIN_WIDTH) -> dict:
+    """The five summaries as slices of a table of counts."""
+    from .balance import balance_from_counts
+
+    table = counts.withColumn("low_rate", F.try_divide("label_sum", "n_label"))
+    part = {tuple(k): table.where(F.col("gid") == _gid(k)) for k in _SETS}
     months = part[("m",)].select(F.date_format("m", "yyyy-MM").alias("month"), "n_rows")
     if month_prefix is not None:
         months = months.where(F.col("month").startswith(month_prefix))
@@ -322,3 +232,20 @@ def grouped_summaries(df: DataFrame, spec: TripSpec | None = None, month_prefix:
         "rate_by_weekday": part[("d",)].select("d", "low_rate", "n_rows", C.weekday_name("d").alias("day_name"))
         .orderBy("d"),
     }
+
+
+def append_summary_state(df: DataFrame, path: str, source: str, spec: TripSpec | None = None) -> None:
+    """Add the prepared rows of one source (a month, a file) to the stored state:
+    its counts and the moments of its columns.  Sources must not share rows; the
+    same source again replaces what it stored before."""
+    s = spec or TripSpec()
+    append_metrics(summary_counts(df, s), path, source, "summary_counts")
+    append_metrics(pair_moments(df, correlation_columns(s)), path, source, "summary_moments")
+
+
+def summaries_from_state(spark, path: str, spec: TripSpec | None = None, month_prefix: str | None = None) -> dict:
+    """The summaries and the correlation over all stored sources, without their rows."""
+    s = spec or TripSpec()
+    counts = read_metrics(spark, path, "summary_counts").groupBy("gid", *_KEYS).agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    moments = merge_moments(read_metrics(spark, path, "summary_moments"))
+    return {**summaries_of(counts, month_prefix), "correlation": correlation_of(moments, correlation_columns(s))}

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import HASH_RANGE, hash_bucket, hash_position
@@ -28,12 +28,61 @@ def target_fraction(n_rows: int, target_rows: int) -> float:
     return 1.0 if n_rows <= 0 else min(1.0, target_rows / n_rows)
 
 
+#: Bits of a hash position decided by one counting pass.
+RADIX_BITS = 15
+
+
+def smallest_positions(positions: DataFrame, k: int) -> tuple[int, int]:
+    """The k-th smallest value of the column ``position`` (60 bits) and how many
+    rows below or at it belong to the k smallest.
+
+    Radix counting: each of four passes counts rows by the next 15 bits among
+    those that share the bits decided so far, so at most 2 ** 15 counts come
+    back, whatever the number of rows; nothing is sorted.
+    """
+    prefix, left, bits = 0, k, 60
+    while bits:
+        bits -= RADIX_BITS
+        digit = F.shiftright("position", bits).bitwiseAND((1 << RADIX_BITS) - 1)
+        rows = positions.where(F.shiftright("position", bits + RADIX_BITS) == F.lit(prefix)) if prefix or bits + RADIX_BITS < 60 else positions
+        for value, n in sorted((r["digit"], r["n"]) for r in rows.groupBy(digit.alias("digit")).agg(F.count("*").alias("n")).collect()):
+            if n >= left:
+                break
+            left -= n
+        prefix = (prefix << RADIX_BITS) | value
+    return prefix, left
+
+
 def target_row_sample(df: DataFrame, target_rows: int, seed: int = 42,
-                      n_rows: int | None = None) -> DataFrame:
-    """R2: Bernoulli sample of about ``target_rows`` rows (size is approximate)."""
+                      n_rows: int | None = None, key: str | None = None) -> DataFrame:
+    """R2: a sample of ``target_rows`` rows (all of them, if there are no more).
+
+    With ``key`` it is exact and independent of layout and cluster: the rows
+    with the smallest key hashes.  Rows that tie at the last hash (repeated
+    keys) are told apart by the hash of all their columns, and wholly equal
+    rows are taken up to the number wanted.  Without a key it is a Bernoulli
+    sample, whose size is approximate.
+    """
     n = df.count() if n_rows is None else n_rows
     f = target_fraction(n, target_rows)
-    return df if f >= 1.0 else bernoulli_sample(df, f, seed)
+    if f >= 1.0:
+        return df
+    if key is None:
+        return bernoulli_sample(df, f, seed)
+    if target_rows <= 0:
+        return df.limit(0)
+
+    def smallest(rows: DataFrame, position: Column, k: int) -> tuple[DataFrame, DataFrame, int]:
+        """Rows surely taken, rows that tie at the last position, and how many of these are wanted."""
+        last, wanted = smallest_positions(rows.select(position.alias("position")), k)
+        return rows.where(position < F.lit(last)), rows.where(position == F.lit(last)), wanted
+
+    taken, tied, wanted = smallest(df, hash_position(F.coalesce(F.col(key).cast("string"), F.lit(""))), target_rows)
+    if tied.count() == wanted:
+        return taken.unionByName(tied)
+    whole = hash_position(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    more, equal, wanted = smallest(tied, whole, wanted)
+    return taken.unionByName(more).unionByName(equal.limit(wanted))
 
 
 def random_split(df: DataFrame, weights: Sequence[float] = (0.8, 0.2), seed: int = 42) -> list[DataFrame]:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,11 +25,13 @@ from ..operators import models as MD
 from ..operators import prepare as P
 from ..operators import sampling as SM
 from ..operators import scaling as SC
+from ..operators import verify as V
 from ..session import checkpoint_dir, configure
 from ..sources import adapters as A
 from ..sources import parquet as PQ
 from ..sources import sinks as SK
 from ..specs import LINEITEM_TRIPS, TripSpec
+from . import jobs as J
 
 T1 = LINEITEM_TRIPS
 # The events table seen as trips for the time features.
@@ -175,9 +178,7 @@ def q_majority_baseline_inverse(spark, d):
 
 
 def q_class_weights(spark, d):
-    clean = t1_clean(spark, d)
-    weighted = B.add_class_weights(clean, "label", B.balance_record(clean))
-    return round6(B.class_weight_summary(weighted))
+    return round6(B.class_weight_summary(B.add_class_weights(t1_clean(spark, d), "label")))
 
 
 def q_rows_per_month(spark, d):
@@ -226,6 +227,17 @@ def _exploration(part):
     return q
 
 
+def _from_state(part):
+    """A summary of T1 from the stored states of three sources, one of them stored twice."""
+    def q(spark, d):
+        path = f"{checkpoint_dir(spark).rstrip('/')}/states-{SK.new_run_id()}"
+        clean = t1_clean(spark, d)
+        for source in (0, 1, 2, 1):
+            X.append_summary_state(clean.where(F.col("trip_key") % 3 == source), path, f"part-{source}", T1)
+        return round6(X.summaries_from_state(spark, path, T1)[part])
+    return q
+
+
 def q_class_histogram(spark, d):
     return round6(X.class_histogram(t1_clean(spark, d), limits=T1_HISTOGRAM_LIMITS))
 
@@ -292,7 +304,25 @@ def q_bernoulli_sample(spark, d):
 
 
 def q_target_row_sample(spark, d):
-    return SM.target_row_sample(A.table(spark, d, "lineitem"), 1000, seed=42)
+    """Exactly 1000 rows by key hash, whatever the layout."""
+    li = A.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line_key"))
+    return SM.target_row_sample(li, 1000, key="line_key")
+
+
+def q_bernoulli_facts(spark, d):
+    """Facts of the seeded samplers: only rows of the table, none more often than there,
+    and a size within six standard deviations; the sample without a key likewise."""
+    key = ["l_orderkey", "l_linenumber"]
+    li = A.table(spark, d, "lineitem").select(*key)
+    n, there = li.count(), li.groupBy(*key).agg(F.count("*").alias("there"))
+    out = []
+    for name, sample, f in (("bernoulli", SM.bernoulli_sample(li, 0.1, seed=42), 0.1),
+                            ("target", SM.target_row_sample(li, n // 4, seed=42), (n // 4) / n)):
+        drawn = sample.groupBy(*key).agg(F.count("*").alias("n")).join(there, key, "left")
+        out.append(drawn.agg(
+            F.lit(name).alias("sampler"), F.min(F.coalesce(F.col("n") <= F.col("there"), F.lit(False))).alias("rows_of_the_table"),
+            (F.abs(F.sum("n") - n * f) <= 6 * (n * f * (1 - f)) ** 0.5).alias("size_fits")))
+    return out[0].unionByName(out[1])
 
 
 def q_random_split(spark, d):
@@ -366,9 +396,39 @@ def q_feature_pipeline(spark, d):
         (F.array_position(F.slice("a", 6, 100), F.lit(1.0)) - 1).cast("int").alias("hot_slot")))
 
 
+def dear_lines(spark, d):
+    """Lineitem rows with the label "dear" and few-valued features, weighted by class."""
+    li = A.table(spark, d, "lineitem").select(
+        F.col("l_quantity").cast("double").alias("quantity"), F.col("l_linenumber").cast("double").alias("line"),
+        F.col("l_discount").cast("double").alias("discount"), F.col("l_tax").cast("double").alias("tax"),
+        (F.col("l_extendedprice") * (F.lit(0.2) + F.col("l_quantity") / 50.0) > 35000).cast("int").alias("label"))
+    return B.add_class_weights(li, "label", B.balance_record(li))
+
+
+#: Parameters under which a learner's first decision is exact: a converged fit, one unsampled tree.
+EXACT = {"LogisticRegression": {"maxIter": 300, "tol": 1e-12}, "DecisionTree": {"maxDepth": 2},
+         "RandomForest": {"numTrees": 1, "maxDepth": 2, "bootstrap": False}, "GBT": {"maxIter": 1, "maxDepth": 2}}
+
+
+def _learned(name, spark, d) -> dict:
+    """What the learner found on T6 and what is computed without it: coefficients
+    of Newton steps, or the root split of the impurity counts."""
+    rows = dear_lines(spark, d)
+    columns = ["quantity", "discount"] if name == "LogisticRegression" else ["quantity", "line", "discount", "tax"]
+    model = MD.make_models(overrides=EXACT)[name].fit(
+        VectorAssembler(inputCols=columns, outputCol="features").transform(rows).select("features", "label", "class_weight"))
+    if name == "LogisticRegression":
+        own = V.newton_logistic(rows, columns, weight_col="class_weight")
+        agrees = max(abs(x - y) for x, y in zip(own, V.linear_coefficients(model))) < 1e-4
+        return {**{c: round(x, 6) for c, x in zip(("intercept", *columns), own)}, "learner_agrees": agrees}
+    best = V.root_split(rows, columns, weight_col="class_weight").first()
+    return {"root_feature": best["feature"], "root_threshold": best["threshold"], "root_gain": round(best["gain"], 6),
+            "learner_agrees": V.tree_root(model, columns) == (best["feature"], best["threshold"])}
+
+
 def _fit_facts(name):
-    """Deterministic facts of one learner's run: sizes of the disjoint parts and
-    what must hold of its metrics, whatever it learned."""
+    """One learner's run: sizes of the disjoint parts, ranges of its metrics, and
+    what it learned on T6 against an independent computation."""
     def q(spark, d):
         feat = t3_featurised(spark, d).cache()
         train, test = SM.hash_split(feat, "doc_id", (0.8, 0.2))
@@ -379,10 +439,22 @@ def _fit_facts(name):
             (F.abs(F.col("recall_w") - F.col("accuracy")) < 1e-9).alias("recall_is_accuracy"),
             F.forall(F.array(*CMP.METRIC_COLUMNS), lambda v: v.between(0.0, 1.0)).alias("in_range"))
         feat.unpersist()
-        return out
+        return out.withColumns({c: F.lit(v) for c, v in _learned(name, spark, d).items()})
     return q
 
 
+def q_experiment(spark, d):
+    """J1 with hashed samples: what its summary and its scaling curve counted."""
+    out = J.experiment(t1_raw(spark, d), T1, key="trip_key", models=["LogisticRegression"], fractions=(0.5, 1.0),
+                       model_overrides={"LogisticRegression": {"maxIter": 5}})
+    curve = out["data_scaling"].agg(F.min("n_rows").alias("n_half"), F.max("n_rows").alias("n_full"),
+                                    F.min(F.col("train_seconds") > 0).alias("timed"))
+    counted = out["summary"].select("n_raw", "n_clean", "n_neg", "n_pos", "pos_rate", "n_train", "n_test", "fraction", "seed")
+    fitted = out["models"].agg(F.count("*").alias("n_models"))
+    one = lambda df, c: df.select(c).scalar().alias(c)
+    return round6(counted.select("*", *[one(curve, c) for c in ("n_half", "n_full", "timed")], one(fitted, "n_models")))
+
+
 def q_cost_tradeoff(spark, d):
     """The trade-off of the T4 scorers, with how often each predicts 1 as its cost."""
     scores = A.lineitem_scores_long(spark, d)
@@ -423,13 +495,13 @@ def q_sink_roundtrip(spark, d):
 
 
 def q_metrics_roundtrip(spark, d):
-    """Result sinks: each model's row is appended under one run, another run's
-    rows stand beside them, and one run is read back."""
+    """Result sinks: each model's row is added under one run, one of them twice,
+    another run's rows stand beside them, and one run is read back."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/metrics-{SK.new_run_id()}"
     board = CMP.leaderboard(A.lineitem_scores_long(spark, d))
-    for scorer in ("quantity", "price"):
-        SK.append_metrics(board.where(F.col("model") == scorer), path, "run-1", "models")
-    SK.append_metrics(board.where("model = 'discount'"), path, "run-2", "models")
+    for scorer in ("quantity", "price", "quantity"):  # one of them twice, as after a retry
+        SK.append_metrics(board.where(F.col("model") == scorer), path, "run-1", "models", entry=scorer)
+    SK.append_metrics(board.where("model = 'discount'"), path, "run-2", "models", entry="discount")
     return round6(SK.read_metrics(spark, path, "models", "run-1").drop("written_at"))
 
 
@@ -483,6 +555,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exploration_ratio": _exploration("ratio_histogram"),
     "exploration_hour": _exploration("rate_by_hour"),
     "exploration_weekday": _exploration("rate_by_weekday"),
+    "state_balance": _from_state("balance"),
+    "state_months": _from_state("rows_per_month"),
+    "state_ratio": _from_state("ratio_histogram"),
+    "state_correlation": _from_state("correlation"),
     "confusion": q_confusion,
     "auc": q_auc,
     "weighted_metrics": q_weighted_metrics,
@@ -496,6 +572,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hash_sample_small": q_hash_sample_small,
     "hash_split": q_hash_split,
     "bernoulli_sample": q_bernoulli_sample,
+    "sampler_facts": q_bernoulli_facts,
     "target_row_sample": q_target_row_sample,
     "random_split": q_random_split,
     "string_index": q_string_index,
@@ -506,6 +583,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fit_dt": _fit_facts("DecisionTree"),
     "fit_rf": _fit_facts("RandomForest"),
     "fit_gbt": _fit_facts("GBT"),
+    "experiment": q_experiment,
     "cost_tradeoff": q_cost_tradeoff,
     "data_scaling": q_data_scaling,
     "linear_reference": q_linear_reference,

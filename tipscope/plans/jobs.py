@@ -45,6 +45,7 @@ def experiment(
     partitions: int | None = None,
     split_first: bool = False,
     score_source: str = "probability",
+    concurrent: int = 1,
 ) -> dict[str, DataFrame]:
     """J1.  ``key`` switches sampling and splitting to layout-independent hashing.
 
@@ -52,7 +53,8 @@ def experiment(
     are fitted on all prepared rows before the split.  ``split_first=True``
     splits first and fits both on the training part only, so nothing about the
     test rows leaks into training.  ``score_source`` picks the ranking column
-    for AUC (``probability`` or ``rawPrediction``).
+    for AUC (``probability`` or ``rawPrediction``).  ``concurrent`` learners are
+    fitted at the same time (see :func:`compare.train_and_compare`).
     """
     s = spec or TripSpec()
     configure(raw.sparkSession)  # UTC wall clock, AQE
@@ -112,9 +114,9 @@ def experiment(
                                overrides=model_overrides)
     if models is not None:
         catalogue = {k: v for k, v in catalogue.items() if k in models}
-    sink = (lambda row: SK.append_metrics(row, metrics_path, run_id, "models")) if metrics_path else None
+    sink = (lambda row: SK.append_metrics(row, metrics_path, run_id, "models", entry=row.first()["model"])) if metrics_path else None
     board = CMP.train_and_compare(catalogue, train, test, s.label_col, score_source=score_source,
-                                  on_result=sink, partitions=partitions)
+                                  on_result=sink, partitions=partitions, concurrent=concurrent)
     out["models"] = board
     for df in (train, test):
         if df is not featurised:  # split-first mode trains on the featurised frame itself
@@ -196,17 +198,19 @@ def parallelism(raw: DataFrame, sample_base: str, metrics_path: str, spec: TripS
     key = source_key(raw, s, repr(recipe))
     path = SK.sample_path(sample_base, rows=rows, seed=seed, source=key)
 
+    owned: list[DataFrame] = []
+
     def build():
         data = P.prepare(raw, s).select(*s.numeric_features, *s.categorical_features, s.label_col).cache()
+        owned.append(data)
         balance = B.balance_record(data, s.label_col)  # fills the cache: the only pass over the raw rows
         sample = SM.target_row_sample(B.add_class_weights(data, s.label_col, balance, s.weight_col), rows, seed,
                                       n_rows=data.count())
-        SK.write_parquet(FE.model_columns(pipeline.fit(sample).transform(sample), s), path)
-        data.unpersist()
+        return FE.model_columns(pipeline.fit(sample).transform(sample), s)
 
-    if not SK.is_complete(spark, path):
-        build()
-    train = SK.read_parquet(spark, path)
+    train = SK.materialise_once(spark, path, build)
+    for df in owned:
+        df.unpersist()
     lr = MD.make_models(label_col=s.label_col, weight_col=None)["LogisticRegression"]
     row = SC.timed_run(lr, train, repeats).withColumn("sample", F.lit(path))
     SK.append_metrics(row, metrics_path, SK.new_run_id(), "parallelism")

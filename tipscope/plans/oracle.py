@@ -296,6 +296,69 @@ QUALITY_SQL = """
 WITH q AS (SELECT d.doc_id, CAST(('0x' || substr(md5(CAST(d.doc_id AS VARCHAR)), 1, 15)) AS BIGINT) AS place
            FROM documents d JOIN labels l USING (doc_id) WHERE d.text IS NOT NULL AND d.n_chars IS NOT NULL)"""
 
+# Dear lines with class weights: the rows of the learner checks.
+DEAR_SQL = """,
+lines AS (
+  SELECT l_quantity::DOUBLE AS quantity, l_linenumber::DOUBLE AS line, l_discount::DOUBLE AS discount, l_tax::DOUBLE AS tax,
+         CASE WHEN l_extendedprice * (0.2::DOUBLE + l_quantity / 50.0::DOUBLE) > 35000 THEN 1 ELSE 0 END AS label
+  FROM lineitem
+), weighted AS (
+  SELECT *, CASE WHEN label = 1 THEN count(*) OVER () / (2.0 * sum(label) OVER ())::DOUBLE
+                 ELSE count(*) OVER () / (2.0 * sum(1 - label) OVER ())::DOUBLE END AS w
+  FROM lines
+)"""
+
+# Newton steps of the weighted logistic regression on two columns; the 3 x 3 system by cofactors.
+NEWTON_SQL = DEAR_SQL + """,
+steps(step, b0, b1, b2) AS (
+  SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+  UNION ALL
+  SELECT step + 1,
+         b0 + ((d * f - e * e) * g0 + (c * e - b * f) * g1 + (b * e - c * d) * g2) / det,
+         b1 + ((c * e - b * f) * g0 + (a * f - c * c) * g1 + (b * c - a * e) * g2) / det,
+         b2 + ((b * e - c * d) * g0 + (b * c - a * e) * g1 + (a * d - b * b) * g2) / det
+  FROM (SELECT *, a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d) AS det
+        FROM (SELECT step, b0, b1, b2, sum(w * (label - p)) AS g0, sum(w * (label - p) * quantity) AS g1, sum(w * (label - p) * discount) AS g2,
+                     sum(h) AS a, sum(h * quantity) AS b, sum(h * discount) AS c, sum(h * quantity * quantity) AS d,
+                     sum(h * quantity * discount) AS e, sum(h * discount * discount) AS f
+              FROM (SELECT *, w * p * (1 - p) AS h
+                    FROM (SELECT *, 1 / (1 + exp(-(b0 + b1 * quantity + b2 * discount))) AS p FROM steps, weighted WHERE step < 20))
+              GROUP BY step, b0, b1, b2))
+), newton AS (
+  SELECT round(b0, 6) AS intercept, round(b1, 6) AS quantity, round(b2, 6) AS discount FROM steps WHERE step = 20
+)"""
+
+# The first split of a tree: weighted class counts left of every value of every column.
+ROOT_SQL = DEAR_SQL + """,
+cells AS (
+  SELECT place, feature, v, sum(w * label) AS w1, sum(w * (1 - label)) AS w0
+  FROM (SELECT 0 AS place, 'quantity' AS feature, quantity AS v, w, label FROM weighted UNION ALL SELECT 1, 'line', line, w, label FROM weighted
+        UNION ALL SELECT 2, 'discount', discount, w, label FROM weighted UNION ALL SELECT 3, 'tax', tax, w, label FROM weighted)
+  GROUP BY ALL
+), sides AS (
+  SELECT place, feature, v, lead(v) OVER up AS next, sum(w1) OVER up AS l1, sum(w0) OVER up AS l0,
+         sum(w1) OVER (PARTITION BY place) AS a1, sum(w0) OVER (PARTITION BY place) AS a0
+  FROM cells WINDOW up AS (PARTITION BY place ORDER BY v)
+), gains AS (
+  SELECT place, feature, (v + next) / 2 AS threshold,
+         1 - (a1 * a1 + a0 * a0) / pow(a1 + a0, 2)
+         - (l1 + l0) / (a1 + a0) * (1 - (l1 * l1 + l0 * l0) / pow(l1 + l0, 2))
+         - (a1 + a0 - l1 - l0) / (a1 + a0) * (1 - (pow(a1 - l1, 2) + pow(a0 - l0, 2)) / pow(a1 + a0 - l1 - l0, 2)) AS gain
+  FROM sides WHERE next IS NOT NULL
+), root AS (
+  SELECT feature AS root_feature, threshold AS root_threshold, round(gain, 6) AS root_gain
+  FROM gains ORDER BY round(gain, 12) DESC, place, threshold LIMIT 1
+)"""
+
+
+def fit_sql(model: str, steps: str, found: str, columns: str) -> str:
+    return QUALITY_SQL.replace("WITH", "WITH RECURSIVE", 1) + steps + f"""
+SELECT facts.*, {columns}, TRUE AS learner_agrees
+FROM (SELECT '{model}' AS model, count(*) AS n_rows, count(*) FILTER (WHERE place < 922337203685477632) AS n_train,
+             count(*) FILTER (WHERE place >= 922337203685477632) AS n_test, TRUE AS recall_is_accuracy, TRUE AS in_range
+      FROM q) facts, {found}"""
+
+
 FEATURES_SQL = r"""
 WITH t AS (
   SELECT d.doc_id, d.lang, CAST(CASE WHEN l.quality = 0 THEN 1 WHEN l.quality IS NOT NULL THEN 0 END AS INTEGER) AS label,
@@ -481,10 +544,30 @@ FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber) k"""
         "data_scaling": QUALITY_SQL + """
 SELECT CAST(f AS DOUBLE) AS fraction, (SELECT count(*) FROM q WHERE place < f * 1152921504606846976) AS n_rows, TRUE AS timed
 FROM (VALUES (0.25), (0.5), (1.0)) v(f)""",
-        **{f"fit_{short}": QUALITY_SQL + f"""
-SELECT '{name}' AS model, count(*) AS n_rows, count(*) FILTER (WHERE place < 922337203685477632) AS n_train,
-       count(*) FILTER (WHERE place >= 922337203685477632) AS n_test, TRUE AS recall_is_accuracy, TRUE AS in_range
-FROM q""" for short, name in (("lr", "LogisticRegression"), ("dt", "DecisionTree"), ("rf", "RandomForest"), ("gbt", "GBT"))},
+        "fit_lr": fit_sql("LogisticRegression", NEWTON_SQL, "newton", "intercept, quantity, discount"),
+        **{f"fit_{short}": fit_sql(name, ROOT_SQL, "root", "root_feature, root_threshold, root_gain")
+           for short, name in (("dt", "DecisionTree"), ("rf", "RandomForest"), ("gbt", "GBT"))},
+        "experiment": f"""
+WITH c AS (SELECT label, CAST(('0x' || substr(md5(trip_key || 'split'), 1, 15)) AS BIGINT) AS place,
+                  CAST(('0x' || substr(md5(CAST(trip_key AS VARCHAR)), 1, 15)) AS BIGINT) AS own FROM ({T1_CLEAN}) t)
+SELECT (SELECT count(*) FROM ({T1_RAW}) r) AS n_raw, count(*) AS n_clean, count(*) FILTER (WHERE label = 0) AS n_neg,
+       count(*) FILTER (WHERE label = 1) AS n_pos, round(count(*) FILTER (WHERE label = 1) / count(label)::DOUBLE, 6) AS pos_rate,
+       count(*) FILTER (WHERE place < 922337203685477632) AS n_train, count(*) FILTER (WHERE place >= 922337203685477632) AS n_test,
+       1.0::DOUBLE AS fraction, 42::BIGINT AS seed, count(*) FILTER (WHERE own < 576460752303423488) AS n_half, count(*) AS n_full,
+       TRUE AS timed, 1::BIGINT AS n_models
+FROM c""",
+        "target_row_sample": """
+SELECT l_orderkey, l_linenumber, l_orderkey || '-' || l_linenumber AS line_key FROM lineitem
+ORDER BY CAST(('0x' || substr(md5(l_orderkey || '-' || l_linenumber), 1, 15)) AS BIGINT) LIMIT 1000""",
+        "sampler_facts": """
+SELECT sampler, TRUE AS rows_of_the_table, TRUE AS size_fits FROM (VALUES ('bernoulli'), ('target')) v(sampler)""",
+        "state_balance": BALANCE_SQL.format(lab="label", src=T1_CLEAN),
+        "state_months": f"SELECT strftime(tpep_pickup_datetime, '%Y-%m') AS month, count(*) AS n_rows FROM ({T1_CLEAN}) c GROUP BY 1",
+        "state_ratio": f"""
+SELECT CAST(floor(tip_pct / 0.02) AS BIGINT) AS bin_idx, count(*) AS n_rows,
+       round(CAST(floor(tip_pct / 0.02) AS BIGINT) * CAST(0.02 AS DOUBLE), 6) AS bin
+FROM ({T1_CLEAN}) c WHERE tip_pct <= 0.6 AND tip_pct IS NOT NULL GROUP BY 1""",
+        "state_correlation": correlation_sql(T1_CLEAN, list(CORRELATED)),
         "sink_roundtrip": WEIGHTS_SQL + "SELECT trip_key, trip_line, label, round(class_weight, 6) AS class_weight FROM w",
     }
     return {k: v.strip() for k, v in sql.items()}

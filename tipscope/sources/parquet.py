@@ -6,12 +6,14 @@ fails in the vectorised reader and ``mergeSchema`` rejects int/double pairs, so
 files are grouped by their footer schema, each group is scanned *once* (one
 relation per distinct schema, not per file), cast to the canonical types and
 the groups are unioned by name.  The plan therefore grows with the number of
-distinct schemas, not with the number of files.
+distinct schemas, not with the number of files, and so does the number of jobs:
+one census job reads all footers.
 """
 from __future__ import annotations
 
+import json
 from collections import OrderedDict
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -74,26 +76,108 @@ def list_parquet_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(named or plain)
 
 
-#: Footers read at the same time; each read is one short Spark job.
-FOOTER_THREADS = 16
+#: Readers at the same time where Spark itself must read the schemas.
+SCHEMA_THREADS = 16
+
+
+def _footer_schemas(ntz: bool):
+    """Map function: per distinct schema of the task's files, their numbers.
+
+    The schema is the one that Spark's reader infers: the row metadata that
+    Spark wrote, else the types of flat columns.  NULL stands for files that
+    only Spark can judge (nested or unusual types, stores without a client here).
+    """
+    def run(batches):
+        import json
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        flat = {"BOOLEAN": "boolean", "INT32": "integer", "INT64": "long", "INT96": "timestamp", "FLOAT": "float",
+                "DOUBLE": "double", "BYTE_ARRAY": "binary"}
+
+        def spark_type(column):
+            if column.max_repetition_level or "." in column.path:
+                return None
+            kind = json.loads(column.logical_type.to_json())
+            name = kind["Type"]
+            if name in ("None", "Undefined", "Unknown"):
+                return flat.get(column.physical_type) if column.converted_type == "NONE" else None
+            if name in ("String", "Enum", "JSON"):
+                return "string"
+            if name == "Date":
+                return "date"
+            if name == "Int":
+                signed = {8: "byte", 16: "short", 32: "integer", 64: "long"}
+                return signed.get(kind["bitWidth"]) if kind["isSigned"] else None
+            if name == "Decimal" and column.physical_type in ("INT32", "INT64"):
+                return f"decimal({column.precision},{column.scale})"
+            if name == "Timestamp" and kind["timeUnit"] in ("milliseconds", "microseconds"):
+                return "timestamp" if kind["isAdjustedToUTC"] or not ntz else "timestamp_ntz"
+            return None
+
+        def schema_of(path):
+            scheme, _, rest = path.partition(":")
+            if rest and "/" not in scheme:
+                path = f"{ {'s3a': 's3', 's3n': 's3'}.get(scheme, scheme)}:{rest if rest.startswith('//') else '//' + rest}"
+            try:
+                store, where = fs.FileSystem.from_uri(path)
+            except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                return None
+            with store.open_input_file(where) as f:
+                footer = pq.read_metadata(f)
+            written = (footer.metadata or {}).get(b"org.apache.spark.sql.parquet.row.metadata")
+            if written is not None:
+                return json.dumps(json.loads(written), sort_keys=True)
+            columns = [footer.schema.column(i) for i in range(footer.num_columns)]
+            types = [spark_type(c) for c in columns]
+            if None in types:
+                return None
+            return json.dumps({"type": "struct", "fields": [
+                {"name": c.name, "type": t, "nullable": True, "metadata": {}} for c, t in zip(columns, types)]}, sort_keys=True)
+
+        found: dict = {}
+        for batch in batches:
+            for number, path in zip(batch["number"].to_pylist(), batch["path"].to_pylist()):
+                found.setdefault(schema_of(path), []).append(number)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.list_(pa.int64()))], ["schema", "numbers"])
+
+    return run
 
 
 def group_by_schema(spark: SparkSession, files: Iterable[str]) -> "OrderedDict[str, list[str]]":
-    """Group files by their physical schema, whatever their number.
+    """Group files by their schema (the JSON that Spark's reader would infer),
+    whatever their number.
 
-    Every footer is read by Spark itself through the session's file systems;
-    only schemas come back.  For very many files store the result once
-    (:func:`write_manifest`) and pass it to :func:`load_trips`.
+    One Spark job reads the footers: each task merges its files into one row
+    per distinct schema, so rows come back per task and schema, not per file.
+    Files that only Spark can judge are read by Spark's own inference, a short
+    job each.  Store the result (:func:`write_manifest`) to skip the census.
     """
     files = list(files)
-    with ThreadPoolExecutor(FOOTER_THREADS) as pool:
-        keys = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), files))
+    numbered = spark.createDataFrame(list(enumerate(files)), "number long, path string")  # a task per core
+    ntz = (spark.conf.get("spark.sql.parquet.inferTimestampNTZ.enabled", "true") or "true").lower() == "true"
+    rows = numbered.mapInArrow(_footer_schemas(ntz), "schema string, numbers array<long>").collect() if files else []
+    known = {n: r["schema"] for r in rows for n in r["numbers"] if r["schema"] is not None}
+    rest = [n for n in range(len(files)) if n not in known]
+    with ThreadPoolExecutor(SCHEMA_THREADS) as pool:
+        known |= zip(rest, pool.map(lambda n: json.dumps(json.loads(spark.read.parquet(files[n]).schema.json()), sort_keys=True), rest))
     groups: "OrderedDict[str, list[str]]" = OrderedDict()
-    for key, f in zip(keys, files):
-        groups.setdefault(key, []).append(f)
+    for n, f in enumerate(files):
+        groups.setdefault(known[n], []).append(f)
     return groups
 
 
+def group_schema(spark: SparkSession, key: str, files: Sequence[str]) -> StructType:
+    """The schema of a group: its key, or (any other key) that of its first file."""
+    try:
+        return StructType.fromJson(json.loads(key))
+    except (ValueError, KeyError, TypeError):
+        return spark.read.parquet(files[0]).schema
+
+
 def normalise(df: DataFrame, types: Mapping[str, str], safe: bool = False) -> DataFrame:
     """Cast every canonical column to its type and drop the rest.
 
@@ -109,10 +193,11 @@ def normalise(df: DataFrame, types: Mapping[str, str], safe: bool = False) -> Da
 
 
 def read_one(spark: SparkSession, path: str | list[str], types: Mapping[str, str],
-             prefilter: Column | None = None, safe: bool = False) -> DataFrame:
-    """Scan one file (or one same-schema file group) and normalise it."""
+             prefilter: Column | None = None, safe: bool = False, schema: StructType | None = None) -> DataFrame:
+    """Scan one file (or one same-schema file group) and normalise it.
+    A given ``schema`` saves the job that would infer it."""
     paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.parquet(*paths)
+    raw = (spark.read if schema is None else spark.read.schema(schema)).parquet(*paths)
     if prefilter is not None:
         raw = raw.where(prefilter)
     return normalise(raw, types, safe)
@@ -192,8 +277,8 @@ def load_trips(
 ) -> DataFrame:
     """Read every Parquet file under ``path`` as one canonical DataFrame (S3).
 
-    ``manifest`` maps any key to a list of files known to share one schema; it
-    skips the footer pass.  ``prefilter=True`` pushes the spec's plain range
+    ``manifest`` maps a schema (or any key) to a list of files known to share
+    it; it skips the footer census.  ``prefilter=True`` pushes the spec's plain range
     rules into each group's scan (use it when the result is cleaned anyway).
     Wall-clock columns are cast in UTC, whatever the caller's time zone was,
     so hours and weekdays are those written in the files.
@@ -202,7 +287,7 @@ def load_trips(
     spec = spec or TripSpec()
     groups = manifest if manifest is not None else group_by_schema(spark, list_parquet_files(spark, path))
     frames = []
-    for files in groups.values():
-        pre = physical_prefilter(spark.read.parquet(files[0]).schema, spec) if prefilter else None
-        frames.append(read_one(spark, files, spec.types, pre, safe))
+    for key, files in groups.items():
+        schema = group_schema(spark, key, files)
+        frames.append(read_one(spark, files, spec.types, physical_prefilter(schema, spec) if prefilter else None, safe, schema))
     return union_by_name(frames)

@@ -1,7 +1,7 @@
 """Sinks (S5-S10): feature sets, reuse-if-present materialisation and metrics tables.
 
 Results are written by Spark as tables (Parquet), not as JSON files on the
-driver's disk, so they survive driver loss and can be appended to from many
+driver's disk, so they survive driver loss and can be added to by many
 submissions (one row per model / per scaling run).
 """
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,14 +57,47 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def commit_folder(spark: SparkSession, aside: str, path: str) -> bool:
+    """Give a finished folder its final name in one rename; False if another
+    writer was first (the folder is then deleted).
+
+    The rename fails if the name is taken, so of several writers one wins and
+    readers see no table or a whole one.  What an interrupted writer without
+    this protocol left under the name (no ``_SUCCESS``) is moved out of the way.
+    """
+    jvm = spark.sparkContext._jvm
+    fs, target = _fs(spark, path)
+    source = jvm.org.apache.hadoop.fs.Path(aside)
+    names = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(target).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    never_overwrite = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+
+    def rename(a, b) -> bool:
+        try:
+            names.rename(fs.makeQualified(a), fs.makeQualified(b), never_overwrite)
+            return True
+        except Py4JJavaError:
+            if fs.exists(b):
+                return False
+            raise
+
+    if fs.exists(target) and not is_complete(spark, path):
+        rename(target, jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.stale-{new_run_id()}"))
+    if rename(source, target):
+        return True
+    fs.delete(source, True)
+    return False
+
+
 def materialise_once(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Reuse ``path`` if a complete write exists there, else build and write it.
 
-    Key the path by *every* input that changes the content (row target, seed,
-    source); a path keyed by one of them would silently reuse stale data.
+    The table is written aside and committed by one rename, so two submissions
+    that build at the same time leave one complete table.  Key the path by
+    *every* input that changes the content (row target, seed, source); a path
+    keyed by one of them would silently reuse stale data.
     """
     if not is_complete(spark, path):
-        write_parquet(build(), path)
+        commit_folder(spark, write_parquet(build(), f"{path.rstrip('/')}.building-{new_run_id()}"), path)
     return read_parquet(spark, path)
 
 
@@ -77,22 +111,26 @@ def new_run_id() -> str:
     return uuid.uuid4().hex[:12]
 
 
-def append_metrics(df: DataFrame, path: str, run_id: str, kind: str) -> DataFrame:
-    """Append result rows to the metrics table of one kind, keyed by run id.
+def append_metrics(df: DataFrame, path: str, run_id: str, kind: str, entry: str = "all") -> DataFrame:
+    """Add result rows to the metrics table of one kind, keyed by run id.
 
     Each kind (models, data_scaling, parallelism, balance, ...) has its own
     schema and its own folder under ``path``; rows from many runs accumulate.
+    The call is idempotent: the rows of one (run, ``entry``) are one partition,
+    which a repeated call replaces (dynamic partition overwrite).
     """
     out = df.withColumn("run_id", F.lit(run_id)).withColumn("written_at", F.current_timestamp())
-    out.write.mode("append").parquet(f"{path.rstrip('/')}/{kind}")
+    keyed = out.withColumns({"stored_run": F.lit(f"run-{run_id}"), "stored_entry": F.lit(f"entry-{entry}")})
+    keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stored_run", "stored_entry").parquet(
+        f"{path.rstrip('/')}/{kind}")
     return out
 
 
 def read_metrics(spark: SparkSession, path: str, kind: str, run_id: str | None = None) -> DataFrame:
     df = spark.read.parquet(f"{path.rstrip('/')}/{kind}")
     if run_id is not None:
-        df = df.where(F.col("run_id") == run_id)
-    return df
+        df = df.where(F.col("stored_run") == f"run-{run_id}")  # reads that run's folders only
+    return df.drop("stored_run", "stored_entry")
 
 
 def preview(df: DataFrame, columns: list[str] | None = None, n: int = 5) -> DataFrame:
