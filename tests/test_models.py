@@ -55,6 +55,14 @@ def test_train_and_compare(spark, split):
     assert rep["auc"] == round(rows[0]["auc"], 3)
 
 
+def test_concurrent_fits_give_the_same_board(spark, split, tmpdir_path):
+    train, test = split
+    seen = []
+    one = CMP.train_and_compare(MD.make_models(overrides=QUICK), train, test).drop("train_seconds").collect()
+    four = CMP.train_and_compare(MD.make_models(overrides=QUICK), train, test, concurrent=4, on_result=lambda r: seen.append(r.first()["model"]))
+    assert four.drop("train_seconds").collect() == one and sorted(seen) == sorted(MD.MODEL_NAMES)
+
+
 def test_experiment_job_both_modes(spark, tmpdir_path):
     from tipscope.plans import jobs as J
     from tipscope.specs import LINEITEM_TRIPS
@@ -114,7 +122,5 @@ def test_jobs_leave_nothing_cached(spark):
     before = stored()
     raw = A.trips_from_lineitem(spark, SF001)
     J.experiment(raw, LINEITEM_TRIPS, model_overrides=QUICK, models=["LogisticRegression"], fractions=(1.0,))
-    out = J.exploration(raw, LINEITEM_TRIPS, histogram_limits=C.T1_HISTOGRAM_LIMITS)
-    for df in out.values():
-        df.unpersist()
+    J.exploration(raw, LINEITEM_TRIPS, histogram_limits=C.T1_HISTOGRAM_LIMITS)
     assert stored() == before

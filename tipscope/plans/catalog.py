@@ -206,7 +206,12 @@ def q_label_domain(spark, d):
 
 
 def q_correlation(spark, d):
-    return round6(X.correlation(t1_clean(spark, d), X.correlation_columns(T1)))
+    """The cleaned rows hang on a join, so they are cached for the two passes."""
+    cols = X.correlation_columns(T1)
+    rows = t1_clean(spark, d).select(*cols).cache()
+    out = X.correlation(rows, cols)
+    rows.unpersist()
+    return round6(out)
 
 
 def t2_prepared(spark, d):

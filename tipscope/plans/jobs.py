@@ -27,7 +27,7 @@ from ..operators import models as MD
 from ..operators import prepare as P
 from ..operators import sampling as SM
 from ..operators import scaling as SC
-from ..session import configure
+from ..session import checkpoint_dir, configure
 from ..sources import sinks as SK
 from ..specs import TripSpec
 
@@ -149,7 +149,7 @@ def exploration(raw: DataFrame, spec: TripSpec | None = None, month_prefix: str
     Passes over the prepared rows (cached for the job, released at the end):
     one grouping-sets aggregate for the five count / mean summaries, one for
     the correlation matrix, two for the class histograms (ranges, then bins).
-    The returned summaries are small cached frames.
+    The returned summaries are read from small written tables; nothing stays cached.
     """
     s = spec or TripSpec()
     configure(raw.sparkSession)  # UTC wall clock, AQE
@@ -163,10 +163,10 @@ def exploration(raw: DataFrame, spec: TripSpec | None = None, month_prefix: str
             data, label_col=s.label_col,
             **({"limits": histogram_limits} if histogram_limits is not None else {})),
     }
-    # The summaries are small: keep them, release the prepared rows.
-    out = {k: v.cache() for k, v in out.items()}
-    for v in out.values():
-        v.count()
+    # What still hangs on the prepared rows is small: written, so that nothing stays cached.
+    base = f"{checkpoint_dir(raw.sparkSession).rstrip('/')}/exploration-{SK.new_run_id()}"
+    for k in ("retention", "correlation", "class_histogram"):
+        out[k] = SK.read_parquet(raw.sparkSession, SK.write_parquet(out[k], f"{base}/{k}"))
     data.unpersist()
     if metrics_path:
         run_id = SK.new_run_id()
