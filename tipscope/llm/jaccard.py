@@ -7,11 +7,13 @@
    any ``l``.  Every class starts with a short prefix (``l`` = SHORT percent
    of its size); a class with fewer hashes that occur elsewhere has no partner
    and leaves.  Where the estimated number of candidates of a class is high,
-   its prefix is lengthened to ``l`` = LONG percent and correspondingly more
-   shared hashes are asked for.  A pair of different lengths must share the
-   smaller number.
+   its prefix is lengthened to ``l`` = LONG percent, and where it is still high
+   to the whole set (``l`` = ``ceil(t n)``), and correspondingly more shared
+   hashes are asked for.  A pair of different lengths meets at the shorter one.
 3. Of the prefix hashes that occur elsewhere, the ``l - 1`` most frequent are
    left out of the index (a pair that shares ``l`` still meets in another one).
+   A whole set of which ``m`` hashes occur elsewhere has partners of a size up
+   to ``m (1 + t) / t - n`` only.
 4. In every index bucket the most central class is compared with the others;
    what that links needs no further pairs.  The rest, classes outside their
    bucket's central component, meets everything of another component in its
@@ -47,8 +49,11 @@ from tipscope.llm.tables import Workspace, maybe_broadcast
 
 #: Shared prefix hashes asked for, in percent of the set size.
 SHORT, LONG = 6, 16
-#: A class expecting more candidates than this gets the long prefix.
-LENGTHEN_ABOVE = 8
+#: Level of the classes whose whole set is the prefix.
+WHOLE = 100
+#: A class expecting more candidates than this for each hash asked for gets the
+#: long prefix; with more than this for each of its hashes, its whole set.
+LENGTHEN_ABOVE, WHOLE_ABOVE = 8, 16
 SKETCH_BITS = 512
 
 
@@ -108,7 +113,7 @@ class JaccardJoin:
     def __init__(self, docs: DataFrame, width: int, threshold: int) -> None:
         self.width, self.threshold = width, threshold
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        self.ws = Workspace(docs.sparkSession, "jaccard")
+        self.ws, self.calls = Workspace(docs.sparkSession, "jaccard"), 0
 
     # sizes of prefixes and the numbers of shared hashes asked for
 
@@ -135,50 +140,79 @@ class JaccardJoin:
         self.ws.drop("signed")
         return members, classes
 
-    @staticmethod
-    def _matched(tokens: DataFrame) -> DataFrame:
-        """The (k, hash) rows whose hash occurs in two classes or more, with that number."""
-        df = tokens.groupBy("hash").agg(F.count("*").alias("df")).where("df > 1")
-        return tokens.join(df, "hash")
+    def _matched(self, tokens: DataFrame, name: str) -> DataFrame:
+        """The (k, hash) rows whose hash occurs in two classes or more, with that number.
 
-    def _indexed(self, rows: DataFrame, percent: int) -> DataFrame:
-        """All but the most frequent ``l - 1`` of each class's matched hashes."""
-        rank = F.row_number().over(Window.partitionBy("k").orderBy(F.desc("df"), F.desc("hash")))
-        return rows.withColumn("rank", rank).where(F.col("rank") >= self._ell_least(F.col("n"), percent)).drop("rank")
+        The numbers are written before the join, so that adaptive execution can
+        split a hash of very many classes in it."""
+        df = self.ws.save(tokens.groupBy("hash").agg(F.count("*").alias("df")).where("df > 1"), f"{name}-numbers")
+        rows = self.ws.save(tokens.join(df, "hash"), name)
+        self.ws.drop(f"{name}-numbers")
+        return rows
+
+    def _least_shared(self, n: Column, level: int) -> Column:
+        """What a class of this size must share at a level: with any possible partner
+        in the prefix, or of its whole set."""
+        return _needed(n, self.threshold) if level == WHOLE else self._ell_least(n, level)
 
-    def _prune(self, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The classes that may have a partner (``alive``) and the index rows."""
+    def _level(self, tokens: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+        """Matched rows of the classes that reach a level, and per class that shares
+        enough: ``n``, ``shared``, ``score``, and whether it goes on to the next level."""
         n = F.col("n")
-        short = classes.select("k", F.explode(F.slice("prefix", 1, self._prefix(n, SHORT))).alias("hash"))
-        matched = self._matched(short)
-        kept = (matched.groupBy("k").agg(F.count("*").alias("shared"), F.sum(F.col("df") - 1).alias("cost"))
-                .join(classes.select("k", "n"), "k").where(F.col("shared") >= self._ell_least(n, SHORT))
-                .withColumn("long", F.col("cost") > self._ell(n, SHORT) * LENGTHEN_ABOVE)
-                .select("k", "n", "long", (F.col("cost") / n).alias("score")))
-        kept = self.ws.save(kept, "kept")
-        side = maybe_broadcast(kept, kept.count(), 40)
-        rows = self.ws.save(matched.join(side, "k"), "short-rows")
-
-        # classes with long prefixes: enough hashes shared with other long ones, or
-        # enough short-prefix hashes shared with a class that kept the short prefix
-        tokens = classes.join(maybe_broadcast(kept.where("long"), kept.count(), 40).select("k", "score"), "k").select(
-            "k", "n", "score", F.explode(F.slice("prefix", 1, self._prefix(n, LONG))).alias("hash"))
-        long_rows = self.ws.save(self._matched(tokens), "long-rows")
-        enough = long_rows.groupBy("k", "n").agg(F.count("*").alias("shared")).where(
-            F.col("shared") >= self._ell_least(n, LONG)).select("k")
-        with_short = rows.where("NOT long").select("hash").distinct()
-        mixed = rows.where("long").join(with_short, "hash", "left_semi").groupBy("k", "n").agg(F.count("*").alias("shared")).where(
-            F.col("shared") >= self._ell_least(n, SHORT)).select("k")
-        enough, mixed = self.ws.save(enough, "enough"), self.ws.save(mixed, "mixed")
-        short_index = self._indexed(rows, SHORT)
-        index = short_index.where("NOT long").unionByName(short_index.where("long").join(mixed, "k", "left_semi")).select(
-            "hash", F.lit(SHORT).alias("kind"), "k", "n", "long", "score")
-        index = index.unionByName(self._indexed(long_rows.withColumn("long", F.lit(True)), LONG).join(enough, "k", "left_semi").select(
-            "hash", F.lit(LONG).alias("kind"), "k", "n", "long", "score"))
-        index = self.ws.save(index, "index")
-        alive = self.ws.save(index.select("k", "long").distinct().join(classes.select("k", "n", "first_id", "sketch"), "k"), "alive")
-        self.ws.drop("short-rows", "long-rows", "kept", "enough", "mixed")
-        return alive, index
+        rows = self._matched(tokens, f"rows-{level}")
+        kept = rows.groupBy("k", "n").agg(F.count("*").alias("shared"), F.sum(F.col("df") - 1).alias("cost")).where(
+            F.col("shared") >= self._least_shared(n, level))
+        on = {SHORT: F.col("cost") > self._ell(n, SHORT) * LENGTHEN_ABOVE, LONG: F.col("cost") > n * WHOLE_ABOVE, WHOLE: F.lit(False)}[level]
+        return rows, self.ws.save(kept.select("k", "n", "shared", (F.col("cost") / n).alias("score"), on.alias("on")), f"kept-{level}")
+
+    def _index_rows(self, rows: DataFrame, kept: DataFrame, level: int) -> DataFrame:
+        """Index rows of a level: of the classes that stop here, and of those that go on
+        but share enough with one that stops here.  Of a class's matched hashes the
+        most frequent ones are left out, one less than it must share."""
+        need = self._least_shared(F.col("n"), level)
+        rows = rows.join(maybe_broadcast(kept.select("k", "shared", "on"), kept.count(), 40), "k")
+        rank = F.row_number().over(Window.partitionBy("k").orderBy(F.desc("df"), F.desc("hash")))
+        chosen = rows.withColumn("rank", rank).where(F.col("rank") >= need)
+        stopping = chosen.where("NOT on")
+        if level != WHOLE:
+            met = rows.where("NOT on").select("hash").distinct()
+            mixed = rows.where("on").join(met, "hash", "left_semi").groupBy("k", "n").agg(F.count("*").alias("m")).where(F.col("m") >= need)
+            stopping = stopping.unionByName(chosen.where("on").join(self.ws.save(mixed.select("k"), f"mixed-{level}"), "k", "left_semi"))
+        # the largest partner that the matched hashes of a whole set allow
+        most = F.floor(F.col("shared") * (100 + self.threshold) / F.lit(self.threshold)) - F.col("n") if level == WHOLE else F.lit(1 << 62)
+        return stopping.select("hash", F.lit(level).alias("kind"), "k", "n", most.cast("long").alias("most"))
+
+    def _prune(self, classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The classes that may have a partner (``alive``), the index rows, and the whole
+        sets that were needed for it."""
+        n, ws = F.col("n"), self.ws
+        short = classes.select("k", "n", F.explode(F.slice("prefix", 1, self._prefix(n, SHORT))).alias("hash"))
+        rows, kept = self._level(short, SHORT)
+        index = ws.save(self._index_rows(rows, kept, SHORT), f"index-{SHORT}")
+        levels = kept.select("k", "score", F.lit(SHORT).alias("level"), "on")
+
+        going = kept.where("on").select("k")
+        tokens = classes.join(maybe_broadcast(going, kept.count(), 16), "k").select(
+            "k", "n", F.explode(F.slice("prefix", 1, self._prefix(n, LONG))).alias("hash"))
+        rows, kept = self._level(tokens, LONG)
+        index = index.unionByName(ws.save(self._index_rows(rows, kept, LONG), f"index-{LONG}"))
+        levels = levels.where("NOT on").unionByName(kept.where("NOT on").select("k", "score", F.lit(LONG).alias("level"), "on"))
+
+        whole = ws.save(self._whole_sets(classes.join(kept.where("on").select("k"), "k", "left_semi")), "whole")
+        rows, kept = self._level(whole.select("k", F.size("hashes").cast("long").alias("n"), F.explode("hashes").alias("hash")), WHOLE)
+        last = ws.save(self._index_rows(rows, kept, WHOLE), "last")
+        fitting = ws.save(last.groupBy("hash").agg(F.min("n").alias("least")), "fitting")
+        last = last.join(fitting, "hash").where("least <= most").drop("least")  # some partner is small enough
+        index = index.unionByName(ws.save(last, f"index-{WHOLE}"))
+        levels = ws.save(levels.unionByName(kept.select("k", "score", F.lit(WHOLE).alias("level"), "on")), "levels")
+
+        # classes that went on and left at a higher level stay for partners that stopped below
+        named = index.select("k").distinct().join(levels.select("k", "level", "score"), "k", "left")
+        alive = ws.save(named.select("k", F.coalesce("level", F.lit(WHOLE)).alias("level"), F.coalesce("score", F.lit(0.0)).alias("score")).join(
+            classes.select("k", "n", "first_id", "sketch"), "k"), "alive")
+        index = ws.save(index.join(maybe_broadcast(alive.select("k", "level", "score"), alive.count(), 40), "k"), "index")
+        ws.drop(*[f"{t}-{level}" for t in ("rows", "kept", "mixed", "index") for level in (SHORT, LONG, WHOLE)], "last", "fitting", "levels")
+        return alive, index, whole
 
     def _may_link(self, a: str, b: str) -> Column:
         """Size bound and parity sketch of the classes with column prefixes a, b."""
@@ -187,10 +221,22 @@ class JaccardJoin:
         t = self.threshold
         return (F.least(na, nb) * 100 >= F.greatest(na, nb) * t) & (apart * (100 + t) <= (na + nb) * (100 - t))
 
+    def _whole_sets(self, classes: DataFrame) -> DataFrame:
+        """(k, hashes) of some classes, one row each, from the texts of their first ids."""
+        ids = classes.select(F.col("first_id").alias("doc_id")).distinct()
+        ids = maybe_broadcast(ids, classes.count(), 16)
+        chosen = self.docs.join(ids, self.docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+        sets = chosen.mapInArrow(_sets(self.width), "k long, hashes array<long>").join(classes.select("k"), "k", "left_semi")
+        self.calls += 1
+        sets = self.ws.save(sets, f"sets-{self.calls}")
+        if sets.count() > classes.count():  # repeated rows: an id that occurs more than once
+            sets = self.ws.save(sets.dropDuplicates(["k"]), f"sets-{self.calls}-once")
+        return sets
+
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs (u, v) of classes that link, by their whole sets."""
-        left = sets.select(F.col("k").alias("u"), F.col("hashes").alias("a"), F.col("long").alias("la"))
-        right = sets.select(F.col("k").alias("v"), F.col("hashes").alias("b"), F.col("long").alias("lb"))
+        left = sets.select(F.col("k").alias("u"), F.col("hashes").alias("a"), F.col("level").alias("la"))
+        right = sets.select(F.col("k").alias("v"), F.col("hashes").alias("b"), F.col("level").alias("lb"))
         a, b = F.col("a"), F.col("b")
         na, nb = F.size(a), F.size(b)
 
@@ -198,14 +244,15 @@ class JaccardJoin:
             both = F.array_intersect(F.slice(a, 1, self._prefix(na, percent)), F.slice(b, 1, self._prefix(nb, percent)))
             return F.size(both) >= self._ell(F.least(na, nb), percent)
 
-        met = F.when(F.col("la") & F.col("lb"), shares_prefix(LONG)).otherwise(shares_prefix(SHORT))
+        level = F.least("la", "lb")
+        met = F.when(level == WHOLE, True).when(level == LONG, shares_prefix(LONG)).otherwise(shares_prefix(SHORT))
         common = F.size(F.array_intersect(a, b))
         return (pairs.join(left, "u").join(right, "v").where(met).where(common * 100 >= (na + nb - common) * self.threshold)
                 .select("u", "v"))
 
-    @staticmethod
-    def _centres(index: DataFrame) -> DataFrame:
-        return index.groupBy("hash", "kind").agg(F.max_by("k", F.struct("score", "k")).alias("centre"))
+    def _centres(self, index: DataFrame, name: str) -> DataFrame:
+        """The most central class of every bucket; written before it is joined (see ``_matched``)."""
+        return self.ws.save(index.groupBy("hash", "kind").agg(F.max_by("k", F.struct("score", "k")).alias("centre")), name)
 
     def _star_links(self, index: DataFrame, centres: DataFrame, alive: DataFrame, sets: DataFrame) -> DataFrame:
         pairs = index.join(centres, ["hash", "kind"]).where("k <> centre").select(
@@ -216,44 +263,43 @@ class JaccardJoin:
 
     def _candidates(self, classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """The classes that may have a partner, the index, and their whole sets."""
-        alive, index = self._prune(classes)
-        ids = alive.select(F.col("first_id").alias("doc_id")).distinct()
-        ids = maybe_broadcast(ids, alive.count(), 16)
-        chosen = self.docs.join(ids, self.docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-        sets = self.ws.save(chosen.mapInArrow(_sets(self.width), "k long, hashes array<long>").join(alive.select("k", "long"), "k"), "sets")
-        return alive, index, sets
+        alive, index, whole = self._prune(classes)
+        rest = self._whole_sets(alive.join(whole.select("k"), "k", "left_anti"))
+        sets = whole.unionByName(rest).join(alive.select("k", "level"), "k")
+        return alive, index, self.ws.save(sets, "sets")
 
     def links(self, classes: DataFrame) -> DataFrame:
         """Links between classes, enough of them to connect every component."""
         ws = self.ws
         alive, index, sets = self._candidates(classes)
-        found = ws.save(self._star_links(index, self._centres(index), alive, sets), "star-1")
+        centres = self._centres(index, "centres-1")
+        found = ws.save(self._star_links(index, centres, alive, sets), "star-1")
         label = ws.save(connected_components(found, ws, "label-1", rounds=2), "labels-1")
-        outside = self._outside(index, label)
-        found = found.unionByName(ws.save(self._star_links(outside, self._centres(outside), alive, sets), "star-2"))
+        outside = ws.save(self._outside(index, centres, label), "outside-1")
+        found = found.unionByName(ws.save(self._star_links(outside, self._centres(outside, "centres-2"), alive, sets), "star-2"))
         label = ws.save(connected_components(found, ws, "label-2", rounds=2), "labels-2")
 
         # what is still outside its bucket's central component meets all of other components
-        outside = self._outside(index, label)
-        buckets = outside.select("hash", "kind").distinct()
+        outside = ws.save(self._outside(index, centres, label), "outside-2")
+        buckets = ws.save(outside.select("hash", "kind").distinct(), "buckets")
         every = index.join(buckets, ["hash", "kind"], "left_semi")
         labelled = alive.join(label.withColumnRenamed("node", "k"), "k", "left").withColumn("label", F.coalesce("component", "k"))
         pairs = self._meetings(outside, every, labelled)
         closing = ws.save(self._verified(ws.save(pairs, "closing-pairs"), sets), "closing")
-        ws.drop("index", "sets")
+        ws.drop("index", "sets", "outside-1", "outside-2", "centres-1", "centres-2")
         return found.unionByName(closing)
 
     def _meetings(self, some: DataFrame, every: DataFrame, classes: DataFrame) -> DataFrame:
         """Pairs (u, v) of differently labelled classes of ``some`` and ``every`` that
         share an index row and may link; the filters work inside the join."""
-        columns = ["hash", "kind", "n", "long", "k", "sketch", "label"]
+        columns = ["hash", "kind", "n", "most", "level", "k", "sketch", "label"]
         attributes = classes.select("k", "sketch", "label")
         a = some.join(attributes, "k").select(*[F.col(c).alias(f"a{c}") for c in columns])
         b = every.join(attributes, "k").select(*[F.col(c).alias(f"b{c}") for c in columns])
-        # a pair of two long prefixes meets in long rows only
+        # a pair meets at the lower level of the two
         meet = ((F.col("ahash") == F.col("bhash")) & (F.col("akind") == F.col("bkind"))
-                & (F.col("alabel") != F.col("blabel"))
-                & ((F.col("akind") == LONG) | ~(F.col("along") & F.col("blong"))))
+                & (F.col("alabel") != F.col("blabel")) & (F.col("akind") == F.least("alevel", "blevel"))
+                & (F.col("an") <= F.col("bmost")) & (F.col("bn") <= F.col("amost")))
         return (a.join(b.hint("merge"), meet & self._may_link("a", "b"))
                 .select(F.least("ak", "bk").alias("u"), F.greatest("ak", "bk").alias("v")).distinct())
 
@@ -269,9 +315,9 @@ class JaccardJoin:
         own = members.join(classes.select("k", "k2", "first_id"), ["k", "k2"], "left")
         return named, own.select("doc_id", F.when(F.col("n") > 0, F.col("first_id")).otherwise(F.col("doc_id")).alias("class_id"))
 
-    def _outside(self, index: DataFrame, label: DataFrame) -> DataFrame:
+    def _outside(self, index: DataFrame, centres: DataFrame, label: DataFrame) -> DataFrame:
         """Index rows whose class is not of the component of its bucket's centre."""
-        centres = self._centres(index).join(label.select(F.col("node").alias("centre"), F.col("component").alias("c1")), "centre", "left")
+        centres = centres.join(label.select(F.col("node").alias("centre"), F.col("component").alias("c1")), "centre", "left")
         rows = index.join(label.select(F.col("node").alias("k"), F.col("component").alias("c2")), "k", "left")
         return rows.join(centres, ["hash", "kind"]).where(
             F.coalesce("c1", "centre") != F.coalesce("c2", "k")).select(*index.columns)
