@@ -175,7 +175,7 @@ class JaccardJoin:
         chosen = rows.withColumn("rank", rank).where(F.col("rank") >= need)
         stopping = chosen.where("NOT on")
         if level != WHOLE:
-            met = rows.where("NOT on").select("hash").distinct()
+            met = self.ws.save(rows.where("NOT on").select("hash").distinct(), f"met-{level}")  # written: see _matched
             mixed = rows.where("on").join(met, "hash", "left_semi").groupBy("k", "n").agg(F.count("*").alias("m")).where(F.col("m") >= need)
             stopping = stopping.unionByName(chosen.where("on").join(self.ws.save(mixed.select("k"), f"mixed-{level}"), "k", "left_semi"))
         # the largest partner that the matched hashes of a whole set allow
@@ -211,7 +211,7 @@ class JaccardJoin:
         alive = ws.save(named.select("k", F.coalesce("level", F.lit(WHOLE)).alias("level"), F.coalesce("score", F.lit(0.0)).alias("score")).join(
             classes.select("k", "n", "first_id", "sketch"), "k"), "alive")
         index = ws.save(index.join(maybe_broadcast(alive.select("k", "level", "score"), alive.count(), 40), "k"), "index")
-        ws.drop(*[f"{t}-{level}" for t in ("rows", "kept", "mixed", "index") for level in (SHORT, LONG, WHOLE)], "last", "fitting", "levels")
+        ws.drop(*[f"{t}-{level}" for t in ("rows", "kept", "mixed", "met", "index") for level in (SHORT, LONG, WHOLE)], "last", "fitting", "levels")
         return alive, index, whole
 
     def _may_link(self, a: str, b: str) -> Column:
