@@ -1,9 +1,11 @@
+import pytest
+import math
 import random
 import zlib
 
 import numpy as np
 
-from llm_frames import make_docs
+from llm_frames import make_docs, prose
 from tipscope.llm import langid as L
 
 STEMS = {"en": "the of and ing tion ly was that with er".split(), "de": "der die und ung heit lich sch eine zu über".split(),
@@ -100,3 +102,53 @@ def test_repeated_ids_teach(spark):
         assert L.train(docs, sample).languages == ["de", "en", "es", "vi"]
     least = L._taught(docs.select("lang", "text").where("lang = 'es'").selectExpr("*", "xxhash64(text) AS key"), 8)
     assert len({m[1] for m in least}) == len(least) == 8
+
+
+def test_values_against_a_plain_kernel_ridge():
+    """The folded weights give what the kernel, the Nystroem map and a weighted ridge give when written out."""
+    rng = random.Random(12)
+    texts = [prose(rng, rng.randrange(5, 60)) for _ in range(30)] + [" ".join(rng.choice(["der", "und", "haus", "weg"]) for _ in range(30)) for _ in range(20)]
+    languages = ["en"] * 30 + ["de"] * 20
+    presence = L.Presence()
+    rows = np.array([presence.row(t) for t in texts])
+    model = L.KernelRidge(np.packbits(rows, axis=1), languages)
+
+    sets = [set(np.flatnonzero(r).tolist()) for r in rows]
+    kernel = lambda a, b: len(a & b) / math.sqrt(len(a) * len(b))
+    marks = [i for name in ("de", "en") for i in [j for j, x in enumerate(languages) if x == name][:L.LANDMARKS // 2]]
+    values, vectors = np.linalg.eigh(np.array([[kernel(sets[a], sets[b]) for b in marks] for a in marks]))
+    good = values > 1e-6 * values.max()
+    root = vectors[:, good] / np.sqrt(values[good])
+    mapped = lambda s: np.array([kernel(s, sets[m]) for m in marks]) @ root
+    z = np.column_stack([np.array([mapped(s) for s in sets]), np.ones(len(sets))])
+    weight = np.array([1 / languages.count(x) for x in languages])
+    weight *= len(languages) / weight.sum()
+    penalty = L.RIDGE * len(languages) * np.eye(z.shape[1])
+    penalty[-1, -1] = 0  # the intercept is free
+    for k, name in enumerate(("de", "en")):
+        y = np.where(np.array(languages) == name, 1.0, -1.0)
+        beta = np.linalg.solve(z.T @ (weight[:, None] * z) + penalty, z.T @ (weight * y))
+        for text in texts[::7] + [prose(rng, 40), "und der weg", "x"]:
+            row = presence.row(text)
+            want = np.append(mapped(set(np.flatnonzero(row).tolist())), 1.0) @ beta
+            assert model.values(row[None])[0, k] == pytest.approx(want, abs=1e-4)
+
+
+def test_blocks_of_texts_score_like_single_ones():
+    rng = random.Random(3)
+    texts = [None, "", "12 34", *(prose(rng, rng.randrange(1, 50)) for _ in range(70)), prose(rng, 30_000), "der und haus"]
+    presence = L.Presence()
+    rows = np.array([presence.row(t) for t in texts[3:40]])
+    model = L.KernelRidge(np.packbits(rows, axis=1), ["a", "b"] * 18 + ["a"])
+    together = model.predict_all(map(presence.stretches, texts))
+    for text, (said, score) in zip(texts, together):
+        one, alone = model.predict(presence.stretches(text))
+        assert (one, pytest.approx(alone, abs=1e-5)) == (said, score)
+    assert [t[0] for t in together[:3]] == ["und"] * 3
+
+
+def test_thousands_of_labels_keep_the_bounds(spark):
+    rows = [(i, f"text of label number {i % 5000} {'abc'[i % 3]}", f"l{i % 5000:04d}" if i < 10_000 else "often", "s", 1) for i in range(10_300)]
+    model = L.train(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    assert len(model.languages) == L.SAMPLE // L.LEAST and "often" in model.languages
+    assert model.weights.nbytes <= 160 << 20

@@ -12,10 +12,13 @@ Presence says nothing once nearly every n-gram occurs, so a text longer than
 ``STRETCH`` is scored by equal stretches, all of them, and its values are their
 mean by length: however long, and whatever data it holds, no bits fill up.
 
-Training takes a bounded sample: at most ``SAMPLE`` rows over all languages
-(but ``LEAST`` of each), evenly by language, those of smallest hash of id and text, and of
-a longer text one stretch by the same hash.  Only their presence bits (32 KB each) reach the driver; every text of the table is
-scored whole.  A worker holds 1 MB of weights a language.
+Training takes a bounded sample: at most ``SAMPLE`` rows over all languages,
+evenly by language, those of smallest hash of id and text, and of a longer text
+one stretch by the same hash.  Of more than ``SAMPLE / LEAST`` (150) languages
+those with most rows are learned and the others never predicted.  Only presence
+bits (32 KB a row) reach the driver; every text of the table is scored whole, a
+block of stretches in one matrix product.  A worker holds 1 MB of weights a
+language.
 
 Edge cases: a NULL text or one without a letter is ``und`` with score 0; rows
 with a NULL language, or with a NULL id, teach nothing; rows alike in id and
@@ -43,6 +46,7 @@ SAMPLE, LEAST = 1200, 8
 LANDMARKS = 192
 RIDGE = 1e-2
 UNKNOWN = "und"
+SCORED = 32  # presence rows scored by one matrix product
 _BLOCK = 1 << 10  # bytes of packed presence rows per matrix product
 _SEGMENT = 1 << 18  # characters hashed at once; bounds the work arrays, not the text
 
@@ -148,23 +152,47 @@ class KernelRidge:
         for at, block in _blocks(rows[chosen]):
             self.weights[at] = block.T @ coefficients
 
-    def value(self, seen: np.ndarray) -> np.ndarray:
-        """Value of each language for one presence row."""
-        bits = np.flatnonzero(seen)
-        return self.weights[bits].sum(axis=0, dtype=float) / np.sqrt(max(len(bits), 1)) + self.intercept
+    def values(self, rows: np.ndarray) -> np.ndarray:
+        """Value of each language for each presence row of a block: one matrix product
+        over the bits that the block holds."""
+        used = np.flatnonzero(rows.any(axis=0))
+        block = rows[:, used].astype(np.float32)
+        size = np.maximum(block.sum(axis=1, dtype=float), 1.0)
+        return (block @ self.weights[used]).astype(float) / np.sqrt(size)[:, None] + self.intercept
+
+    def predict_all(self, texts: Iterable[Iterable[tuple[int, np.ndarray]]]) -> list[tuple[str, float]]:
+        """For each text (its stretches: length and presence) the best language and its
+        share of a softmax over all; a text without stretches is unknown."""
+        totals: list[np.ndarray] = []
+        lengths: list[int] = []
+        held: list[tuple[int, int, np.ndarray]] = []
+
+        def flush() -> None:
+            if held:
+                for (text, n, _), value in zip(held, self.values(np.stack([h[2] for h in held]))):
+                    totals[text] += n * value
+                held.clear()
+
+        for stretches in texts:
+            totals.append(np.zeros(len(self.languages)))
+            lengths.append(0)
+            for n, seen in stretches:
+                lengths[-1] += n
+                held.append((len(totals) - 1, n, seen))
+                if len(held) == SCORED:
+                    flush()
+        flush()
+        out = []
+        for total, length in zip(totals, lengths):
+            value = total / max(length, 1)
+            odds = np.exp(4.0 * (value - value.max()))
+            best = int(value.argmax())
+            out.append((self.languages[best], float(odds[best] / odds.sum())) if length else (UNKNOWN, 0.0))
+        return out
 
     def predict(self, stretches: Iterable[tuple[int, np.ndarray]]) -> tuple[str, float]:
-        """The best language and its share of a softmax over all; of no stretch it is unknown."""
-        total, length = np.zeros(len(self.languages)), 0
-        for n, seen in stretches:
-            total += n * self.value(seen)
-            length += n
-        if not length:
-            return UNKNOWN, 0.0
-        value = total / length
-        odds = np.exp(4.0 * (value - value.max()))
-        best = int(value.argmax())
-        return self.languages[best], float(odds[best] / odds.sum())
+        """:meth:`predict_all` of one text."""
+        return self.predict_all([stretches])[0]
 
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,6 +227,11 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> KernelRidge | None:
     if not languages:
         sizes.unpersist()
         return None
+    most = max(sample, SAMPLE) // LEAST
+    if languages > most:  # the languages with most rows; the bounds hold for any number of labels
+        every, sizes = sizes, sizes.orderBy(F.desc("n"), "lang").limit(most).cache()
+        languages = sizes.count()
+        every.unpersist()
     each = max(LEAST, sample // languages)
     # first a share of each language by its hash, four times what is wanted, then the exact number
     share = F.least(F.lit(1.0), F.lit(4.0 * each) / F.col("n"))
@@ -221,7 +254,7 @@ def _classify(model: KernelRidge | None):
         presence = Presence()
         for batch in batches:
             texts = batch["text"].to_pylist()
-            found = [model.predict(presence.stretches(t)) if model is not None else (UNKNOWN, 0.0) for t in texts]
+            found = model.predict_all(map(presence.stretches, texts)) if model is not None else [(UNKNOWN, 0.0)] * len(texts)
             said, score = [f[0] for f in found], [f[1] for f in found]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["held_out"], pa.array(said, pa.string()), pa.array(score, pa.float64())],
                                              ["doc_id", "held_out", "lang_pred", "score"])
