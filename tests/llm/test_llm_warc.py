@@ -78,3 +78,33 @@ def test_repeated_null_ids_and_empty(spark):
                    ("None", "response", None), ("None", "revisit", 1)]
     folder, _ = warc.write_archives(df.limit(0))
     assert warc.read_archives(spark, folder).count() == 0
+
+
+def test_files_of_other_attempts_are_not_read(spark):
+    """One task runs twice in different row order, and one attempt stops midway: every record is read once."""
+    rows, df = pages(spark)
+    folder, manifest = warc.write_archives(df, max_file_bytes=3000)
+    # further attempts of the same tasks, whose manifest is never committed
+    again = df.selectExpr("page_id", "url", "html", "cast(null as long) as refers_to").orderBy("url", ascending=False).coalesce(6)
+    again.mapInArrow(warc._write(folder, "2026-01-01T00:00:00Z", 3000), "uri string, records long, bytes long").collect()
+    base = folder.removeprefix("file://")
+    torn = manifest.first()["uri"].removeprefix("file://")
+    with open(torn, "rb") as f, open(f"{base}/part-000000-0000-torn.warc.gz", "wb") as out:
+        out.write(f.read()[:50])
+    got = warc.read_archives(spark, folder).collect()
+    assert sorted(r.page_id for r in got) == sorted(r[0] for r in rows)
+    assert {r.page_id: (r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got} == expected(rows, 0)
+
+
+def test_plain_files_and_a_large_payload(tmp_path, spark):
+    big = bytes(range(256)) * 40_000
+    records = [warc.record(1, "http://a/", b"<p>1\r\n\r\n2", None, "2026-01-01T00:00:00Z"), warc.record(2, "http://b/", big, None, "2026-01-01T00:00:00Z"),
+               warc.record(3, "http://c/", b"<p>1", 1, "2026-01-01T00:00:00Z"), warc.record(4, "http://d/", b"", None, "2026-01-01T00:00:00Z")]
+    (tmp_path / "plain.warc").write_bytes(b"".join(records))
+    (tmp_path / "packed.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    got = warc.read_archives(spark, f"file://{tmp_path}").collect()
+    for page_id, body in ((1, b"<p>1\r\n\r\n2"), (2, big), (4, b"")):
+        assert [bytes(r.payload) == body and r.payload_ok for r in got if r.page_id == page_id] == [True, True]
+    assert [(r.record_type, r.refers_to, r.payload) for r in got if r.page_id == 3] == [("revisit", 1, None)] * 2
+    found = warc.read_archives(spark, f"file://{tmp_path}", payload="skip").where("record_type = 'revisit'").collect()
+    assert [r.page_id for r in found] == [3, 3]

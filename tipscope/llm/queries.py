@@ -31,7 +31,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, _ = warc.write_archives(table(configure(spark), sf_dir, "pages"), min_revisit_bytes=0)
-    records = warc.read_archives(spark, folder, payload="check")
+    records = warc.read_archives(spark, folder, payload="check").where("record_type IN ('response', 'revisit')")  # pushed to the reader
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload_ok")
 
 

@@ -4,15 +4,17 @@ Writing: pages of equal payload are found by SHA-256 in a narrow grouped
 minimum; the page of the smallest id becomes a ``response`` record, the others
 ``revisit`` records without the payload.  Each task writes its rows to files
 of its own, one gzip member per record with the member's length in the gzip
-header (the ``sl`` skip-length field), under a temporary name that is moved to
-the final one when the file is whole, so a repeated attempt replaces it.
+header (the ``sl`` skip-length field).  File names are those of one attempt;
+the manifest that Spark commits says which attempts count, and its files are
+listed in the folder (``_files``), which is what readers go by.
 
 Reading (``spark.read.format("warc")``): one partition per file; comparisons
 on record type and header columns are pushed down; per record only the first
 bytes are inflated to parse the headers, and a record that the predicates
 reject, or whose payload is not asked for, is skipped by its length without
-inflating the rest.  Files of other writers, without that field, are read
-member by member.
+inflating the rest.  A folder of another writer (without the list) is read
+whole: compressed files without that field member by member, plain ``.warc``
+files record by record.
 
 Edge cases: a NULL html is an empty payload; pages that share id and payload
 are alike responses or revisits; a NULL id is a revisit if an equal payload
@@ -58,6 +60,7 @@ from tipscope.llm.tables import Workspace, maybe_broadcast
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAX_FILE_BYTES = 256 << 20
+FILES = "_files"
 _HEAD = 4096  # bytes inflated at a time while headers are parsed
 SCHEMA = ("record_type string, page_id long, url string, record_id string, date string, refers_to long, "
           "payload_digest string, payload_bytes long, payload_ok boolean, payload binary")
@@ -108,20 +111,20 @@ def _write(folder: str, date: str, max_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        task = TaskContext.get()
+        task, attempt = TaskContext.get(), uuid.uuid4().hex
         rows = ((p, u, h, r) for b in batches for p, u, h, r in zip(*(b[c].to_pylist() for c in ("page_id", "url", "html", "refers_to"))))
         row, number = next(rows, None), 0
         while row is not None:
-            uri = f"{folder}/part-{task.partitionId():06d}-{number:04d}.warc.gz"
+            # a name of this attempt alone: files of lost or repeated attempts are in no manifest
+            uri = f"{folder}/part-{task.partitionId():06d}-{number:04d}-{attempt}.warc.gz"
             store, path = open_store(uri)
-            draft, size, n = f"{path}.{task.taskAttemptId()}.open", 0, 0
-            with store.open_output_stream(draft, compression=None) as out:
+            size, n = 0, 0
+            with store.open_output_stream(path, compression=None) as out:
                 while row is not None and size < max_bytes:
                     page_id, url, html, refers_to = row
                     member = gzip_member(record(page_id, url, (html or "").encode("utf-8", "surrogatepass"), refers_to, date))
                     out.write(member)
                     size, n, row = size + len(member), n + 1, next(rows, None)
-            store.move(draft, path)
             number += 1
             yield pa.RecordBatch.from_pylist([{"uri": uri, "records": n, "bytes": size}],
                                              schema=pa.schema([("uri", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())]))
@@ -141,6 +144,7 @@ def write_archives(pages: DataFrame, min_revisit_bytes: int = 0, date: str | Non
     signed = rows.withColumn("sha", F.unhex(F.sha2(payload, 256))).withColumn("n", F.octet_length(payload))
     narrow = ws.save(signed.where(F.col("n") >= min_revisit_bytes).select("page_id", "sha"), "signed")
     first = narrow.groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    first = ws.save(first, "first")  # written, so that the join can split a payload of very many pages
     revisits = ws.save(narrow.join(first, "sha").where(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))).select(
         F.col("page_id").alias("revisit_id"), F.col("sha").alias("revisit_sha"), F.col("first").alias("refers_to")).distinct(), "revisits")
     side = maybe_broadcast(revisits, revisits.count(), 64)
@@ -148,7 +152,11 @@ def write_archives(pages: DataFrame, min_revisit_bytes: int = 0, date: str | Non
     folder = new_folder(spark, "warc-files")
     manifest = ws.save(joined.select("page_id", "url", "html", "refers_to").mapInArrow(
         _write(folder, date, max_file_bytes), "uri string, records long, bytes long"), "manifest")
-    ws.drop("signed")
+    ws.drop("signed", "first")
+    store, path = open_store(f"{folder}/{FILES}")
+    with store.open_output_stream(path, compression=None) as out:  # names the files of the committed manifest
+        for row in manifest.select("uri").orderBy("uri").toLocalIterator():
+            out.write(f"{row['uri'].rsplit('/', 1)[1]}\n".encode())
     return folder, manifest
 
 
@@ -201,10 +209,14 @@ class Member:
                     at += 1
                 at += 1
         self.at = at + (2 if flags & 2 else 0)
-        self.inflate, self.data = zlib.decompressobj(-15), b""
+        self.inflate, self.data = zlib.decompressobj(-15), bytearray()
         self.pending = b""
 
-    def read(self, upto: int | None) -> bytes:
+    @property
+    def eof(self) -> bool:
+        return self.inflate.eof
+
+    def read(self, upto: int | None) -> bytearray:
         """The member's first ``upto`` bytes, or all of them."""
         while not self.inflate.eof and (upto is None or len(self.data) < upto):
             if not self.pending:
@@ -213,16 +225,37 @@ class Member:
                 if not self.pending:
                     raise ValueError(f"the record at byte {self.offset} is cut short")
             self.data += self.inflate.decompress(self.pending, 0 if upto is None else max(1, upto - len(self.data)))
-            self.pending = self.inflate.unconsumed_tail
+            self.pending = b"" if self.inflate.eof else self.inflate.unconsumed_tail
         return self.data
 
-    def next_offset(self) -> int:
+    def next_offset(self, record_length: int) -> int:
         if self.length is not None:
             return self.offset + self.length
         self.read(None)
         return self.at - len(self.inflate.unused_data) - len(self.pending) + 8
 
 
+class PlainRecord:
+    """A record of a file that is not compressed: read only as far as it is asked to."""
+
+    def __init__(self, source: _Source, offset: int) -> None:
+        self.source, self.offset, self.data = source, offset, bytearray()
+
+    @property
+    def eof(self) -> bool:
+        return self.offset + len(self.data) >= self.source.size
+
+    def read(self, upto: int) -> bytearray:
+        """The first ``upto`` bytes from the record's start, or what the file has."""
+        while len(self.data) < upto and not self.eof:
+            at = self.offset + len(self.data)
+            self.data += self.source.at(at, min(upto - len(self.data), 1 << 16, self.source.size - at))
+        return self.data
+
+    def next_offset(self, record_length: int) -> int:
+        return self.offset + record_length
+
+
 def _fields(lines: list[bytes]) -> dict[str, str]:
     pairs = (line.decode("utf-8", "surrogatepass").partition(":") for line in lines)
     return {k.strip().lower(): v.strip() for k, _, v in pairs}
@@ -266,8 +299,11 @@ class WarcReader(DataSourceReader):
         from pyarrow import fs
 
         store, path = open_store(self.folder)
-        found = store.get_file_info(fs.FileSelector(path, recursive=False, allow_not_found=True))
         prefix = self.folder.rstrip("/")
+        if store.get_file_info(f"{path.rstrip('/')}/{FILES}").is_file:  # written here: the committed files only
+            with store.open_input_stream(f"{path.rstrip('/')}/{FILES}", compression=None) as listed:
+                return [FilePartition(f"{prefix}/{n}") for n in listed.read().decode().split()] or [FilePartition("")]
+        found = store.get_file_info(fs.FileSelector(path, recursive=False, allow_not_found=True))
         names = sorted(f.base_name for f in found if f.is_file and f.base_name.endswith((".warc.gz", ".warc")))
         return [FilePartition(f"{prefix}/{n}") for n in names] or [FilePartition("")]
 
@@ -282,29 +318,31 @@ class WarcReader(DataSourceReader):
         with store.open_input_file(path) as file:
             source, offset = _Source(file), 0
             while offset < source.size:
-                member = Member(source, offset)
-                row = self._record(member)
+                member = (Member if source.at(offset, 2) == b"\x1f\x8b" else PlainRecord)(source, offset)
+                row, length = self._record(member)
                 if row is not None:
                     yield row
-                offset = member.next_offset()
+                offset = member.next_offset(length)
 
-    def _record(self, member: Member) -> tuple | None:
+    def _record(self, member: Member | PlainRecord) -> tuple[tuple | None, int]:
+        """The record's row, None if it is not wanted, and the bytes of the record."""
         head, upto = member.read(_HEAD), _HEAD
-        while (end := head.find(b"\r\n\r\n")) < 0 and not member.inflate.eof:
+        while (end := head.find(b"\r\n\r\n")) < 0 and not member.eof:
             upto *= 2
             head = member.read(upto)
         lines = head[:end].split(b"\r\n")
         if not lines[0].startswith(b"WARC/"):
             raise ValueError(f"no WARC record at byte {member.offset}")
         f = _fields(lines[1:])
-        block = end + 4
+        block, length = end + 4, int(f["content-length"])
+        whole = block + length + 4
         http, http_end = {}, block
         if f.get("content-type", "").startswith("application/http"):
-            while (found := head.find(b"\r\n\r\n", block)) < 0 and not member.inflate.eof:
+            while (found := head.find(b"\r\n\r\n", block)) < 0 and not member.eof and len(head) < block + length:
                 upto *= 2
                 head = member.read(upto)
-            http, http_end = _fields(head[block:found].split(b"\r\n")[1:]), found + 4
-        length = int(f["content-length"])
+            if 0 <= found < block + length:  # else there are no headers, or the block is all headers
+                http, http_end = _fields(head[block:found].split(b"\r\n")[1:]), found + 4
         kind = f.get("warc-type")
         stored = block + length - http_end
         row = {"record_type": kind, "page_id": _number(f.get("x-page-id")), "url": f.get("warc-target-uri"),
@@ -312,12 +350,14 @@ class WarcReader(DataSourceReader):
                "payload_digest": (f.get("warc-payload-digest") or "").removeprefix("sha1:") or None,
                "payload_bytes": _number(http.get("content-length")) if kind == "revisit" else stored}
         if not self._wanted(row):
-            return None
+            return None, whole
         ok, payload = None, None
         if self.payload != "skip" and kind != "revisit":
-            payload = member.read(None)[http_end:block + length]
+            payload = bytes(member.read(block + length)[http_end:block + length])
+            if len(payload) < stored:
+                raise ValueError(f"the record at byte {member.offset} is cut short")
             ok = row["payload_digest"] is None or digest_of(payload) == row["payload_digest"]
-        return (*(row[c] for c in _COLUMNS), ok, payload if self.payload == "keep" else None)
+        return (*(row[c] for c in _COLUMNS), ok, payload if self.payload == "keep" else None), whole
 
 
 class WarcSource(DataSource):
