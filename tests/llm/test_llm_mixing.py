@@ -116,3 +116,23 @@ def test_token_column_is_the_measure(spark):
     assert {r.source: r.tokens for r in M.Mix(docs).plan.collect()} == {"ja": 8, "en": 41}
     mix = M.Mix(docs, max_repetition=2.0, tokens="n")
     assert {r.n_tokens for r in mix.stream().collect()} == {50, 5, 0} and mix.mixed().columns == docs.columns
+
+
+@pytest.mark.parametrize("kind", ["repetition", "budget", "entropy"])
+def test_a_million_sources(spark, kind):
+    """The exponent comes from sums, whatever the number of sources."""
+    n = 1_000_000 if kind == "repetition" else 200_000
+    sources = spark.range(n).selectExpr("id AS source", "1 + id % 1000 AS tokens")
+    total = sum(1 + i % 1000 for i in range(n))
+    budget, limit, entropy = {"repetition": (None, 1.5, None), "budget": (float(total), 3.0, None), "entropy": (None, None, 0.99)}[kind]
+    x = M.solve_exponent(sources, budget, limit, entropy)
+    sizes = [float(1 + i) for i in range(1000)]
+    powers = [(s / 1000.0) ** x for s in sizes]
+    norm = sum(powers) * (n // 1000)
+    if kind == "repetition":
+        assert 1000.0 ** (1 - x) == pytest.approx(1.5, abs=1e-6)
+    elif kind == "budget":
+        assert max(p / norm / s for p, s in zip(powers, sizes)) * budget == pytest.approx(3.0, abs=1e-5)
+    else:
+        held = -sum(p / norm * math.log(p / norm) for p in powers) * (n // 1000) / math.log(n)
+        assert held == pytest.approx(0.99, abs=1e-6)

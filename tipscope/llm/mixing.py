@@ -1,9 +1,10 @@
 """Mixing sources to target weights, in DataFrame functions only.
 
 Temperature mixing: a source with token share ``p`` gets weight ``p ** x``,
-normalised.  The exponent ``x`` in [0, 1] is found by bisection inside one
-expression over the array of source sizes: the flattest mix (smallest ``x``)
-whose largest repetition keeps a limit, or the mix that meets a target entropy.
+normalised.  The exponent ``x`` in [0, 1] is found by bisection over sums of all
+sources: the flattest mix (smallest ``x``) whose largest repetition keeps a
+limit, or the mix that meets a target entropy.  However many sources there are,
+only a few sums reach the driver.
 Tokens are words between ASCII white space, or what a column of counts says.
 A source of T tokens then has a budget of ``weight * total`` tokens, realised
 as whole passes over its documents (epochs) and one partial pass.
@@ -33,7 +34,8 @@ from tipscope.llm.tables import Workspace, let, maybe_broadcast
 
 #: No source is repeated more often than this.
 MAX_REPETITION = 1.5
-BISECTIONS = 60
+#: Halvings of the exponent's range, and how many of them one aggregate decides.
+BISECTIONS, SPLITS = 60, 5
 _HASH_DIGITS = 13  # hex digits of md5 read as a number below 2 ** 52
 
 
@@ -46,46 +48,61 @@ def _identity(doc_id: Column, text: Column) -> Column:
     return F.md5(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), F.md5(F.coalesce(text, F.lit("")))))
 
 
-def _shares(sizes: Column, exponent: Column) -> Column:
-    """Weights of the (positive) sizes at an exponent."""
-    def normal(powers: Column) -> Column:
-        total = F.aggregate(powers, F.lit(0.0), lambda a, p: a + p)
-        return F.transform(powers, lambda p: p / total)
+def _in_two(smallest: Column, largest: Column, max_repetition: float) -> Column:
+    """Bisect the exponent for a repetition limit without a budget, in one expression.
 
-    largest = F.array_max(sizes)
-    return let(F.transform(sizes, lambda s: F.pow(s / largest, exponent)), normal)
-
-
-def _entropy(weights: Column) -> Column:
-    return -F.aggregate(weights, F.lit(0.0), lambda a, w: a + w * F.ln(w))
-
-
-def _repetition(sizes: Column, weights: Column, budget: float | None) -> Column:
-    """Largest number of passes over any source; without a budget the total is
-    the least with which every source is passed at least once."""
-    passes = F.zip_with(weights, sizes, lambda w, s: w / s)
-    if budget is not None:
-        return F.array_max(passes) * F.lit(float(budget))
-    return F.array_max(passes) / F.array_min(passes)
-
-
-def solve_exponent(sizes: Column, budget: float | None, max_repetition: float | None, entropy: float | None) -> Column:
-    """Bisect the exponent over the sorted array of source sizes (doubles)."""
-    def flat_enough(exponent: Column) -> Column:
-        def test(weights: Column) -> Column:
-            if entropy is not None:  # share of the greatest possible entropy
-                return _entropy(weights) <= F.lit(float(entropy)) * F.ln(F.size(sizes).cast("double"))
-            return _repetition(sizes, weights, budget) <= F.lit(float(max_repetition))
-
-        return let(_shares(sizes, exponent), test)
+    A source of size s is passed in proportion to s ** (x - 1), so the smallest
+    and the largest source decide: their passes may differ by the limit."""
+    def fine(exponent: Column) -> Column:
+        return F.pow(largest / smallest, F.lit(1.0) - exponent) <= F.lit(float(max_repetition))
 
     def step(bounds: Column, _: Column) -> Column:
-        return let((bounds["low"] + bounds["high"]) / 2, lambda mid: let(flat_enough(mid), lambda ok: F.struct(
+        return let((bounds["low"] + bounds["high"]) / 2, lambda mid: let(fine(mid), lambda ok: F.struct(
             F.when(ok, bounds["low"]).otherwise(mid).alias("low"), F.when(ok, mid).otherwise(bounds["high"]).alias("high"))))
 
     found = F.aggregate(F.sequence(F.lit(1), F.lit(BISECTIONS)), F.struct(F.lit(0.0).alias("low"), F.lit(1.0).alias("high")),
                         step, lambda bounds: bounds["high"])
-    return F.round(F.when(flat_enough(F.lit(0.0)), F.lit(0.0)).otherwise(found), 9)
+    return F.when(fine(F.lit(0.0)), F.lit(0.0)).otherwise(found)
+
+
+def _fine_at(sources: DataFrame, exponents: list[float], smallest: float, largest: float, n: int, budget: float | None,
+             max_repetition: float | None, entropy: float | None) -> list[bool]:
+    """Whether each exponent meets the target, from sums over all sources in one aggregate."""
+    share = F.col("tokens") / F.lit(largest)
+    powers = [F.pow(share, F.lit(x)) for x in exponents]
+    sums = sources.agg(*[F.sum(p) for p in powers], *[F.sum(p * F.ln(share) * F.lit(x)) for p, x in zip(powers, exponents)]).first()
+    out = []
+    for k, x in enumerate(exponents):
+        norm, logs = sums[k], sums[len(exponents) + k]
+        if entropy is not None:  # -sum w ln w of w = p / norm, as a share of the greatest possible
+            out.append(math.log(norm) - logs / norm <= entropy * math.log(n))
+        else:
+            out.append((smallest / largest) ** x / norm / smallest * budget <= max_repetition)
+    return out
+
+
+def solve_exponent(sources: DataFrame, budget: float | None, max_repetition: float | None, entropy: float | None) -> float | None:
+    """The exponent for the sources of positive ``tokens``; None without any.
+
+    Only sums, the smallest and the largest size are taken, never a list of
+    sources.  With a budget or an entropy target the bisection goes SPLITS
+    halvings at a time: one aggregate judges all exponents between."""
+    sources = sources.where("tokens > 0").select(F.col("tokens").cast("double").alias("tokens"))
+    smallest, largest, n = sources.agg(F.min("tokens"), F.max("tokens"), F.count("*")).first()
+    if not n:
+        return None
+    if budget is None and entropy is None:
+        one = sources.sparkSession.range(1).select(_in_two(F.lit(smallest), F.lit(largest), max_repetition).alias("x"))
+        return round(one.first()["x"], 9)
+    if _fine_at(sources, [0.0], smallest, largest, n, budget, max_repetition, entropy)[0]:
+        return 0.0
+    low, high = 0.0, 1.0
+    for _ in range(BISECTIONS // SPLITS):
+        between = [low + (high - low) * k / (1 << SPLITS) for k in range(1, 1 << SPLITS)]
+        fine = [*_fine_at(sources, between, smallest, largest, n, budget, max_repetition, entropy), True]
+        first = fine.index(True)
+        low, high = (low, *between)[first], (*between, high)[first]
+    return round(high, 9)
 
 
 class Mix:
@@ -120,15 +137,12 @@ class Mix:
 
     def _plan(self) -> DataFrame:
         by_source = self.ws.save(self.rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_docs")), "sources")
-        sizes = F.array_sort(F.collect_list(F.when(F.col("tokens") > 0, F.col("tokens").cast("double"))))
-        solved = by_source.agg(sizes.alias("sizes")).select("sizes", F.when(F.size("sizes") > 0, solve_exponent(
-            F.col("sizes"), self.budget, self.max_repetition, self.entropy)).alias("x"))
-        power = lambda s: F.pow(s / F.array_max("sizes"), F.col("x"))
-        found = solved.select(
-            "x", F.array_max("sizes").alias("largest"),
-            F.aggregate(F.transform("sizes", power), F.lit(0.0), lambda a, p: a + p).alias("norm"),
-            F.array_max(F.transform("sizes", lambda s: s / power(s))).alias("cover")).first()  # four numbers
-        x, largest, norm, cover = (F.lit(v if v is not None else 1.0) for v in found)
+        solved = solve_exponent(by_source, self.budget, self.max_repetition, self.entropy)
+        positive = by_source.where("tokens > 0").select(F.col("tokens").cast("double").alias("s"))
+        top = positive.agg(F.max("s")).first()[0] or 1.0
+        power = F.pow(F.col("s") / F.lit(top), F.lit(solved if solved is not None else 1.0))
+        norm, cover = (v if v is not None else 1.0 for v in positive.agg(F.sum(power), F.max(F.col("s") / power)).first())
+        x, largest, norm, cover = (F.lit(float(v)) for v in (solved if solved is not None else 1.0, top, norm, cover))
         tokens = F.col("tokens").cast("double")
         weight = F.when(F.col("tokens") > 0, F.pow(tokens / largest, x) / norm).otherwise(0.0)
         total = cover * norm if self.budget is None else F.lit(float(self.budget))
