@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Verdict, host and path prefix of the contract's rules (fixed values).
 HOST_RULES = (
@@ -34,6 +35,11 @@ HOST_RULES = (
 #: Globs over ``host/path`` for urls that no host rule fits: these are blocked.
 BLOCKED_GLOBS = ("*spam*", "*cheap-pills*", "*casino*/*", "*/login*", "*.exe", "*.zip")
 
+#: Bytes of a work array of the machine; more rules mean fewer urls at a time.
+STATE_BYTES = 32 << 20
+#: Rules that a task may hold: tables of about 0.4 GB.
+MOST_RULES = 200_000
+
 _URL = re.compile(r"://([^/?#]*)([^?#]*)")
 _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 _NOT_SLASH, _ANY = "not-slash", "any"
@@ -76,31 +82,42 @@ class ShiftAnd:
     """The packed machine of many patterns; ``match`` runs it over many strings."""
 
     def __init__(self, patterns: Sequence[Pattern]) -> None:
-        bits = sum(len(p.symbols) + 1 for p in patterns)
-        self.words = max(1, -(-bits // 64))
-        enter = np.zeros((256, self.words), dtype=np.uint64)
-        loop = np.zeros((256, self.words), dtype=np.uint64)
+        sizes = np.array([len(p.symbols) + 1 for p in patterns], np.int64)
+        begins = np.cumsum(sizes) - sizes
+        self.words = max(1, -(-int(sizes.sum()) // 64))
+        self.enter = np.zeros((256, self.words), dtype=np.uint64)
+        self.loop = np.zeros((256, self.words), dtype=np.uint64)
         self.start = np.zeros(self.words, dtype=np.uint64)
-        self.final: list[tuple[int, np.uint64]] = []
-        at = 0
-        for p in patterns:
-            word, bit = divmod(at, 64)
-            self.start[word] |= np.uint64(1 << bit)
-            for k, symbol in enumerate(p.symbols, 1):
-                word, bit = divmod(at + k, 64)
-                enter[slice(None) if symbol is None else symbol, word] |= np.uint64(1 << bit)
-            for k, kind in p.loops.items():
-                word, bit = divmod(at + k, 64)
-                loop[:, word] |= np.uint64(1 << bit)
-                if kind == _NOT_SLASH:
-                    loop[ord("/"), word] &= ~np.uint64(1 << bit)
-            at += len(p.symbols)
-            self.final.append((at // 64, np.uint64(1 << at % 64)))
-            at += 1
-        self.enter, self.loop = enter, loop
-
-    def match(self, strings: Sequence[bytes]) -> np.ndarray:
-        """Boolean matrix: string i fits pattern j."""
+        self._set(self.start, begins)
+        self.final = begins + sizes - 1
+        symbols = np.fromiter((-1 if x is None else x for p in patterns for x in p.symbols), np.int64)
+        places = np.repeat(begins + 1, sizes - 1) + np.arange(len(symbols)) - np.repeat(np.cumsum(sizes - 1) - (sizes - 1), sizes - 1)
+        given = symbols >= 0
+        np.bitwise_or.at(self.enter, (symbols[given], places[given] >> 6), self._bits(places[given]))
+        anything = np.zeros(self.words, dtype=np.uint64)
+        self._set(anything, places[~given])
+        self.enter |= anything
+        loops = {kind: np.zeros(self.words, dtype=np.uint64) for kind in (_ANY, _NOT_SLASH)}
+        for kind, bits in loops.items():
+            self._set(bits, np.fromiter((at + k for at, p in zip(begins.tolist(), patterns) for k, x in p.loops.items() if x == kind), np.int64))
+            self.loop |= bits
+        self.loop[ord("/")] &= ~loops[_NOT_SLASH] | loops[_ANY]
+
+    @staticmethod
+    def _bits(places: np.ndarray) -> np.ndarray:
+        return np.uint64(1) << (places & 63).astype(np.uint64)
+
+    def _set(self, row: np.ndarray, places: np.ndarray) -> None:
+        np.bitwise_or.at(row, places >> 6, self._bits(places))
+
+    def match(self, strings: Sequence[bytes]) -> Iterator[np.ndarray]:
+        """Boolean matrices, string i fits pattern j, of so many strings at a time
+        that the work arrays keep their bound, whatever the number of patterns."""
+        some = max(1, min(STATE_BYTES // (8 * self.words), STATE_BYTES // (8 * max(1, len(self.final)))))
+        for at in range(0, len(strings), some):
+            yield self._match(strings[at:at + some])
+
+    def _match(self, strings: Sequence[bytes]) -> np.ndarray:
         n = len(strings)
         length = np.fromiter(map(len, strings), np.int64, n)
         order = np.argsort(-length, kind="stable")  # the strings still running are a prefix
@@ -115,8 +132,7 @@ class ShiftAnd:
             moved[:, 1:] |= d[:, :-1] >> np.uint64(63)
             state[:live] = moved & self.enter[byte] | d & self.loop[byte]
         fits = np.empty((n, len(self.final)), dtype=bool)
-        for j, (word, bit) in enumerate(self.final):
-            fits[order, j] = state[:, word] & bit != 0
+        fits[order] = state[:, self.final >> 6] & self._bits(self.final) != 0
         return fits
 
 
@@ -133,18 +149,19 @@ def judge_urls(pages: DataFrame, host_rules: Sequence[tuple[str, str, str]] = HO
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = ShiftAnd([host_pattern(h, p) for _, h, p in ranked] + [glob_pattern(g) for g in globs])
+        names, said = [None, *(h + p for _, h, p in ranked)], [None, *(v for v, _, _ in ranked)]
         for batch in batches:
             parts = [split_url(u) for u in batch["url"].to_pylist()]
-            fits = machine.match([f".{h}{p}".encode("utf-8", "surrogatepass") for h, p in parts])
-            rule = np.full(len(parts), None, dtype=object)
-            glob = np.full(len(parts), None, dtype=object)
-            verdict = np.array(["allow" if h else "block" for h, _ in parts], dtype=object)
-            for j in range(len(globs) - 1, -1, -1):
-                hit = fits[:, len(ranked) + j]
-                glob[hit], verdict[hit] = globs[j], "block"
-            for j, (said, host, path) in enumerate(ranked):
-                hit = fits[:, j]
-                rule[hit], verdict[hit], glob[hit] = host + path, said, None
+            rule, verdict, glob = [], [], []
+            for fits in machine.match([f".{h}{p}".encode("utf-8", "surrogatepass") for h, p in parts]):
+                by_rule, by_glob = fits[:, :len(ranked)], fits[:, len(ranked):]
+                # the last fitting rule (0: none), the first fitting glob (-1: none)
+                last = np.where(by_rule.any(axis=1), len(ranked) - by_rule[:, ::-1].argmax(axis=1), 0) if ranked else np.zeros(len(fits), int)
+                first = np.where(by_glob.any(axis=1), by_glob.argmax(axis=1), -1) if globs else np.full(len(fits), -1)
+                for (host, _), r, g in zip(parts[len(rule):], last.tolist(), first.tolist()):
+                    rule.append(names[r])
+                    glob.append(globs[g] if g >= 0 and not r else None)
+                    verdict.append(said[r] if r else "block" if g >= 0 or not host else "allow")
             yield pa.RecordBatch.from_arrays(
                 [batch["page_id"].cast(pa.int64()), pa.array([h for h, _ in parts], pa.string()),
                  pa.array([p for _, p in parts], pa.string()), pa.array(rule, pa.string()),
@@ -154,6 +171,17 @@ def judge_urls(pages: DataFrame, host_rules: Sequence[tuple[str, str, str]] = HO
     return pages.select("page_id", "url").mapInArrow(judge, _SCHEMA)
 
 
+def host_rules_of(table: DataFrame, most: int = MOST_RULES) -> list[tuple[str, str, str]]:
+    """Host rules from a table (``verdict``, ``host``, ``path``), such as a published block
+    list; more than ``most`` distinct rules are an error, since every task holds them all."""
+    lowered = F.translate(F.col("host"), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rows = table.where("host IS NOT NULL AND verdict IN ('allow', 'block')").select(
+        "verdict", lowered.alias("host"), F.coalesce("path", F.lit("/")).alias("path")).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rules")
+    return sorted((r["verdict"], r["host"], r["path"]) for r in rows)
+
+
 def allowed_pages(pages: DataFrame, **options: object) -> DataFrame:
     """The judged rows that may be crawled."""
     return judge_urls(pages, **options).where("verdict = 'allow'")
