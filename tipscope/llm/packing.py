@@ -7,12 +7,12 @@ sequence takes documents one after another and cuts the one that does not fit,
 so neighbours on the curve share sequences and only the end of a range is not
 full.  That end is cut into sequences of a power of two, which need no padding.
 
-Documents of equal key (copies) are ordered by a hash, so a group of copies
-holding a third of all rows is dealt over many ranges.
+Documents of equal key (copies) are ordered by a hash and by row number, so a
+group of copies, or one row repeated over and over, is dealt over many ranges.
 
 Edge cases: NULL and empty texts are one end id; NULL and repeated ids are
 packed row by row; an empty table gives no sequences; extra columns are not
-read.
+read; bytes that are not UTF-8 count as replacement characters.
 """
 from __future__ import annotations
 
@@ -178,12 +178,14 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, end_id: int =
     the pieces of a ``sequence_id`` in order of ``offset`` are the sequence.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.make_valid_utf8(F.col("text").cast("string")).alias("text"))
     encoded = rows.mapInArrow(_tokenise(vocabulary or vocabulary_path(VOCABULARY), end_id), _TOKENS)
     ws = Workspace(spark, "packing")
     encoded.write.option("compression", "zstd").parquet(f"{ws.path}/tokens")
     tokens = spark.read.schema(encoded.schema).parquet(f"{ws.path}/tokens")
-    ordered = tokens.withColumn("tie", F.xxhash64("doc_id", "n")).repartitionByRange("curve", "tie").sortWithinPartitions("curve", "tie")
+    # the row number keeps a row that is repeated very often from being one range
+    numbered = tokens.withColumn("tie", F.xxhash64("doc_id", "n")).withColumn("row", F.monotonically_increasing_id())
+    ordered = numbered.repartitionByRange("curve", "tie", "row").sortWithinPartitions("curve", "tie", "row")
     return ordered.select("doc_id", "n", "ids").mapInArrow(_pack(length), _PIECES)
 
 

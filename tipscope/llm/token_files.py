@@ -7,13 +7,14 @@ the number n of documents, n + 1 offsets into the ids, n document ids, and n
 flags (1: the id is NULL).  Documents ascend by id over all parts; a part's
 base, the number of ids before it, is the prefix sum over the manifest.
 
-Rows are dealt by ranges of the id (rows of one id by a hash of the text, so
-one id with very many rows is still split), sorted inside the task and encoded
-as they stream into the file.
+Rows are dealt by ranges of the id (rows of one id by a hash of the text and
+the row number, so one id or row with very many copies is still split), sorted
+inside the task and encoded as they stream into the file.
 
 Edge cases: NULL and empty texts are one end id; NULL ids come first; rows
 that share an id stand in any order; an empty table gives an empty manifest;
-extra columns are not read.
+extra columns are not read; bytes that are not UTF-8 count as replacement
+characters.
 """
 from __future__ import annotations
 
@@ -76,8 +77,10 @@ def write_token_files(docs: DataFrame, vocabulary: str | None = None, end_id: in
     """Write the corpus; returns its manifest: a row per part, with its base."""
     spark = docs.sparkSession
     folder = new_folder(spark, "token-files")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ranged = rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.make_valid_utf8(F.col("text").cast("string")).alias("text"))
+    # the row number keeps a row that is repeated very often from being one range
+    numbered = rows.withColumn("tie", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    ranged = numbered.repartitionByRange("doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie", "row")
     written = Workspace(spark, "token-manifest").save(ranged.select("doc_id", "text").mapInArrow(
         _write(vocabulary or vocabulary_path(VOCABULARY), folder, end_id), _MANIFEST), "manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row per part
