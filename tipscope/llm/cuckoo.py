@@ -23,7 +23,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tipscope.llm.tables import Workspace, maybe_broadcast
 
@@ -35,8 +34,11 @@ KEYS_PER_SHARD = 50_000
 MIN_SHARDS = 48
 #: Rows that a map task combines before it passes them on.
 COMBINE_ROWS = 100_000
+#: Texts that a task signs at once.
+SIGN_ROWS = 1024
 
 _ROW = "rid long, doc_id long, digest binary, n_points long"
+_SIGNED = "doc_id long, rid long, digest binary, n_points long"
 _PARTIAL = "digest binary, n long, best_points long, best_id long, best_rid long"
 _STATE = f"shard int, {_PARTIAL}, buckets long, slots binary"
 
@@ -154,23 +156,22 @@ def _raw(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
-def _sign(columns: list[str], text: str):
-    """Map function: the given columns plus row number, digest and code points."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Map function: id and row number with digest and code points of the text; the
+    row number is made from the task's place unless there is one already."""
+    from pyspark import TaskContext
 
-        rid = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            texts = _raw(batch[text])
+    next_rid = TaskContext.get().partitionId() << 33
+    for batch in batches:
+        for at in range(0, batch.num_rows, SIGN_ROWS):
+            part = batch.slice(at, SIGN_ROWS)
+            texts = _raw(part["text"])
             digests = [hashlib.sha256((t or b"").translate(None, SPACE)).digest() for t in texts]
             points = [len((t or b"").translate(None, CONTINUED)) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch[c] for c in columns] + [
-                    pa.array(np.arange(rid, rid + len(texts)), pa.int64()), pa.array(digests, pa.binary()), pa.array(points, pa.int64())],
-                [*columns, "rid", "digest", "n_points"])
-            rid += len(texts)
-
-    return run
+            rid = part["rid"] if "rid" in part.schema.names else pa.array(np.arange(next_rid, next_rid + len(texts)), pa.int64())
+            next_rid += len(texts)
+            yield pa.RecordBatch.from_arrays([part["doc_id"], rid, pa.array(digests, pa.binary()), pa.array(points, pa.int64())],
+                                             ["doc_id", "rid", "digest", "n_points"])
 
 
 def shard_of(digest: Column, shards: int) -> Column:
@@ -263,12 +264,11 @@ class DigestIndex:
 
     def insert(self, docs: DataFrame, text: str = "text") -> DigestIndex:
         """Add the rows of ``docs`` (``doc_id`` and the text column)."""
-        signed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-            _sign(["doc_id"], "text"), "doc_id long, rid long, digest binary, n_points long")
-        return self.insert_signed(signed)
+        return self.insert_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")))
 
-    def insert_signed(self, signed: DataFrame) -> DigestIndex:
-        """Add rows that have ``doc_id``, row number ``rid``, ``digest`` and ``n_points``."""
+    def insert_rows(self, docs: DataFrame) -> DigestIndex:
+        """Add rows of ``doc_id`` and ``text``, and with a row number of their own if there is a column ``rid``."""
+        signed = docs.mapInArrow(_sign, _SIGNED)
         rows = signed.select((F.col("rid") + F.lit(self.next_rid)).alias("rid"), "doc_id", "digest", "n_points")
         rows = self.ws.save(rows, f"rows-{self.version + 1}")
         self.next_rid = max(self.next_rid, (rows.agg(F.max("rid")).first()[0] or 0) + 1)
@@ -292,8 +292,7 @@ class DigestIndex:
 
     def lookup(self, docs: DataFrame, text: str = "text") -> DataFrame:
         """``doc_id``, ``found`` and the ``keep_id`` of the live equal text, per row of ``docs``."""
-        signed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-            _sign(["doc_id"], "text"), "doc_id long, rid long, digest binary, n_points long")
+        signed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_sign, _SIGNED)
         hit = signed.join(self.keys(), "digest", "left")
         return hit.select("doc_id", F.col("n").isNotNull().alias("found"), F.col("best_id").alias("keep_id"))
 
@@ -315,16 +314,13 @@ def duplicate_groups(docs: DataFrame) -> DataFrame:
 def drop_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with their own columns.
 
-    The rows are written once with their row number and digest; what goes is
-    decided by row number, of which no two rows share one."""
+    The rows are written once with a row number; what goes is decided by row
+    number, of which no two rows share one."""
     spark = docs.sparkSession
     ws = Workspace(spark, "exact-dedup")
     names = [f"c{i}" for i in range(len(docs.columns))]
-    fields = [T.StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields)]
-    schema = T.StructType([*fields, T.StructField("rid", T.LongType()), T.StructField("digest", T.BinaryType()),
-                           T.StructField("n_points", T.LongType())])
     text, doc_id = (names[docs.columns.index(c)] for c in ("text", "doc_id"))
-    signed = ws.save(docs.toDF(*names).mapInArrow(_sign(names, text), schema), "signed")
-    index = DigestIndex(spark, ws).insert_signed(signed.select(F.col(doc_id).cast("long").alias("doc_id"), "rid", "digest", "n_points"))
+    numbered = ws.save(docs.toDF(*names).withColumn("rid", F.monotonically_increasing_id()), "numbered")
+    index = DigestIndex(spark, ws).insert_rows(numbered.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), "rid"))
     gone = ws.save(index.members().where(~F.col("kept")).select("rid"), "gone")
-    return signed.join(maybe_broadcast(gone, gone.count(), 16), "rid", "left_anti").select(*names).toDF(*docs.columns)
+    return numbered.join(maybe_broadcast(gone, gone.count(), 16), "rid", "left_anti").select(*names).toDF(*docs.columns)
