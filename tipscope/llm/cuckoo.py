@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tipscope.llm.pieces import release_encoders
 from tipscope.llm.tables import Workspace, maybe_broadcast
 
 SPACE = b" \t\n\x0b\x0c\r"
@@ -161,6 +162,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     row number is made from the task's place unless there is one already."""
     from pyspark import TaskContext
 
+    release_encoders()
     next_rid = TaskContext.get().partitionId() << 33
     for batch in batches:
         for at in range(0, batch.num_rows, SIGN_ROWS):

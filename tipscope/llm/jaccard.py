@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tipscope.llm.components import connected_components
+from tipscope.llm.pieces import release_encoders
 from tipscope.llm.shingles import WordHasher, shingle_sets
 from tipscope.llm.tables import Workspace, maybe_broadcast
 
@@ -55,6 +56,8 @@ WHOLE = 100
 #: long prefix; with more than this for each of its hashes, its whole set.
 LENGTHEN_ABOVE, WHOLE_ABOVE = 8, 16
 SKETCH_BITS = 512
+#: Texts that a task hashes at once.
+HASHED_ROWS = 256
 
 
 def _needed(n: Column | int, percent: int):
@@ -62,13 +65,19 @@ def _needed(n: Column | int, percent: int):
     return -((-percent * n) // 100) if isinstance(n, int) else F.ceil(n * percent / F.lit(100)).cast("int")
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Some rows at a time, which bounds the work arrays beside a batch."""
+    return (batch.slice(at, HASHED_ROWS) for batch in batches for at in range(0, batch.num_rows, HASHED_ROWS))
+
+
 def _signature(width: int, threshold: int):
     """Map function: set size, class key, parity sketch and long prefix of each text."""
     words = SKETCH_BITS // 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         hasher = WordHasher()
-        for batch in batches:
+        for batch in _parts(batches):
             sets = shingle_sets(batch["text"].to_pylist(), width, hasher)
             n = np.array([len(s) for s in sets], dtype=np.int64)
             keys = np.frombuffer(b"".join(hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets), np.int64).reshape(-1, 2)
@@ -93,16 +102,14 @@ def _sets(width: int):
     """Map function: class key and whole sorted set of each text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        for batch in batches:
+        for batch in _parts(batches):
             sets = shingle_sets(batch["text"].to_pylist(), width, hasher)
             keys = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=16).digest()[:8], "little", signed=True) for s in sets]
-            for at in range(0, len(sets), 256):
-                some = sets[at:at + 256]
-                ends = np.concatenate(([0], np.cumsum([len(s) for s in some]))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[at:at + 256], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *[s.view(np.int64) for s in some]])))],
-                    ["k", "hashes"])
+            ends = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *[s.view(np.int64) for s in sets]])))],
+                ["k", "hashes"])
 
     return run
 

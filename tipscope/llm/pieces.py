@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import re
+import gc
 import sys
 import types
 from array import array
@@ -177,3 +178,11 @@ def encoder_of(path: str) -> PieceEncoder:
     if path not in encoders:
         encoders[path] = PieceEncoder(path)
     return encoders[path]
+
+
+def release_encoders() -> None:
+    """Give back the tables of encoders that earlier tasks of the worker left: called
+    by operators that encode nothing and need the memory."""
+    kept = sys.modules.get("corpus_worker_state")
+    if kept is not None and vars(kept).pop("encoders", None):
+        gc.collect()

@@ -12,6 +12,9 @@ from tipscope.session import checkpoint_dir
 #: Broadcasting is asked for below this many bytes of proven size only.
 BROADCAST_BYTES = 32 << 20
 
+#: Bounds of an Arrow batch: setting, its usual value, and the value set here.
+ARROW_BATCH = (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"),)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -26,11 +29,16 @@ class Workspace:
     """A folder of this run below the session's shared checkpoint folder.
 
     ``save`` writes a table and reads it back, which cuts the lineage: a lost
-    executor costs a re-read of shared files, never a recomputation.
+    executor costs a re-read of shared files, never a recomputation.  Batches
+    of long texts sent to Python are kept small, unless the session says how
+    large they are.
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
+        for key, usual, value in ARROW_BATCH:
+            if spark.conf.get(key, usual) == usual:
+                spark.conf.set(key, value)
         self.path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
