@@ -1,4 +1,6 @@
 """Independent learner checks, exact samples and merged summary states."""
+import glob
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from tipscope.operators import moments as MO
 from tipscope.operators import sampling as SM
 from tipscope.operators import verify as V
 from tipscope.plans import catalog as C
+from tipscope.session import checkpoint_dir
 
 from conftest import SF001
 
@@ -105,6 +108,50 @@ def test_moments_of_pairs_whose_spread_cancels(spark):
     assert got["a", "b"] == pytest.approx(np.corrcoef(a, b)[0, 1], abs=1e-12) and got["c", "c"] is None and got["a", "c"] is None
 
 
+def _counted(df, seen):
+    """``df`` that adds its rows to an accumulator whenever it is evaluated."""
+    def run(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+    return df.mapInArrow(run, df.schema)
+
+
+def test_state_and_moments_evaluate_their_rows_once(spark, tmpdir_path):
+    data = C.t1_clean(spark, SF001).cache()
+    n, sc = data.count(), spark.sparkContext
+    seen = sc.accumulator(0)
+    MO.pair_moments(_counted(data, seen), X.correlation_columns(C.T1))
+    assert seen.value == n > 0
+    seen = sc.accumulator(0)
+    X.append_summary_state(_counted(data, seen), tmpdir_path, "all", C.T1)
+    assert seen.value == n
+    assert not glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/state-rows-*")
+    got = X.summaries_from_state(spark, tmpdir_path, C.T1)
+    assert got["rows_per_month"].collect() == X.rows_per_month(data, C.T1.pickup).collect()
+    want = {(r.col_a, r.col_b): r.r for r in X.correlation(data, X.correlation_columns(C.T1)).collect()}
+    assert {(r.col_a, r.col_b): r.r for r in got["correlation"].collect()} == {k: v if v is None else pytest.approx(v, abs=1e-9) for k, v in want.items()}
+    data.unpersist()
+
+
+def test_equal_values_have_no_correlation_however_they_are_dealt(spark):
+    """Equal values stay without spread when parts of any sizes merge; no rows give NULL for every pair."""
+    rows = [(0.1 if i % 3 else None, float(i), 1e-3 if i % 7 else float(i)) for i in range(397)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    cols, few = ["a", "b", "c"], df.where("c = 0.001")
+    sizes = [1, 2, 80, 3, 77, 55, 111]
+    ends = [sum(sizes[:i]) for i in range(len(sizes) + 1)] + [397]
+    parts = [MO.pair_moments(df.where(F.col("b").between(x, y - 1)), cols) for x, y in zip(ends, ends[1:])]
+    merged = parts[0]
+    for p in parts[1:]:
+        merged = merged.unionByName(p)
+    for found in (MO.correlation_of(MO.merge_moments(merged), cols), X.correlation(df.repartition(7), cols)):
+        got = {(r.col_a, r.col_b): r.r for r in found.collect()}
+        assert [got["a", x] for x in cols] == [None] * 3 and got["b", "c"] is not None and got["b", "b"] == pytest.approx(1.0)
+    assert {(r.col_a, r.col_b) for r in X.correlation(few.repartition(5), cols).where("r IS NULL").collect()} == {(x, y) for x in cols for y in cols} - {("b", "b")}
+    assert [r.r for r in X.correlation(df.limit(0), cols).collect()] == [None] * 9
+
+
 def test_no_job_at_call_time(spark):
     """Weights and class histograms are one lazy plan."""
     from tipscope.operators import balance as B

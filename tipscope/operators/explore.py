@@ -24,7 +24,7 @@ from ..specs import (
     TripSpec,
 )
 from ..session import checkpoint_dir
-from ..sources.sinks import append_metrics, new_run_id, read_metrics, read_parquet, write_parquet
+from ..sources.sinks import append_metrics, delete_folder, new_run_id, read_metrics, read_parquet, write_parquet
 from . import prepare as P
 from .moments import correlation, correlation_of, merge_moments, pair_moments
 
@@ -237,10 +237,20 @@ def summaries_of(counts: DataFrame, month_prefix: str | None = None, width: floa
 def append_summary_state(df: DataFrame, path: str, source: str, spec: TripSpec | None = None) -> None:
     """Add the prepared rows of one source (a month, a file) to the stored state:
     its counts and the moments of its columns.  Sources must not share rows; the
-    same source again replaces what it stored before."""
-    s = spec or TripSpec()
-    append_metrics(summary_counts(df, s), path, source, "summary_counts")
-    append_metrics(pair_moments(df, correlation_columns(s)), path, source, "summary_moments")
+    same source again replaces what it stored before.
+
+    ``df`` is evaluated once: the columns that count are written to the shared
+    checkpoint folder, read for both parts of the state, and deleted."""
+    s, spark = spec or TripSpec(), df.sparkSession
+    columns = correlation_columns(s)
+    aside = f"{checkpoint_dir(spark).rstrip('/')}/state-rows-{new_run_id()}"
+    try:
+        write_parquet(df.select(*dict.fromkeys([s.pickup, s.ratio_col, s.label_col, *columns])), aside)
+        rows = read_parquet(spark, aside)
+        append_metrics(summary_counts(rows, s), path, source, "summary_counts")
+        append_metrics(pair_moments(rows, columns), path, source, "summary_moments")
+    finally:
+        delete_folder(spark, aside)
 
 
 def summaries_from_state(spark, path: str, spec: TripSpec | None = None, month_prefix: str | None = None) -> dict:

@@ -57,6 +57,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a written frame that no later step reads; nothing if there is none."""
+    fs, hpath = _fs(spark, path)
+    fs.delete(hpath, True)
+
+
 def commit_folder(spark: SparkSession, aside: str, path: str) -> bool:
     """Give a finished folder its final name in one rename; False if another
     writer was first (the folder is then deleted).
